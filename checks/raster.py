@@ -6,10 +6,18 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import Fixtures, duckdb_sql
 from tilewright.functions.dates import CollectionSpec, Period
-from tilewright.operators import blocks as B, collections as C
+from tilewright.functions.keys import decode_key, encode_key
+from tilewright.functions.pixels import classify_ranges, classify_stops, is_valid, physical
+from tilewright.operators import blocks as B, collections as C, pixels as P, regions as R
 from tilewright.operators.composite import composite
 from tilewright.operators.pixels import explode_pixels, good_tiles
-from tilewright.plans import statistics as S
+from tilewright.operators.regions import Regions
+from tilewright.plans import statistics as S, tiles as T
+from tilewright.session import shared_folder
+from tilewright.sinks.reports import bands_side_by_side, result_json
+from tilewright.sinks.tiles import upsert_tiles, write_tiles
+from tilewright.sources.catalog import with_band_info
+from tilewright.sources.tiles import read_tiles, tile_cell, tiles_on_dates
 
 FILL, LOW, HIGH, W, H = -19999, -2000, 3000, 8, 8
 D0 = 20190100000000
@@ -70,7 +78,11 @@ FROM m"""
 
 GOOD = "SELECT * FROM fx_px WHERE status = 0"
 VALID = f"dn <> {FILL} AND dn BETWEEN {LOW} AND {HIGH}"
-ARGS = (LOW, HIGH, FILL, W, H)
+ARGS = (LOW, HIGH, FILL)
+
+
+def regions(fx):
+    return Regions(fx.seg, W, H)
 
 
 def as_blocks(fx):
@@ -80,17 +92,17 @@ def as_blocks(fx):
 
 @query("zonal_stats_one_date", zonal_sql(f"{GOOD} AND hcol = {D0}"))
 def _(fx):
-    return rounded(S.zonal_stats(fx.tile.where(F.col("hcol") == D0), fx.seg, *ARGS))
+    return rounded(S.zonal_stats(fx.tile.where(F.col("hcol") == D0), regions(fx), *ARGS))
 
 
 @query("zonal_stats_one_date_blocks", zonal_sql(f"{GOOD} AND hcol = {D0}"))
 def _(fx):
-    return rounded(S.zonal_stats_blocks(as_blocks(fx).where(F.col("hcol") == D0), fx.seg, *ARGS))
+    return rounded(S.zonal_stats_blocks(as_blocks(fx).where(F.col("hcol") == D0), regions(fx), *ARGS))
 
 
 @query("zonal_stats_all_tiles_mode", zonal_sql(f"{GOOD} AND hcol = {D0}", merge="all"))
 def _(fx):
-    return rounded(S.zonal_stats(fx.tile.where(F.col("hcol") == D0), fx.seg, *ARGS, merge="all"))
+    return rounded(S.zonal_stats(fx.tile.where(F.col("hcol") == D0), regions(fx), *ARGS, merge="all"))
 
 
 _AGG = {"min": f"coalesce(min(CASE WHEN {VALID} THEN dn END), {FILL})::bigint", "max": f"coalesce(max(CASE WHEN {VALID} THEN dn END), {FILL})::bigint",
@@ -179,33 +191,33 @@ def tile_dates(fx, spec):
 
 @query("series_monthly_max", series_sql(_MONTH_PX, "max"))
 def _(fx):
-    return rounded(S.series_stats(fx.tile, tile_dates(fx, MONTHLY), fx.seg, "max", *ARGS))
+    return rounded(S.series_stats(fx.tile, tile_dates(fx, MONTHLY), regions(fx), "max", *ARGS))
 
 
 @query("series_monthly_max_blocks", series_sql(_MONTH_PX, "max"))
 def _(fx):
-    return rounded(S.series_stats_blocks(as_blocks(fx), tile_dates(fx, MONTHLY), fx.seg, "max", *ARGS))
+    return rounded(S.series_stats_blocks(as_blocks(fx), tile_dates(fx, MONTHLY), regions(fx), "max", *ARGS))
 
 
 @query("series_yearly_ave", series_sql(_YEAR_PX, "ave"))
 def _(fx):
-    return rounded(S.series_stats(fx.tile, tile_dates(fx, YEARLY), fx.seg, "ave", *ARGS))
+    return rounded(S.series_stats(fx.tile, tile_dates(fx, YEARLY), regions(fx), "ave", *ARGS))
 
 
 @query("series_yearly_ave_blocks", series_sql(_YEAR_PX, "ave"))
 def _(fx):
-    return rounded(S.series_stats_blocks(as_blocks(fx), tile_dates(fx, YEARLY), fx.seg, "ave", *ARGS))
+    return rounded(S.series_stats_blocks(as_blocks(fx), tile_dates(fx, YEARLY), regions(fx), "ave", *ARGS))
 
 
 @query("series_yearly_sum_same_range", series_sql(_YEAR_PX, "sum"))
 def _(fx):
-    return rounded(S.series_stats(fx.tile, tile_dates(fx, YEARLY), fx.seg, "sum", *ARGS))
+    return rounded(S.series_stats(fx.tile, tile_dates(fx, YEARLY), regions(fx), "sum", *ARGS))
 
 
 @query("series_daily", series_sql("SELECT *, (hcol // 1000000)::varchar AS key FROM fx_px WHERE status = 0", "min", extra=("hcol",)))
 def _(fx):
     days = C.daily_series(fx.tile_item, Period(20190000000000, 20300000000000))
-    return rounded(S.series_stats(fx.tile, days, fx.seg, "min", *ARGS, per_date=True))
+    return rounded(S.series_stats(fx.tile, days, regions(fx), "min", *ARGS, per_date=True))
 
 
 _RANGE_PX = f"""SELECT key, z, y, x, band, pos, gx, gy, coalesce(max(CASE WHEN {VALID} THEN dn END) - min(CASE WHEN {VALID} THEN dn END), {FILL}) AS dn
@@ -214,7 +226,7 @@ FROM ({_YEAR_PX}) p GROUP BY key, z, y, x, band, pos, gx, gy"""
 
 @query("script_series_range", zonal_sql(_RANGE_PX, ("key",)))
 def _(fx):
-    stats = S.script_series(fx.tile, tile_dates(fx, YEARLY), fx.seg, lambda v: F.max(v) - F.min(v), *ARGS)
+    stats = S.script_series(fx.tile, tile_dates(fx, YEARLY), regions(fx), lambda v: F.max(v) - F.min(v), *ARGS)
     return rounded(stats)
 
 
@@ -235,4 +247,309 @@ def spread_of_stack(address, dates):
 
 @query("script_series_range_blocks", zonal_sql(_RANGE_PX, ("key",)))
 def _(fx):
-    return rounded(S.script_series_blocks(as_blocks(fx), tile_dates(fx, YEARLY), fx.seg, spread_of_stack, *ARGS, strips=4))
+    return rounded(S.script_series_blocks(as_blocks(fx), tile_dates(fx, YEARLY), regions(fx), spread_of_stack, *ARGS, strips=4))
+
+
+# ---- results, clips, masks -----------------------------------------------------------------------
+
+def _wide_sql():
+    cols = {"areakm2": "area_km2", "acnt": "all_cnt", "fcnt": "fill_cnt", "vcnt": "valid_cnt", "vmin": "valid_min",
+            "vmax": "valid_max", "sum": "sum", "sqsum": "sq_sum", "mean": "mean", "stddev": "stddev"}
+    picks = ", ".join(f"max(CASE WHEN band = {b} THEN {c} END) AS {n}_b{b + 1}" for b in (0, 1) for n, c in cols.items())
+    return f"SELECT key, roi_id, {picks} FROM ({series_sql(_MONTH_PX, 'max')}) s GROUP BY key, roi_id"
+
+
+def _monthly(fx):
+    return rounded(S.series_stats(fx.tile, tile_dates(fx, MONTHLY), regions(fx), "max", *ARGS))
+
+
+@query("zonal_two_bands_csv", _wide_sql())
+def _(fx):
+    return bands_side_by_side(_monthly(fx), 2)
+
+
+_JSON_NUMBERS = ["sum", "valid_cnt", "valid_min", "valid_max", "all_cnt", "fill_cnt"]
+
+
+@query("result_json", f"""SELECT roi_id, key, band, {', '.join(f'{c}::double AS {c}' for c in _JSON_NUMBERS)}, 0::bigint AS state, 'success' AS message
+FROM ({series_sql(_MONTH_PX, 'max')}) s""")
+def _(fx):
+    """Documents are read back, so their text is checked field by field."""
+    schema = ("state long, message string, data array<struct<key: string, data: array<struct<sum: double, validCnt: double, "
+              "validMin: double, validMax: double, allCnt: double, fillCnt: double>>>>")
+    docs = result_json(_monthly(fx)).withColumn("d", F.from_json("document", schema))
+    per_key = docs.select("roi_id", "d.state", "d.message", F.explode("d.data").alias("k"))
+    bands = per_key.select("roi_id", "state", "message", "k.key", F.posexplode("k.data").alias("band", "s"))
+    names = {"sum": "sum", "valid_cnt": "validCnt", "valid_min": "validMin", "valid_max": "validMax", "all_cnt": "allCnt",
+             "fill_cnt": "fillCnt"}
+    return bands.select("roi_id", "key", "band", "state", "message", *[F.col(f"s.{n}").alias(c) for c, n in names.items()])
+
+
+def _clip_sql(inside):
+    return f"""SELECT hcol, z, y, x, band, pos, CASE WHEN {inside} THEN dn ELSE {FILL} END AS dn FROM fx_px p WHERE status = 0"""
+
+
+def _in(roi):
+    return f"EXISTS (SELECT 1 FROM fx_seg s WHERE s.roi_id = '{roi}' AND s.z = p.z AND s.gy = p.gy AND p.gx BETWEEN s.x0 AND s.x1)"
+
+
+_PIXEL = ("hcol", *KEYS, "band", "pos", "dn")
+
+
+def _clipped(fx, rois):
+    return T.export_pixels(explode_pixels(good_tiles(fx.tile)), T.region_runs(fx.seg, rois), FILL, W, H).select(*_PIXEL)
+
+
+@query("clip_to_region", _clip_sql(_in("user:7")))
+def _(fx):
+    return _clipped(fx, ["user:7"])
+
+
+@query("clip_two_regions", _clip_sql(f"{_in('sys:0')} AND {_in('user:1')}"))
+def _(fx):
+    return _clipped(fx, ["sys:0", "user:1"])
+
+
+@query("clip_to_region_blocks", _clip_sql(_in("user:7")))
+def _(fx):
+    cut = B.clip_blocks(as_blocks(fx), T.region_runs(fx.seg, ["user:7"]), FILL, W, H)
+    return explode_pixels(B.decode_blocks(cut)).select(*_PIXEL)
+
+
+@query("mask_by_other_date", f"""SELECT a.hcol, a.z, a.y, a.x, a.band, a.pos, CASE WHEN b.dn <> {FILL} AND b.dn BETWEEN 0 AND 800 THEN a.dn ELSE {FILL} END AS dn
+FROM fx_px a JOIN fx_px b ON a.z = b.z AND a.y = b.y AND a.x = b.x AND a.band = b.band AND a.pos = b.pos
+WHERE a.status = 0 AND b.status = 0 AND b.hcol = {D0 + 100000000}""")
+def _(fx):
+    tiles = good_tiles(fx.tile)
+    masked = R.mask_tiles(tiles, tiles.where(F.col("hcol") == D0 + 100000000), 0, 800, FILL)
+    return explode_pixels(masked).select(*_PIXEL)
+
+
+@query("physical_values", f"""SELECT p.hcol, p.z, p.y, p.x, p.band, p.pos, 0.5::double * p.dn + (-10)::double AS value
+FROM fx_px p JOIN fx_band b ON b.bindex = p.band AND b.pid = 1 WHERE p.status = 0 AND {VALID}""")
+def _(fx):
+    bands = with_band_info(fx.band).where("pid = 1").withColumnRenamed("bindex", "band")
+    pixels = explode_pixels(good_tiles(fx.tile)).where(is_valid(F.col("dn"), LOW, HIGH, FILL))
+    return pixels.join(bands, "band").select(
+        "hcol", *KEYS, "band", "pos", physical(F.col("dn").cast("double"), F.col("scale"), F.col("offset")).alias("value"))
+
+
+# ---- reading tiles -------------------------------------------------------------------------------
+
+@query("explode_pixels_stats", """SELECT hcol, z, y, x, band, count(*) AS n, sum(dn)::bigint AS total, min(dn) AS low, max(dn) AS high,
+sum(pos * dn)::bigint AS placed FROM fx_px WHERE status = 0 GROUP BY hcol, z, y, x, band""")
+def _(fx):
+    pixels = explode_pixels(B.decode_blocks(as_blocks(fx)))
+    return pixels.groupBy("hcol", *KEYS, "band").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("dn").alias("total"), F.min("dn").alias("low"), F.max("dn").alias("high"),
+        F.sum(F.col("pos") * F.col("dn")).alias("placed"))
+
+
+@query("band_select", """SELECT hcol, z, y, x, w.out_band, pos, dn FROM fx_px JOIN (VALUES (0, 1), (1, 0), (2, 1)) AS w(out_band, band) USING (band) WHERE status = 0""")
+def _(fx):
+    chosen = P.select_bands(good_tiles(fx.tile), [1, 0, 1], 2)
+    return explode_pixels(chosen).select("hcol", *KEYS, "out_band", "pos", "dn")
+
+
+def _band_table(fx):
+    """Bands 0 and 1 of the tiles' product, both slices of one store block."""
+    rows = with_band_info(fx.band).where("pid = 1 AND bindex < 2")
+    return rows.select("pid", "bindex", F.lit(1).alias("hpid"), F.col("bsqIndex").alias("bsq_index"))
+
+
+@query("band_select_blocks", """SELECT hcol, z, y, x, w.out_band, pos, dn FROM fx_px JOIN (VALUES (0, 1), (1, 0)) AS w(out_band, band) USING (band) WHERE status = 0""")
+def _(fx):
+    blocks = as_blocks(fx).withColumn("pid", F.lit(1))
+    cut = B.select_block_bands(blocks, _band_table(fx), ["pid", "hcol", *KEYS], [1, 0])
+    return explode_pixels(B.decode_blocks(cut).withColumnRenamed("band", "out_band")).select("hcol", *KEYS, "out_band", "pos", "dn")
+
+
+@query("tiles_on_dates", f"SELECT hcol, z, y, x, band, pos, dn FROM fx_px WHERE status = 0 AND hcol IN ({D0}, {D0 + 200000000})")
+def _(fx):
+    dates = fx.tile_item.where(F.col("hcol").isin(D0, D0 + 200000000, D0 + 77)).unionByName(fx.tile_item.where(F.col("hcol") == D0))
+    return explode_pixels(tiles_on_dates(good_tiles(fx.tile), dates)).select(*_PIXEL)
+
+
+@query("tile_cell", f"SELECT band, pos, dn FROM fx_px WHERE hcol = {D0} AND z = 4 AND y = 3 AND x = 9")
+def _(fx):
+    return explode_pixels(tile_cell(fx.tile, 1, D0, 4, 3, 9)).select("band", "pos", "dn")
+
+
+@query("capped_dates_per_tile", """SELECT pid, dt, dn, event_id FROM (SELECT *, dense_rank() OVER (PARTITION BY pid ORDER BY dt) AS k FROM fx_obs
+WHERE dt BETWEEN 20240101000000 AND 20241231235959 AND (dt // 10000) % 100 = 6) t WHERE k <= 30""")
+def _(fx):
+    cells = P.capped_dates(fx.obs, ["pid"], 20240101000000, 20241231235959, date="dt", hour=6)
+    return cells.select("pid", "dt", "dn", "event_id")
+
+
+@query("uncapped_dates_per_tile", """SELECT pid, dt, dn, event_id FROM fx_obs WHERE dt BETWEEN 20240101000000 AND 20241231235959 AND (dt // 10000) % 100 = 6""")
+def _(fx):
+    cells = P.capped_dates(fx.obs, ["pid"], 20240101000000, 20241231235959, None, date="dt", hour=6)
+    return cells.select("pid", "dt", "dn", "event_id")
+
+
+# Shift and scale that take the fixture's values into each element type's range, and back exactly.
+_TYPE_CASES = {1: "((dn + 19999) % 256)", 2: "(dn + 19999)", 3: "dn", 4: "((dn + 19999) * 100000)", 5: "(dn * 100000)",
+               6: "(dn / 4)", 7: "(dn / 8)"}
+
+@query("block_roundtrip", " UNION ALL ".join(
+    f"SELECT {k} AS data_type, z, y, x, band, hcol, sum({e.replace('dn', 'dn::double')}) AS total, sum(pos * {e.replace('dn', 'dn::double')}) AS placed FROM fx_px WHERE status = 0 GROUP BY z, y, x, band, hcol"
+    for k, e in _TYPE_CASES.items()))
+def _(fx):
+    out = None
+    for k, e in _TYPE_CASES.items():
+        typed = good_tiles(fx.tile).withColumn("dn", F.expr(f"transform(dn, v -> {e.replace('dn', 'cast(v as double)')})"))
+        blocks = B.encode_tiles(typed.withColumn("data_type", F.lit(k)), ["dsname", "hpid", "hcol", *KEYS])
+        pixels = explode_pixels(B.decode_blocks(blocks, "double"))
+        sums = pixels.groupBy("data_type", *KEYS, "band", "hcol").agg(
+            F.sum("dn").alias("total"), F.sum(F.col("pos") * F.col("dn")).alias("placed"))
+        out = sums if out is None else out.unionByName(sums)
+    return out
+
+
+_KEY_CASES = ((1, 2), (4, 2), (4, 4))
+
+
+def _signed(v, width):
+    half, full = 1 << (8 * width - 1), 1 << (8 * width)
+    return f"(({v}) % {full} + {full} + {half}) % {full} - {half}"
+
+
+_KEY_BASE = "SELECT c_custkey AS pid, c_custkey % 22 AS z, c_custkey * 97 % 70001 AS y, c_custkey * 131 % 90001 AS x FROM customer"
+
+
+def _hex_of(v, width):
+    return f"right(repeat('0', 16) || hex(({v}) % {1 << (8 * width)}), {2 * width})"
+
+
+@query("key_roundtrip", " UNION ALL ".join(
+    f"""SELECT {p} AS pid_bytes, {w} AS yx_bytes, pid, z, y, x, {_hex_of('(x + y) % 10', 1)} || {_hex_of('pid', p)} || {_hex_of('z', 1)} || {_hex_of('y', w)} || {_hex_of('x', w)} AS row_key,
+ (x + y) % 10 AS k_bucket, {_signed('pid', p)} AS k_pid, z AS k_z, {_signed('y', w)} AS k_y, {_signed('x', w)} AS k_x FROM ({_KEY_BASE}) k"""
+    for p, w in _KEY_CASES))
+def _(fx):
+    cells = fx.customer.selectExpr("c_custkey AS pid", "c_custkey % 22 AS z", "c_custkey * 97 % 70001 AS y", "c_custkey * 131 % 90001 AS x")
+    out = None
+    for p, w in _KEY_CASES:
+        key = encode_key(*[F.col(c) for c in ("pid", "z", "y", "x")], p, w)
+        rows = cells.withColumn("k", key).withColumn("d", decode_key(F.col("k"), p, w)).select(
+            F.lit(p).alias("pid_bytes"), F.lit(w).alias("yx_bytes"), "pid", "z", "y", "x", F.hex("k").alias("row_key"),
+            *[F.col(f"d.{c}").alias(f"k_{c}") for c in ("bucket", "pid", "z", "y", "x")])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("tile_table_upsert", f"""SELECT hcol, z, y, x, band, pos, CASE WHEN hcol = {D0} AND y < 4 AND dn <> {FILL} THEN dn + 1 ELSE dn END AS dn FROM fx_px WHERE status = 0""")
+def _(fx):
+    """All tiles are written, those of one date's upper half are replaced, and the table is read back."""
+    blocks = as_blocks(fx)
+    path = shared_folder(fx.spark, "tiles")
+    write_tiles(blocks, path)
+    add_one = T.compute_tiles(blocks.where((F.col("hcol") == D0) & (F.col("y") < 4)), plus_one, "mod/vi", 1, D0, 21)
+    upsert_tiles(add_one.select(*blocks.columns), path)
+    back = read_tiles(fx.spark, path, "mod/vi", 4).select("hcol", *KEYS, "width", "height", "nbands", "data_type", "data")
+    return explode_pixels(B.decode_blocks(back)).select(*_PIXEL)
+
+
+def plus_one(address, pixels):
+    return (pixels + (pixels != FILL)).astype("<i2")
+
+
+# ---- values, points, windows ---------------------------------------------------------------------
+
+RANGES = ((-1000, -1), (0, 500), (400, 900), (901, 3000))
+STOPS = (-1000, 0, 250, 1000, 2500)
+
+
+@query("classify_ranges", f"""SELECT hcol, band, class, count(*) AS n FROM (SELECT hcol, band,
+ CASE WHEN dn BETWEEN -1000 AND -1 THEN 0 WHEN dn BETWEEN 0 AND 500 THEN 1 WHEN dn BETWEEN 400 AND 900 THEN 2 WHEN dn BETWEEN 901 AND 3000 THEN 3 END AS class
+ FROM fx_px WHERE status = 0 AND {VALID}) t GROUP BY hcol, band, class""")
+def _(fx):
+    pixels = explode_pixels(good_tiles(fx.tile)).where(is_valid(F.col("dn"), LOW, HIGH, FILL))
+    return pixels.withColumn("class", classify_ranges(F.col("dn"), RANGES)).groupBy("hcol", "band", "class").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("classify_linear", f"""SELECT hcol, z, y, x, band, pos, round(CASE WHEN dn >= 2500 THEN 4 WHEN dn >= 1000 THEN 3 + (dn - 1000) / 1500::double WHEN dn >= 250 THEN 2 + (dn - 250) / 750::double
+ WHEN dn >= 0 THEN 1 + dn / 250::double WHEN dn >= -1000 THEN (dn + 1000) / 1000::double ELSE 0 END, 6) AS place,
+ CASE WHEN dn >= 2500 THEN 4 WHEN dn >= 1000 THEN 3 WHEN dn >= 250 THEN 2 WHEN dn >= 0 THEN 1 WHEN dn >= -1000 THEN 0 END AS step,
+ CASE dn WHEN -1000 THEN 0 WHEN 0 THEN 1 WHEN 250 THEN 2 WHEN 1000 THEN 3 WHEN 2500 THEN 4 END AS same FROM fx_px WHERE status = 0 AND {VALID}""")
+def _(fx):
+    pixels = explode_pixels(good_tiles(fx.tile)).where(is_valid(F.col("dn"), LOW, HIGH, FILL))
+    dn = F.col("dn")
+    return pixels.select("hcol", *KEYS, "band", "pos", F.round(classify_stops(dn, STOPS, "linear"), 6).alias("place"),
+                         classify_stops(dn, STOPS, "discrete").alias("step"), classify_stops(dn, STOPS, "exact").alias("same"))
+
+
+_POINT_PIXEL = """SELECT id, floor(floor((90 - lat) / 2.8125 + 0.5) / 8)::int AS y, floor(floor((lon + 180) / 2.8125 + 0.5) / 8)::int AS x,
+ (floor((lon + 180) / 2.8125 + 0.5) % 8)::int AS col, (floor((90 - lat) / 2.8125 + 0.5) % 8)::int AS row FROM fx_point"""
+
+
+@query("pixel_values_at_points", f"""SELECT id, hcol, band, t.dn[q.row * 8 + q.col + 1] AS value FROM ({_POINT_PIXEL}) q JOIN fx_tile t ON t.z = 4 AND t.y = q.y AND t.x = q.x WHERE t.status = 0""")
+def _(fx):
+    tiles = good_tiles(fx.tile).select("hcol", *KEYS, "band", "dn")
+    return P.lookup_points(fx.point, tiles, 4, W, H).select("id", "hcol", "band", "value")
+
+
+@query("window_export", f"""SELECT hcol, z, y, x, band, pos, CASE WHEN {_in('sys:12')} THEN dn ELSE {FILL} END AS dn FROM fx_px p
+WHERE status = 0 AND y BETWEEN 2 AND 5 AND x BETWEEN 4 AND 11""")
+def _(fx):
+    window = T.export_window(good_tiles(fx.tile), (-80.0, 80.0, 40.0, -40.0), 4, W)
+    return T.export_pixels(explode_pixels(window), T.region_runs(fx.seg, ["sys:12"]), FILL, W, H).select(*_PIXEL)
+
+
+_DIFF = f"""SELECT a.z, a.y, a.x, a.band, a.pos, CASE WHEN a.dn = {FILL} OR b.dn = {FILL} THEN {FILL} ELSE b.dn - a.dn END AS dn
+FROM fx_px a JOIN fx_px b ON a.z = b.z AND a.y = b.y AND a.x = b.x AND a.band = b.band AND a.pos = b.pos
+WHERE a.status = 0 AND b.status = 0 AND a.hcol = {D0} AND b.hcol = {D0 + 100000000}"""
+
+
+@query("compute_tiles_difference", _DIFF)
+def _(fx):
+    tiles = good_tiles(fx.tile)
+    first, second = (tiles.where(F.col("hcol") == d) for d in (D0, D0 + 100000000))
+    fill = F.lit(FILL).cast("long")
+    diff = P.combine_tiles(first, second, lambda a, b: F.when((a == fill) | (b == fill), fill).otherwise(b - a))
+    return explode_pixels(diff).select(*KEYS, "band", "pos", "dn")
+
+
+def double_or_fail(address, pixels):
+    """A user function that fails on some tiles."""
+    if (address["y"] + address["x"]) % 16 == 5:
+        raise ArithmeticError("no result")
+    import numpy as np
+
+    return np.where(pixels == FILL, FILL, pixels.astype("i4") * 2).astype("<i4")
+
+
+@query("compute_tiles_with_failures", f"""SELECT hcol, z, y, x, band, CASE WHEN (y + x) % 16 = 5 THEN 1 ELSE 0 END AS status,
+CASE WHEN (y + x) % 16 = 5 THEN 'ArithmeticError: no result' END AS log,
+CASE WHEN (y + x) % 16 <> 5 THEN sum(CASE WHEN dn = {FILL} THEN {FILL} ELSE dn * 2 END)::bigint END AS total
+FROM fx_px WHERE status = 0 AND (band = 0 OR (y + x) % 16 <> 5) GROUP BY hcol, z, y, x, band""")
+def _(fx):
+    out = B.map_tiles(as_blocks(fx), double_or_fail, ["hcol", *KEYS])
+    sums = B.decode_blocks(out.where("status = 0")).select(
+        "hcol", *KEYS, "band", "status", "log", F.aggregate("dn", F.lit(0).cast("long"), lambda a, v: a + v).alias("total"))
+    failed = out.where("status <> 0").select("hcol", *KEYS, F.lit(0).alias("band"), "status", "log", F.lit(None).cast("long").alias("total"))
+    return sums.unionByName(failed)
+
+
+@query("tile_status_counts", """SELECT hcol, count(CASE WHEN status = 0 THEN 1 END) AS good, count(CASE WHEN status <> 0 THEN 1 END) AS bad FROM fx_tile GROUP BY hcol""")
+def _(fx):
+    return P.status_counts(fx.tile, ["hcol"])
+
+
+def _legacy_sql(method):
+    px = f"SELECT * FROM fx_px WHERE status = 0 AND band = 0 AND hcol BETWEEN {D0} AND {D0 + 200000000}"
+    return zonal_sql(composite_sql(method, px, "z, y, x, band, pos, gx, gy"))
+
+
+for _m in ("min", "max", "ave"):
+    @query(f"legacy_zonal_{_m}", _legacy_sql(_m))
+    def _(fx, m=_m):
+        dates = C.build_collections(fx.tile_item, CollectionSpec(Period(D0, D0 + 200000000)))
+        return rounded(S.series_stats(fx.tile.where("band = 0"), dates, regions(fx), m, *ARGS)).drop("key")
+
+
+@query("legacy_composite_order", f"""SELECT z, y, x, band, pos, {_AGG['ave']} AS dn, 20190000000000 AS hcol FROM fx_px WHERE status = 0 AND hcol BETWEEN {D0} AND {D0 + 200000000} GROUP BY z, y, x, band, pos""")
+def _(fx):
+    done = T.composite_order(as_blocks(fx), D0, D0 + 200000000, "ave", LOW, HIGH, FILL, 20190000000000)
+    return explode_pixels(B.decode_blocks(done, "double")).select(*_PIXEL)

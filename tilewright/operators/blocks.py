@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tilewright.functions.pixels import BYTE_WIDTHS, PIXEL_TYPES, byte_width
 from tilewright.operators.composite import check_method
+from tilewright.operators.regions import Regions, cut_to_tiles
 
 SHAPE = ("width", "height", "nbands", "data_type")
 TILE = ("z", "y", "x")
@@ -125,7 +126,7 @@ def select_block_bands(blocks: DataFrame, bands: DataFrame, keys: Sequence[str],
         "slice", F.substring(F.col("data"), F.col("bsq_index") * size + 1, size))
     tiles = slices.groupBy(*keys, "width", "height", "data_type").agg(
         F.array_sort(F.collect_list(F.struct("place", "slice"))).alias("s"), F.max("need").alias("need"))
-    joined = F.aggregate(F.transform("s", lambda s: s["slice"]), F.unhex(F.lit("")), F.concat)
+    joined = F.aggregate(F.transform("s", lambda s: s["slice"]), F.unhex(F.lit("")), lambda a, s: F.concat(a, s))
     return tiles.where(F.size("s") == F.col("need")).select(
         *keys, "width", "height", F.size("s").alias("nbands"), "data_type", joined.alias("data"))
 
@@ -135,17 +136,20 @@ def select_block_bands(blocks: DataFrame, bands: DataFrame, keys: Sequence[str],
 REGIONS_PER_ROW = 64
 
 
-def cuts_per_tile(cuts: DataFrame, per_row: int = REGIONS_PER_ROW) -> DataFrame:
-    """Cuts gathered per tile as arrays, about ``per_row`` regions to an array.
+def cuts_per_tile(regions: Regions, per_row: int = REGIONS_PER_ROW) -> DataFrame:
+    """Cuts gathered per tile as arrays.
 
-    One region has at most a tile's pixels in a tile. The number of regions has no bound, so they
-    are spread over as many rows as needed.
+    A small set gives one array per tile. Otherwise the number of regions in a tile has no bound, and
+    they are spread over as many rows as needed, about ``per_row`` regions to a row; one region
+    has at most a tile's pixels in a tile.
     """
-    counts = cuts.groupBy(*TILE, "roi_id").agg(F.count(F.lit(1)).alias("_c")).groupBy(*TILE).agg(
+    gathered = F.collect_list(F.struct("roi_id", "row", "c0", "c1", "pixel_km2")).alias("cuts")
+    if regions.small:
+        return F.broadcast(regions.cuts.groupBy(*TILE).agg(gathered))
+    counts = regions.cuts.groupBy(*TILE, "roi_id").agg(F.count(F.lit(1)).alias("_c")).groupBy(*TILE).agg(
         F.count(F.lit(1)).alias("_n"))
     part = F.pmod(F.xxhash64("roi_id"), F.ceil(F.col("_n") / per_row).cast("long"))
-    return cuts.join(counts, list(TILE)).withColumn("part", part).groupBy(*TILE, "part").agg(
-        F.collect_list(F.struct("roi_id", "row", "c0", "c1", "pixel_km2")).alias("cuts")).drop("part")
+    return regions.cuts.join(counts, list(TILE)).withColumn("part", part).groupBy(*TILE, "part").agg(gathered).drop("part")
 
 
 def _flat_index(row, c0, c1, width):
@@ -156,7 +160,7 @@ def _flat_index(row, c0, c1, width):
     return (row * width + c0)[run] + np.arange(run.size) - first[run], run
 
 
-def block_stats(blocks: DataFrame, cuts: DataFrame, low: float, high: float, fill: float,
+def block_stats(blocks: DataFrame, regions: Regions, low: float, high: float, fill: float,
                 keys: Sequence[str] = ()) -> DataFrame:
     """Per-tile zonal statistics straight from blocks; same rows as the pixel-row form.
 
@@ -164,7 +168,7 @@ def block_stats(blocks: DataFrame, cuts: DataFrame, low: float, high: float, fil
     it carries eight numbers per tile, region and band.
     """
     keys = list(keys)
-    work = blocks.join(cuts_per_tile(cuts), list(TILE)).select(*keys, *TILE, *SHAPE, "data", "cuts")
+    work = blocks.join(cuts_per_tile(regions), list(TILE)).select(*keys, *TILE, *SHAPE, "data", "cuts")
     schema = _schema([work.schema[k] for k in (*keys, *TILE)],
                      "roi_id string, band int, sum double, sq_sum double, valid_cnt long, valid_min double, "
                      "valid_max double, area_km2 double, all_cnt long, fill_cnt long")
@@ -209,8 +213,6 @@ def block_stats(blocks: DataFrame, cuts: DataFrame, low: float, high: float, fil
 
 def clip_blocks(blocks: DataFrame, run_segments: DataFrame, fill: float, width: int, height: int) -> DataFrame:
     """Fill every pixel outside the disjoint runs; blocks without any become all fill."""
-    from tilewright.operators.regions import cut_to_tiles
-
     cuts = cut_to_tiles(run_segments.select("z", "gy", "x0", "x1"), width, height)
     # a tile has at most its own pixels in disjoint runs
     per_tile = cuts.groupBy(*TILE).agg(F.collect_list(F.struct("row", "c0", "c1")).alias("_cuts"))

@@ -7,14 +7,16 @@ Segments are cut at tile edges, which turns "pixel in region" into an equi join
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tilewright.functions.grid import pixel_area_km2, resolution
 from tilewright.functions.pixels import is_valid
-from tilewright.operators.sides import fits_broadcast, hinted
+from tilewright.operators.sides import BROADCAST_BYTES, fits_broadcast, hinted, row_bytes
 
 ROI_KINDS = ("sys", "user")
+_SAME_ROW = ("z", "y", "x", "row")
 
 
 def region_segments(segments: DataFrame, roi_id: str) -> DataFrame:
@@ -83,9 +85,47 @@ def cut_to_tiles(segments: DataFrame, width: int, height: int) -> DataFrame:
     )
 
 
-def region_cuts(segments: DataFrame, width: int, height: int) -> DataFrame:
-    """Per-region cuts, overlaps removed: what the zonal statistics join with."""
-    return cut_to_tiles(merged(segments), width, height)
+class Regions:
+    """Segments cut for one tile size, with the frames the jobs join to.
+
+    Whether they may be broadcast is decided once, by adding up how many tile rows the segments
+    touch: no derived frame has more than twice as many rows.
+    """
+
+    def __init__(self, segments: DataFrame, width: int, height: int):
+        self.segments, self.width, self.height = segments, width, height
+
+    @cached_property
+    def small(self) -> bool:
+        w = F.lit(self.width).cast("long")
+        touched = (F.call_function("div", F.col("x1").cast("long"), w) - F.call_function("div", F.col("x0").cast("long"), w) + 1)
+        total = self.segments.agg(F.sum(touched)).first()[0] or 0
+        return 2 * total * row_bytes(self._cuts) <= BROADCAST_BYTES
+
+    @cached_property
+    def _cuts(self) -> DataFrame:
+        return cut_to_tiles(merged(self.segments), self.width, self.height)
+
+    @property
+    def cuts(self) -> DataFrame:
+        """Cuts per region, overlaps inside a region removed: what the zonal statistics join with."""
+        return hinted(self._cuts, self.small)
+
+    @property
+    def any_cuts(self) -> DataFrame:
+        """Cuts covering the pixels of any region once."""
+        runs_ = cut_to_tiles(union_of(self.segments), self.width, self.height)
+        return hinted(runs_.select(*_SAME_ROW, "c0", "c1"), self.small)
+
+    def touching(self, tiles: DataFrame) -> DataFrame:
+        """Tiles that hold at least one region pixel. Run before pixels are exploded."""
+        addresses = tiles_of(self.segments, self.width, self.height)
+        return tiles.join(hinted(addresses, self.small), ["z", "y", "x"], "left_semi")
+
+    def narrow(self, pixels: DataFrame) -> DataFrame:
+        """Pixels of at least one region, each once: less to send before a shuffle."""
+        return (pixels.join(self.any_cuts, list(_SAME_ROW))
+                .where(F.col("col").between(F.col("c0"), F.col("c1"))).drop("c0", "c1"))
 
 
 def tiles_of(segments: DataFrame, width: int, height: int) -> DataFrame:
@@ -97,15 +137,6 @@ def tiles_of(segments: DataFrame, width: int, height: int) -> DataFrame:
     ).distinct().withColumn("x", F.col("x").cast("int"))
 
 
-def touching(tiles: DataFrame, segments: DataFrame, width: int, height: int) -> DataFrame:
-    """Tiles that hold at least one region pixel. Run before pixels are exploded.
-
-    A small address list is broadcast, so tiles are not shuffled for it.
-    """
-    addresses = tiles_of(segments, width, height)
-    return tiles.join(hinted(addresses, fits_broadcast(addresses)), ["z", "y", "x"], "left_semi")
-
-
 def window_of(tiles: DataFrame, segments: DataFrame, width: int, height: int) -> DataFrame:
     """Tiles inside the tile range of the segments, per zoom, as plain predicates the scan can use.
 
@@ -120,22 +151,12 @@ def window_of(tiles: DataFrame, segments: DataFrame, width: int, height: int) ->
     return tiles.where(test)
 
 
-_SAME_ROW = ("z", "y", "x", "row")
-
-
 def pixels_in_regions(pixels: DataFrame, cuts: DataFrame) -> DataFrame:
     """Inner join: each pixel once per region holding it, with roi_id and pixel_km2."""
     return (pixels.join(cuts.select(*_SAME_ROW, "c0", "c1", "roi_id", "pixel_km2"), list(_SAME_ROW))
             .where(F.col("col").between(F.col("c0"), F.col("c1"))).drop("c0", "c1"))
 
 
-def pixels_in_any(pixels: DataFrame, segments: DataFrame, width: int, height: int) -> DataFrame:
-    """Pixels of at least one region, each once: narrows the data before a shuffle."""
-    cuts = cut_to_tiles(union_of(segments), width, height).select(*_SAME_ROW, "c0", "c1")
-    return (pixels.join(hinted(cuts, fits_broadcast(cuts)), list(_SAME_ROW))
-            .where(F.col("col").between(F.col("c0"), F.col("c1"))).drop("c0", "c1"))
-
-
 def clip(pixels: DataFrame, run_segments: DataFrame, fill: float, width: int, height: int) -> DataFrame:
     """Set ``dn`` outside the runs to the fill value; every pixel stays.
 

@@ -9,16 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tilewright.operators.blocks import apply_to_stack, block_stats, composite_blocks, join_strips
 from tilewright.operators.composite import composite
 from tilewright.operators.pixels import explode_pixels, good_tiles
-from tilewright.operators.regions import pixels_in_any, region_cuts, touching
+from tilewright.operators.regions import Regions
 from tilewright.operators.sides import fits_broadcast, hinted
 from tilewright.operators.zonal import merge_stats, tile_stats
 
 
-def _cuts(segments: DataFrame, width: int, height: int) -> DataFrame:
-    cuts = region_cuts(segments, width, height)
-    return hinted(cuts, fits_broadcast(cuts))
-
-
 def _by_date(tiles: DataFrame, collections: DataFrame) -> DataFrame:
     """One row per tile and key holding its date. Dates without a tile, and tiles without a key, drop out."""
     dates = collections.select("key", "hcol").distinct()
@@ -31,23 +26,21 @@ def _place(pixels: DataFrame, width: int) -> DataFrame:
         "col", (pos % width).cast("int"))
 
 
-def zonal_stats(tiles: DataFrame, segments: DataFrame, low: float, high: float, fill: float, width: int, height: int,
+def zonal_stats(tiles: DataFrame, regions: Regions, low: float, high: float, fill: float,
                 keys: tuple[str, ...] = (), merge: str = "reference") -> DataFrame:
     """Statistics of every region and band; tiles hold pixel arrays. Failed tiles are left out."""
-    cuts = _cuts(segments, width, height)
-    pixels = explode_pixels(touching(good_tiles(tiles), segments, width, height))
-    return merge_stats(tile_stats(pixels, cuts, low, high, fill, keys), keys, merge)
+    pixels = explode_pixels(regions.touching(good_tiles(tiles)))
+    return merge_stats(tile_stats(pixels, regions.cuts, low, high, fill, keys), keys, merge)
 
 
-def zonal_stats_blocks(blocks: DataFrame, segments: DataFrame, low: float, high: float, fill: float, width: int,
-                       height: int, keys: tuple[str, ...] = (), merge: str = "reference") -> DataFrame:
+def zonal_stats_blocks(blocks: DataFrame, regions: Regions, low: float, high: float, fill: float,
+                       keys: tuple[str, ...] = (), merge: str = "reference") -> DataFrame:
     """Same numbers from binary blocks."""
-    cuts = region_cuts(segments, width, height)
-    return merge_stats(block_stats(good_tiles(blocks), cuts, low, high, fill, keys), keys, merge)
+    return merge_stats(block_stats(good_tiles(blocks), regions, low, high, fill, keys), keys, merge)
 
 
-def series_stats(tiles: DataFrame, collections: DataFrame, segments: DataFrame, method: str, low: float, high: float,
-                 fill: float, width: int, height: int, per_date: bool = False, merge: str = "reference",
+def series_stats(tiles: DataFrame, collections: DataFrame, regions: Regions, method: str, low: float, high: float,
+                 fill: float, per_date: bool = False, merge: str = "reference",
                  stats_range: tuple[float, float] | None = None) -> DataFrame:
     """Composite the dates of each key, then statistics per key, region and band.
 
@@ -56,46 +49,47 @@ def series_stats(tiles: DataFrame, collections: DataFrame, segments: DataFrame,
     above the range counts as invalid.
     """
     keys = ("key", "hcol") if per_date else ("key",)
-    dated = touching(_by_date(good_tiles(tiles), collections), segments, width, height)
+    dated = regions.touching(_by_date(good_tiles(tiles), collections))
     # narrow to region pixels before the composite's shuffle
-    pixels = pixels_in_any(explode_pixels(dated), segments, width, height)
-    combined = _place(composite(pixels, method, low, high, fill, (*keys, "z", "y", "x", "band", "pos")), width)
+    pixels = regions.narrow(explode_pixels(dated))
+    combined = _place(composite(pixels, method, low, high, fill, (*keys, "z", "y", "x", "band", "pos")), regions.width)
     s_low, s_high = stats_range or (low, high)
-    stats = tile_stats(combined, _cuts(segments, width, height), s_low, s_high, fill, keys)
+    stats = tile_stats(combined, regions.cuts, s_low, s_high, fill, keys)
     return merge_stats(stats, ("key",), merge, then_by="hcol" if per_date else None)
 
 
-def series_stats_blocks(blocks: DataFrame, collections: DataFrame, segments: DataFrame, method: str, low: float,
-                        high: float, fill: float, width: int, height: int, per_date: bool = False,
+def series_stats_blocks(blocks: DataFrame, collections: DataFrame, regions: Regions, method: str, low: float,
+                        high: float, fill: float, per_date: bool = False,
                         merge: str = "reference", stats_range: tuple[float, float] | None = None) -> DataFrame:
     """``series_stats`` on binary blocks: whole tiles are composited, one row per tile and date is sent."""
     keys = ("key", "hcol") if per_date else ("key",)
-    dated = touching(_by_date(good_tiles(blocks), collections), segments, width, height)
+    dated = regions.touching(_by_date(good_tiles(blocks), collections))
     combined = composite_blocks(dated, method, low, high, fill, (*keys, "z", "y", "x"))
     s_low, s_high = stats_range or (low, high)
-    stats = block_stats(combined, region_cuts(segments, width, height), s_low, s_high, fill, keys)
+    stats = block_stats(combined, regions, s_low, s_high, fill, keys)
     return merge_stats(stats, ("key",), merge, then_by="hcol" if per_date else None)
 
 
-def script_series(tiles: DataFrame, collections: DataFrame, segments: DataFrame, stack: Callable[[Column], Column],
-                  low: float, high: float, fill: float, width: int, height: int) -> DataFrame:
+def script_series(tiles: DataFrame, collections: DataFrame, regions: Regions, stack: Callable[[Column], Column],
+                  low: float, high: float, fill: float) -> DataFrame:
     """Series with a user aggregate over the dates of a pixel instead of a named method.
 
     ``stack`` maps the column of valid values (null where invalid) to an aggregate, for example
     ``lambda v: F.max(v) - F.min(v)``.
     """
-    dated = touching(_by_date(good_tiles(tiles), collections), segments, width, height)
-    pixels = pixels_in_any(explode_pixels(dated), segments, width, height)
+    dated = regions.touching(_by_date(good_tiles(tiles), collections))
+    pixels = regions.narrow(explode_pixels(dated))
     valid = F.when((F.col("dn") != fill) & F.col("dn").between(low, high), F.col("dn"))
     combined = pixels.groupBy("key", "z", "y", "x", "band", "pos").agg(F.coalesce(stack(valid), F.lit(fill)).alias("dn"))
-    stats = tile_stats(_place(combined, width), _cuts(segments, width, height), low, high, fill, ("key",))
+    stats = tile_stats(_place(combined, regions.width), regions.cuts, low, high, fill, ("key",))
     return merge_stats(stats, ("key",))
 
 
-def script_series_blocks(blocks: DataFrame, collections: DataFrame, segments: DataFrame, fn, low: float, high: float,
-                         fill: float, width: int, height: int, strips: int = 1) -> DataFrame:
+def script_series_blocks(blocks: DataFrame, collections: DataFrame, regions: Regions, fn, low: float, high: float,
+                         fill: float, strips: int = 1, per_date: bool = False) -> DataFrame:
     """Series with a Python function over the date stack of each tile (see ``apply_to_stack``)."""
-    dated = touching(_by_date(good_tiles(blocks), collections), segments, width, height)
-    address = ("key", "z", "y", "x")
+    keys = ("key", "hcol") if per_date else ("key",)
+    dated = regions.touching(_by_date(good_tiles(blocks), collections))
+    address = (*keys, "z", "y", "x")
     out = good_tiles(join_strips(apply_to_stack(dated, fn, address, strips), address))
-    return merge_stats(block_stats(out, region_cuts(segments, width, height), low, high, fill, ("key",)), ("key",))
+    return merge_stats(block_stats(out, regions, low, high, fill, keys), ("key",), then_by="hcol" if per_date else None)
