@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.fixtures import Fixtures, duckdb_sql
+from checks.registry import Registry
 from tilewright.functions.dates import CollectionSpec, Period
 from tilewright.functions.keys import decode_key, encode_key
 from tilewright.functions.pixels import classify_ranges, classify_stops, is_valid, physical
@@ -22,17 +22,7 @@ from tilewright.sources.tiles import read_tiles, tile_cell, tiles_on_dates
 FILL, LOW, HIGH, W, H = -19999, -2000, 3000, 8, 8
 D0 = 20190100000000
 KEYS = ("z", "y", "x")
-QUERIES, ORACLES = {}, {}
-
-
-def query(name, sql=None):
-    def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(Fixtures(spark, sf_dir))
-        if sql:
-            ORACLES[name] = duckdb_sql(sql)
-        return fn
-    return add
-
+query = Registry()
 
 STAT_DIGITS = {"sum": 3, "sq_sum": 1, "valid_min": 6, "valid_max": 6, "area_km2": 3, "mean": 6, "stddev": 4}
 
@@ -132,7 +122,7 @@ for _m in ("min", "max", "ave", "sum"):
 
 # ---- date collections ----------------------------------------------------------------------------
 
-_W = Period(19930315000000, 19970620000000, start_inclusive=False)
+_W = Period(19960315000000, 20000620000000, start_inclusive=False)
 SPECS = {
     "plain": CollectionSpec(_W),
     "monthly": CollectionSpec(_W, "m", Period(5000000, 20000000, stop_inclusive=False)),
@@ -141,13 +131,13 @@ SPECS = {
     "yearly_overlapping": CollectionSpec(_W, "y", Period(301000000, 615000000, stop_inclusive=False), stop_in_next_year=1),
 }
 _COLLECTION_SQL = {
-    "plain": "SELECT pid, '' AS key, hcol, count(*) AS n_items FROM fx_item WHERE hcol > 19930315000000 AND hcol <= 19970620000000 GROUP BY pid, hcol",
+    "plain": "SELECT pid, '' AS key, hcol, count(*) AS n_items FROM fx_item WHERE hcol > 19960315000000 AND hcol <= 20000620000000 GROUP BY pid, hcol",
     "monthly": """SELECT pid, (hcol // 100000000)::varchar AS key, hcol, count(*) AS n_items FROM fx_item
-WHERE hcol > 19930300000000 AND hcol <= 19970600000000 AND hcol % 100000000 >= 5000000 AND hcol % 100000000 < 20000000 GROUP BY pid, hcol""",
+WHERE hcol > 19960300000000 AND hcol <= 20000600000000 AND hcol % 100000000 >= 5000000 AND hcol % 100000000 < 20000000 GROUP BY pid, hcol""",
 }
 
 
-def _year_sql(low, high_test, first=1994, last=1997):
+def _year_sql(low, high_test, first=1997, last=2000):
     years = ", ".join(f"({y})" for y in range(first, last + 1))
     return f"""SELECT pid, w.y::varchar AS key, hcol, count(*) AS n_items FROM fx_item JOIN (VALUES {years}) AS w(y)
 ON hcol >= w.y * 10000000000 + {low} AND {high_test} GROUP BY pid, w.y, hcol"""
