@@ -35,8 +35,7 @@ VIEWS: dict[str, str | tuple[str, str]] = {
  greatest(0, 5 + n_nationkey * 5 - (6 - abs(o.off))) AS x0, least(127, 5 + n_nationkey * 5 + (6 - abs(o.off))) AS x1
 FROM nation CROSS JOIN (VALUES (-6),(-5),(-4),(-3),(-2),(-1),(0),(1),(2),(3),(4),(5),(6)) AS o(off)
 UNION ALL SELECT * FROM (VALUES ('sys:900', 4, 1, 105, 110), ('sys:901', 4, 2, 105, 108), ('sys:901', 4, 9, 81, 86)) AS e(roi_id, z, gy, x0, x1)""",
-    "fx_tile_item": """SELECT 1 AS pid, band * 1000000 + row_number() OVER (PARTITION BY band ORDER BY hcol) AS fid, hcol, hcol AS dt0, hcol + 1 AS dt1
-FROM (SELECT DISTINCT band, hcol FROM fx_tile WHERE band = 0) t""",
+    "fx_tile_item": "SELECT DISTINCT 1 AS pid, hcol AS fid, hcol, hcol AS dt0, hcol + 1 AS dt1 FROM fx_tile",
     "fx_item": """SELECT pid, fid, hcol, hcol AS dt0, (year(d1) * 10000 + month(d1) * 100 + day(d1)) * cast(1000000 AS bigint) AS dt1
 FROM (SELECT o_custkey % 50 AS pid, o_orderkey AS fid,
   (year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate)) * cast(1000000 AS bigint) AS hcol,
@@ -69,7 +68,7 @@ FROM fx_product p CROSS JOIN (VALUES (0), (1), (2)) AS b(bindex) WHERE b.bindex
     "fx_category": """SELECT r_regionkey AS catid, r_name AS catname, CASE WHEN r_regionkey = 4 THEN 0 ELSE 1 END AS visible, 9 - r_regionkey AS iorder, 1 + r_regionkey % 2 AS itype FROM region""",
     "fx_meta": """SELECT s_suppkey AS pk, 500 + s_suppkey % 70 AS theid, CASE WHEN s_suppkey % 2 = 0 THEN 'PD_GOTS' ELSE 'CATLVL1' END AS metakey, 100000 - s_suppkey AS metavali, s_name AS metavalstr FROM supplier""",
     "fx_area": """SELECT r_regionkey + 1000000000 AS id, concat('R', cast(r_regionkey AS varchar(10))) AS code, r_name AS name, '0' AS parent_code FROM region
-UNION ALL SELECT n_nationkey + 1000000100, concat('N', cast(n_nationkey AS varchar(10))), n_name, concat('R', cast(n_regionkey AS varchar(10))) FROM nation WHERE n_regionkey <> 4
+UNION ALL SELECT n_nationkey + 1000000100, concat('N', cast(n_nationkey AS varchar(10))), n_name, concat('R', cast(n_regionkey AS varchar(10))) FROM nation
 UNION ALL SELECT s_suppkey, concat('S', cast(s_suppkey AS varchar(10))), s_name, concat('N', cast(s_nationkey AS varchar(10))) FROM supplier""",
     "fx_task": """SELECT o_orderkey AS ofid, 1 + o_orderkey % 5 AS mode, o_custkey AS uid, CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 0 END AS status, o_orderpriority AS tag FROM orders""",
     "fx_preload": """SELECT c_custkey AS premapid, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey % 20 END AS uid, c_mktsegment AS preloadlist FROM customer""",

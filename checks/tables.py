@@ -287,7 +287,7 @@ def _(fx):
         F.col("hTableName").alias("tab"), F.col("tileWid").alias("side"), "compress", "styleid")
 
 
-@query("replace_rows", """SELECT pid, bindex, CASE WHEN pid % 3 = 0 THEN 'new' ELSE 'old' END AS state FROM fx_band""")
+@query("replace_rows", """SELECT pid, bindex, CASE WHEN bindex = 2 THEN 'new' ELSE 'old' END AS state FROM fx_band""")
 def _(fx):
     old = fx.band.select("pid", "bindex", F.lit("old").alias("state"))
-    return G.replace_rows(old, old.where("pid % 3 = 0").withColumn("state", F.lit("new")), ["pid", "bindex"])
+    return G.replace_rows(old, old.where("bindex = 2").withColumn("state", F.lit("new")), ["pid", "bindex"])

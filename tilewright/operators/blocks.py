@@ -25,7 +25,7 @@ FLOAT_TYPE = 6
 RESULT = "width int, height int, nbands int, data_type int, status int, log string, data binary"
 # Pixels handed on in one Arrow batch, and bytes of partial composites a task holds before it sends them.
 BATCH_PIXELS = 4_000_000
-HELD_BYTES = 256 * 1024 * 1024
+HELD_BYTES = 128 * 1024 * 1024
 
 
 def _schema(fields: Sequence[T.StructField], added: str = "") -> T.StructType:

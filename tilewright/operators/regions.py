@@ -40,11 +40,11 @@ def runs(segments: DataFrame, by: Sequence[str], at_least: int = 1) -> DataFrame
     steps = (segments.select(*by, ends.alias("e")).groupBy(*by, F.col("e.at").alias("at"))
              .agg(F.sum("e.step").alias("step")).where("step <> 0"))
     order = Window.partitionBy(*by).orderBy("at")
-    return (
-        steps.withColumn("depth", F.sum("step").over(order)).withColumn("next", F.lead("at").over(order))
-        .where(F.col("depth") >= at_least)
-        .select(*by, F.col("at").alias("x0"), (F.col("next") - 1).alias("x1"))
-    )
+    depth = steps.withColumn("depth", F.sum("step").over(order))
+    # keep the places where coverage starts or ends; each start's run reaches to the next end
+    within, before = F.col("depth") >= at_least, (F.col("depth") - F.col("step")) >= at_least
+    borders = depth.withColumn("starts", within).where(within != before).withColumn("next", F.lead("at").over(order))
+    return borders.where("starts").select(*by, F.col("at").alias("x0"), (F.col("next") - 1).alias("x1"))
 
 
 def merged(segments: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ class Regions:
     """Segments cut for one tile size, with the frames the jobs join to.
 
     Whether they may be broadcast is decided once, by adding up how many tile rows the segments
-    touch: no derived frame has more than twice as many rows.
+    touch: merging segments only lowers that number, so no derived frame has more rows.
     """
 
     def __init__(self, segments: DataFrame, width: int, height: int):
@@ -100,7 +100,7 @@ class Regions:
         w = F.lit(self.width).cast("long")
         touched = (F.call_function("div", F.col("x1").cast("long"), w) - F.call_function("div", F.col("x0").cast("long"), w) + 1)
         total = self.segments.agg(F.sum(touched)).first()[0] or 0
-        return 2 * total * row_bytes(self._cuts) <= BROADCAST_BYTES
+        return total * row_bytes(self._cuts) <= BROADCAST_BYTES
 
     @cached_property
     def _cuts(self) -> DataFrame:

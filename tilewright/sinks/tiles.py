@@ -7,20 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tilewright.functions.dates import MONTH, int_div
+from tilewright.operators.sides import fits_broadcast, hinted
+from tilewright.session import shared_folder
 from tilewright.sources.tiles import CELL
 
 PARTITIONS = ("dsname", "z", "ym")
 
 
+# Tiles this many rows and columns apart are written together.
+NEIGHBOURS = 16
+
+
 def _laid_out(tiles: DataFrame) -> DataFrame:
     """Partition columns and order of the table.
 
-    A month of one dataset and zoom may hold most tiles, so rows are spread by tile column too, and
-    each task writes few folders.
+    Tiles are gathered by month and neighbourhood, so files cover small areas and a scan of an area
+    skips the others. The rebalance hint lets Spark split a neighbourhood that is too large for one task.
     """
-    return (tiles.withColumn("ym", int_div(F.col("hcol"), MONTH))
-            .repartition(*PARTITIONS, F.pmod(F.xxhash64("y", "x"), F.lit(64)))
-            .sortWithinPartitions(*PARTITIONS, "y", "x", "hcol"))
+    n = NEIGHBOURS
+    placed = tiles.withColumn("ym", int_div(F.col("hcol"), MONTH)).withColumn("_ny", int_div(F.col("y"), n)).withColumn(
+        "_nx", int_div(F.col("x"), n))
+    return placed.hint("rebalance", *PARTITIONS, "_ny", "_nx").drop("_ny", "_nx").sortWithinPartitions(
+        *PARTITIONS, "y", "x", "hcol")
 
 
 def write_tiles(tiles: DataFrame, path: str) -> None:
@@ -38,11 +46,16 @@ def upsert_tiles(tiles: DataFrame, path: str, keys: Sequence[str] = CELL) -> Non
     Only the partitions the new cells fall into are read and rewritten.
     """
     spark = tiles.sparkSession
+    # written once: the new cells are needed three times and may come from a costly function
+    staged = shared_folder(spark, "staged")
+    tiles.write.parquet(staged)
+    tiles = spark.read.parquet(staged)
     new = tiles.withColumn("ym", int_div(F.col("hcol"), MONTH))
     touched = new.select(*PARTITIONS).distinct()
-    old = spark.read.parquet(path).join(touched, list(PARTITIONS), "left_semi")
-    kept = old.join(new.select(*keys).distinct(), list(keys), "left_anti")
-    write_tiles(kept.drop("ym").unionByName(tiles.select([c for c in kept.columns if c != "ym"])), path)
+    cells = new.select(*keys).distinct()
+    old = spark.read.parquet(path).join(hinted(touched, fits_broadcast(touched)), list(PARTITIONS), "left_semi")
+    kept = old.join(hinted(cells, fits_broadcast(cells)), list(keys), "left_anti").drop("ym")
+    write_tiles(kept.unionByName(tiles.select(kept.columns)), path)
 
 
 def write_bucketed(tiles: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
