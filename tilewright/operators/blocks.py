@@ -239,29 +239,53 @@ def clip_blocks(blocks: DataFrame, run_segments: DataFrame, fill: float, width:
 # ---- composite -----------------------------------------------------------------------------------
 
 class _Partial:
-    """Running composite of one tile: 64-bit values and the number of valid dates of each pixel."""
+    """Running composite of one tile: value and number of valid dates of each pixel.
 
-    __slots__ = ("value", "count")
+    ``pack`` writes it no wider than needed: the pixel type and one bit a pixel where that says all
+    (min, max, or a single date), else sums and counts wide enough for the number of dates.
+    """
+
+    __slots__ = ("method", "data_type", "value", "count", "dates")
     START = {"min": np.inf, "max": -np.inf, "ave": 0.0, "sum": 0.0}
     JOIN = {"min": np.minimum, "max": np.maximum, "ave": np.add, "sum": np.add}
 
-    def __init__(self, method: str, size: int):
+    def __init__(self, method: str, data_type: int, size: int):
+        self.method, self.data_type, self.dates = method, data_type, 0
         self.value = np.full(size, self.START[method])
         self.count = np.zeros(size, "i4")
 
-    def add_block(self, method, block, low, high, fill):
+    def add(self, value, count, dates):
+        self.JOIN[self.method](self.value, value, out=self.value, where=count > 0)
+        self.count += count
+        self.dates += dates
+
+    def add_block(self, block, low, high, fill):
         v = block.reshape(-1).astype("f8")
-        ok = (v != fill) & (v >= low) & (v <= high)
-        self.JOIN[method](self.value, v, out=self.value, where=ok)
-        self.count += ok
+        self.add(v, (v != fill) & (v >= low) & (v <= high), 1)
 
-    def add_partial(self, method, value, count):
-        self.JOIN[method](self.value, value, out=self.value)
-        self.count += count
+    def _layout(self, dates):
+        """Types of packed values and counts; None for one bit a pixel."""
+        if self.method in ("min", "max") or dates == 1:
+            return PIXEL_TYPES[self.data_type][0], None
+        exact_in_32_bits = self.data_type in (1, 2, 3) and dates < 32768
+        return "<i4" if exact_in_32_bits else "<f8", "<u1" if dates < 256 else "<u2" if dates < 65536 else "<u4"
+
+    def pack(self) -> tuple[bytes, bytes]:
+        kind, count_kind = self._layout(self.dates)
+        some = self.count > 0
+        value = np.where(some, self.value, 0).astype(kind).tobytes()
+        return value, (np.packbits(some) if count_kind is None else self.count.astype(count_kind)).tobytes()
 
-    def finish(self, method, fill, data_type):
-        v = self.value / np.maximum(self.count, 1) if method == "ave" else self.value
-        return np.where(self.count > 0, v, fill).astype(PIXEL_TYPES[data_type][0]).tobytes()
+    def add_packed(self, value, count, dates):
+        kind, count_kind = self._layout(dates)
+        v = np.frombuffer(value, kind).astype("f8")
+        c = np.frombuffer(count, "u1" if count_kind is None else count_kind)
+        self.add(v, np.unpackbits(c, count=v.size) if count_kind is None else c.astype("i4"), dates)
+
+    def finish(self, fill) -> bytes:
+        v = self.value / np.maximum(self.count, 1) if self.method == "ave" else self.value
+        kind = self.data_type if self.method in ("min", "max") else FLOAT_TYPE
+        return np.where(self.count > 0, v, fill).astype(PIXEL_TYPES[kind][0]).tobytes()
 
 
 def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fill: float,
@@ -269,24 +293,25 @@ def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fi
     """Composite of blocks over dates per ``keys`` (which include the tile address).
 
     Tasks first combine the dates of a tile they hold. Partials are then combined in two steps, the
-    first spread over ``spread`` reducers per tile, each reading its group as a stream: a tile with
-    a large part of all dates is neither sent to nor held by one task.
+    first spread over ``spread`` reducers per tile. Reducers read their partition sorted by tile and
+    hold one tile at a time, so a tile with a large part of all dates is neither sent to nor held by
+    one task.
     """
     check_method(method)
-    keys = list(keys)
     ident = [*keys, *SHAPE]
     work = blocks.select(*ident, "data")
-    part_schema = _schema([work.schema[n] for n in ident], "salt int, value binary, count binary")
-    part_names = part_schema.fieldNames()
-
-    def batch_of(held, salt):
-        ids = list(held)
-        columns = [pa.array([k[i] for k in ids]) for i in range(len(ident))]
-        columns += [pa.array([salt] * len(ids), pa.int32()),
-                    pa.array([p.value.tobytes() for p in held.values()], pa.binary()),
-                    pa.array([p.count.tobytes() for p in held.values()], pa.binary())]
-        out = pa.RecordBatch.from_arrays(columns, part_names)
-        return out.cast(_arrow(part_schema))
+    fields = [work.schema[n] for n in ident]
+    part_schema = _schema(fields, "salt int, dates int, value binary, count binary")
+    out_schema = _schema(fields, "data binary")
+
+    def batch_of(schema, rows):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], schema.fieldNames()).cast(_arrow(schema))
+
+    def packed(held, salt):
+        return batch_of(part_schema, [(*key, salt, part.dates, *part.pack()) for key, part in held.items()])
+
+    def start(key, size):
+        return _Partial(method, key[-1], size)
 
     def combine(batches):
         context = TaskContext.get()
@@ -295,44 +320,55 @@ def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fi
         for batch in batches:
             ids = zip(*(batch.column(n).to_pylist() for n in ident))
             for key, block in zip(ids, _block_arrays(batch)):
-                part = held.get(key)
-                if part is None:
-                    part = held[key] = _Partial(method, block.size)
+                if key not in held:
+                    held[key] = start(key, block.size)
                     used += 12 * block.size
-                part.add_block(method, block, low, high, fill)
+                held[key].add_block(block, low, high, fill)
                 if used >= HELD_BYTES:
-                    yield batch_of(held, salt)
+                    yield packed(held, salt)
                     held, used = {}, 0
         if held:
-            yield batch_of(held, salt)
+            yield packed(held, salt)
 
-    def fold(batches):
-        total, head = None, None
+    def each_tile(batches):
+        """(key, partial) of every tile of a partition sorted by tile."""
+        current, part = None, None
         for batch in batches:
-            head = head or {n: batch.column(n)[0].as_py() for n in part_names[:-2]}
-            for value, count in zip(batch.column("value"), batch.column("count")):
-                v, c = np.frombuffer(value.as_buffer()), np.frombuffer(count.as_buffer(), "i4")
-                total = total or _Partial(method, v.size)
-                total.add_partial(method, v, c)
-        return head, total
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, total = fold(batches)
-        yield batch_of({tuple(head[n] for n in ident): total}, head["salt"])
-
-    out_schema = _schema([work.schema[n] for n in ident], "data binary")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, total = fold(batches)
-        if method in ("ave", "sum"):
-            head["data_type"] = FLOAT_TYPE
-        row = [pa.array([head[n]]) for n in ident] + [pa.array([total.finish(method, fill, head["data_type"])], pa.binary())]
-        yield pa.RecordBatch.from_arrays(row, out_schema.fieldNames()).cast(_arrow(out_schema))
+            ids = zip(*(batch.column(n).to_pylist() for n in ident))
+            dates, values, counts = batch.column("dates").to_pylist(), batch.column("value"), batch.column("count")
+            for i, key in enumerate(ids):
+                if key != current:
+                    if part is not None:
+                        yield current, part
+                    w, h, nb, _ = key[-4:]
+                    current, part = key, start(key, w * h * nb)
+                part.add_packed(values[i].as_buffer(), counts[i].as_buffer(), dates[i])
+        if part is not None:
+            yield current, part
+
+    def in_batches(schema, row_of):
+        def run(batches):
+            rows, pixels = [], 0
+            for key, part in each_tile(batches):
+                rows.append(row_of(key, part))
+                pixels += part.value.size
+                if pixels >= BATCH_PIXELS:
+                    yield batch_of(schema, rows)
+                    rows, pixels = [], 0
+            if rows:
+                yield batch_of(schema, rows)
+
+        return run
+
+    def finished(key, part):
+        kind = key[-1] if method in ("min", "max") else FLOAT_TYPE
+        return (*key[:-1], kind, part.finish(fill))
 
+    gather = in_batches(part_schema, lambda key, part: (*key, 0, part.dates, *part.pack()))
     parts = work.mapInArrow(combine, part_schema)
     if spread > 1:
-        parts = parts.groupBy(*ident, "salt").applyInArrow(gather, part_schema)
-    return parts.groupBy(*ident).applyInArrow(finish, out_schema)
+        parts = parts.repartition(*ident, "salt").sortWithinPartitions(*ident).mapInArrow(gather, part_schema)
+    return parts.repartition(*ident).sortWithinPartitions(*ident).mapInArrow(in_batches(out_schema, finished), out_schema)
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
