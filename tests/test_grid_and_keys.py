@@ -27,7 +27,8 @@ def test_three_rules_at_the_far_corner(spark):
 def test_strict_is_null_off_the_globe_or_zoom(spark):
     cases = [(180.1, 0.0, 3), (0.0, -90.1, 3), (0.0, 0.0, 22), (0.0, 0.0, -1), (1e300, 0.0, 3)]
     df = spark.createDataFrame(cases, "lon double, lat double, z int")
-    assert [r.t for r in df.select(G.tile_of_point_strict(F.col("lon"), F.col("lat"), F.col("z")).alias("t")).collect()] == [None] * 5
+    rows = df.select(G.tile_of_point_strict(F.col("lon"), F.col("lat"), F.col("z")).alias("t")).collect()
+    assert [tuple(r.t) for r in rows] == [(None,) * 6] * 5
 
 
 def test_level_zero_reaches_below_the_globe(spark):

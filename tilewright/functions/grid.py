@@ -19,12 +19,12 @@ def _col(v) -> Column:
 
 
 def tile_columns(z) -> Column:
-    """Number of tile columns at a zoom."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), _col(z).cast("int"))
+    """Number of tile columns at a zoom, as a double: exact, and no zoom overflows it."""
+    return F.pow(F.lit(2.0), _col(z))
 
 
 def tile_rows(z) -> Column:
-    return F.greatest(F.lit(1).cast("long"), F.call_function("div", tile_columns(z), F.lit(2).cast("long")))
+    return F.greatest(F.lit(1.0), tile_columns(z) / 2)
 
 
 def resolution(z, tile_size: int = TILE_SIZE) -> Column:
@@ -40,35 +40,34 @@ def tile_bounds(z, y, x, tile_size: int = TILE_SIZE) -> Column:
     return F.struct(left.alias("left"), (left + size).alias("right"), top.alias("top"), (top - size).alias("bottom"))
 
 
-def _on_globe(lon: Column, lat: Column, z) -> Column:
-    return lon.between(-180.0, 180.0) & lat.between(-90.0, 90.0) & _col(z).between(0, MAX_ZOOM)
-
-
 def tile_of_point_strict(lon: Column, lat: Column, z, tile_size: int = TILE_SIZE) -> Column:
-    """Tile of a point, or null off the globe or off the zoom range."""
-    # a zoom outside the range must not reach the shift below
-    zoom = F.when(_col(z).between(0, MAX_ZOOM), _col(z))
-    reso = resolution(zoom, tile_size)
+    """Tile of a point and its bounds; all fields are null off the globe or off the zoom range.
+
+    Only x and y are conditional and the struct itself is not, so that Spark computes each once
+    and the generated code stays small enough to be compiled.
+    """
+    ok = lon.between(-180.0, 180.0) & lat.between(-90.0, 90.0) & _col(z).between(0, MAX_ZOOM)
+    reso = resolution(z, tile_size)
 
     def tile(distance, count):
-        index = F.call_function("div", (distance / reso).cast("long"), F.lit(tile_size).cast("long"))
-        return F.least(index, count - 1).cast("int")
+        return F.when(ok, F.least(F.floor(F.floor(distance / reso) / tile_size), count - 1).cast("int"))
 
-    # the guards keep casts away from far-off points under ANSI mode
-    ok = _on_globe(lon, lat, z)
-    x = tile(F.when(ok, lon + 180.0), tile_columns(zoom))
-    y = tile(F.when(ok, F.lit(90.0) - lat), tile_rows(zoom))
-    b = tile_bounds(zoom, y, x, tile_size)
-    return F.when(ok, F.struct(x.alias("x"), y.alias("y"), *[b[n].alias(n) for n in ("left", "right", "top", "bottom")]))
+    x, y = tile(lon + 180.0, tile_columns(z)), tile(F.lit(90.0) - lat, tile_rows(z))
+    size = reso * tile_size
+    left, top = x * size - 180.0, F.lit(90.0) - y * size
+    return F.struct(x.alias("x"), y.alias("y"), left.alias("left"), (left + size).alias("right"), top.alias("top"),
+                    (top - size).alias("bottom"))
 
 
 def tile_of_point_clamped(lon: Column, lat: Column, z, tile_size: int = TILE_SIZE) -> Column:
     """Tile of a point; points outside the globe go to the nearest edge tile."""
     nx, ny = tile_columns(z), tile_rows(z)
     reso = F.lit(360.0) / nx / tile_size
-    x = F.greatest(F.lit(0).cast("long"), F.least(nx - 1, ((lon + 180.0) / reso / tile_size).cast("long")))
-    y = F.greatest(F.lit(0).cast("long"), F.least(ny - 1, ((F.lit(90.0) - lat) / reso / tile_size).cast("long")))
-    return F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"))
+
+    def tile(distance, count):
+        return F.greatest(F.lit(0.0), F.least(count - 1, F.floor(distance / reso / tile_size))).cast("int")
+
+    return F.struct(tile(lon + 180.0, nx).alias("x"), tile(F.lit(90.0) - lat, ny).alias("y"))
 
 
 def pixel_of_point(lon: Column, lat: Column, z, width: int = TILE_SIZE, height: int = TILE_SIZE) -> Column:
@@ -90,7 +89,7 @@ def tile_range(left: Column, right: Column, top: Column, bottom: Column, z, tile
     a = tile_of_point_strict(left, top, z, tile_size)
     b = tile_of_point_strict(right, bottom, z, tile_size)
     return F.when(
-        a.isNotNull() & b.isNotNull(),
+        a["x"].isNotNull() & b["x"].isNotNull(),
         F.struct(
             a["x"].alias("xmin"), b["x"].alias("xmax"), a["y"].alias("ymin"), b["y"].alias("ymax"),
             a["left"].alias("left"), b["right"].alias("right"), a["top"].alias("top"), b["bottom"].alias("bottom"),
