@@ -161,7 +161,7 @@ _EXT = """SELECT id, grp, try_cast(split_part(ext, ',', 1) AS double) AS l, try_
 
 
 def _extents(fx):
-    parsed = fx.extent.withColumn("e", G.parse_extent(F.col("ext"))).where("e is not null")
+    parsed = fx.extent.withColumn("e", G.parse_extent(F.col("ext"))).where("e.left is not null")
     return parsed.select("id", "grp", "e.left", "e.right", "e.top", "e.bottom")
 
 
@@ -191,7 +191,7 @@ WHERE l BETWEEN -180 AND 180 AND r BETWEEN -180 AND 180 AND t BETWEEN -90 AND 90
 def _(fx):
     at = _extents(fx).withColumn("z", F.explode(F.array(*[F.lit(z) for z in (0, 3, 9, 15)])))
     r = G.tile_range(*[F.col(c) for c in ("left", "right", "top", "bottom")], F.col("z"))
-    return at.withColumn("t", r).where("t is not null").select("id", "z", "t.xmin", "t.xmax", "t.ymin", "t.ymax")
+    return at.withColumn("t", r).where("t.xmin is not null").select("id", "z", "t.xmin", "t.xmax", "t.ymin", "t.ymax")
 
 
 @query("tile_range_of_region", f"""SELECT r.roi_id, r.z, xmin, xmax, ymin, ymax, count(t.hcol) AS tiles FROM (SELECT roi_id, 4 AS z, {_tile_sql('4', 8)} FROM (SELECT roi_id, {_GROWN} FROM

@@ -45,7 +45,8 @@ def test_clamped_outside(spark):
 @pytest.mark.parametrize("text,ok", [("1,2,3,4", True), ("1,2,3,4,,", True), ("1,2,3", False), ("", False), ("1,2,x,4", False),
                                      (",1,2,3", False)])
 def test_extent_text(spark, text, ok):
-    assert (one(spark, e=G.parse_extent(F.lit(text))) is not None) == ok
+    got = tuple(one(spark, e=G.parse_extent(F.lit(text))))
+    assert got == ((1.0, 2.0, 3.0, 4.0) if ok else (None,) * 4)
 
 
 def test_inverted_extent_has_no_tiles(spark):

@@ -105,21 +105,21 @@ def date_label(dt: Column, raw: Column, time_type: Column, language: str = "zh")
     months 3, 6, 9 and 12 only; everything else shows the digits of ``raw``.
     """
     words = LABELS[language]
-
-    def padded(part, width):
-        # lpad alone would cut a longer number
-        text = date_part(dt, part).cast("string")
-        return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
-
-    year = F.concat(padded("year", 4), F.lit(words["year"]))
-    month = F.concat(year, padded("month", 2), F.lit(words["month"]))
-    day = F.concat(month, padded("day", 2), F.lit(words["day"]))
-    hour = F.concat(day, F.lit(" "), padded("hour", 2))
-    minute = F.concat(hour, F.lit(":"), padded("minute", 2))
-    second = F.concat(minute, F.lit(":"), padded("second", 2))
+    # the fourteen digits hold every part in place
+    digits = F.lpad(dt.cast("string"), 14, "0")
+
+    def part(start, length):
+        return F.substring(digits, start, length)
+
+    year = F.concat(part(1, 4), F.lit(words["year"]))
+    month = F.concat(year, part(5, 2), F.lit(words["month"]))
+    day = F.concat(month, part(7, 2), F.lit(words["day"]))
+    hour = F.concat(day, F.lit(" "), part(9, 2))
+    minute = F.concat(hour, F.lit(":"), part(11, 2))
+    second = F.concat(minute, F.lit(":"), part(13, 2))
     season = F.lit(None).cast("string")
     for m, word in words["seasons"].items():
-        season = F.when(date_part(dt, "month") == m, F.concat(padded("year", 4), F.lit(word))).otherwise(season)
+        season = F.when(part(5, 2) == f"{m:02d}", F.concat(part(1, 4), F.lit(word))).otherwise(season)
     by_scale = (
         F.when(time_type == 1, second)
         .when(time_type == 2, minute)

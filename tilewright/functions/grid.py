@@ -40,6 +40,11 @@ def tile_bounds(z, y, x, tile_size: int = TILE_SIZE) -> Column:
     return F.struct(left.alias("left"), (left + size).alias("right"), top.alias("top"), (top - size).alias("bottom"))
 
 
+def _tile_index(distance: Column, reso: Column, count: Column, tile_size: int) -> Column:
+    """Tile at a distance in degrees from the origin; the far edge belongs to the last tile."""
+    return F.least(F.floor(F.floor(distance / reso) / tile_size), count - 1).cast("int")
+
+
 def tile_of_point_strict(lon: Column, lat: Column, z, tile_size: int = TILE_SIZE) -> Column:
     """Tile of a point and its bounds; all fields are null off the globe or off the zoom range.
 
@@ -48,11 +53,8 @@ def tile_of_point_strict(lon: Column, lat: Column, z, tile_size: int = TILE_SIZE
     """
     ok = lon.between(-180.0, 180.0) & lat.between(-90.0, 90.0) & _col(z).between(0, MAX_ZOOM)
     reso = resolution(z, tile_size)
-
-    def tile(distance, count):
-        return F.when(ok, F.least(F.floor(F.floor(distance / reso) / tile_size), count - 1).cast("int"))
-
-    x, y = tile(lon + 180.0, tile_columns(z)), tile(F.lit(90.0) - lat, tile_rows(z))
+    x = F.when(ok, _tile_index(lon + 180.0, reso, tile_columns(z), tile_size))
+    y = F.when(ok, _tile_index(F.lit(90.0) - lat, reso, tile_rows(z), tile_size))
     size = reso * tile_size
     left, top = x * size - 180.0, F.lit(90.0) - y * size
     return F.struct(x.alias("x"), y.alias("y"), left.alias("left"), (left + size).alias("right"), top.alias("top"),
@@ -85,27 +87,31 @@ def pixel_of_point(lon: Column, lat: Column, z, width: int = TILE_SIZE, height:
 
 
 def tile_range(left: Column, right: Column, top: Column, bottom: Column, z, tile_size: int = TILE_SIZE) -> Column:
-    """Inclusive tile range of an extent at one zoom, with its bounds; null when a corner is off the globe."""
-    a = tile_of_point_strict(left, top, z, tile_size)
-    b = tile_of_point_strict(right, bottom, z, tile_size)
-    return F.when(
-        a["x"].isNotNull() & b["x"].isNotNull(),
-        F.struct(
-            a["x"].alias("xmin"), b["x"].alias("xmax"), a["y"].alias("ymin"), b["y"].alias("ymax"),
-            a["left"].alias("left"), b["right"].alias("right"), a["top"].alias("top"), b["bottom"].alias("bottom"),
-        ),
-    )
+    """Inclusive tile range of an extent at one zoom, with its bounds.
+
+    All fields are null when a corner is off the globe or the zoom off its range.
+    """
+    ok = _col(z).between(0, MAX_ZOOM)
+    for lon in (left, right):
+        ok = ok & lon.between(-180.0, 180.0)
+    for lat in (top, bottom):
+        ok = ok & lat.between(-90.0, 90.0)
+    reso = resolution(z, tile_size)
+    size = reso * tile_size
+    xmin, xmax = (F.when(ok, _tile_index(v + 180.0, reso, tile_columns(z), tile_size)) for v in (left, right))
+    ymin, ymax = (F.when(ok, _tile_index(F.lit(90.0) - v, reso, tile_rows(z), tile_size)) for v in (top, bottom))
+    return F.struct(
+        xmin.alias("xmin"), xmax.alias("xmax"), ymin.alias("ymin"), ymax.alias("ymax"),
+        (xmin * size - 180.0).alias("left"), (xmax * size - 180.0 + size).alias("right"),
+        (F.lit(90.0) - ymin * size).alias("top"), (F.lit(90.0) - ymax * size - size).alias("bottom"))
 
 
 def parse_extent(text: Column) -> Column:
-    """``"left,right,top,bottom"`` to a struct of doubles, null unless there are four numbers."""
-    parts = F.split(F.regexp_replace(text, ",+$", ""), ",")
-    # get() rather than [] : ANSI indexing past the end would fail the job
-    values = [F.get(parts, i).try_cast("double") for i in range(4)]
-    complete = F.size(parts) == 4
-    for v in values:
-        complete = complete & v.isNotNull()
-    return F.when(complete, F.struct(*[v.alias(n) for v, n in zip(values, ("left", "right", "top", "bottom"))]))
+    """``"left,right,top,bottom"`` to a struct of doubles; all fields are null unless there are four numbers."""
+    numbers = F.transform(F.split(F.regexp_replace(text, ",+$", ""), ","), lambda p: p.try_cast("double"))
+    complete = (F.size(numbers) == 4) & F.forall(numbers, lambda n: n.isNotNull())
+    kept = F.when(complete, numbers)
+    return F.struct(*[F.get(kept, F.lit(i)).alias(n) for i, n in enumerate(("left", "right", "top", "bottom"))])
 
 
 # Half of a level-0 pixel in degrees (fixed value).

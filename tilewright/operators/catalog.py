@@ -185,13 +185,12 @@ def newest(table: DataFrame, time: str, ident: str, limit: int, **equal) -> Data
 
 def preload_lists(users: DataFrame, preloads: DataFrame) -> DataFrame:
     """Newest preload list of each user, else the newest of user 0. ``users`` has uid."""
-    own = preloads.groupBy("uid").agg(F.max("premapid").alias("own_id"), F.max_by("preloadlist", "premapid").alias("own_list"))
-    default = preloads.where(F.col("uid") == 0).agg(
-        F.max("premapid").alias("def_id"), F.max_by("preloadlist", "premapid").alias("def_list"))
+    own = preloads.groupBy("uid").agg(F.max("premapid").alias("own_id"))
+    default = preloads.where(F.col("uid") == 0).agg(F.max("premapid").alias("def_id"))
     # the default is exactly one row, so this cross join is a broadcast of a constant
-    return users.join(own, "uid", "left").crossJoin(F.broadcast(default)).select(
-        "uid", F.coalesce("own_id", "def_id").alias("premapid"),
-        F.when(F.col("own_id").isNotNull(), F.col("own_list")).otherwise(F.col("def_list")).alias("preloadlist"))
+    chosen = users.join(own, "uid", "left").crossJoin(F.broadcast(default)).select(
+        "uid", F.coalesce("own_id", "def_id").alias("premapid"))
+    return chosen.join(preloads.select("premapid", "preloadlist"), "premapid", "left")
 
 
 def scripts_as_products(scripts: DataFrame) -> DataFrame:

@@ -24,11 +24,11 @@ def nearest_keys(keys: DataFrame, items: DataFrame, by: Sequence[str] = ("pid",)
     """
     by = list(by)
     extra = [c for c in keys.columns if c not in by + [dt]]
-    found = F.struct("fid", F.col("dt0").alias("dt0"), "dt1")
-    one_per_date = items.groupBy(*by, "dt0").agg(F.min(F.struct("fid", "dt1")).alias("m"))
-    marks = one_per_date.select(*by, "dt0", F.col("m.fid").alias("fid"), F.col("m.dt1").alias("dt1"))
-    marks = marks.select(*by, F.col("dt0").alias("_at"), F.lit(0).alias("_tag"), found.alias("_item"),
-                         *[F.lit(None).cast(keys.schema[c].dataType).alias(c) for c in extra])
+    # primitive aggregates throughout: a minimum over structs would sort instead of hash
+    one_per_date = items.groupBy(*by, "dt0").agg(F.min("fid").alias("fid"), F.min_by("dt1", "fid").alias("dt1"))
+    marks = one_per_date.select(*by, F.col("dt0").alias("_at"), F.lit(0).alias("_tag"),
+                                F.struct("fid", "dt0", "dt1").alias("_item"),
+                                *[F.lit(None).cast(keys.schema[c].dataType).alias(c) for c in extra])
     probes = keys.select(*by, F.col(dt).cast("long").alias("_at"), F.lit(1).alias("_tag"),
                          F.lit(None).cast(marks.schema["_item"].dataType).alias("_item"), *extra)
     events = marks.unionByName(probes).withColumn("_slice", int_div(F.col("_at"), slice_unit))
@@ -42,12 +42,14 @@ def nearest_keys(keys: DataFrame, items: DataFrame, by: Sequence[str] = ("pid",)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = events.withColumn("_near", F.last("_item", ignorenulls=True).over(in_slice)).where("_tag = 1")
 
-    edge = (F.min_by if after else F.max_by)(F.when(F.col("_tag") == 0, F.col("_item")),
-                                             F.when(F.col("_tag") == 0, F.col("_at")))
+    pick, extreme = (F.min_by, F.min) if after else (F.max_by, F.max)
+    at = F.when(F.col("_tag") == 0, F.col("_at"))
+    edge = [pick(F.col("_item.fid"), at).alias("fid"), extreme(at).alias("dt0"), pick(F.col("_item.dt1"), at).alias("dt1")]
     earlier = (Window.partitionBy(*by).orderBy(direction("_slice"))
                .rowsBetween(Window.unboundedPreceding, -1))
     carry = (
-        events.groupBy(*by, "_slice").agg(edge.alias("_edge"))
+        events.groupBy(*by, "_slice").agg(*edge)
+        .withColumn("_edge", F.when(F.col("dt0").isNotNull(), F.struct("fid", "dt0", "dt1")))
         .withColumn("_carry", F.last("_edge", ignorenulls=True).over(earlier))
         .select(*by, "_slice", "_carry")
     )

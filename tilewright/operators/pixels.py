@@ -91,7 +91,7 @@ def covering_tiles(extents: DataFrame, tile_range_of, zooms: Sequence[int]) -> D
     ranged = extents.withColumn("z", zs).withColumn(
         "_r", tile_range_of(F.col("left"), F.col("right"), F.col("top"), F.col("bottom"), F.col("z")))
     # an inverted or off-globe extent has no tiles
-    ok = F.col("_r").isNotNull() & (F.col("_r.ymin") <= F.col("_r.ymax")) & (F.col("_r.xmin") <= F.col("_r.xmax"))
+    ok = (F.col("_r.ymin") <= F.col("_r.ymax")) & (F.col("_r.xmin") <= F.col("_r.xmax"))
     return (
         ranged.where(ok)
         .withColumn("y", F.explode(F.sequence(F.col("_r.ymin"), F.col("_r.ymax"))))

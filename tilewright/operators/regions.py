@@ -37,8 +37,9 @@ def runs(segments: DataFrame, by: Sequence[str], at_least: int = 1) -> DataFrame
     by = list(by)
     ends = F.explode(F.array(F.struct(F.col("x0").cast("long").alias("at"), F.lit(1).alias("step")),
                              F.struct((F.col("x1").cast("long") + 1).alias("at"), F.lit(-1).alias("step"))))
-    steps = (segments.select(*by, ends.alias("e")).groupBy(*by, F.col("e.at").alias("at"))
-             .agg(F.sum("e.step").alias("step")).where("step <> 0"))
+    # one shuffle serves both the sums and the windows
+    steps = (segments.select(*by, ends.alias("e")).select(*by, "e.at", "e.step").repartition(*by)
+             .groupBy(*by, "at").agg(F.sum("step").alias("step")).where("step <> 0"))
     order = Window.partitionBy(*by).orderBy("at")
     depth = steps.withColumn("depth", F.sum("step").over(order))
     # keep the places where coverage starts or ends; each start's run reaches to the next end

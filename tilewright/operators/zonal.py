@@ -48,13 +48,15 @@ def merge_stats(stats: DataFrame, keys: Sequence[str] = (), merge: str = "refere
     if merge not in ("reference", "all"):
         raise ValueError(f"unknown merge mode {merge!r}")
     some = F.col("valid_cnt") > 0
-    # One long orders tiles by (y, x): min_by on it stays a hash aggregate, on a struct it would sort.
-    place = F.col("y").cast("long") * (1 << 22) + F.col("x")
+    # One number orders tiles by (y, x): min_by on it stays a hash aggregate, on a struct it would sort.
+    order = F.col("y").cast("long") * (1 << 22) + F.col("x")
+    if then_by is not None:
+        order = order.cast("decimal(18,0)") * F.lit(10**14).cast("decimal(15,0)") + F.col(then_by).cast("decimal(15,0)")
 
     def total(name: str) -> Column:
         if merge == "all":
             return F.sum(name)
-        empty = F.when(~some, place if then_by is None else F.struct(place, then_by))
+        empty = F.when(~some, order)
         return F.coalesce(F.sum(F.when(some, F.col(name))), F.min_by(F.col(name), empty))
 
     grouped = stats.groupBy(*keys, "roi_id", "band").agg(

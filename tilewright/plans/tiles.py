@@ -23,7 +23,7 @@ def zoom_windows(spark: SparkSession, extent: tuple[float, float, float, float],
     left, right, top, bottom = (F.lit(float(v)) for v in extent)
     zooms = spark.range(min_zoom, max_zoom + 1).select(F.col("id").cast("int").alias("z"))
     ranges = zooms.withColumn("r", tile_range(left, right, top, bottom, F.col("z"), tile_size))
-    return ranges.where("r is not null").select("z", "r.xmin", "r.xmax", "r.ymin", "r.ymax").collect()
+    return ranges.where("r.xmin is not null").select("z", "r.xmin", "r.xmax", "r.ymin", "r.ymax").collect()
 
 
 def in_windows(tiles: DataFrame, windows: list) -> DataFrame:
