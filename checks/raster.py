@@ -12,7 +12,7 @@ from tilewright.operators import blocks as B, collections as C, pixels as P, reg
 from tilewright.operators.composite import composite
 from tilewright.operators.pixels import explode_pixels, good_tiles
 from tilewright.operators.regions import Regions
-from tilewright.plans import statistics as S, tiles as T
+from tilewright.plans import datasets as DS, statistics as S, tiles as T
 from tilewright.session import shared_folder
 from tilewright.sinks.reports import bands_side_by_side, result_json
 from tilewright.sinks.tiles import upsert_tiles, write_tiles
@@ -434,13 +434,14 @@ def _(fx):
     blocks = as_blocks(fx)
     path = shared_folder(fx.spark, "tiles")
     write_tiles(blocks, path)
-    add_one = T.compute_tiles(blocks.where((F.col("hcol") == D0) & (F.col("y") < 4)), plus_one, "mod/vi", 1, D0, 21)
+    add_one = T.compute_tiles(blocks.where(F.col("y") < 4), plus_one, [("mod/vi", D0)], "mod/vi", 1, D0, 21)
     upsert_tiles(add_one.select(*blocks.columns), path)
     back = read_tiles(fx.spark, path, "mod/vi", 4).select("hcol", *KEYS, "width", "height", "nbands", "data_type", "data")
     return explode_pixels(B.decode_blocks(back)).select(*_PIXEL)
 
 
-def plus_one(address, pixels):
+def plus_one(address, tiles):
+    (pixels,) = tiles.values()
     return (pixels + (pixels != FILL)).astype("<i2")
 
 
@@ -501,24 +502,40 @@ def _(fx):
     return explode_pixels(diff).select(*KEYS, "band", "pos", "dn")
 
 
-def double_or_fail(address, pixels):
+@query("compute_tiles_difference_blocks", f"""SELECT z, y, x, band, pos, dn FROM ({_DIFF}) d""")
+def _(fx):
+    days = [("mod/vi", D0), ("mod/vi", D0 + 100000000)]
+    done = T.compute_tiles(as_blocks(fx), later_minus_earlier, days, "diff", 2, 1, 4)
+    # tiles present on one of the dates only have no difference
+    return explode_pixels(B.decode_blocks(good_tiles(done))).select(*KEYS, "band", "pos", "dn")
+
+
+def later_minus_earlier(address, tiles):
+    import numpy as np
+
+    (_, a), (_, b) = sorted(tiles.items())
+    return np.where((a == FILL) | (b == FILL), FILL, b.astype("i4") - a).astype("<i4")
+
+
+def double_or_fail(address, tiles):
     """A user function that fails on some tiles."""
-    if (address["y"] + address["x"]) % 16 == 5:
-        raise ArithmeticError("no result")
     import numpy as np
 
+    if (address["y"] + address["x"]) % 16 == 5:
+        raise ArithmeticError("no result")
+    (pixels,) = tiles.values()
     return np.where(pixels == FILL, FILL, pixels.astype("i4") * 2).astype("<i4")
 
 
-@query("compute_tiles_with_failures", f"""SELECT hcol, z, y, x, band, CASE WHEN (y + x) % 16 = 5 THEN 1 ELSE 0 END AS status,
+@query("compute_tiles_with_failures", f"""SELECT z, y, x, band, CASE WHEN (y + x) % 16 = 5 THEN 1 ELSE 0 END AS status,
 CASE WHEN (y + x) % 16 = 5 THEN 'ArithmeticError: no result' END AS log,
 CASE WHEN (y + x) % 16 <> 5 THEN sum(CASE WHEN dn = {FILL} THEN {FILL} ELSE dn * 2 END)::bigint END AS total
-FROM fx_px WHERE status = 0 AND (band = 0 OR (y + x) % 16 <> 5) GROUP BY hcol, z, y, x, band""")
+FROM fx_px WHERE status = 0 AND hcol = {D0} AND (band = 0 OR (y + x) % 16 <> 5) GROUP BY z, y, x, band""")
 def _(fx):
-    out = B.map_tiles(as_blocks(fx), double_or_fail, ["hcol", *KEYS])
+    out = B.map_tiles(as_blocks(fx), double_or_fail, [("mod/vi", D0)])
     sums = B.decode_blocks(out.where("status = 0")).select(
-        "hcol", *KEYS, "band", "status", "log", F.aggregate("dn", F.lit(0).cast("long"), lambda a, v: a + v).alias("total"))
-    failed = out.where("status <> 0").select("hcol", *KEYS, F.lit(0).alias("band"), "status", "log", F.lit(None).cast("long").alias("total"))
+        *KEYS, "band", "status", "log", F.aggregate("dn", F.lit(0).cast("long"), lambda a, v: a + v).alias("total"))
+    failed = out.where("status <> 0").select(*KEYS, F.lit(0).alias("band"), "status", "log", F.lit(None).cast("long").alias("total"))
     return sums.unionByName(failed)
 
 
@@ -543,3 +560,32 @@ for _m in ("min", "max", "ave"):
 def _(fx):
     done = T.composite_order(as_blocks(fx), D0, D0 + 200000000, "ave", LOW, HIGH, FILL, 20190000000000)
     return explode_pixels(B.decode_blocks(done, "double")).select(*_PIXEL)
+
+
+# ---- datasets by name ----------------------------------------------------------------------------
+
+def _named(fx):
+    """The tiles under the name of product 1, whose two bands are the slices of its store block."""
+    products = fx.product.where("pid = 1")
+    return as_blocks(fx).withColumn("dsname", F.lit("ds/1")), products, fx.band.where("pid = 1")
+
+
+def _pixels(blocks):
+    return explode_pixels(B.decode_blocks(blocks)).select(*_PIXEL)
+
+
+@query("dataset_first_date", "SELECT hcol, z, y, x, band, pos, dn FROM fx_px WHERE status = 0 AND hcol = (SELECT min(hcol) FROM fx_px)")
+def _(fx):
+    return _pixels(DS.dataset(*_named(fx), fx.tile_item, "ds/1"))
+
+
+@query("dataset_between_capped", """SELECT hcol, z, y, x, 0 AS band, pos, dn FROM (SELECT *, dense_rank() OVER (PARTITION BY z, y, x ORDER BY hcol) AS k FROM fx_px
+WHERE status = 0 AND band = 1 AND hcol BETWEEN 20190200000000 AND 20201200000000 AND hcol // 1000000 % 100 = 0) t WHERE k <= 30""")
+def _(fx):
+    return _pixels(DS.between(*_named(fx), "ds/1", 20190200000000, 20201200000000, [1], day=0))
+
+
+@query("dataset_collection", f"SELECT hcol, z, y, x, band, pos, dn FROM fx_px WHERE status = 0 AND hcol BETWEEN {D0} AND {D0 + 100000000}")
+def _(fx):
+    dates = C.build_collections(fx.tile_item, CollectionSpec(Period(D0, D0 + 100000000)))
+    return _pixels(DS.collection(*_named(fx), "ds/1", dates))

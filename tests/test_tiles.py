@@ -152,6 +152,28 @@ def test_statistics_do_not_depend_on_partitions_or_broadcast(spark):
     assert len(got[0]) == 400 and all(g == got[0] for g in got)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_region_joins_stay_equi_joins(spark, small):
+    path = scratch("plan") + "/t"
+    B.decode_blocks(blocks_of(spark, {(1, 2, 0, 0): 1})).write.parquet(path)
+    segments_of(spark, SEG).write.parquet(path + "s")
+    spark.createDataFrame([("k", 1)], "key string, hcol long").write.parquet(path + "d")
+    regions = Regions(spark.read.parquet(path + "s"), 4, 4)
+    regions.small = small
+    stats = S.series_stats(spark.read.parquet(path), spark.read.parquet(path + "d"), regions, "max", LOW, HIGH, FILL)
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortAggregate" not in plan
+    assert "Python" not in plan and "InArrow" not in plan
+
+
+def test_capped_dates_bound_each_group(spark):
+    rows = [(g, d, i) for g in "ab" for d in range(1, 6) for i in range(2)] + [("c", 1, 0)]
+    df = spark.createDataFrame(rows, "g string, hcol long, n int")
+    got = sorted((r.g, r.hcol, r.n) for r in P.capped_dates(df, ["g"], 2, 99, cap=3).collect())
+    assert got == [(g, d, i) for g in "ab" for d in (2, 3, 4) for i in range(2)]
+    assert P.capped_dates(df, ["g"], 2, 99, cap=None).count() == 16
+
+
 def test_unknown_method():
     with pytest.raises(ValueError):
         check_method("median")
@@ -196,12 +218,12 @@ def test_every_element_type_keeps_its_extremes(spark, data_type, values):
 
 
 def test_user_function_failures_are_rows(spark):
-    def fn(address, px):
+    def fn(address, tiles):
         if address["x"] == 1:
             raise KeyError("missing")
-        return px[0].astype("<f4") / 2
+        return tiles[("a", 1)][0].astype("<f4") / 2
 
-    out = B.map_tiles(blocks_of(spark, {(1, 2, 0, 0): 5, (1, 2, 0, 1): 5}), fn, ["z", "y", "x"])
+    out = B.map_tiles(blocks_of(spark, {(1, 2, 0, 0): 5, (1, 2, 0, 1): 5, (2, 2, 0, 0): 9}), fn, [("a", 1)])
     good, bad = sorted(out.collect(), key=lambda r: r.x)
     assert (good.status, good.data_type, good.nbands) == (0, 6, 1) and np.frombuffer(good.data, "<f4")[0] == 2.5
     assert (bad.status, bad.data) == (1, None) and "missing" in bad.log
@@ -221,6 +243,17 @@ def test_stack_sees_dates_in_order_and_strips_join(spark, strips):
     assert len(got) == 2 and all((a == ramp * 8).all() for a in got.values())
 
 
+def test_several_inputs_meet_at_one_tile(spark):
+    blocks = blocks_of(spark, {(1, 2, 0, 0): 5, (2, 2, 0, 0): 7, (1, 2, 0, 1): 1}).unionByName(
+        blocks_of(spark, {(1, 2, 0, 0): 100}, dsname="b"))
+
+    def total(address, tiles):
+        return np.sum([px for px in tiles.values()], axis=0).astype("<i2")
+
+    got = arrays(B.map_tiles(blocks, total, [("a", 1), ("a", 2), ("b", 1), ("b", 9)]))
+    assert {k[2]: int(v[0, 0, 0]) for k, v in got.items()} == {0: 112, 1: 1}
+
+
 def test_stack_function_may_stop_early(spark):
     def first_only(address, dates):
         return next(dates)[1]
@@ -394,6 +427,35 @@ def test_tile_order_fields(spark):
         order.nothing
 
 
+def test_tile_order_end_to_end(spark, world):
+    blocks = world["blocks"]
+    info = '{"proj":"%s","minZoom":0,"maxZoom":%d,"dataType":3,"timeType":5,"hTableName":"t","tileWid":4,"tileHei":4,"styleid":%d}'
+    products = spark.createDataFrame(
+        [(1, "mod/x", 0, "hbase", info % ("EPSG:4326", 2, 0)), (2, "mod/y", 0, "hbase", info % ("EPSG:4326", 5, 7)),
+         (3, "mod/z", 0, "hbase", info % ("EPSG:3857", 5, 7)), (9, "out", 4, "hbase", "{}")],
+        "pid int, name string, userid int, source string, info string")
+    c = catalog_of(spark)
+    catalog = T.Catalog(products, c.bands, c.items)
+    both = blocks.unionByName(blocks.withColumn("dsname", F.lit("mod/y")))
+
+    def add(address, tiles):
+        return sum(tiles.values())
+
+    order = read_order(spark, order_file({"jsfile": "add", "roi": "sys:1;", "filldata": -9, "dt": 20200100000000, "mpid_hpid": 9,
+                                          "out_hcol": 20200101000000, "out_htable": "t2"}), TILE_FIELDS)
+    inputs = [("mod/x", 0), ("mod/y", 20200200000000)]
+    done = O.run_tiles(order, both, world["segments"], catalog, {"add": add}, inputs, scratch("tiles") + "/out")
+    # the region covers four tiles; growing its extent reaches the column to the right
+    assert (done.good, done.bad) == (6, 0)
+    info_row = done.catalog.products.where("pid = 9").first()
+    assert info_row.name == "out" and json.loads(info_row.info)["maxZoom"] == 2 and json.loads(info_row.info)["styleid"] == 7
+    for bad_inputs in ([("mod/x", 0), ("mod/z", 0)], [("nothing", 0)], []):
+        with pytest.raises(ValueError):
+            O.run_tiles(order, both, world["segments"], catalog, {"add": add}, bad_inputs, scratch("tiles") + "/out")
+    with pytest.raises(ValueError):
+        O.run_tiles(order, both, world["segments"], catalog, {}, inputs, scratch("tiles") + "/out")
+
+
 def catalog_of(spark):
     return T.Catalog(
         spark.createDataFrame([(5, "old", 0, "file", "{}")], "pid int, name string, userid int, source string, info string"),
@@ -405,7 +467,11 @@ def test_tile_job_registers_only_without_failures(spark):
     cells = {(20200100000000, z, y, x): z for z in range(3) for y in range(max(1, 2**z // 2)) for x in range(2**z)}
     blocks = blocks_of(spark, cells)
     args = dict(out_dsname="mine", out_hpid=9, out_hcol=1, max_zoom=2, extent=(-180.0, -10.0, 90.0, -90.0), width=4, height=4)
-    tiles = T.compute_tiles(blocks, lambda a, px: px * 2, **args)
+    def twice(address, tiles):
+        return tiles[("a", 20200100000000)] * 2
+
+    args = dict(inputs=[("a", 20200100000000)], **args)
+    tiles = T.compute_tiles(blocks, twice, **args)
     path = scratch("job") + "/out"
     job = dict(catalog=catalog_of(spark), dsname="mine", hcol=1, proj="EPSG:4326", max_zoom=2, table="out", styleid=0, userid=3,
                fill=-9, extent=(-180, -10, 90, -90))
@@ -416,13 +482,13 @@ def test_tile_job_registers_only_without_failures(spark):
     assert done.catalog.bands.where("pid = 9").count() == 1
     assert {np.frombuffer(r.data, "<i2")[0] for r in read_tiles(spark, path, "mine", 2).collect()} == {4}
 
-    def fails(address, px):
+    def fails(address, tiles):
         raise RuntimeError("no")
 
     failed = T.run_tile_job(T.compute_tiles(blocks, fails, **args), scratch("job") + "/out", **job)
     assert (failed.good, failed.bad) == (0, 6) and failed.catalog.products.count() == 1
     runs = T.region_runs(segments_of(spark, [("r", 2, 0, 0, 0)]), ["r"])
-    clipped = T.compute_tiles(blocks, lambda a, px: px * 2, run_segments=runs, fill=-9, **args)
+    clipped = T.compute_tiles(blocks, twice, run_segments=runs, fill=-9, **args)
     got = arrays(clipped.where("z = 2"))
     assert got[(2, 0, 0)][0, 0, 0] == 4 and got[(2, 0, 0)][0, 0, 1] == -9 and (got[(2, 1, 1)] == -9).all()
 

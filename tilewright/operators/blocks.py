@@ -44,11 +44,11 @@ def pixels_of(buffer, data_type: int, nbands: int, height: int, width: int) -> n
     return np.frombuffer(buffer, dtype=PIXEL_TYPES[data_type][0]).reshape(nbands, height, width)
 
 
-def _block_arrays(batch: pa.RecordBatch, column: str = "data") -> Iterator[np.ndarray]:
+def _block_arrays(batch: pa.RecordBatch) -> Iterator[np.ndarray | None]:
+    """Pixels of each row's block; None for a failed tile, which has no data."""
     shape = [batch.column(n).to_pylist() for n in ("data_type", "nbands", "height", "width")]
-    data = batch.column(column)
-    for i, (kind, nb, h, w) in enumerate(zip(*shape)):
-        yield pixels_of(data[i].as_buffer(), kind, nb, h, w)
+    for data, (kind, nb, h, w) in zip(batch.column("data"), zip(*shape)):
+        yield pixels_of(data.as_buffer(), kind, nb, h, w) if data.is_valid else None
 
 
 def decode_blocks(blocks: DataFrame, kind: str = "long") -> DataFrame:
@@ -212,7 +212,7 @@ def block_stats(blocks: DataFrame, regions: Regions, low: float, high: float, fi
 
 
 def clip_blocks(blocks: DataFrame, run_segments: DataFrame, fill: float, width: int, height: int) -> DataFrame:
-    """Fill every pixel outside the disjoint runs; blocks without any become all fill."""
+    """Fill every pixel outside the disjoint runs; blocks without any become all fill, failed ones stay."""
     cuts = cut_to_tiles(run_segments.select("z", "gy", "x0", "x1"), width, height)
     # a tile has at most its own pixels in disjoint runs
     per_tile = cuts.groupBy(*TILE).agg(F.collect_list(F.struct("row", "c0", "c1")).alias("_cuts"))
@@ -223,6 +223,9 @@ def clip_blocks(blocks: DataFrame, run_segments: DataFrame, fill: float, width:
         for batch in batches:
             runs, data = batch.column("_cuts"), []
             for i, block in enumerate(_block_arrays(batch)):
+                if block is None:
+                    data.append(None)
+                    continue
                 out = np.full(block.shape, fill, dtype=block.dtype)
                 if runs[i].is_valid:
                     r = runs[i].values
@@ -379,7 +382,8 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 
 # ---- user functions ------------------------------------------------------------------------------
 
-TileFunction = Callable[[dict, np.ndarray], np.ndarray]
+Inputs = dict[tuple[str, int], np.ndarray]
+TileFunction = Callable[[dict, Inputs], np.ndarray]
 StackFunction = Callable[[dict, Iterator[tuple[int, np.ndarray]]], np.ndarray]
 
 
@@ -396,27 +400,42 @@ def _as_block(out: np.ndarray) -> np.ndarray:
     return out[None] if out.ndim == 2 else out
 
 
-def map_tiles(blocks: DataFrame, fn: TileFunction, keys: Sequence[str]) -> DataFrame:
-    """Apply a user function to every block: ``fn(address, pixels[band, row, col]) -> pixels``.
+def map_tiles(blocks: DataFrame, fn: TileFunction, inputs: Sequence[tuple[str, int]], keys: Sequence[str] = TILE) -> DataFrame:
+    """One result tile per address from the named inputs: ``fn(address, {(dsname, date): pixels}) -> pixels``.
 
-    A failing tile becomes a row with status 1 and the error text in ``log``; it does not stop the job.
+    ``inputs`` lists the (dataset, date) pairs the function reads; pixels are [band, row, col]. A tile
+    that lacks some of them is given those it has. One input needs no shuffle; several bring the blocks
+    of a tile together, at most one per input. A failing tile becomes a row with status 1 and the
+    error text in ``log``; it does not stop the job.
     """
     keys = list(keys)
-    work = blocks.select(*keys, *SHAPE, "data")
+    one = F.struct("dsname", "hcol", *SHAPE, "data")
+    named = F.lit(False)
+    for dsname, date in inputs:
+        named = named | ((F.col("dsname") == dsname) & (F.col("hcol") == date))
+    chosen = blocks.where(named)
+    if len(set(inputs)) == 1:
+        work = chosen.select(*keys, F.array(one).alias("inputs"))
+    else:
+        work = chosen.groupBy(*keys).agg(F.collect_list(one).alias("inputs"))
     schema = _schema([work.schema[k] for k in keys], RESULT)
 
+    def computed(head, given):
+        try:
+            shapes = zip(*(given.field(n).to_pylist() for n in ("dsname", "hcol", "data_type", "nbands", "height", "width")))
+            tiles = {(ds, date): pixels_of(data.as_buffer(), kind, nb, h, w)
+                     for (ds, date, kind, nb, h, w), data in zip(shapes, given.field("data"))}
+            out = _as_block(fn(head, tiles))
+            return out.shape[2], out.shape[1], out.shape[0], _type_of(out), 0, None, out.tobytes()
+        except Exception as error:  # noqa: BLE001 - a bad tile is data, not a failed job
+            return 0, 0, 0, 0, 1, f"{type(error).__name__}: {error}", None
+
     def run(batches):
         for batch in batches:
-            rows = []
             heads = [dict(zip(keys, r)) for r in zip(*(batch.column(k).to_pylist() for k in keys))]
-            for head, block in zip(heads, _block_arrays(batch)):
-                try:
-                    out = _as_block(fn(head, block))
-                    rows.append((out.shape[2], out.shape[1], out.shape[0], _type_of(out), 0, None, out.tobytes()))
-                except Exception as error:  # noqa: BLE001 - a bad tile is data, not a failed job
-                    rows.append((block.shape[2], block.shape[1], block.shape[0], 0, 1, f"{type(error).__name__}: {error}", None))
-            tail = [pa.array(list(c)) for c in zip(*rows)] if rows else []
+            rows = [computed(head, given.values) for head, given in zip(heads, batch.column("inputs"))]
             if rows:
+                tail = [pa.array(list(c)) for c in zip(*rows)]
                 yield pa.RecordBatch.from_arrays([*batch.select(keys).columns, *tail], schema.fieldNames()).cast(_arrow(schema))
 
     return work.mapInArrow(run, schema)

@@ -1,9 +1,10 @@
 """Nearest earlier or later item of each probe (as-of joins) without a nested loop.
 
 Work is cut into calendar slices. Inside a slice the nearest item is found by one window over the
-distinct dates of items and probes; across slices a small table carries the last (or next) item.
-A slice of one product holds at most as many rows as it has distinct dates, so neither a product with
-most of the probes nor a date that repeats in them makes one task large.
+distinct dates of items and probes. The edge item of a slice is also entered into the slices up to
+the next one that has items, so no slice depends on another. A slice of one product holds at most as
+many rows as it has distinct dates: neither a product with most of the probes nor a date that
+repeats in them makes one task large. Probes are read and shuffled once.
 """
 
 from __future__ import annotations
@@ -12,11 +13,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tilewright.functions.dates import MONTH, int_div
+from tilewright.functions.dates import YEAR, int_div
+from tilewright.operators.sides import fits_broadcast, hinted
+
+# Order of rows sharing a date when going forward: carried items, items, probes. An item at the
+# probe's date counts for "before"; going backward it comes last and so does not count for "after".
+ITEM, PROBE = 0, 1
+CARRIED_FORWARD, CARRIED_BACKWARD = -1, 2
 
 
 def nearest_keys(keys: DataFrame, items: DataFrame, by: Sequence[str] = ("pid",), dt: str = "dt",
-                 after: bool = False, slice_unit: int = MONTH) -> DataFrame:
+                 after: bool = False, slice_unit: int = YEAR) -> DataFrame:
     """Nearest item per distinct (``by``, ``dt``) of ``keys``; other columns of ``keys`` are kept.
 
     Adds fid, dt0, dt1 (null when there is none). Before: greatest dt0 <= dt. After: least dt0 > dt.
@@ -25,38 +32,38 @@ def nearest_keys(keys: DataFrame, items: DataFrame, by: Sequence[str] = ("pid",)
     by = list(by)
     extra = [c for c in keys.columns if c not in by + [dt]]
     # primitive aggregates throughout: a minimum over structs would sort instead of hash
-    one_per_date = items.groupBy(*by, "dt0").agg(F.min("fid").alias("fid"), F.min_by("dt1", "fid").alias("dt1"))
-    marks = one_per_date.select(*by, F.col("dt0").alias("_at"), F.lit(0).alias("_tag"),
-                                F.struct("fid", "dt0", "dt1").alias("_item"),
-                                *[F.lit(None).cast(keys.schema[c].dataType).alias(c) for c in extra])
-    probes = keys.select(*by, F.col(dt).cast("long").alias("_at"), F.lit(1).alias("_tag"),
-                         F.lit(None).cast(marks.schema["_item"].dataType).alias("_item"), *extra)
-    events = marks.unionByName(probes).withColumn("_slice", int_div(F.col("_at"), slice_unit))
-
-    # Equal dates: an item counts for "before" but not for "after", so it must come first in one
-    # order and last in the other; sorting both columns the same way gives that.
+    marks = items.groupBy(*by, "dt0").agg(F.min("fid").alias("fid"), F.min_by("dt1", "fid").alias("dt1"))
+    item = F.struct("fid", "dt0", "dt1")
+    in_slice = int_div(F.col("dt0"), slice_unit)
+
+    pick, extreme = (F.min_by, F.min) if after else (F.max_by, F.max)
+    edge = [pick("fid", "dt0").alias("fid"), extreme("dt0").alias("dt0"), pick("dt1", "dt0").alias("dt1")]
+    next_slice = (F.lag if after else F.lead)("_s").over(Window.partitionBy(*by).orderBy("_s"))
+    edges = marks.groupBy(*by, in_slice.alias("_s")).agg(*edge).withColumn("_next", next_slice).where("_next is not null")
+    if after:
+        reach, place, carried = F.sequence(F.col("_next"), F.col("_s") - 1), (F.col("_slice") + 1) * slice_unit - 1, CARRIED_BACKWARD
+    else:
+        reach, place, carried = F.sequence(F.col("_s") + 1, F.col("_next")), F.col("_slice") * slice_unit, CARRIED_FORWARD
+    carry = edges.withColumn("_slice", F.explode(reach)).select(
+        *by, "_slice", place.alias("_at"), F.lit(carried).alias("_tag"), item.alias("_item"))
+    listed = marks.select(*by, in_slice.alias("_slice"), F.col("dt0").alias("_at"), F.lit(ITEM).alias("_tag"), item.alias("_item"))
+    probes = keys.select(*by, int_div(F.col(dt), slice_unit).alias("_slice"), F.col(dt).cast("long").alias("_at"),
+                         F.lit(PROBE).alias("_tag"), F.lit(None).cast(listed.schema["_item"].dataType).alias("_item"), *extra)
+    events = probes.unionByName(listed.unionByName(carry), allowMissingColumns=True)
+
     def direction(name):
         return F.col(name).desc() if after else F.col(name).asc()
 
-    in_slice = (Window.partitionBy(*by, "_slice").orderBy(direction("_at"), direction("_tag"))
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = events.withColumn("_near", F.last("_item", ignorenulls=True).over(in_slice)).where("_tag = 1")
+    order = (Window.partitionBy(*by, "_slice").orderBy(direction("_at"), direction("_tag"))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = events.withColumn("_near", F.last("_item", ignorenulls=True).over(order)).where(F.col("_tag") == PROBE)
 
-    pick, extreme = (F.min_by, F.min) if after else (F.max_by, F.max)
-    at = F.when(F.col("_tag") == 0, F.col("_at"))
-    edge = [pick(F.col("_item.fid"), at).alias("fid"), extreme(at).alias("dt0"), pick(F.col("_item.dt1"), at).alias("dt1")]
-    earlier = (Window.partitionBy(*by).orderBy(direction("_slice"))
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (
-        events.groupBy(*by, "_slice").agg(*edge)
-        .withColumn("_edge", F.when(F.col("dt0").isNotNull(), F.struct("fid", "dt0", "dt1")))
-        .withColumn("_carry", F.last("_edge", ignorenulls=True).over(earlier))
-        .select(*by, "_slice", "_carry")
-    )
-    nearest = F.coalesce(F.col("_near"), F.col("_carry"))
+    # beyond the outermost slice with items only the outermost item is left
+    last = marks.groupBy(*by).agg(*edge).select(*by, item.alias("_last"))
+    usable = F.col("_last.dt0") > F.col("_at") if after else F.col("_last.dt0") <= F.col("_at")
     return (
-        local.join(carry, [*by, "_slice"], "left")
-        .withColumn("_hit", nearest)
+        local.join(hinted(last, fits_broadcast(last)), by, "left")
+        .withColumn("_hit", F.coalesce(F.col("_near"), F.when(usable, F.col("_last"))))
         .select(*by, F.col("_at").alias(dt), *extra,
                 F.col("_hit.fid").alias("fid"), F.col("_hit.dt0").alias("dt0"), F.col("_hit.dt1").alias("dt1"))
     )

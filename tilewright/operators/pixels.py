@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tilewright.functions.dates import has_parts
 from tilewright.functions.grid import pixel_of_point
+from tilewright.operators.sides import fits_broadcast, hinted
 
 
 def explode_pixels(tiles: DataFrame, column: str = "dn") -> DataFrame:
@@ -46,19 +47,22 @@ def select_bands(tiles: DataFrame, bands: Sequence[int], n_bands: int) -> DataFr
 
 def capped_dates(cells: DataFrame, by: Sequence[str], start: int, stop: int, cap: int | None = 30, date: str = "hcol",
                  **parts: int) -> DataFrame:
-    """Cells in [start, stop] with the given date parts, the first ``cap`` dates of each group.
+    """Cells in [start, stop] with the given date parts, on the first ``cap`` dates of each group.
 
-    The cap is part of the store read; ``cap=None`` gives the uncapped directory read. A cell is
-    unique per group and date, so dates are ranked on the narrow key table and cells are joined back.
+    The cap is part of the store read; ``cap=None`` gives the uncapped directory read. Only keys and
+    dates are ranked; each group's last admitted date is joined back as a bound, so cell data moves
+    only when the bounds are too many to broadcast.
     """
     chosen = cells.where(F.col(date).between(start, stop) & has_parts(F.col(date), **parts))
     if cap is None:
         return chosen
-    # Ranking needs each date once per group. Spark keeps only the first `cap` of a group on the map
-    # side too (a rank filter over a window), so a group with most of the rows does not pile up.
+    # Spark keeps the first `cap` of a group before the shuffle too (a rank filter over a window), so
+    # a group with most of the rows does not pile up.
     order = Window.partitionBy(*by).orderBy(date)
-    dates = chosen.select(*by, date).distinct().withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= cap)
-    return chosen.join(dates.drop("_rank"), [*by, date], "left_semi")
+    ranked = chosen.select(*by, date).distinct().withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= cap)
+    bounds = ranked.where(F.col("_rank") == cap).select(*by, F.col(date).alias("_last"))
+    bounded = chosen.join(hinted(bounds, fits_broadcast(bounds)), list(by), "left")
+    return bounded.where(F.col("_last").isNull() | (F.col(date) <= F.col("_last"))).drop("_last")
 
 
 def lookup_points(points: DataFrame, tiles: DataFrame, z: int, width: int, height: int) -> DataFrame:

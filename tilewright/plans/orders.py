@@ -6,11 +6,13 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tilewright.functions.grid import grow_extent
 from tilewright.functions.text import EMPTY_PARAMS
-from tilewright.operators.catalog import product_by_name
+from tilewright.operators.catalog import common_inputs, product_by_name
 from tilewright.operators.collections import build_collections, daily_series
-from tilewright.operators.regions import Regions, region_segments
+from tilewright.operators.regions import Regions, common_extent, region_extents, region_segments, window_of
 from tilewright.plans import statistics
+from tilewright.plans.tiles import Catalog, TileJobResult, compute_tiles, region_runs, run_tile_job
 from tilewright.sources.catalog import with_product_info
 from tilewright.sources.orders import Order, check_script_series, check_series, check_statistics
 
@@ -27,17 +29,70 @@ def run_statistics(order: Order, blocks: DataFrame, segments: DataFrame, product
     check_statistics(order)
     p = _product(products, order.dsname)
     tiles = blocks.where((F.col("dsname") == p.name) & (F.col("z") == p.maxZoom) & (F.col("hcol") == order.dt))
-    regions = Regions(region_segments(segments, order.roi), p.tileWid, p.tileHei)
+    wanted = region_segments(segments, order.roi)
+    regions = Regions(wanted, p.tileWid, p.tileHei)
+    tiles = window_of(tiles, wanted, p.tileWid, p.tileHei)
     return statistics.zonal_stats_blocks(tiles, regions, order.validMinInc, order.validMaxInc, order.filldata)
 
 
+def resolve_inputs(products: DataFrame, names: list[str]) -> dict:
+    """Projection, lowest max zoom and first style of the named datasets, which must fit together."""
+    if not names:
+        raise ValueError("a job needs at least one dataset")
+    spark = products.sparkSession
+    named = spark.createDataFrame([(0, n, i) for i, n in enumerate(names)], "job int, dsname string, ord int")
+    common = common_inputs(named, products, "job").first()
+    if common.unknown:
+        raise ValueError(f"unknown dataset among {names}")
+    if not common.same_proj:
+        raise ValueError(f"datasets differ in projection: {names}")
+    first = _product(products, names[0])
+    return {"proj": first.proj, "max_zoom": common.max_zoom, "styleid": common.styleid, "width": first.tileWid,
+            "height": first.tileHei}
+
+
+def common_extent_of(segments: DataFrame, rois: list[str], tile_size: int) -> tuple[float, float, float, float]:
+    """Extent shared by all the regions, grown by half a level-0 pixel; the globe without regions."""
+    if not rois:
+        return -180.0, 180.0, 90.0, -90.0
+    extents = region_extents(segments.where(F.col("roi_id").isin(*rois)), tile_size)
+    grown = grow_extent(*[F.col(c) for c in ("left", "right", "top", "bottom")])
+    row = common_extent(extents).select(grown.alias("e")).select("e.*").first()
+    return row.left, row.right, row.top, row.bottom
+
+
+def run_tiles(order: Order, blocks: DataFrame, segments: DataFrame, catalog: Catalog, functions: dict,
+              inputs: list[tuple[str, int]], path: str) -> TileJobResult:
+    """Compute tiles of all zooms with the user's function named by ``jsfile``, write and register them.
+
+    ``inputs`` are the (dataset, date) pairs the function reads; date 0 stands for the order's date.
+    The output is the registered product ``mpid_hpid``. With a region, pixels outside become fill.
+    """
+    if order.jsfile not in functions:
+        raise ValueError(f"unknown function {order.jsfile!r}")
+    common = resolve_inputs(catalog.products, [n for n, _ in inputs])
+    rois = [r for r in (order.roi or "").split(";") if r]
+    extent = common_extent_of(segments, rois, common["width"])
+    target = catalog.products.where(F.col("pid") == order.mpid_hpid).first()
+    if target is None:
+        raise ValueError(f"unknown output product {order.mpid_hpid}")
+    tiles = compute_tiles(
+        blocks, functions[order.jsfile], [(n, d or order.dt) for n, d in inputs], target.name, order.mpid_hpid,
+        order.out_hcol, common["max_zoom"], extent, region_runs(segments, rois) if rois else None, order.filldata,
+        common["width"], common["height"])
+    return run_tile_job(tiles, path, catalog, target.name, order.out_hcol, common["proj"], common["max_zoom"],
+                        order.out_htable, common["styleid"], target.userid, order.filldata, extent)
+
+
 def _series_inputs(order: Order, name: str, blocks, segments, products, items):
     p = _product(products, name)
     mine = items.where(F.col("pid") == p.pid)
     spec = order.dates()
     dates = build_collections(mine, spec) if spec.repeat_type else daily_series(mine, spec.whole)
     tiles = blocks.where((F.col("dsname") == p.name) & (F.col("z") == p.maxZoom))
-    return tiles, dates, Regions(region_segments(segments, order.roi), p.tileWid, p.tileHei), not spec.repeat_type
+    wanted = region_segments(segments, order.roi)
+    tiles = window_of(tiles, wanted, p.tileWid, p.tileHei)
+    return tiles, dates, Regions(wanted, p.tileWid, p.tileHei), not spec.repeat_type
 
 
 def run_series(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame, items: DataFrame) -> DataFrame:

@@ -14,8 +14,6 @@ from tilewright.sinks.registry import output_bands, output_item, output_product,
 from tilewright.sinks.tiles import write_tiles
 from tilewright.sources.tiles import read_tiles
 
-ADDRESS = ("dsname", "hcol", "z", "y", "x")
-
 
 def zoom_windows(spark: SparkSession, extent: tuple[float, float, float, float], max_zoom: int,
                  tile_size: int = TILE_SIZE, min_zoom: int = 0) -> list:
@@ -52,17 +50,21 @@ def region_runs(segments: DataFrame, roi_ids: list[str]) -> DataFrame:
     return intersection_of(segments, roi_ids)
 
 
-def compute_tiles(blocks: DataFrame, fn: TileFunction, out_dsname: str, out_hpid: int, out_hcol: int, max_zoom: int,
-                  extent: tuple[float, float, float, float] | None = None, run_segments: DataFrame | None = None,
-                  fill: float = 0, width: int = TILE_SIZE, height: int = TILE_SIZE) -> DataFrame:
-    """Result tiles of a user function over all zooms up to ``max_zoom``; each zoom is computed on its own."""
+def compute_tiles(blocks: DataFrame, fn: TileFunction, inputs: list[tuple[str, int]], out_dsname: str, out_hpid: int,
+                  out_hcol: int, max_zoom: int, extent: tuple[float, float, float, float] | None = None,
+                  run_segments: DataFrame | None = None, fill: float = 0, width: int = TILE_SIZE,
+                  height: int = TILE_SIZE) -> DataFrame:
+    """Result tiles of a user function over all zooms up to ``max_zoom``; each zoom is computed on its own.
+
+    ``inputs`` lists the (dataset, date) pairs the function reads.
+    """
     chosen = good_tiles(blocks).where(F.col("z") <= max_zoom)
     if extent is not None:
         chosen = in_windows(chosen, zoom_windows(blocks.sparkSession, extent, max_zoom, width))
-    out = map_tiles(chosen, fn, ADDRESS)
+    out = map_tiles(chosen, fn, inputs)
     if run_segments is not None:
-        # failed tiles have no pixels to clip
-        out = clip_blocks(good_tiles(out), run_segments, fill, width, height).unionByName(out.where("status <> 0"))
+        # failed tiles have no pixels: they pass through beside the clip, in the same run of the function
+        out = clip_blocks(out, run_segments, fill, width, height)
     return out.withColumn("dsname", F.lit(out_dsname)).withColumn("hpid", F.lit(out_hpid)).withColumn(
         "hcol", F.lit(out_hcol).cast("long"))
 

@@ -33,6 +33,8 @@ def local_session(name: str = "tilewright", cores: str | None = None) -> SparkSe
         "spark.sql.shuffle.partitions": n, "spark.driver.memory": "8g", "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true", "spark.driver.host": "127.0.0.1",
         "spark.driver.bindAddress": "127.0.0.1",
+        # recording the call site of every column expression costs more than planning small queries
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
