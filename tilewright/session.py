@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -19,12 +21,34 @@ TILE_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings tile jobs rely on to an existing session."""
+    """Apply the runtime settings tile jobs rely on to an existing session and send it this package."""
     for k, v in TILE_CONF.items():
         spark.conf.set(k, v)
+    ship(spark, str(Path(__file__).resolve().parent))
     return spark
 
 
+_shipped: set[tuple[str, str]] = set()
+
+
+def ship(spark: SparkSession, *packages: str) -> None:
+    """Send package folders to the Python workers, once per application.
+
+    Functions over blocks run in workers, which do not see the driver's import path. Not needed
+    where the package is installed on every executor.
+    """
+    for package in map(Path, packages):
+        mark = (spark.sparkContext.applicationId, str(package))
+        if mark in _shipped:
+            continue
+        archive = Path(tempfile.mkdtemp(prefix="tilewright-code-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(mark)
+
+
 def local_session(name: str = "tilewright", cores: str | None = None) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     n = cores or os.environ.get("BENCH_CPUS", "8")
