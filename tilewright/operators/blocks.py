@@ -137,19 +137,21 @@ REGIONS_PER_ROW = 64
 
 
 def cuts_per_tile(regions: Regions, per_row: int = REGIONS_PER_ROW) -> DataFrame:
-    """Cuts gathered per tile as arrays.
+    """Runs gathered per region and the regions per tile: ``cuts array<(roi_id, runs)>``.
 
     A small set gives one array per tile. Otherwise the number of regions in a tile has no bound, and
     they are spread over as many rows as needed, about ``per_row`` regions to a row; one region
     has at most a tile's pixels in a tile.
     """
-    gathered = F.collect_list(F.struct("roi_id", "row", "c0", "c1", "pixel_km2")).alias("cuts")
+    runs = F.collect_list(F.struct("row", "c0", "c1", "pixel_km2")).alias("runs")
+    per_region = regions.cuts.groupBy(*TILE, "roi_id").agg(runs)
+    gathered = F.collect_list(F.struct("roi_id", "runs")).alias("cuts")
     if regions.small:
-        return F.broadcast(regions.cuts.groupBy(*TILE).agg(gathered))
+        return F.broadcast(per_region.groupBy(*TILE).agg(gathered))
     counts = regions.cuts.groupBy(*TILE, "roi_id").agg(F.count(F.lit(1)).alias("_c")).groupBy(*TILE).agg(
         F.count(F.lit(1)).alias("_n"))
     part = F.pmod(F.xxhash64("roi_id"), F.ceil(F.col("_n") / per_row).cast("long"))
-    return regions.cuts.join(counts, list(TILE)).withColumn("part", part).groupBy(*TILE, "part").agg(gathered).drop("part")
+    return per_region.join(counts, list(TILE)).withColumn("part", part).groupBy(*TILE, "part").agg(gathered).drop("part")
 
 
 def _flat_index(row, c0, c1, width):
@@ -160,6 +162,17 @@ def _flat_index(row, c0, c1, width):
     return (row * width + c0)[run] + np.arange(run.size) - first[run], run
 
 
+def _run_reducer(begin, end):
+    """Reduce an array over each [begin, end): pixels of a run lie side by side, so none is copied."""
+    bounds = np.stack([begin, end], axis=1).reshape(-1)
+
+    def reduce(ufunc, values):
+        # one more element, because a run may end with the array; results at odd places are gaps
+        return ufunc.reduceat(np.append(values, values[:1]), bounds)[::2]
+
+    return reduce
+
+
 def block_stats(blocks: DataFrame, regions: Regions, low: float, high: float, fill: float,
                 keys: Sequence[str] = ()) -> DataFrame:
     """Per-tile zonal statistics straight from blocks; same rows as the pixel-row form.
@@ -177,30 +190,28 @@ def block_stats(blocks: DataFrame, regions: Regions, low: float, high: float, fi
     def stats(batches):
         for batch in batches:
             at, out = [], []
-            runs = batch.column("cuts")
+            cuts = batch.column("cuts")
             for i, block in enumerate(_block_arrays(batch)):
-                tile_runs = runs[i].values
-                regions = tile_runs.field("roi_id").dictionary_encode()
-                code = np.asarray(regions.indices)
-                order = np.argsort(code, kind="stable")
-                row, c0, c1, km2 = (np.asarray(tile_runs.field(n))[order] for n in ("row", "c0", "c1", "pixel_km2"))
-                index, run = _flat_index(row, c0, c1, block.shape[2])
-                owner = code[order][run]
-                starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-                ids = regions.dictionary.take(pa.array(owner[starts])).to_pylist()
-                counts = np.diff(np.r_[starts, owner.size])
+                tile_cuts = cuts[i].values
+                ids, lists = tile_cuts.field("roi_id").to_pylist(), tile_cuts.field("runs")
+                runs, lengths = lists.flatten(), np.asarray(lists.value_lengths())
+                starts = np.cumsum(lengths) - lengths
+                row, c0, c1, km2 = (np.asarray(runs.field(n)) for n in ("row", "c0", "c1", "pixel_km2"))
+                over_runs = _run_reducer(row * block.shape[2] + c0, row * block.shape[2] + c1 + 1)
+                counts = np.add.reduceat((c1 - c0 + 1).astype("i8"), starts)
                 for band in range(block.shape[0]):
-                    v = block[band].reshape(-1)[index].astype("f8")
+                    v = block[band].reshape(-1).astype("f8")
                     is_fill = v == fill
                     ok = ~is_fill & (v >= low) & (v <= high)
-                    some = np.add.reduceat(ok.astype("i8"), starts)
+                    valid = over_runs(np.add, ok.astype("i8"))
+                    some = np.add.reduceat(valid, starts)
                     vv = np.where(ok, v, 0.0)
-                    least = np.where(some > 0, np.minimum.reduceat(np.where(ok, v, np.inf), starts), 0.0)
-                    most = np.where(some > 0, np.maximum.reduceat(np.where(ok, v, -np.inf), starts), 0.0)
-                    out.append((ids, np.full(len(ids), band, "i4"), np.add.reduceat(vv, starts),
-                                np.add.reduceat(vv * vv, starts), some, least, most,
-                                np.add.reduceat(np.where(ok, km2[run], 0.0), starts), counts,
-                                np.add.reduceat(is_fill.astype("i8"), starts)))
+                    least = np.minimum.reduceat(over_runs(np.minimum, np.where(ok, v, np.inf)), starts)
+                    most = np.maximum.reduceat(over_runs(np.maximum, np.where(ok, v, -np.inf)), starts)
+                    out.append((ids, np.full(len(ids), band, "i4"), np.add.reduceat(over_runs(np.add, vv), starts),
+                                np.add.reduceat(over_runs(np.add, vv * vv), starts), some, np.where(some > 0, least, 0.0),
+                                np.where(some > 0, most, 0.0), np.add.reduceat(valid * km2, starts), counts,
+                                np.add.reduceat(over_runs(np.add, is_fill.astype("i8")), starts)))
                     at.extend([i] * len(ids))
             if at:
                 columns = [pa.array([r for o in out for r in o[0]], pa.string())]
