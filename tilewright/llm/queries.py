@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tilewright.llm.common import table
 from tilewright.llm.neardup import near_duplicates
+from tilewright.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +45,8 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id
 @_query("op3_minhash_near_dedup", _OP3_SQL)
 def _op3(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_cutting_stock_packing")
+def _op6(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"))
