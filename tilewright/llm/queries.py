@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tilewright.llm.common import table
 from tilewright.llm.neardup import near_duplicates
 from tilewright.llm.packing import pack
+from tilewright.llm.vectors import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +51,23 @@ def _op3(spark, sf_dir):
 @_query("op6_cutting_stock_packing")
 def _op6(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"))
+
+
+_OP9_SQL = """
+WITH RECURSIVE x AS (
+  SELECT vec_id, label, CASE WHEN label IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    THEN CAST(embedding AS DOUBLE[]) END AS e FROM embeddings),
+v AS (SELECT vec_id, label, e FROM x WHERE list_dot_product(e, e) > 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id AS node, vec_id AS root FROM embeddings UNION SELECT l.v, r.root FROM r JOIN l ON l.u = r.node),
+c AS (SELECT node, min(root) AS component_id FROM r GROUP BY 1),
+n AS (SELECT u, count(*) AS n FROM l GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.node = vec_id LEFT JOIN n ON n.u = vec_id
+"""
+
+
+@_query("op9_pivot_near_vectors", _OP9_SQL)
+def _op9(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
