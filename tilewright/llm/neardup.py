@@ -61,8 +61,8 @@ def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame) -> DataFrame:
     return per_row(docs.join(wanted, docs["doc_id"] == wanted["id"]), _same_set, "id long, shingles array<long>", ["id", "fp", "text"])
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (u, v) whose signatures may reach the threshold and whose full sets do.
+def _compared(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(u, v, same, linked) of the pairs whose signatures may reach the threshold: shingles in common, by the full sets.
 
     Each side joins by its own id; a hub's pairs are rows of a few kilobytes that adaptive execution splits.
     """
@@ -70,49 +70,57 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     agree = F.aggregate(F.zip_with("s", "t", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda a, b: a + b)
     likely = cut(pairs.join(sig.select(F.col("rep").alias("v"), F.col("sig").alias("t")), "v")
                  .join(sig.select(F.col("rep").alias("u"), F.col("sig").alias("s")), "u").where(agree >= AGREE).select("u", "v"))
-    ids = likely.select(F.explode(F.array("u", "v")).alias("id"))
-    sets = cut(_sets(docs, ids, reps))
-    both = F.size(F.array_intersect("a", "b"))
-    return (likely.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
-            .join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u")
-            .where(100 * both >= 75 * (F.size("a") + F.size("b") - both)).select("u", "v"))
+    sets = cut(_sets(docs, likely.select(F.explode(F.array("u", "v")).alias("id")), reps))
+    met = (likely.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
+           .join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u")
+           .select("u", "v", F.size(F.array_intersect("a", "b")).alias("same"), (F.size("a") + F.size("b")).alias("total")))
+    return met.select("u", "v", "same", (100 * F.col("same") >= 75 * (F.col("total") - F.col("same"))).alias("linked"))
 
 
-def _open_pairs(members: DataFrame, comps: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of one bucket that are not yet connected and that a bound on shared shingles does not rule out.
+def _open_pairs(members: DataFrame, comps: DataFrame, compared: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs of one bucket that are not yet connected and that no bound on shared shingles rules out.
 
     Only buckets matter whose members, beside the leader that was compared with all of them, lie in several components. A
-    shingle no other such document has can't be shared, so with c shingles left a document of n can only link with one of
-    m if 7 c >= 3 (n + m). This rules out edited copies that share much, but not enough, before pairs are made. Of the
-    rest, documents outside a bucket's largest component meet those in other components.
+    link of sets of n and m shingles needs 3 (n + m) / 7 in common. A shingle that no other such document has can't be
+    shared; c are left. Of those, ``same`` lie in the leader's set too: two documents share at most the smaller number inside
+    it and the smaller number outside. This rules out edited copies of one text before pairs are made. Of the rest,
+    documents outside a bucket's largest component meet those of other components, in the first bucket they share.
     """
-    placed = members.join(comps.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    placed = (members.join(comps.withColumnRenamed("node", "id"), "id", "left")
+              .select("key", "band", "leader", "id", F.coalesce("root", "id").alias("root")))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
     placed = cut(placed.join(open_keys, "key"))
-    shingles = _sets(docs, placed.select("id"), reps).select("id", F.explode("shingles").alias("s"))
+    shingles = _sets(docs, placed.select(F.explode(F.array("id", "leader")).alias("id")), reps).select("id", F.explode("shingles").alias("s"))
     alone = (shingles.groupBy("s").agg(F.count("*").alias("df"), F.min("id").alias("id")).where("df = 1")
              .groupBy("id").agg(F.count("*").alias("alone")))
-    bound = (placed.select("id").distinct().join(reps.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n")), "id")
-             .join(alone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c")))
-    placed = placed.join(bound, "id")
+    bound = (placed.select("id").distinct().join(reps.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), "bands"), "id")
+             .join(alone, "id", "left").select("id", "n", "bands", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c")))
+    with_leader = compared.select(F.col("u").alias("leader"), F.col("v").alias("id"), "same")
+    placed = (placed.join(bound, "id").join(with_leader, ["leader", "id"], "left")
+              .withColumn("inside", F.coalesce("same", "c")).withColumn("outside", F.col("c") - F.coalesce("same", F.lit(0))))
     least = placed.groupBy("key").agg(F.min("n").alias("m"))
-    placed = cut(placed.join(least, "key").where("7 * c >= 3 * (n + m)").drop("m"))
+    placed = cut(placed.join(least, "key").where("7 * c >= 3 * (n + m)").drop("m", "same", "leader"))
     top = placed.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("top"))
     placed = placed.join(top, "key")
-    x = placed.where("root != top").select("key", F.col("id").alias("x"), F.col("root").alias("xr"), F.col("n").alias("xn"), F.col("c").alias("xc"))
-    met = (placed.join(x, "key").where("root != xr and (root = top or x < id)")
-           .where("7 * least(c, xc) >= 3 * (n + xn)"))
-    return met.select(F.least("x", "id").alias("u"), F.greatest("x", "id").alias("v")).distinct()
+    y = placed.where("root != top").select("key", *(F.col(c).alias(f"{c}_y") for c in ("id", "root", "n", "c", "inside", "outside", "bands")))
+    met = placed.join(y, "key").where(
+        "root != root_y and (root = top or id_y < id) and 7 * least(c, c_y, least(inside, inside_y) + least(outside, outside_y)) >= 3 * (n + n_y)"
+        " and not arrays_overlap(slice(bands, 1, band), slice(bands_y, 1, band))")
+    return met.select(F.least("id", "id_y").alias("u"), F.greatest("id", "id_y").alias("v")).distinct()
 
 
 def _links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """Confirmed pairs (u, v) that connect the representatives as all links do."""
-    bands = reps.select(F.col("rep").alias("id"), F.explode("bands").alias("key"))
-    leaders = bands.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").select("key", "leader")
-    members = cut(bands.join(leaders, "key").where("id != leader"))
-    first = cut(_confirmed(members.select(F.col("leader").alias("u"), F.col("id").alias("v")).distinct(), docs, reps))
-    second = _confirmed(_open_pairs(members, components(first), docs, reps), docs, reps)
-    return first.unionByName(second)
+    bands = reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "key"))
+    shared = cut(bands.join(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
+    # the member that meets most others leads: in a group of edited copies this is the text closest to all
+    meets = shared.groupBy("id").agg(F.sum("n").alias("meets"))
+    leaders = shared.join(meets, "id").groupBy("key").agg(F.min_by("id", F.struct(-F.col("meets"), F.col("id"))).alias("leader"))
+    members = cut(shared.join(leaders, "key").where("id != leader").select("key", "band", "leader", "id"))
+    compared = cut(_compared(members.select(F.col("leader").alias("u"), F.col("id").alias("v")).distinct(), docs, reps))
+    first = compared.where("linked").select("u", "v")
+    rest = _open_pairs(members, components(first), compared, docs, reps)
+    return first.unionByName(_compared(rest, docs, reps).where("linked").select("u", "v"))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
