@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tilewright.llm.common import table
+from tilewright.llm.common import held_out, table
 from tilewright.llm.neardup import near_duplicates
 from tilewright.llm.packing import pack
+from tilewright.llm.toxicity import score_toxicity
 from tilewright.llm.vectors import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +73,12 @@ FROM embeddings JOIN c ON c.node = vec_id LEFT JOIN n ON n.u = vec_id
 @_query("op9_pivot_near_vectors", _OP9_SQL)
 def _op9(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _folded(scores: DataFrame) -> DataFrame:
+    return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@_query("op1_boosted_toxicity")
+def _op1(spark, sf_dir):
+    return _folded(score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))

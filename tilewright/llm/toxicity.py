@@ -23,75 +23,98 @@ SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine d
                           "tú ti usted ustedes vosotros".split())
 # Signs and digits that stand for letters.
 LEET = str.maketrans("013457@$!", "oieastasi")
-STEMS = (4, 5, 6)
+STEMS = (3, 4, 5, 6)
 NEAR = 5
 _WORD = re.compile(r"\w+")
 _MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]+[0-9@$!*]+[^\W\d_][\w@$!*]*")
 _SPELLED = re.compile(r"\b(?:\w[ .\-_]){3,}\w\b")
 _DRAWN = re.compile(r"(\w)\1{3,}")
 _MARKS = re.compile(r"[^\w\s]")
-FEATURES = ("lexicon_words", "lexicon_density", "lexicon_distinct", "second_person", "lexicon_near_second_person", "masked_lexicon",
-            "masked_density", "spelled_out", "drawn_out", "capitals", "capital_words", "exclamations", "questions", "marks", "words")
+FEATURES = ("lexicon_words", "lexicon_weight", "lexicon_density", "lexicon_distinct", "lexicon_heaviest", "second_person",
+            "lexicon_near_second_person", "masked_lexicon", "masked_density", "spelled_out", "drawn_out", "capitals", "capital_words",
+            "exclamations", "questions", "marks", "words")
 
 
-def _in_lexicon(word: str, whole: frozenset, stems: frozenset) -> bool:
-    return word in whole or len(word) > STEMS[0] and (word[:4] in stems or word[:5] in stems or word[:6] in stems)
+def _weight(word: str, lexicon: dict[str, float]) -> float:
+    """Weight of the first form a word has: itself (written =word), or its beginning."""
+    for form in ("=" + word, word[:6], word[:5], word[:4], word[:3]):
+        if form in lexicon:
+            return lexicon[form]
+    return 0.0
 
 
-def features(text: str | None, whole: frozenset, stems: frozenset) -> list[float]:
+def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     """Dense features of a whole text; rates are per word or character, so that length alone says little."""
     text = text or ""
     low = text.lower()
     words = _WORD.findall(low)
     n, size = max(1, len(words)), max(1, len(text))
-    at = [i for i, w in enumerate(words) if w in whole or w[:4] in stems or w[:5] in stems or w[:6] in stems]
-    at = [i for i in at if _in_lexicon(words[i], whole, stems)]
-    you = [i for i, w in enumerate(words) if w in SECOND_PERSON]
-    near = sum(any(w in SECOND_PERSON for w in words[max(0, i - NEAR):i + NEAR + 1]) for i in at)
+    hits = {i: w for i, w in ((i, _weight(w, lexicon)) for i, w in enumerate(words)) if w}
+    you = sum(w in SECOND_PERSON for w in words)
+    near = sum(any(w in SECOND_PERSON for w in words[max(0, i - NEAR):i + NEAR + 1]) for i in hits)
     masked = _MASKED.findall(low)
-    hidden = sum(_in_lexicon(w.translate(LEET).replace("*", ""), whole, stems) for w in masked)
+    hidden = sum(_weight(w.translate(LEET).replace("*", ""), lexicon) > 0 for w in masked)
     spelled = _SPELLED.findall(low)
-    hidden += sum(_in_lexicon(re.sub(r"\W", "", w), whole, stems) for w in spelled)
+    hidden += sum(_weight(re.sub(r"\W", "", w), lexicon) > 0 for w in spelled)
     capitals = sum(map(str.isupper, _WORD.findall(text))) if low != text else 0
-    return [math.log1p(len(at)), 100 * len(at) / n, math.log1p(len({words[i] for i in at})), 100 * len(you) / n, near / max(1, len(at)),
-            math.log1p(hidden), 100 * len(masked) / n, math.log1p(len(spelled)), 100 * len(_DRAWN.findall(low)) / n,
-            sum(a != b for a, b in zip(text, low)) / size if low != text else 0.0, capitals / n, 100 * text.count("!") / size,
-            100 * text.count("?") / size, 100 * len(_MARKS.findall(text)) / size, math.log1p(len(words))]
+    total = sum(hits.values())
+    return [math.log1p(len(hits)), total, 100 * total / n, math.log1p(len({words[i] for i in hits})), max(hits.values(), default=0.0),
+            100 * you / n, near / max(1, len(hits)), math.log1p(hidden), 100 * len(masked) / n, math.log1p(len(spelled)),
+            100 * len(_DRAWN.findall(low)) / n, sum(map(str.isupper, text)) / size if low != text else 0.0, capitals / n,
+            100 * text.count("!") / size, 100 * text.count("?") / size, 100 * len(_MARKS.findall(text)) / size, math.log1p(len(words))]
 
 
-def learn_lexicon(sample: DataFrame, support: int = 3, candidates: int = 4000) -> tuple[frozenset, frozenset]:
-    """(whole words, stems) that tell label 1 in (doc_id, text, y), beside INSULTS.
+def learn_lexicon(sample: DataFrame, support: int = 3, candidates: int = 4000, cover: int = 2) -> dict[str, float]:
+    """Weighted forms (=word, or the beginning of longer words) that tell label 1 in (doc_id, text, y), and INSULTS.
 
-    A candidate occurs in ``support`` documents of label 1 and in at most a twentieth as many others; the best
-    ``candidates`` are weighed. From them a greedy cover picks those that explain documents no earlier pick explains, so that
-    the chance vocabulary of a few copied documents does not enter. Counts and documents lists stem from the bounded sample.
+    A candidate is at least five times as frequent among the words of label 1; the ``candidates`` of largest gain are
+    weighed. A greedy cover picks those that explain most documents, each up to ``cover`` times, at the cost of other documents
+    that have them; the chance vocabulary of a few copied documents explains nothing more and does not enter. Weights are
+    logarithms of the ratio of frequencies. Counts and lists stem from the bounded sample.
     """
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"))
-    forms = F.flatten(F.transform(F.filter(words, lambda w: F.length(w) >= 3), lambda w: F.array(F.concat(F.lit("="), w), *(
-        F.when(F.length(w) > k, F.substring(w, 1, k)) for k in STEMS))))
-    seen = sample.where("text is not null").select("doc_id", "y", F.explode(F.array_distinct(forms)).alias("form")).where("form is not null")
-    counts = seen.groupBy("form").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
-    good = cut(counts.where((F.col("p") >= support) & (20 * F.col("n") <= F.col("p")))
-               .orderBy(F.desc(F.col("p") - 20 * F.col("n")), F.desc(F.length("form")), "form").limit(candidates))
-    within = seen.where("y = 1").join(F.broadcast(good.select("form")), "form").groupBy("form").agg(F.collect_set("doc_id").alias("docs"))
-    rows = {form: set(docs) for form, docs in within.collect()}
-    insults, explained, chosen = {"=" + w for w in INSULTS}, set(), []
-    for form in insults & set(rows):
-        explained |= rows[form]
-    cost = {form: n for form, n in good.select("form", "n").collect()}
-    while rows:
-        form = max(rows, key=lambda f: (len(rows[f] - explained) - 5 * cost[f], len(f), f))
-        if len(rows[form] - explained) - 5 * cost[form] < support:
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) >= 3)
+    forms = lambda w: F.array(F.concat(F.lit("="), w), *(F.when(F.length(w) > k, F.substring(w, 1, k)) for k in STEMS))
+    seen = sample.where("text is not null").select("doc_id", "y", F.explode(words).alias("w"))
+    tokens = seen.groupBy("w", "y").count().select(F.explode(forms(F.col("w"))).alias("form"), "y", "count").where("form is not null")
+    counts = tokens.groupBy("form").agg(F.sum(F.col("y") * F.col("count")).alias("p"), F.sum((1 - F.col("y")) * F.col("count")).alias("n"))
+    sizes = {y: (n, d) for y, n, d in seen.groupBy("y").agg(F.count("*"), F.count_distinct("doc_id")).collect()}
+    if len(sizes) < 2:
+        return {"=" + w: 5.0 for w in INSULTS}
+    weight = F.log((F.col("p") + 0.5) / sizes[1][0]) - F.log((F.col("n") + 0.5) / sizes[0][0])
+    good = cut(counts.withColumn("weight", weight).where((F.col("p") >= support) & (F.col("weight") >= math.log(5)))
+               .orderBy(F.desc(F.col("p") * F.col("weight")), F.desc(F.length("form")), "form").limit(candidates))
+    docs = (seen.distinct().select("doc_id", "y", F.explode(forms(F.col("w"))).alias("form")).join(F.broadcast(good.select("form")), "form")
+            .distinct().groupBy("form").agg(F.collect_list(F.when(F.col("y") == 1, F.col("doc_id"))).alias("docs"), F.sum(1 - F.col("y")).alias("n")))
+    rows, cost = {}, {}
+    for form, ids, n in docs.collect():
+        rows[form], cost[form] = ids, n
+    weights = {form: w for form, w in good.select("form", "weight").collect()}
+    price = 2 * sizes[1][1] / sizes[0][1]
+    need = dict.fromkeys({d for ids in rows.values() for d in ids}, cover)
+    lexicon = {"=" + w: max(3.0, weights.get("=" + w, 5.0)) for w in INSULTS}
+    for form in lexicon:
+        for d in rows.pop(form, ()):
+            need[d] -= 1
+    gain = {f: sum(need[d] > 0 for d in ids) - price * cost[f] for f, ids in rows.items()}
+    while gain:
+        form = max(gain, key=lambda f: (gain[f], len(f), f))
+        now = sum(need[d] > 0 for d in rows[form]) - price * cost[form]
+        if now < gain[form]:  # gains only fall; look again in its turn
+            gain[form] = now
+            continue
+        if now < support:
             break
-        chosen.append(form)
-        explained |= rows.pop(form)
-    whole = frozenset(f[1:] for f in chosen if f[0] == "=") | frozenset(INSULTS)
-    return whole, frozenset(f for f in chosen if f[0] != "=")
+        if not any(form.startswith(f) or f.startswith(form) for f in lexicon):  # else it explains the same words again
+            lexicon[form] = weights[form]
+            for d in rows[form]:
+                need[d] -= 1
+        del gain[form]
+    return lexicon
 
 
-def _described(docs: DataFrame, lexicon: tuple[frozenset, frozenset], keep: list[str]) -> DataFrame:
+def _described(docs: DataFrame, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
     def run(text, *kept):
-        return [(*kept, features(text, *lexicon))]
+        return [(*kept, features(text, lexicon))]
 
     kinds = dict(docs.dtypes)
     return per_row(docs, run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", features array<double>", ["text", *keep])
