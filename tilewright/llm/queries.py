@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tilewright.llm.common import held_out, table
 from tilewright.llm.neardup import near_duplicates
 from tilewright.llm.packing import pack
+from tilewright.llm.quality import score_quality
 from tilewright.llm.toxicity import score_toxicity
 from tilewright.llm.vectors import near_vectors
 
@@ -82,3 +83,8 @@ def _folded(scores: DataFrame) -> DataFrame:
 @_query("op1_boosted_toxicity")
 def _op1(spark, sf_dir):
     return _folded(score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@_query("op5_kernel_quality")
+def _op5(spark, sf_dir):
+    return _folded(score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
