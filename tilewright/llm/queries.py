@@ -11,7 +11,9 @@ from tilewright.llm.common import held_out, table
 from tilewright.llm.neardup import near_duplicates
 from tilewright.llm.packing import pack
 from tilewright.llm.quality import score_quality
+from tilewright.llm.secrets import scan_secrets
 from tilewright.llm.toxicity import score_toxicity
+from tilewright.llm.urls import PATTERNS, SITE_RULES, filter_urls, parse
 from tilewright.llm.vectors import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +90,41 @@ def _op1(spark, sf_dir):
 @_query("op5_kernel_quality")
 def _op5(spark, sf_dir):
     return _folded(score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@_query("op2_secret_scans")
+def _op2(spark, sf_dir):
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _site_sql(what: int) -> str:
+    cases = " ".join(f"WHEN (host = {_text(h)} OR ends_with(host, {_text('.' + h)})) AND starts_with(path, {_text(p)}) THEN {_text((h + p, v)[what])}"
+                     for h, p, v in sorted(SITE_RULES, key=lambda r: -len(r[0] + r[1])))
+    return f"CASE {cases} END"
+
+
+def _pattern_sql(what: str) -> str:
+    parsed = sorted(map(parse, PATTERNS), key=lambda p: not p.allows)
+    value = lambda p: _text(p.text if what == "pattern" else "allow" if p.allows else "block")
+    return "CASE " + " ".join(f"WHEN regexp_matches(low, {_text(p.regex.replace(chr(92) + 'Z', '$'))}) THEN {value(p)}" for p in parsed) + " END"
+
+
+# Every pattern on every url.
+_OP4_SQL = f"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
+    translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM pages),
+h AS (SELECT page_id, low, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (SELECT *, {_site_sql(0)} AS rule, {_site_sql(1)} AS site FROM h)
+SELECT page_id, host, path, rule, coalesce(site, {_pattern_sql("verdict")}, 'allow') AS verdict,
+  CASE WHEN rule IS NULL THEN {_pattern_sql("pattern")} END AS pattern FROM r
+"""
+
+
+@_query("op4_indexed_url_rules", _OP4_SQL)
+def _op4(spark, sf_dir):
+    return filter_urls(table(spark, sf_dir, "pages"))
