@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.llm.common import held_out, table
+from tilewright.llm.mixing import SEED, mix
 from tilewright.llm.neardup import near_duplicates
 from tilewright.llm.packing import pack
 from tilewright.llm.quality import score_quality
@@ -128,3 +129,27 @@ SELECT page_id, host, path, rule, coalesce(site, {_pattern_sql("verdict")}, 'all
 @_query("op4_indexed_url_rules", _OP4_SQL)
 def _op4(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"))
+
+
+# Sources clamped so far are a prefix in order of size by weight: the level is the first at which no other cap is reached.
+_OP8_SQL = rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS o FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+w AS (SELECT *, CAST([3, 1, 2][(row_number() OVER (ORDER BY source COLLATE C NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight, 2.0 * source_size AS cap FROM s),
+c AS (SELECT *, row_number() OVER (ORDER BY cap / weight, source) AS k FROM w),
+l AS (SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c),
+f AS (SELECT arg_min(level, k) AS level FROM l WHERE cap > level * weight),
+t AS (SELECT source, source_size, CAST(least(cap, coalesce(f.level, 1e300) * weight) AS DOUBLE) AS target FROM w, f),
+r AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, round(target, 3) AS target,
+  CAST(whole * size + greatest(0, least(size, CAST(round(target) AS BIGINT) - whole * source_size - before)) AS BIGINT) AS taken FROM r
+"""
+
+
+@_query("op8_capped_source_mix", _OP8_SQL)
+def _op8(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents")).drop("source").withColumn("target", F.round("target", 3))
