@@ -12,6 +12,7 @@ from tilewright.llm.mixing import SEED, mix
 from tilewright.llm.neardup import near_duplicates
 from tilewright.llm.packing import pack
 from tilewright.llm.quality import score_quality
+from tilewright.llm.rules import judge_quality
 from tilewright.llm.secrets import scan_secrets
 from tilewright.llm.toxicity import score_toxicity
 from tilewright.llm.urls import PATTERNS, SITE_RULES, filter_urls, parse
@@ -153,3 +154,8 @@ SELECT doc_id, size, source_size, round(target, 3) AS target,
 @_query("op8_capped_source_mix", _OP8_SQL)
 def _op8(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).drop("source").withColumn("target", F.round("target", 3))
+
+
+@_query("op7_voted_quality_rules")
+def _op7(spark, sf_dir):
+    return judge_quality(table(spark, sf_dir, "documents")).drop("quality")
