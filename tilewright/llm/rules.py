@@ -10,9 +10,10 @@ from tilewright.llm.common import BLANK, cut
 WINDOW = 8
 ROUNDS = 20
 PRIOR = 0.85
-# Beta prior of a rule's accuracy, as right and wrong votes.
-RIGHT, WRONG = 8.0, 2.0
-LEAST, MOST = 0.55, 0.99
+# Beta priors, as right and wrong votes, of a rule's accuracy on good and on bad documents: a rule that looks for one fault
+# is seldom wrong on good ones, and says good of bad ones with another fault.
+GOOD, BAD = (9.5, 0.5), (5.0, 5.0)
+MOST = 0.999
 
 
 def _words(text: Column) -> Column:
@@ -72,31 +73,42 @@ def votes() -> dict[str, Column]:
     }
 
 
+def _accuracy(right: Column, wrong: Column, prior: tuple[float, float]) -> Column:
+    return F.least(F.lit(MOST), (right + prior[0]) / (right + wrong + sum(prior)))
+
+
 def _learn(rules: int) -> Column:
-    """One row's worth of expectation-maximisation: (prior, accuracies) from the array ``patterns`` of (v, n).
+    """Expectation-maximisation in one row: prior and accuracies from the array ``patterns`` of (v, n).
 
-    A vote pattern occurs n times; there are at most 3 ** rules of them, whatever the number of documents. The probability of
-    good given a pattern is a logistic sum of its votes times the log odds of their rules' accuracies.
+    A vote pattern occurs n times; there are at most 3 ** rules of them, whatever the number of documents. A rule has one accuracy
+    on good and one on bad documents, the second at least so large that a vote never speaks against what it says.
     """
-    patterns = F.col("patterns")
-
     def step(state: Column) -> Column:
-        judged = F.transform(patterns, lambda p: F.struct(p["v"].alias("v"), p["n"].alias("n"), posterior(p["v"], state).alias("q")))
+        judged = F.transform("patterns", lambda p: F.struct(p["v"].alias("v"), p["n"].alias("n"), posterior(p["v"], state).alias("q")))
         total = F.aggregate(judged, F.lit(0.0), lambda a, p: a + p["n"])
         good = F.aggregate(judged, F.lit(0.0), lambda a, p: a + p["n"] * p["q"])
-        accuracies = F.transform(F.sequence(F.lit(0), F.lit(rules - 1)), lambda j: F.aggregate(
-            judged, F.struct(F.lit(RIGHT).alias("r"), F.lit(RIGHT + WRONG).alias("t")), lambda a, p: F.struct(
-                (a["r"] + p["n"] * F.when(p["v"][j] == 1, p["q"]).when(p["v"][j] == -1, 1 - p["q"]).otherwise(0.0)).alias("r"),
-                (a["t"] + p["n"] * F.abs(p["v"][j])).alias("t")), lambda a: F.least(F.lit(MOST), F.greatest(F.lit(LEAST), a["r"] / a["t"]))))
-        return F.struct(F.least(F.lit(MOST), F.greatest(F.lit(0.5), good / total)).alias("prior"), accuracies.alias("accuracies"))
 
-    start = F.struct(F.lit(PRIOR).alias("prior"), F.array_repeat(F.lit(RIGHT / (RIGHT + WRONG)), rules).alias("accuracies"))
+        def rule(j: Column) -> Column:
+            zero = F.struct(*(F.lit(0.0).alias(k) for k in ("gr", "gw", "br", "bw")))
+            add = lambda a, p, k, vote, q: (a[k] + F.when(p["v"][j] == vote, p["n"] * q).otherwise(0.0)).alias(k)
+            sums = F.aggregate(judged, zero, lambda a, p: F.struct(add(a, p, "gr", 1, p["q"]), add(a, p, "gw", -1, p["q"]),
+                                                                  add(a, p, "br", -1, 1 - p["q"]), add(a, p, "bw", 1, 1 - p["q"])),
+                               lambda a: F.struct(_accuracy(a["gr"], a["gw"], GOOD).alias("g"), _accuracy(a["br"], a["bw"], BAD).alias("b")))
+            return sums
+
+        fitted = F.transform(F.sequence(F.lit(0), F.lit(rules - 1)), rule)
+        bounded = F.transform(fitted, lambda r: F.struct(r["g"].alias("g"), F.greatest(r["b"], 1 - r["g"]).alias("b")))
+        return F.struct(F.least(F.lit(MOST), F.greatest(F.lit(0.5), good / total)).alias("prior"), bounded.alias("rules"))
+
+    first = F.struct(F.lit(GOOD[0] / sum(GOOD)).alias("g"), F.lit(BAD[0] / sum(BAD)).alias("b"))
+    start = F.struct(F.lit(PRIOR).alias("prior"), F.array_repeat(first, rules).alias("rules"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda state, _: step(state))
 
 
 def posterior(v: Column, state: Column) -> Column:
-    odds = F.aggregate(F.zip_with(v, state["accuracies"], lambda x, a: x * F.log(a / (1 - a))), F.log(state["prior"] / (1 - state["prior"])), lambda s, x: s + x)
-    return 1 / (1 + F.exp(-odds))
+    """Probability of good: the prior's log odds and, for each vote cast, the log ratio of its probabilities for good and bad."""
+    said = F.zip_with(v, state["rules"], lambda x, r: F.when(x == 1, F.log(r["g"] / (1 - r["b"]))).when(x == -1, F.log((1 - r["g"]) / r["b"])).otherwise(0.0))
+    return 1 / (1 + F.exp(-F.aggregate(said, F.log(state["prior"] / (1 - state["prior"])), lambda s, x: s + x)))
 
 
 def judge_quality(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -111,9 +123,11 @@ def judge_quality(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
     rules = votes()
     rows = cut(measures(documents).withColumn("v", F.array(*rules.values())))
     counts = rows.groupBy("v").agg(F.count("*").cast("double").alias("n")).agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("patterns"))
-    # the driver sees one row: a prior and one accuracy a rule
-    prior, accuracies = counts.select(_learn(len(rules)).alias("state")).select("state.*").first()
-    state = F.struct(F.lit(prior).alias("prior"), F.array(*map(F.lit, accuracies)).alias("accuracies"))
+    # the driver sees one row: a prior and two accuracies a rule
+    prior, learned = counts.select(_learn(len(rules)).alias("state")).select("state.*").first()
+    if learned is None:  # no documents
+        prior, learned = PRIOR, [(GOOD[0] / sum(GOOD), BAD[0] / sum(BAD))] * len(rules)
+    state = F.struct(F.lit(prior).alias("prior"), F.array(*(F.struct(F.lit(g).alias("g"), F.lit(b).alias("b")) for g, b in learned)).alias("rules"))
     judged = rows.withColumn("quality", posterior(F.col("v"), state))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
