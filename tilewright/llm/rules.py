@@ -12,8 +12,10 @@ ROUNDS = 20
 PRIOR = 0.85
 # Beta priors, as right and wrong votes, of a rule's accuracy on good and on bad documents: a rule that looks for one fault
 # is seldom wrong on good ones, and says good of bad ones with another fault.
-GOOD, BAD = (9.5, 0.5), (5.0, 5.0)
-MOST = 0.999
+GOOD, BAD = (99.0, 1.0), (4.0, 6.0)
+# Bounds of both, and of the prior. Faults are of several kinds that seldom meet in one document: without bounds the most common
+# kind becomes all that bad means, and the others pass as noise of good documents.
+GOOD_BOUNDS, BAD_BOUNDS, PRIOR_BOUNDS = (0.99, 0.999), (0.1, 0.5), (0.5, 0.9)
 
 
 def _words(text: Column) -> Column:
@@ -67,21 +69,25 @@ def votes() -> dict[str, Column]:
         "word_length": rule((mean < 2) | (mean > 12), (mean > 3) & (mean < 9)),
         "capitals": rule(F.col("n_capitals") > 0.4 * chars, F.col("n_capitals") < 0.15 * chars),
         "shouting": rule(F.col("n_shouts") > 0.2 * words, F.col("n_shouts") < 0.02 * words),
-        "repeated_words": rule(F.col("n_repeat_words") > 0.2 * words, F.col("n_repeat_words") == 0),
-        "repeated_lines": rule(F.col("n_dup_lines") > 0.3 * F.greatest("n_lines", F.lit(1)), F.col("n_dup_lines") == 0),
+        "repeated_words": rule(F.col("n_repeat_words") > 0.3 * words, F.col("n_repeat_words") == 0),
+        "repeated_lines": rule((F.col("n_lines") >= 5) & (F.col("n_dup_lines") > 0.6 * F.col("n_lines")), F.col("n_dup_lines") == 0),
         "variety": rule((F.col("n_words") >= 50) & (F.col("n_kinds") < 0.2 * words), (F.col("n_kinds") > 0.3 * words)),
     }
 
 
-def _accuracy(right: Column, wrong: Column, prior: tuple[float, float]) -> Column:
-    return F.least(F.lit(MOST), (right + prior[0]) / (right + wrong + sum(prior)))
+def _within(x: Column, bounds: tuple[float, float]) -> Column:
+    return F.least(F.lit(bounds[1]), F.greatest(F.lit(bounds[0]), x))
+
+
+def _accuracy(right: Column, wrong: Column, prior: tuple[float, float], bounds: tuple[float, float]) -> Column:
+    return _within((right + prior[0]) / (right + wrong + sum(prior)), bounds)
 
 
 def _learn(rules: int) -> Column:
     """Expectation-maximisation in one row: prior and accuracies from the array ``patterns`` of (v, n).
 
     A vote pattern occurs n times; there are at most 3 ** rules of them, whatever the number of documents. A rule has one accuracy
-    on good and one on bad documents, the second at least so large that a vote never speaks against what it says.
+    on good and one on bad documents, within bounds that keep a vote from speaking against what it says.
     """
     def step(state: Column) -> Column:
         judged = F.transform("patterns", lambda p: F.struct(p["v"].alias("v"), p["n"].alias("n"), posterior(p["v"], state).alias("q")))
@@ -93,12 +99,11 @@ def _learn(rules: int) -> Column:
             add = lambda a, p, k, vote, q: (a[k] + F.when(p["v"][j] == vote, p["n"] * q).otherwise(0.0)).alias(k)
             sums = F.aggregate(judged, zero, lambda a, p: F.struct(add(a, p, "gr", 1, p["q"]), add(a, p, "gw", -1, p["q"]),
                                                                   add(a, p, "br", -1, 1 - p["q"]), add(a, p, "bw", 1, 1 - p["q"])),
-                               lambda a: F.struct(_accuracy(a["gr"], a["gw"], GOOD).alias("g"), _accuracy(a["br"], a["bw"], BAD).alias("b")))
+                               lambda a: F.struct(_accuracy(a["gr"], a["gw"], GOOD, GOOD_BOUNDS).alias("g"), _accuracy(a["br"], a["bw"], BAD, BAD_BOUNDS).alias("b")))
             return sums
 
         fitted = F.transform(F.sequence(F.lit(0), F.lit(rules - 1)), rule)
-        bounded = F.transform(fitted, lambda r: F.struct(r["g"].alias("g"), F.greatest(r["b"], 1 - r["g"]).alias("b")))
-        return F.struct(F.least(F.lit(MOST), F.greatest(F.lit(0.5), good / total)).alias("prior"), bounded.alias("rules"))
+        return F.struct(_within(good / total, PRIOR_BOUNDS).alias("prior"), fitted.alias("rules"))
 
     first = F.struct(F.lit(GOOD[0] / sum(GOOD)).alias("g"), F.lit(BAD[0] / sum(BAD)).alias("b"))
     start = F.struct(F.lit(PRIOR).alias("prior"), F.array_repeat(first, rules).alias("rules"))
