@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.llm.common import held_out, table
+from tilewright.llm.licenses import HINT, RULES, TERMS, names, scan_licenses
 from tilewright.llm.mixing import SEED, mix
 from tilewright.llm.neardup import near_duplicates
 from tilewright.llm.packing import pack
@@ -159,3 +160,32 @@ def _op8(spark, sf_dir):
 @_query("op7_voted_quality_rules")
 def _op7(spark, sf_dir):
     return judge_quality(table(spark, sf_dir, "documents")).drop("quality")
+
+
+def _op10_sql() -> str:
+    """Sentences cut and named as in Spark; rules applied one after the other to the joined names."""
+    known = "MAP {" + ", ".join(f"{_text(k)}: {_text(v)}" for k, v in names().items()) + "}"
+    mark = "chr(2)"  # RE2 has no look-around: a mark is set behind sentence ends first
+    steps, last = [], "f"
+    for k, (rule, name, terms) in enumerate(RULES):
+        sign = _text("".join(f"|{n}|" for n in rule))
+        steps.append(f"r{k} AS (SELECT doc_id, sentences, replace(seq, {sign}, '#') AS seq, CASE WHEN contains(seq, {sign}) THEN list_append(l, {_text(name)}) ELSE l END AS l,"
+                     f" CASE WHEN contains(seq, {sign}) THEN list_append(t, {_text(terms)}) ELSE t END AS t FROM {last})")
+        last = f"r{k}"
+    order = " ".join(f"WHEN list_contains(t, {_text(t)}) THEN {_text(t)}" for t in TERMS)
+    first = "['" + "', '".join(dict.fromkeys(name for _, name, _ in RULES)) + "']"
+    return rf"""
+WITH p AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''), '\n+', {mark}, 'g'), '([.!?])[ \t\r]+([A-Z"(])', '\1' || {mark} || '\2', 'g'), {mark}) AS ps FROM documents),
+s AS (SELECT doc_id, list_filter(list_transform(list_filter(ps, lambda x: regexp_matches(x, {_text(HINT)})),
+    lambda x: {known}[trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))]), lambda n: n IS NOT NULL) AS found FROM p),
+f AS (SELECT doc_id, array_to_string(found, ',') AS sentences, array_to_string(list_transform(found, lambda n: '|' || n || '|'), '') AS seq,
+    CAST([] AS VARCHAR[]) AS l, CAST([] AS VARCHAR[]) AS t FROM s),
+{", ".join(steps)}
+SELECT doc_id, coalesce(sentences, '') AS sentences, coalesce(array_to_string(list_filter({first}, lambda n: list_contains(l, n)), ','), '') AS licenses,
+  CASE {order} END AS terms FROM {last}
+"""
+
+
+@_query("op10_license_scans", _op10_sql())
+def _op10(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))
