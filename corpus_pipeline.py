@@ -1,25 +1,59 @@
-"""The training-data pipeline: STAGES in order, each on all rows its predecessor kept."""
+"""The training-data pipeline: STAGES in order, each on all rows its predecessor kept.
+
+All stages but the last return the columns they got. Rows whose doc_id is null can't be rejected by id and stay.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm.common import table
+from tilewright.llm.common import cut, small, table
+from tilewright.llm.mixing import take
 from tilewright.llm.neardup import near_duplicates
+from tilewright.llm.packing import pack
+from tilewright.llm.secrets import redact_secrets
+from tilewright.llm.toxicity import score_toxicity
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` but for these ids, whose list is broadcast only if a count shows it to be short."""
+    return docs.join(small(cut(ids.select("doc_id").where("doc_id is not null").distinct())), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model rejects go."""
+    return _without(docs, score_toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, that of the smallest doc_id."""
+    return _without(docs, near_duplicates(docs).where("not kept"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; what is found in a text is replaced by a mark."""
+    return redact_secrets(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated, cut or left out so that each source's words come to its target."""
+    return take(docs)
 
 
-def _one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids with their place in sequences of 1024."""
+    return pack(docs)
 
 
-STAGES = [("near-duplicates", _one_of_each_group)]
+STAGES = [("toxicity", drop_toxic), ("near-duplicates", drop_near_duplicates), ("secrets", mask_secrets), ("mixing", mix_sources),
+          ("packing", pack_tokens)]
+# Trees and token ids have no SQL form; tests/llm holds each stage against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = stage(spark, docs if name == STAGES[0][0] else cut(docs), sf_dir)
     return docs
