@@ -60,8 +60,9 @@ RULES = (
 )
 # Worst first: what a text with several licences permits.
 TERMS = ("restricted", "copyleft", "permissive")
-# A sentence ends at a line end, or at . ! or ? before white space and a letter or quote that opens the next one.
-ENDS = r"\n+|(?<=[.!?])[ \t\r]+(?=[A-Z\"(])"
+# A sentence ends at . ! ? or : before white space and what opens the next one, and at a line end; in wrapped text, at a blank line.
+LINES = r"\n+|(?<=[.!?:])[ \t\r]+(?=[A-Z\"(])"
+WRAPPED = r"\n[ \t\r]*\n|(?<=[.!?:])[ \t\r\n]+(?=[A-Z\"(#*/])"
 NOISE = r"[^a-z0-9]+"
 HINT = "(?i)licen|reserved|domain|permi|warrant|merchantab|software|cc0"
 
@@ -83,18 +84,22 @@ def names() -> dict[str, str]:
 def scan_licenses(documents: DataFrame) -> DataFrame:
     """doc_id, sentences, licenses, terms for each row of (doc_id, text).
 
-    ``sentences`` lists the names of all known sentences in order, ``licenses`` the licences that rules recognise in them, each
+    ``sentences`` lists the names of all known sentences in order, by lines or as wrapped text, whichever knows more; ``licenses`` the licences that rules recognise in them, each
     once in the order of RULES, ``terms`` the strictest they ask for, or null. Rules match names that follow each other,
     whatever other sentences stand between; a name that a rule has used serves no later rule.
 
     Null and empty texts: no sentences, no licences. Rows are independent; null and repeated ids are scanned like any other.
     """
     known = F.create_map(*(F.lit(x) for pair in names().items() for x in pair))
-    pieces = F.split(F.coalesce("text", F.lit("")), ENDS)
-    # every known sentence has one of these words; only such pieces are normalised
-    likely = F.filter(pieces, lambda s: s.rlike(HINT))
-    found = F.filter(F.transform(likely, lambda s: F.try_element_at(known, normal(s))), lambda n: n.isNotNull())
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), found.alias("found"))
+
+    def named(ends: str) -> Column:
+        # every known sentence has one of these words; only such pieces are normalised
+        likely = F.filter(F.split("text", ends), lambda s: s.rlike(HINT))
+        return F.filter(F.transform(likely, lambda s: F.try_element_at(known, normal(s))), lambda n: n.isNotNull())
+
+    both = F.when(F.col("text").rlike(HINT), F.struct(named(LINES).alias("lines"), named(WRAPPED).alias("wrapped")))
+    found = F.when(F.size("b.wrapped") > F.size("b.lines"), F.col("b.wrapped")).otherwise(F.coalesce("b.lines", F.array().cast("array<string>")))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), both.alias("b")).select("doc_id", found.alias("found"))
     state = F.struct(F.array_join(F.transform("found", lambda n: F.concat(F.lit("|"), n, F.lit("|"))), "").alias("left"),
                      F.array().cast("array<string>").alias("licenses"), F.array().cast("array<string>").alias("terms"))
     rules = F.array(*(F.struct(F.lit("".join(f"|{n}|" for n in rule)).alias("mark"), F.lit(name).alias("license"), F.lit(terms).alias("terms"))

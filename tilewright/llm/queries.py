@@ -174,10 +174,14 @@ def _op10_sql() -> str:
         last = f"r{k}"
     order = " ".join(f"WHEN list_contains(t, {_text(t)}) THEN {_text(t)}" for t in TERMS)
     first = "['" + "', '".join(dict.fromkeys(name for _, name, _ in RULES)) + "']"
+    def named(blank: str, gap: str, opens: str) -> str:
+        pieces = (f"string_split(regexp_replace(regexp_replace(coalesce(text, ''), '{blank}', {mark}, 'g'), '([.!?:])[{gap}]+({opens})', '\\1' || {mark} || '\\2', 'g'), {mark})")
+        return (f"list_filter(list_transform(list_filter({pieces}, lambda x: regexp_matches(x, {_text(HINT)})), "
+                f"lambda x: {known}[trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))]), lambda n: n IS NOT NULL)")
+
     return rf"""
-WITH p AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''), '\n+', {mark}, 'g'), '([.!?])[ \t\r]+([A-Z"(])', '\1' || {mark} || '\2', 'g'), {mark}) AS ps FROM documents),
-s AS (SELECT doc_id, list_filter(list_transform(list_filter(ps, lambda x: regexp_matches(x, {_text(HINT)})),
-    lambda x: {known}[trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))]), lambda n: n IS NOT NULL) AS found FROM p),
+WITH p AS (SELECT doc_id, {named('\\n+', ' \\t\\r', '[A-Z"(]')} AS a, {named('\\n[ \\t\\r]*\\n', ' \\t\\r\\n', '[A-Z"(#*/]')} AS b FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(b) > len(a) THEN b ELSE a END AS found FROM p),
 f AS (SELECT doc_id, array_to_string(found, ',') AS sentences, array_to_string(list_transform(found, lambda n: '|' || n || '|'), '') AS seq,
     CAST([] AS VARCHAR[]) AS l, CAST([] AS VARCHAR[]) AS t FROM s),
 {", ".join(steps)}

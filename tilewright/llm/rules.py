@@ -103,7 +103,7 @@ def _learn(rules: int) -> Column:
             return sums
 
         fitted = F.transform(F.sequence(F.lit(0), F.lit(rules - 1)), rule)
-        return F.struct(_within(good / total, PRIOR_BOUNDS).alias("prior"), fitted.alias("rules"))
+        return F.struct(_within(F.when(total > 0, good / total).otherwise(PRIOR), PRIOR_BOUNDS).alias("prior"), fitted.alias("rules"))
 
     first = F.struct(F.lit(GOOD[0] / sum(GOOD)).alias("g"), F.lit(BAD[0] / sum(BAD)).alias("b"))
     start = F.struct(F.lit(PRIOR).alias("prior"), F.array_repeat(first, rules).alias("rules"))
