@@ -368,7 +368,7 @@ def _(fx):
 @query("capped_dates_per_tile", """SELECT pid, dt, dn, event_id FROM (SELECT *, dense_rank() OVER (PARTITION BY pid ORDER BY dt) AS k FROM fx_obs
 WHERE dt BETWEEN 20240101000000 AND 20241231235959 AND (dt // 10000) % 100 = 6) t WHERE k <= 30""")
 def _(fx):
-    cells = P.capped_dates(fx.obs, ["pid"], 20240101000000, 20241231235959, date="dt", hour=6)
+    cells = P.capped_dates(fx.obs, ["pid"], 20240101000000, 20241231235959, 30, date="dt", hour=6)
     return cells.select("pid", "dt", "dn", "event_id")
 
 
@@ -581,6 +581,12 @@ def _(fx):
 
 @query("dataset_between_capped", """SELECT hcol, z, y, x, 0 AS band, pos, dn FROM (SELECT *, dense_rank() OVER (PARTITION BY z, y, x ORDER BY hcol) AS k FROM fx_px
 WHERE status = 0 AND band = 1 AND hcol BETWEEN 20190200000000 AND 20201200000000 AND hcol // 1000000 % 100 = 0) t WHERE k <= 30""")
+def _(fx):
+    return _pixels(DS.between(*_named(fx), "ds/1", 20190200000000, 20201200000000, [1], cap=30, day=0))
+
+
+@query("dataset_between_uncapped", """SELECT hcol, z, y, x, 0 AS band, pos, dn FROM fx_px
+WHERE status = 0 AND band = 1 AND hcol BETWEEN 20190200000000 AND 20201200000000 AND hcol // 1000000 % 100 = 0""")
 def _(fx):
     return _pixels(DS.between(*_named(fx), "ds/1", 20190200000000, 20201200000000, [1], day=0))
 

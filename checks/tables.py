@@ -92,17 +92,28 @@ def _(fx):
 @query("categories_with_counts", """SELECT c.catid, c.catname, c.iorder, count(d.dpid) AS n FROM (SELECT * FROM fx_category WHERE itype = 1 AND visible = 1 ORDER BY iorder LIMIT 100) c
 LEFT JOIN fx_display d ON d.cat = c.catid GROUP BY c.catid, c.catname, c.iorder""")
 def _(fx):
-    shown = K.categories(fx.category, itype=1, visible=True)
+    shown = K.categories(fx.category, itype=1, visible=True, limit=K.CATEGORY_LIMIT)
     counts = K.count_by(fx.display, "cat").withColumnRenamed("cat", "catid")
     return shown.join(counts, "catid", "left").na.fill(0, ["n"]).select("catid", "catname", "iorder", "n")
 
 
 @query("search_products", """SELECT dpid FROM fx_display WHERE contains(lower(productname), 'brand#1') OR contains(lower(subtitle), 'brand#1')
  OR contains(lower(satellite), 'brand#1') OR contains(lower(sensor), 'brand#1') ORDER BY dpid LIMIT 20""")
+def _(fx):
+    return K.search_displays(fx.display, "brand#1", K.SEARCH_LIMIT)
+
+
+@query("search_products_all", """SELECT dpid FROM fx_display WHERE contains(lower(productname), 'brand#1') OR contains(lower(subtitle), 'brand#1')
+ OR contains(lower(satellite), 'brand#1') OR contains(lower(sensor), 'brand#1')""")
 def _(fx):
     return K.search_displays(fx.display, "brand#1")
 
 
+@query("categories_all", "SELECT catid, catname, visible, iorder, itype FROM fx_category")
+def _(fx):
+    return K.categories(fx.category).select("catid", "catname", "visible", "iorder", "itype")
+
+
 @query("search_layers", """SELECT smid, productname, iorder FROM (SELECT dpid AS smid, productname, iorder FROM fx_display) t WHERE contains(lower(productname), 're')""")
 def _(fx):
     found = K.layers(fx.display.withColumnRenamed("dpid", "smid"), "RE")

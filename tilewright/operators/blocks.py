@@ -44,6 +44,14 @@ def pixels_of(buffer, data_type: int, nbands: int, height: int, width: int) -> n
     return np.frombuffer(buffer, dtype=PIXEL_TYPES[data_type][0]).reshape(nbands, height, width)
 
 
+def fill_value(fill: float, kind) -> float:
+    """``fill`` if the pixel type can hold it; anything else would come out as some valid-looking pixel."""
+    kind = np.dtype(kind)
+    if kind.kind in "iu" and not (float(fill).is_integer() and np.iinfo(kind).min <= fill <= np.iinfo(kind).max):
+        raise ValueError(f"fill value {fill} does not fit pixels of type {kind}")
+    return fill
+
+
 def _block_arrays(batch: pa.RecordBatch) -> Iterator[np.ndarray | None]:
     """Pixels of each row's block; None for a failed tile, which has no data."""
     shape = [batch.column(n).to_pylist() for n in ("data_type", "nbands", "height", "width")]
@@ -70,7 +78,7 @@ def decode_blocks(blocks: DataFrame, kind: str = "long") -> DataFrame:
 
             held = 0
             for i, block in enumerate(_block_arrays(batch)):
-                for b in range(block.shape[0]):
+                for b in range(0 if block is None else block.shape[0]):
                     flat = block[b].reshape(-1).astype(numpy_kind)
                     at.append(i), bands.append(b), lengths.append(flat.size), parts.append(flat)
                     held += flat.size
@@ -192,6 +200,8 @@ def block_stats(blocks: DataFrame, regions: Regions, low: float, high: float, fi
             at, out = [], []
             cuts = batch.column("cuts")
             for i, block in enumerate(_block_arrays(batch)):
+                if block is None:
+                    continue
                 tile_cuts = cuts[i].values
                 ids, lists = tile_cuts.field("roi_id").to_pylist(), tile_cuts.field("runs")
                 runs, lengths = lists.flatten(), np.asarray(lists.value_lengths())
@@ -201,7 +211,7 @@ def block_stats(blocks: DataFrame, regions: Regions, low: float, high: float, fi
                 counts = np.add.reduceat((c1 - c0 + 1).astype("i8"), starts)
                 for band in range(block.shape[0]):
                     v = block[band].reshape(-1).astype("f8")
-                    is_fill = v == fill
+                    is_fill = np.isnan(v) if np.isnan(fill) else v == fill
                     ok = ~is_fill & (v >= low) & (v <= high)
                     valid = over_runs(np.add, ok.astype("i8"))
                     some = np.add.reduceat(valid, starts)
@@ -237,7 +247,7 @@ def clip_blocks(blocks: DataFrame, run_segments: DataFrame, fill: float, width:
                 if block is None:
                     data.append(None)
                     continue
-                out = np.full(block.shape, fill, dtype=block.dtype)
+                out = np.full(block.shape, fill_value(fill, block.dtype), dtype=block.dtype)
                 if runs[i].is_valid:
                     r = runs[i].values
                     index, _ = _flat_index(*(np.asarray(r.field(n)) for n in ("row", "c0", "c1")), block.shape[2])
@@ -299,7 +309,7 @@ class _Partial:
     def finish(self, fill) -> bytes:
         v = self.value / np.maximum(self.count, 1) if self.method == "ave" else self.value
         kind = self.data_type if self.method in ("min", "max") else FLOAT_TYPE
-        return np.where(self.count > 0, v, fill).astype(PIXEL_TYPES[kind][0]).tobytes()
+        return np.where(self.count > 0, v, fill_value(fill, PIXEL_TYPES[kind][0])).astype(PIXEL_TYPES[kind][0]).tobytes()
 
 
 def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fill: float,
@@ -334,6 +344,8 @@ def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fi
         for batch in batches:
             ids = zip(*(batch.column(n).to_pylist() for n in ident))
             for key, block in zip(ids, _block_arrays(batch)):
+                if block is None:
+                    continue
                 if key not in held:
                     held[key] = start(key, block.size)
                     used += 12 * block.size
@@ -352,6 +364,8 @@ def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fi
             dates, values, counts = batch.column("dates").to_pylist(), batch.column("value"), batch.column("count")
             for i, key in enumerate(ids):
                 if key != current:
+                    if current is not None and key[:-4] == current[:-4] and key[-4:] != current[-4:]:
+                        raise ValueError(f"blocks of one tile differ in size, bands or type: {current} and {key}")
                     if part is not None:
                         yield current, part
                     w, h, nb, _ = key[-4:]
@@ -382,7 +396,8 @@ def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fi
     parts = work.mapInArrow(combine, part_schema)
     if spread > 1:
         parts = parts.repartition(*ident, "salt").sortWithinPartitions(*ident).mapInArrow(gather, part_schema)
-    return parts.repartition(*ident).sortWithinPartitions(*ident).mapInArrow(in_batches(out_schema, finished), out_schema)
+    # by tile, not shape, so that blocks of another shape meet and are seen
+    return parts.repartition(*keys).sortWithinPartitions(*ident).mapInArrow(in_batches(out_schema, finished), out_schema)
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
@@ -415,7 +430,7 @@ def map_tiles(blocks: DataFrame, fn: TileFunction, inputs: Sequence[tuple[str, i
     """One result tile per address from the named inputs: ``fn(address, {(dsname, date): pixels}) -> pixels``.
 
     ``inputs`` lists the (dataset, date) pairs the function reads; pixels are [band, row, col]. A tile
-    that lacks some of them is given those it has. One input needs no shuffle; several bring the blocks
+    that lacks some of them is given those it has; one with several blocks for an input is an error. One input needs no shuffle; several bring the blocks
     of a tile together, at most one per input. A failing tile becomes a row with status 1 and the
     error text in ``log``; it does not stop the job.
     """
@@ -429,6 +444,10 @@ def map_tiles(blocks: DataFrame, fn: TileFunction, inputs: Sequence[tuple[str, i
         work = chosen.select(*keys, F.array(one).alias("inputs"))
     else:
         work = chosen.groupBy(*keys).agg(F.collect_list(one).alias("inputs"))
+        names = F.transform("inputs", lambda i: F.struct(i["dsname"], i["hcol"]))
+        once = F.size(F.array_distinct(names)) == F.size(names)
+        work = work.withColumn("inputs", F.when(once, F.col("inputs")).otherwise(F.raise_error(
+            F.lit("a tile has several blocks of one dataset and date: choose bands first")).cast(work.schema["inputs"].dataType)))
     schema = _schema([work.schema[k] for k in keys], RESULT)
 
     def computed(head, given):
@@ -507,6 +526,8 @@ def _split_rows(blocks: DataFrame, strips: int) -> DataFrame:
         for batch in batches:
             at, strip, height, data = [], [], [], []
             for i, block in enumerate(_block_arrays(batch)):
+                if block is None:
+                    continue
                 for s, rows in enumerate(np.array_split(np.arange(block.shape[1]), strips)):
                     if rows.size:
                         at.append(i), strip.append(s), height.append(rows.size)

@@ -84,20 +84,23 @@ def visible_displays(displays: DataFrame, category: int | None = None) -> DataFr
     return shown.select("dpid", "cat", "iorder").orderBy("iorder", "dpid")
 
 
-def search_displays(displays: DataFrame, word: str, limit: int = SEARCH_LIMIT) -> DataFrame:
-    """Displays whose name, subtitle, satellite or sensor holds the word."""
+def search_displays(displays: DataFrame, word: str, limit: int | None = None) -> DataFrame:
+    """Displays whose name, subtitle, satellite or sensor holds the word; all of them unless a limit is asked for."""
     texts = [F.col(c) for c in ("productname", "subtitle", "satellite", "sensor")]
-    return displays.where(contains_any(texts, word)).select("dpid").orderBy("dpid").limit(limit)
+    found = displays.where(contains_any(texts, word)).select("dpid").orderBy("dpid")
+    return found if limit is None else found.limit(limit)
 
 
 def categories(table: DataFrame, itype: int | None = None, visible: bool | None = None,
-               limit: int = CATEGORY_LIMIT) -> DataFrame:
+               limit: int | None = None) -> DataFrame:
+    """Categories in their order; all of them unless a limit is asked for."""
     out = table
     if itype is not None:
         out = out.where(F.col("itype") == itype)
     if visible is not None:
         out = out.where(F.col("visible") == int(visible))
-    return out.orderBy("iorder", "catid").limit(limit)
+    out = out.orderBy("iorder", "catid")
+    return out if limit is None else out.limit(limit)
 
 
 def category_tree(table: DataFrame, displays: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tilewright.functions.dates import has_parts
+from tilewright.functions.dates import MONTH, has_parts
 from tilewright.functions.grid import pixel_of_point
 from tilewright.operators.sides import fits_broadcast, hinted
 
@@ -21,6 +21,12 @@ def explode_pixels(tiles: DataFrame, column: str = "dn") -> DataFrame:
     )
 
 
+def dated(tiles: DataFrame, start: int, stop: int) -> DataFrame:
+    """Tiles of a date range; where the table's month column is there, its bounds become partition filters."""
+    chosen = tiles.where(F.col("hcol").between(start, stop))
+    return chosen.where(F.col("ym").between(start // MONTH, stop // MONTH)) if "ym" in tiles.columns else chosen
+
+
 def good_tiles(tiles: DataFrame) -> DataFrame:
     """Drop failed tiles."""
     return tiles.where("status = 0")
@@ -45,15 +51,15 @@ def select_bands(tiles: DataFrame, bands: Sequence[int], n_bands: int) -> DataFr
         "out_band", F.col("_use.i")).drop("_use")
 
 
-def capped_dates(cells: DataFrame, by: Sequence[str], start: int, stop: int, cap: int | None = 30, date: str = "hcol",
+def capped_dates(cells: DataFrame, by: Sequence[str], start: int, stop: int, cap: int | None = None, date: str = "hcol",
                  **parts: int) -> DataFrame:
-    """Cells in [start, stop] with the given date parts, on the first ``cap`` dates of each group.
+    """Cells in [start, stop] with the given date parts; with a ``cap``, on the first so many dates of each group.
 
-    The cap is part of the store read; ``cap=None`` gives the uncapped directory read. Only keys and
+    The store read of old had a cap of 30 dates, which a caller has to ask for. Only keys and
     dates are ranked; each group's last admitted date is joined back as a bound, so cell data moves
     only when the bounds are too many to broadcast.
     """
-    chosen = cells.where(F.col(date).between(start, stop) & has_parts(F.col(date), **parts))
+    chosen = (dated(cells, start, stop) if date == "hcol" else cells.where(F.col(date).between(start, stop))).where(has_parts(F.col(date), **parts))
     if cap is None:
         return chosen
     # Spark keeps the first `cap` of a group before the shuffle too (a rank filter over a window), so

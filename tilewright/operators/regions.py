@@ -28,6 +28,17 @@ def region_segments(segments: DataFrame, roi_id: str) -> DataFrame:
     return segments.sparkSession.read.parquet(roi_id)
 
 
+def known_segments(segments: DataFrame, roi_ids: Sequence[str]) -> DataFrame:
+    """Segments of all these regions (ids or paths) under the names given; ValueError for one that has none."""
+    out = None
+    for roi in dict.fromkeys(roi_ids):
+        one = region_segments(segments, roi).withColumn("roi_id", F.lit(roi))
+        if one.first() is None:
+            raise ValueError(f"unknown region {roi!r}")
+        out = one if out is None else out.unionByName(one.select(out.columns))
+    return out
+
+
 def runs(segments: DataFrame, by: Sequence[str], at_least: int = 1) -> DataFrame:
     """Disjoint runs (x0, x1) of each pixel row covered by ``at_least`` of its segments.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tilewright.operators.blocks import select_block_bands
 from tilewright.operators.catalog import product_by_name
-from tilewright.operators.pixels import capped_dates
+from tilewright.operators.pixels import capped_dates, dated, good_tiles
 from tilewright.sources.catalog import with_band_info
 from tilewright.sources.tiles import tiles_on_dates
 
@@ -22,11 +22,23 @@ def _bands(products: DataFrame, bands: DataFrame, name: str) -> DataFrame:
         "pid", "bindex", F.col("hPid").alias("hpid"), F.col("bsqIndex").alias("bsq_index"))
 
 
+def _selected(blocks: DataFrame, name: str, bands: DataFrame, wanted: Sequence[int]) -> DataFrame:
+    """Band-resolved tiles with every column the jobs need: one row per address and date, bands in the asked order."""
+    return select_block_bands(blocks, bands, ADDRESS, wanted).withColumn("dsname", F.lit(name)).withColumn(
+        "hpid", F.col("pid")).withColumn("status", F.lit(0))
+
+
+def resolved(tiles: DataFrame, products: DataFrame, bands: DataFrame, name: str, wanted: Sequence[int] = ()) -> DataFrame:
+    """All tiles of a product, each assembled from the store blocks its bands lie in; failed blocks are left out."""
+    return _selected(_of_product(tiles, products, name), name, _bands(products, bands, name), wanted)
+
+
 def _of_product(tiles: DataFrame, products: DataFrame, name: str) -> DataFrame:
     pid = product_by_name(products, name).select("pid").first()
     if pid is None:
         raise ValueError(f"unknown product {name!r}")
-    return tiles.where(F.col("dsname") == name).withColumn("pid", F.lit(pid.pid))
+    mine = tiles.where(F.col("dsname") == name).withColumn("pid", F.lit(pid.pid))
+    return good_tiles(mine) if "status" in tiles.columns else mine
 
 
 def dataset(tiles: DataFrame, products: DataFrame, bands: DataFrame, items: DataFrame, name: str, dt: int = 0,
@@ -39,21 +51,21 @@ def dataset(tiles: DataFrame, products: DataFrame, bands: DataFrame, items: Data
     if dt == 0:
         first = items.join(product_by_name(products, name).select("pid"), "pid", "left_semi").agg(F.min("hcol")).first()[0]
         if first is None:
-            return mine.limit(0).select(*ADDRESS, "width", "height", F.lit(0).alias("nbands"), "data_type", "data")
+            return _selected(mine.limit(0), name, _bands(products, bands, name), wanted)
         dt = first
-    return select_block_bands(mine.where(F.col("hcol") == dt), _bands(products, bands, name), ADDRESS, wanted)
+    return _selected(dated(mine, dt, dt), name, _bands(products, bands, name), wanted)
 
 
 def collection(tiles: DataFrame, products: DataFrame, bands: DataFrame, name: str, dates: DataFrame,
                wanted: Sequence[int] = ()) -> DataFrame:
     """Tiles of one product on the listed dates (column ``hcol``); missing dates are skipped."""
     mine = tiles_on_dates(_of_product(tiles, products, name), dates)
-    return select_block_bands(mine, _bands(products, bands, name), ADDRESS, wanted)
+    return _selected(mine, name, _bands(products, bands, name), wanted)
 
 
 def between(tiles: DataFrame, products: DataFrame, bands: DataFrame, name: str, start: int, stop: int,
-            wanted: Sequence[int] = (), cap: int | None = 30, **parts: int) -> DataFrame:
-    """Tiles of one product in a date range with the given date parts, the first ``cap`` dates of each tile."""
+            wanted: Sequence[int] = (), cap: int | None = None, **parts: int) -> DataFrame:
+    """Tiles of one product in a date range with the given date parts, with a ``cap`` the first so many dates of each tile."""
     mine = _of_product(tiles, products, name)
-    dated = capped_dates(mine, ["z", "y", "x"], start, stop, cap, **parts)
-    return select_block_bands(dated, _bands(products, bands, name), ADDRESS, wanted)
+    chosen = capped_dates(mine, ["z", "y", "x"], start, stop, cap, **parts)
+    return _selected(chosen, name, _bands(products, bands, name), wanted)

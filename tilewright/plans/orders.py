@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tilewright.functions.grid import grow_extent
 from tilewright.functions.text import EMPTY_PARAMS
+from tilewright.operators.blocks import SHAPE
 from tilewright.operators.catalog import common_inputs, product_by_name
 from tilewright.operators.collections import build_collections, daily_series
-from tilewright.operators.regions import Regions, common_extent, region_extents, region_segments, window_of
+from tilewright.operators.pixels import dated
+from tilewright.operators.regions import Regions, common_extent, known_segments, region_extents, window_of
 from tilewright.plans import statistics
+from tilewright.plans.datasets import resolved
 from tilewright.plans.tiles import Catalog, TileJobResult, compute_tiles, region_runs, run_tile_job
 from tilewright.sources.catalog import with_product_info
+from tilewright.sources.tiles import in_months
 from tilewright.sources.orders import Order, check_script_series, check_series, check_statistics
 
 
@@ -24,12 +29,23 @@ def _product(products: DataFrame, name: str):
     return row
 
 
-def run_statistics(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame) -> DataFrame:
-    """Region statistics of one dataset date at its highest zoom."""
+def _tiles(blocks: DataFrame, p, products: DataFrame, bands: DataFrame | None) -> DataFrame:
+    """Tiles of a product at its highest zoom, band-resolved where the bands are known."""
+    mine = blocks.where((F.col("dsname") == p.name) & (F.col("z") == p.maxZoom))
+    return mine if bands is None else resolved(mine, products, bands, p.name)
+
+
+def run_statistics(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame,
+                   bands: DataFrame | None = None) -> DataFrame:
+    """Region statistics of one dataset date at its highest zoom.
+
+    With the table of ``bands`` a tile is assembled from all store blocks its bands lie in; without it, each product must
+    have one block.
+    """
     check_statistics(order)
     p = _product(products, order.dsname)
-    tiles = blocks.where((F.col("dsname") == p.name) & (F.col("z") == p.maxZoom) & (F.col("hcol") == order.dt))
-    wanted = region_segments(segments, order.roi)
+    tiles = _tiles(dated(blocks, order.dt, order.dt), p, products, bands)
+    wanted = known_segments(segments, [order.roi])
     regions = Regions(wanted, p.tileWid, p.tileHei)
     tiles = window_of(tiles, wanted, p.tileWid, p.tileHei)
     return statistics.zonal_stats_blocks(tiles, regions, order.validMinInc, order.validMaxInc, order.filldata)
@@ -61,55 +77,69 @@ def common_extent_of(segments: DataFrame, rois: list[str], tile_size: int) -> tu
     return row.left, row.right, row.top, row.bottom
 
 
+def _with_known_bands(blocks: DataFrame, catalog: Catalog, name: str) -> DataFrame:
+    """Tiles of a product, band-resolved if the catalog lists its bands, else its one store block as it is."""
+    mine = product_by_name(catalog.products, name).select("pid")
+    columns = ["dsname", "hcol", "z", "y", "x", *SHAPE, "status", "data"]
+    if catalog.bands.join(mine, "pid", "left_semi").first() is None:
+        return blocks.where(F.col("dsname") == name).select(columns)
+    return resolved(blocks, catalog.products, catalog.bands, name).select(columns)
+
+
 def run_tiles(order: Order, blocks: DataFrame, segments: DataFrame, catalog: Catalog, functions: dict,
               inputs: list[tuple[str, int]], path: str) -> TileJobResult:
     """Compute tiles of all zooms with the user's function named by ``jsfile``, write and register them.
 
     ``inputs`` are the (dataset, date) pairs the function reads; date 0 stands for the order's date.
-    The output is the registered product ``mpid_hpid``. With a region, pixels outside become fill.
+    The output is the registered product ``mpid_hpid``. Inputs are band-resolved with the catalog's bands. With a region, pixels outside become fill.
     """
     if order.jsfile not in functions:
         raise ValueError(f"unknown function {order.jsfile!r}")
     common = resolve_inputs(catalog.products, [n for n, _ in inputs])
     rois = [r for r in (order.roi or "").split(";") if r]
+    segments = known_segments(segments, rois) if rois else segments
     extent = common_extent_of(segments, rois, common["width"])
     target = catalog.products.where(F.col("pid") == order.mpid_hpid).first()
     if target is None:
         raise ValueError(f"unknown output product {order.mpid_hpid}")
+    dates = [d or order.dt for _, d in inputs]
+    blocks = dated(blocks, min(dates), max(dates))
+    frames = [_with_known_bands(blocks, catalog, name) for name in dict.fromkeys(n for n, _ in inputs)]
     tiles = compute_tiles(
-        blocks, functions[order.jsfile], [(n, d or order.dt) for n, d in inputs], target.name, order.mpid_hpid,
+        reduce(DataFrame.unionByName, frames), functions[order.jsfile], [(n, d or order.dt) for n, d in inputs], target.name, order.mpid_hpid,
         order.out_hcol, common["max_zoom"], extent, region_runs(segments, rois) if rois else None, order.filldata,
         common["width"], common["height"])
     return run_tile_job(tiles, path, catalog, target.name, order.out_hcol, common["proj"], common["max_zoom"],
                         order.out_htable, common["styleid"], target.userid, order.filldata, extent)
 
 
-def _series_inputs(order: Order, name: str, blocks, segments, products, items):
+def _series_inputs(order: Order, name: str, blocks, segments, products, items, bands):
     p = _product(products, name)
     mine = items.where(F.col("pid") == p.pid)
     spec = order.dates()
     dates = build_collections(mine, spec) if spec.repeat_type else daily_series(mine, spec.whole)
-    tiles = blocks.where((F.col("dsname") == p.name) & (F.col("z") == p.maxZoom))
-    wanted = region_segments(segments, order.roi)
+    tiles = _tiles(in_months(blocks, dates), p, products, bands)
+    wanted = known_segments(segments, [order.roi])
     tiles = window_of(tiles, wanted, p.tileWid, p.tileHei)
     return tiles, dates, Regions(wanted, p.tileWid, p.tileHei), not spec.repeat_type
 
 
-def run_series(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame, items: DataFrame) -> DataFrame:
+def run_series(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame, items: DataFrame,
+               bands: DataFrame | None = None) -> DataFrame:
     """Series of one dataset: repeated periods by key, or every date under its day."""
     check_series(order)
-    tiles, dates, regions, per_date = _series_inputs(order, order.dsname, blocks, segments, products, items)
+    tiles, dates, regions, per_date = _series_inputs(order, order.dsname, blocks, segments, products, items, bands)
     return statistics.series_stats_blocks(tiles, dates, regions, order.method, order.validMinInc, order.validMaxInc,
                                           order.filldata, per_date).orderBy("key", "roi_id", "band")
 
 
 def run_script_series(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame, items: DataFrame,
-                      functions: dict, strips: int = 1) -> DataFrame:
+                      functions: dict, strips: int = 1, bands: DataFrame | None = None) -> DataFrame:
     """Series with one of the user's date-stack functions, named by the order's ``caller``."""
     check_script_series(order)
     if order.caller not in functions:
         raise ValueError(f"unknown function {order.caller!r}")
-    tiles, dates, regions, per_date = _series_inputs(order, order.baseddsname, blocks, segments, products, items)
+    tiles, dates, regions, per_date = _series_inputs(order, order.baseddsname, blocks, segments, products, items, bands)
     return statistics.script_series_blocks(tiles, dates, regions, functions[order.caller], order.validMinInc,
                                            order.validMaxInc, order.filldata, strips, per_date
                                            ).orderBy("key", "roi_id", "band")

@@ -11,13 +11,18 @@ from tilewright.operators.composite import composite
 from tilewright.operators.pixels import explode_pixels, good_tiles
 from tilewright.operators.regions import Regions
 from tilewright.operators.sides import fits_broadcast, hinted
+from tilewright.sources.tiles import in_months
 from tilewright.operators.zonal import merge_stats, tile_stats
 
 
 def _by_date(tiles: DataFrame, collections: DataFrame) -> DataFrame:
-    """One row per tile and key holding its date. Dates without a tile, and tiles without a key, drop out."""
-    dates = collections.select("key", "hcol").distinct()
-    return tiles.join(hinted(dates, fits_broadcast(dates)), "hcol")
+    """One row per tile and key holding its date. Dates without a tile, and tiles without a key, drop out.
+
+    Where both sides name the product (dsname, pid), a date counts for its own product only.
+    """
+    own = [c for c in ("dsname", "pid") if c in tiles.columns and c in collections.columns]
+    dates = collections.select("key", "hcol", *own).distinct()
+    return in_months(tiles, dates).join(hinted(dates, fits_broadcast(dates)), ["hcol", *own])
 
 
 def _place(pixels: DataFrame, width: int) -> DataFrame:

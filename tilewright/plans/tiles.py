@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tilewright.functions.grid import TILE_SIZE, tile_range
 from tilewright.operators.blocks import TileFunction, clip_blocks, composite_blocks, map_tiles
-from tilewright.operators.pixels import good_tiles, status_counts
+from tilewright.operators.pixels import dated, good_tiles, status_counts
 from tilewright.operators.regions import clip, intersection_of, merged
 from tilewright.sinks.registry import output_bands, output_item, output_product, replace_rows
-from tilewright.sinks.tiles import write_tiles
-from tilewright.sources.tiles import read_tiles
+from tilewright.sinks.tiles import FAILED, merge_cells, staged
 
 
 def zoom_windows(spark: SparkSession, extent: tuple[float, float, float, float], max_zoom: int,
@@ -58,7 +57,8 @@ def compute_tiles(blocks: DataFrame, fn: TileFunction, inputs: list[tuple[str, i
 
     ``inputs`` lists the (dataset, date) pairs the function reads.
     """
-    chosen = good_tiles(blocks).where(F.col("z") <= max_zoom)
+    dates = [date for _, date in inputs]
+    chosen = dated(good_tiles(blocks), min(dates), max(dates)).where(F.col("z") <= max_zoom)
     if extent is not None:
         chosen = in_windows(chosen, zoom_windows(blocks.sparkSession, extent, max_zoom, width))
     out = map_tiles(chosen, fn, inputs)
@@ -90,14 +90,18 @@ def run_tile_job(tiles: DataFrame, path: str, catalog: Catalog, dsname: str, hco
                  extent: tuple[float, float, float, float]) -> TileJobResult:
     """Write computed tiles, then add band, item and product rows when no tile failed.
 
-    Failed tiles are written as rows with their error text. Counts are read back from the written
-    table, one narrow column of it, so the user function runs once and retries cannot count twice.
+    Tiles go in cell by cell: other dates, regions and products of the table stay. Failed tiles replace nothing; they are
+    kept with their error text in a table beside it, under ``path`` + FAILED. Tiles are staged and counted there, so the
+    user function runs once and retries cannot count twice.
     """
     spark = tiles.sparkSession
-    write_tiles(tiles, path)
-    written = read_tiles(spark, path, dsname, start=hcol, stop=hcol)
-    counts = status_counts(written).first()
-    first = good_tiles(written).select("hpid", "nbands", "data_type").first()
+    with staged(tiles, path) as done:
+        counts = status_counts(done).first()
+        first = good_tiles(done).select("hpid", "nbands", "data_type").first()
+        if counts.good:
+            merge_cells(good_tiles(done), path)
+        if counts.bad:
+            merge_cells(done.where("status <> 0"), path.rstrip("/") + FAILED)
     if counts.bad or first is None:
         return TileJobResult(counts.good, counts.bad, catalog)
     left, right, top, bottom = (float(v) for v in extent)
@@ -116,6 +120,6 @@ def run_tile_job(tiles: DataFrame, path: str, catalog: Catalog, dsname: str, hco
 def composite_order(blocks: DataFrame, start: int, stop: int, method: str, low: float, high: float, fill: float,
                     out_hcol: int) -> DataFrame:
     """Composite of one dataset's tiles over a date range as tiles of a new date."""
-    chosen = good_tiles(blocks).where(F.col("hcol").between(start, stop))
+    chosen = dated(good_tiles(blocks), start, stop)
     done = composite_blocks(chosen, method, low, high, fill, ("dsname", "hpid", "z", "y", "x"))
     return done.withColumn("hcol", F.lit(out_hcol).cast("long")).withColumn("status", F.lit(0))

@@ -15,7 +15,6 @@ TILE_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -15,6 +15,9 @@ JSON_FIELDS = {"sum": "sum", "sq_sum": "sq_sum", "validCnt": "valid_cnt", "valid
 
 def bands_side_by_side(stats: DataFrame, n_bands: int, keys: Sequence[str] = ("key",)) -> DataFrame:
     """One row per key and region, the statistics of every band next to each other and named by band."""
+    known = F.col("band").between(0, n_bands - 1)
+    stats = stats.withColumn("band", F.when(known, F.col("band")).otherwise(
+        F.raise_error(F.concat(F.lit(f"a result has {n_bands} bands, so none is "), F.col("band").cast("string"))).cast("int")))
     values = [F.first(c).alias(n) for n, c in CSV_COLUMNS.items()]
     wide = stats.groupBy(*keys, "roi_id").pivot("band", list(range(n_bands))).agg(*values)
     named = [F.col(f"`{b}_{n}`").alias(f"{n}_b{b + 1}") for b in range(n_bands) for n in CSV_COLUMNS]

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tilewright.functions.dates import MONTH, int_div
 from tilewright.operators.sides import fits_broadcast, hinted
-from tilewright.session import shared_folder
-from tilewright.sources.tiles import CELL
+from tilewright.sources.tiles import CELL, newest
 
 PARTITIONS = ("dsname", "z", "ym")
+# Failed tiles of a job lie beside the table, under its path with this ending.
+FAILED = "_failed"
 
 
 # Tiles this many rows and columns apart are written together.
@@ -40,26 +43,60 @@ def write_tiles(tiles: DataFrame, path: str) -> None:
      .partitionBy(*PARTITIONS).parquet(path))
 
 
-def upsert_tiles(tiles: DataFrame, path: str, keys: Sequence[str] = CELL) -> None:
-    """Write cells into a table: an existing cell is replaced, the other cells of its partition stay.
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = _file_system(spark, path)
+    return system.exists(at)
+
+
+@contextmanager
+def staged(tiles: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``tiles`` computed once, in a folder beside the table that goes again at the end."""
+    spark = tiles.sparkSession
+    folder = f"{path.rstrip('/')}_staged-{uuid.uuid4().hex}"
+    try:
+        tiles.write.parquet(folder)
+        yield spark.read.schema(tiles.schema).parquet(folder)
+    finally:
+        system, at = _file_system(spark, folder)
+        system.delete(at, True)
+
+
+def upsert_tiles(tiles: DataFrame, path: str, keys: Sequence[str] = CELL, version: str | None = None) -> None:
+    """Write cells into a table: an existing cell is replaced, all other cells stay. A missing table is made.
+
+    Of several new rows for one cell the one of the largest ``version`` counts; without such a column they are an error.
     Only the partitions the new cells fall into are read and rewritten.
     """
-    spark = tiles.sparkSession
-    # written once: the new cells are needed three times and may come from a costly function
-    staged = shared_folder(spark, "staged")
-    tiles.write.parquet(staged)
-    tiles = spark.read.parquet(staged)
-    new = tiles.withColumn("ym", int_div(F.col("hcol"), MONTH))
-    touched = new.select(*PARTITIONS).distinct()
+    # the new cells are needed several times and may come from a costly function
+    with staged(tiles.drop("ym"), path) as new:
+        if version is not None:
+            new = newest(new, keys, version)
+        elif (twice := new.groupBy(*keys).count().where("count > 1").first()) is not None:
+            raise ValueError(f"several rows for the cell {twice.asDict()}")
+        merge_cells(new, path, keys)
+
+
+def merge_cells(new: DataFrame, path: str, keys: Sequence[str] = CELL) -> None:
+    """The work of ``upsert_tiles`` for cells that are stored elsewhere and occur once each."""
+    spark = new.sparkSession
+    if not exists(spark, path):
+        write_tiles(new, path)
+        return
+    touched = new.withColumn("ym", int_div(F.col("hcol"), MONTH)).select(*PARTITIONS).distinct()
     cells = new.select(*keys).distinct()
     old = spark.read.parquet(path).join(hinted(touched, fits_broadcast(touched)), list(PARTITIONS), "left_semi")
     kept = old.join(hinted(cells, fits_broadcast(cells)), list(keys), "left_anti").drop("ym")
-    write_tiles(kept.unionByName(tiles.select(kept.columns)), path)
+    write_tiles(kept.unionByName(new.select(kept.columns)), path)
 
 
 def write_bucketed(tiles: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
-    """A tile table bucketed by tile address: joins and composites per tile need no shuffle of the blocks."""
+    """A tile table bucketed by tile address: joins per tile need no shuffle of the blocks."""
     writer = tiles.write.mode("overwrite").bucketBy(buckets, "z", "y", "x").sortBy("z", "y", "x").format("parquet")
     if path:
         writer = writer.option("path", path)

@@ -1,6 +1,6 @@
 """The tile table: Parquet partitioned by (dsname, z, ym), rows sorted by (y, x, hcol) inside files.
 
-``ym`` is ``hcol div 10^8`` and exists only to prune; the readers add its predicate themselves.
+``ym`` is ``hcol div 10^8``. It exists only to prune: readers keep it and add its predicate to every test of dates.
 """
 
 from __future__ import annotations
@@ -9,8 +9,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tilewright.functions.dates import MONTH
+from tilewright.functions.dates import MONTH, int_div
 from tilewright.functions.keys import encode_key
+from tilewright.operators.pixels import dated
 from tilewright.operators.sides import fits_broadcast, hinted
 
 CELL = ("dsname", "hpid", "hcol", "z", "y", "x")
@@ -28,13 +29,13 @@ def read_tiles(spark: SparkSession, path: str, dsname: str | None = None, z: int
         tiles = tiles.where((F.col("ym") >= start // MONTH) & (F.col("hcol") >= start))
     if stop is not None:
         tiles = tiles.where((F.col("ym") <= stop // MONTH) & (F.col("hcol") <= stop))
-    return tiles.drop("ym")
+    return tiles
 
 
 def tile_cell(tiles: DataFrame, hpid: int, hcol: int, z: int, y: int, x: int) -> DataFrame:
     """One cell by its key; no row when absent."""
     c = F.col
-    return tiles.where((c("hpid") == hpid) & (c("hcol") == hcol) & (c("z") == z) & (c("y") == y) & (c("x") == x))
+    return dated(tiles, hcol, hcol).where((c("hpid") == hpid) & (c("z") == z) & (c("y") == y) & (c("x") == x))
 
 
 def cell_by_row_key(cells: DataFrame, pid: int, z: int, y: int, x: int, pid_bytes: int, yx_bytes: int) -> DataFrame:
@@ -46,7 +47,15 @@ def cell_by_row_key(cells: DataFrame, pid: int, z: int, y: int, x: int, pid_byte
 def tiles_on_dates(tiles: DataFrame, dates: DataFrame) -> DataFrame:
     """Tiles of the listed dates (column ``hcol``); missing dates are skipped."""
     wanted = dates.select("hcol").distinct()
-    return tiles.join(hinted(wanted, fits_broadcast(wanted)), "hcol", "left_semi")
+    return in_months(tiles, wanted).join(hinted(wanted, fits_broadcast(wanted)), "hcol", "left_semi")
+
+
+def in_months(tiles: DataFrame, dates: DataFrame) -> DataFrame:
+    """Tiles in the months of the dates: a list of at most twelve numbers a year that becomes a partition filter."""
+    if "ym" not in tiles.columns:
+        return tiles
+    months = [m for (m,) in dates.select(int_div(F.col("hcol"), MONTH)).distinct().collect() if m is not None]
+    return tiles.where(F.col("ym").isin(months) if months else F.lit(False))
 
 
 def newest(cells: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
