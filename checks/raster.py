@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from checks.registry import Registry
@@ -12,11 +14,12 @@ from tilewright.operators import blocks as B, collections as C, pixels as P, reg
 from tilewright.operators.composite import composite
 from tilewright.operators.pixels import explode_pixels, good_tiles
 from tilewright.operators.regions import Regions
-from tilewright.plans import datasets as DS, statistics as S, tiles as T
+from tilewright.plans import datasets as DS, orders as O, statistics as S, tiles as T
 from tilewright.session import shared_folder
 from tilewright.sinks.reports import bands_side_by_side, result_json
 from tilewright.sinks.tiles import upsert_tiles, write_tiles
 from tilewright.sources.catalog import with_band_info
+from tilewright.sources.orders import SERIES_FIELDS, STATISTIC_FIELDS, read_order
 from tilewright.sources.tiles import read_tiles, tile_cell, tiles_on_dates
 
 FILL, LOW, HIGH, W, H = -19999, -2000, 3000, 8, 8
@@ -258,20 +261,20 @@ def _(fx):
     return bands_side_by_side(_monthly(fx), 2)
 
 
-_JSON_NUMBERS = ["sum", "valid_cnt", "valid_min", "valid_max", "all_cnt", "fill_cnt"]
+_JSON_NUMBERS = ["sum", "sq_sum", "valid_cnt", "valid_min", "valid_max", "area_km2", "all_cnt", "fill_cnt"]
 
 
 @query("result_json", f"""SELECT roi_id, key, band, {', '.join(f'{c}::double AS {c}' for c in _JSON_NUMBERS)}, 0::bigint AS state, 'success' AS message
 FROM ({series_sql(_MONTH_PX, 'max')}) s""")
 def _(fx):
     """Documents are read back, so their text is checked field by field."""
-    schema = ("state long, message string, data array<struct<key: string, data: array<struct<sum: double, validCnt: double, "
-              "validMin: double, validMax: double, allCnt: double, fillCnt: double>>>>")
+    schema = ("state long, message string, data array<struct<key: string, data: array<struct<sum: double, sq_sum: double, validCnt: double, "
+              "validMin: double, validMax: double, areakm2: double, allCnt: double, fillCnt: double>>>>")
     docs = result_json(_monthly(fx)).withColumn("d", F.from_json("document", schema))
     per_key = docs.select("roi_id", "d.state", "d.message", F.explode("d.data").alias("k"))
     bands = per_key.select("roi_id", "state", "message", "k.key", F.posexplode("k.data").alias("band", "s"))
     names = {"sum": "sum", "valid_cnt": "validCnt", "valid_min": "validMin", "valid_max": "validMax", "all_cnt": "allCnt",
-             "fill_cnt": "fillCnt"}
+             "fill_cnt": "fillCnt", "sq_sum": "sq_sum", "area_km2": "areakm2"}
     return bands.select("roi_id", "key", "band", "state", "message", *[F.col(f"s.{n}").alias(c) for c, n in names.items()])
 
 
@@ -435,11 +438,33 @@ def _(fx):
     path = shared_folder(fx.spark, "tiles")
     write_tiles(blocks, path)
     add_one = T.compute_tiles(blocks.where(F.col("y") < 4), plus_one, [("mod/vi", D0)], "mod/vi", 1, D0, 21)
-    upsert_tiles(add_one.select(*blocks.columns), path)
+    # a repeated cell: the later version counts
+    twice = add_one.select(*blocks.columns).withColumn("v", F.lit(2)).unionByName(
+        blocks.where(f"y < 4 AND hcol = {D0}").withColumn("v", F.lit(1)))
+    upsert_tiles(twice, path, version="v")
     back = read_tiles(fx.spark, path, "mod/vi", 4).select("hcol", *KEYS, "width", "height", "nbands", "data_type", "data")
     return explode_pixels(B.decode_blocks(back)).select(*_PIXEL)
 
 
+_JOB_DATES = (20200500000000, 20200501000000)
+
+
+@query("tile_job_two_dates", f"""SELECT d.hcol, z, y, x, band, pos, CASE WHEN dn = {FILL} THEN dn ELSE dn + 1 END AS dn
+FROM fx_px CROSS JOIN (VALUES ({_JOB_DATES[0]}), ({_JOB_DATES[1]})) AS d(hcol) WHERE status = 0 AND fx_px.hcol = {D0}""")
+def _(fx):
+    """One date is computed in two halves, another of the same month at once; all cells and both items are there afterwards."""
+    path = shared_folder(fx.spark, "jobs") + "/tiles"
+    empty = lambda text: fx.spark.createDataFrame([], text)
+    catalog = T.Catalog(empty("pid int, name string, userid int, source string, info string"), empty("pid int, bindex int, info string"),
+                        empty("pid int, hcol long, dt0 long, dt1 long"))
+    west, east, globe = (-180.0, -1.0, 90.0, -90.0), (1.0, 180.0, 90.0, -90.0), (-180.0, 180.0, 90.0, -90.0)
+    for hcol, extent in ((_JOB_DATES[0], west), (_JOB_DATES[1], globe), (_JOB_DATES[0], east)):
+        tiles = T.compute_tiles(as_blocks(fx), plus_one, [("mod/vi", D0)], "out", 9, hcol, 4, extent, width=W)
+        catalog = T.run_tile_job(tiles, path, catalog, "out", hcol, "EPSG:4326", 4, "t", 0, 0, FILL, extent).catalog
+    items = catalog.items.where("pid = 9").select("hcol")
+    return explode_pixels(B.decode_blocks(tiles_on_dates(read_tiles(fx.spark, path, "out", 4), items))).select(*_PIXEL)
+
+
 def plus_one(address, tiles):
     (pixels,) = tiles.values()
     return (pixels + (pixels != FILL)).astype("<i2")
@@ -595,3 +620,60 @@ def _(fx):
 def _(fx):
     dates = C.build_collections(fx.tile_item, CollectionSpec(Period(D0, D0 + 100000000)))
     return _pixels(DS.collection(*_named(fx), "ds/1", dates))
+
+
+# ---- bands in several store blocks ---------------------------------------------------------------
+
+_TWO_PX = f"""SELECT dsname, w.place AS band, hcol, z, y, x, status, pos, CASE WHEN dn = {FILL} THEN dn ELSE dn + w.plus END AS dn, gx, gy
+FROM fx_px JOIN (VALUES (0, 1, 1000), (1, 0, 0), (2, 0, 1000)) AS w(place, band, plus) USING (band) WHERE status = 0"""
+_TWO_INFO = ('{"proj":"EPSG:4326","minZoom":0,"maxZoom":4,"dataType":3,"timeType":5,"hTableName":"t","tileWid":8,"tileHei":8,"styleid":1}')
+
+
+def _two_blocks(fx):
+    """Tiles with two store blocks, the second 1000 higher, of a product whose bands lie in both, not in the order of slices."""
+    raised = good_tiles(fx.tile).withColumn("hpid", F.lit(2)).withColumn("dn", F.transform("dn", lambda v: F.when(v == FILL, v).otherwise(v + 1000)))
+    second = B.encode_tiles(raised, ["dsname", "hpid", "hcol", *KEYS]).withColumn("status", F.lit(0))
+    products = fx.spark.createDataFrame([(1, "mod/vi", 0, "hbase", _TWO_INFO), (2, "mod/other", 0, "hbase", _TWO_INFO)],
+                                        "pid int, name string, userid int, source string, info string")
+    info = '{"hPid":%d,"bsqIndex":%d,"bName":"b","scale":1,"offset":0,"validMin":0,"validMax":1,"noData":0}'
+    bands = fx.spark.createDataFrame([(1, 0, info % (2, 1)), (1, 1, info % (1, 0)), (1, 2, info % (2, 0)), (2, 0, info % (1, 0))],
+                                     "pid int, bindex int, info string")
+    return as_blocks(fx).unionByName(second), products, bands
+
+
+_ORDER = {"dsname": "mod/vi", "jsfile": "", "roi": "sys:12", "filldata": FILL, "validMinInc": LOW, "validMaxInc": HIGH, "dt": D0, "method": "max",
+          "whole_start": _WHOLE.start, "whole_start_inc": 1, "whole_stop": _WHOLE.stop, "whole_stop_inc": 1, "repeat_type": "m", "repeat_start": 0,
+          "repeat_start_inc": 1, "repeat_stop": 31235959, "repeat_stop_inc": 1, "repeat_stopnextyear": 0}
+
+
+def _order(fx, fields):
+    """The order as a document in a folder, read back."""
+    path = shared_folder(fx.spark, "order")
+    fx.spark.createDataFrame([(json.dumps(_ORDER),)], "value string").coalesce(1).write.text(path)
+    return read_order(fx.spark, path, fields)
+
+
+@query("zonal_two_blocks", f"SELECT * FROM ({zonal_sql(f'SELECT * FROM ({_TWO_PX}) q WHERE hcol = {D0}')}) r WHERE roi_id = 'sys:12'")
+def _(fx):
+    blocks, products, bands = _two_blocks(fx)
+    return rounded(O.run_statistics(_order(fx, STATISTIC_FIELDS), blocks, fx.seg, products, bands))
+
+
+@query("series_two_blocks", "SELECT * FROM (" + series_sql(
+    f"SELECT *, (hcol // 100000000)::varchar AS key FROM ({_TWO_PX}) q WHERE hcol BETWEEN {_WHOLE.start} AND {_WHOLE.stop}", "max") + ") r WHERE roi_id = 'sys:12'")
+def _(fx):
+    blocks, products, bands = _two_blocks(fx)
+    return rounded(O.run_series(_order(fx, SERIES_FIELDS), blocks, fx.seg, products, fx.tile_item, bands))
+
+
+@query("dataset_to_stats", zonal_sql(f"SELECT * FROM ({_TWO_PX}) q WHERE hcol = {D0}"))
+def _(fx):
+    blocks, products, bands = _two_blocks(fx)
+    return rounded(S.zonal_stats_blocks(DS.dataset(blocks, products, bands, fx.tile_item, "mod/vi", D0), regions(fx), *ARGS))
+
+
+@query("compute_two_blocks", f"""SELECT z, y, x, band, pos, CASE WHEN dn = {FILL} THEN dn ELSE dn + 1 END AS dn FROM ({_TWO_PX}) q WHERE hcol = {D0}""")
+def _(fx):
+    blocks, products, bands = _two_blocks(fx)
+    done = T.compute_tiles(DS.resolved(blocks, products, bands, "mod/vi"), plus_one, [("mod/vi", D0)], "out", 9, 1, 4)
+    return explode_pixels(B.decode_blocks(good_tiles(done))).select(*KEYS, "band", "pos", "dn")
