@@ -345,9 +345,8 @@ def _(fx):
 
 
 def _band_table(fx):
-    """Bands 0 and 1 of the tiles' product, both slices of one store block."""
-    rows = with_band_info(fx.band).where("pid = 1 AND bindex < 2")
-    return rows.select("pid", "bindex", F.lit(1).alias("hpid"), F.col("bsqIndex").alias("bsq_index"))
+    """Bands of all products; those of the tiles' product are the slices of its store block."""
+    return with_band_info(fx.band).select("pid", "bindex", F.col("hPid").alias("hpid"), F.col("bsqIndex").alias("bsq_index"))
 
 
 @query("band_select_blocks", """SELECT hcol, z, y, x, w.out_band, pos, dn FROM fx_px JOIN (VALUES (0, 1), (1, 0)) AS w(out_band, band) USING (band) WHERE status = 0""")
@@ -590,9 +589,10 @@ def _(fx):
 # ---- datasets by name ----------------------------------------------------------------------------
 
 def _named(fx):
-    """The tiles under the name of product 1, whose two bands are the slices of its store block."""
-    products = fx.product.where("pid = 1")
-    return as_blocks(fx).withColumn("dsname", F.lit("ds/1")), products, fx.band.where("pid = 1")
+    """The tiles under the name of product 1, whose two bands are the slices of its store block, and again under another name."""
+    blocks = as_blocks(fx)
+    mine, other = (blocks.withColumn("dsname", F.lit(name)) for name in ("ds/1", "ds/2"))
+    return mine.unionByName(other), fx.product, fx.band
 
 
 def _pixels(blocks):

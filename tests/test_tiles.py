@@ -1,6 +1,7 @@
 """Regions, statistics merge, blocks, tables and jobs on small hand-made tiles."""
 
 import json
+import os
 import tempfile
 
 import numpy as np
@@ -17,7 +18,7 @@ from tilewright.sinks.tiles import upsert_tiles, write_bucketed, write_tiles
 from tilewright.sources.catalog import read_catalog_table
 from tilewright.sources.directory import read_tile_files, read_tile_files_on, with_shape
 from tilewright.sources.orders import SERIES_FIELDS, STATISTIC_FIELDS, TILE_FIELDS, read_order
-from tilewright.sources.tiles import cell_by_row_key, newest, read_tiles, tile_cell
+from tilewright.sources.tiles import cell_by_row_key, newest, read_tiles, tile_cell, tiles_on_dates
 
 FILL, LOW, HIGH = -9, 0, 100
 
@@ -504,3 +505,86 @@ def test_query_parameters(spark, world):
     assert O.run_query(spark, text, '{"low": 2}', items=world["items"]).first().n == 2
     for nothing in (None, "", "{}", "null", "undefined"):
         assert O.run_query(spark, "SELECT count(*) AS n FROM {items}", nothing, items=world["items"]).first().n == 4
+
+
+# ---- edges ---------------------------------------------------------------------------------------
+
+def test_repeated_cells_need_a_version(spark):
+    path = scratch("upsert") + "/t"
+    one = blocks_of(spark, {(20200100000000, 2, 0, 0): 1})
+    two = blocks_of(spark, {(20200100000000, 2, 0, 0): 2})
+    upsert_tiles(one, path)
+    with pytest.raises(ValueError):
+        upsert_tiles(one.unionByName(two), path)
+    upsert_tiles(one.withColumn("v", F.lit(1)).unionByName(two.withColumn("v", F.lit(2))), path, version="v")
+    assert [np.frombuffer(r.data, "<i2")[0] for r in read_tiles(spark, path).collect()] == [2]
+    assert [f for f in os.listdir(os.path.dirname(path)) if "staged" in f] == []
+
+
+def test_failed_tiles_replace_nothing(spark):
+    path = scratch("job") + "/t"
+    blocks = blocks_of(spark, {(20200100000000, 0, 0, 0): 3})
+    job = dict(catalog=catalog_of(spark), dsname="mine", hcol=1, proj="EPSG:4326", max_zoom=0, table="out", styleid=0, userid=3, fill=-9,
+               extent=(-180, 180, 90, -90))
+
+    def compute(fn):
+        return T.compute_tiles(blocks, fn, [("a", 20200100000000)], "mine", 9, 1, 0)
+
+    def same(address, tiles):
+        return next(iter(tiles.values()))
+
+    def fails(address, tiles):
+        raise RuntimeError("no")
+
+    assert T.run_tile_job(compute(same).limit(0), path, **job).good == 0
+    assert T.run_tile_job(compute(same), path, **job).good == 1
+    assert T.run_tile_job(compute(fails), path, **job).bad == 1
+    (kept,) = read_tiles(spark, path).collect()
+    assert kept.status == 0 and read_tiles(spark, path + "_failed").first().log == "RuntimeError: no"
+
+
+def test_dates_become_partition_filters(spark):
+    path = scratch("pruned") + "/t"
+    dates = [20200100000000, 20200200000000, 20210300000000]
+    upsert_tiles(blocks_of(spark, {(d, 2, 0, 0): 1 for d in dates}), path)
+    tiles = read_tiles(spark, path)
+    some = spark.createDataFrame([("k", dates[1])], "key string, hcol long")
+    plans = [tile_cell(tiles, 1, dates[0], 2, 0, 0), tiles_on_dates(tiles, some), P.capped_dates(tiles, ["y"], dates[0], dates[1]),
+             T.compute_tiles(tiles, lambda a, t: None, [("a", dates[1])], "o", 1, 1, 4), T.composite_order(tiles, dates[0], dates[1], "max", 0, 9, -9, 1)]
+    for frame in plans:
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        filters = text[text.index("PartitionFilters: ["):].split("]", 1)[0]
+        assert "ym" in filters, text
+    assert plans[0].count() == 1 and plans[1].count() == 1 and plans[2].count() == 2
+
+
+def test_unknown_regions_are_errors_and_paths_are_read(spark, world):
+    with pytest.raises(ValueError):
+        R.known_segments(world["segments"], ["sys:77"])
+    path = scratch("region") + "/r"
+    world["segments"].write.parquet(path)
+    found = R.known_segments(world["segments"], [path, "sys:1"])
+    assert {r.roi_id for r in found.select("roi_id").distinct().collect()} == {path, "sys:1"}
+    order = read_order(spark, order_file({**BASE, "roi": "sys:77"}), STATISTIC_FIELDS)
+    with pytest.raises(ValueError):
+        O.run_statistics(order, world["blocks"], world["segments"], world["products"])
+
+
+def test_fill_values_must_fit_and_nan_counts_as_fill(spark):
+    blocks = blocks_of(spark, {(1, 2, 0, 0): 5})
+    with pytest.raises(Exception, match="does not fit"):
+        B.clip_blocks(blocks, segments_of(spark, [("r", 2, 0, 0, 0)]).drop("roi_id"), -70000, 4, 4).collect()
+    data = np.array([1, np.nan, 3, np.nan], "<f4").tobytes()
+    tile = spark.createDataFrame([(2, 0, 0, 2, 2, 1, 6, data)], "z int, y int, x int, width int, height int, nbands int, data_type int, data binary")
+    (r,) = B.block_stats(tile, R.Regions(segments_of(spark, [("r", 2, 0, 0, 1), ("r", 2, 1, 0, 1)]), 2, 2), 0, 9, float("nan")).collect()
+    assert (r.valid_cnt, r.fill_cnt, r.sum) == (2, 2, 4)
+
+
+def test_other_shapes_of_one_tile_and_null_blocks(spark):
+    blocks = blocks_of(spark, {(1, 2, 0, 0): 5, (2, 2, 0, 0): 6})
+    failed = blocks.limit(1).withColumn("data", F.lit(None).cast("binary"))
+    assert B.decode_blocks(blocks.unionByName(failed)).count() == 2
+    assert B.composite_blocks(blocks.unionByName(failed), "max", 0, 9, -9).count() == 1
+    other = blocks.limit(1).withColumn("width", F.lit(8)).withColumn("height", F.lit(2))
+    with pytest.raises(Exception, match="differ in size"):
+        B.composite_blocks(blocks.unionByName(other), "max", 0, 9, -9).collect()
