@@ -15,6 +15,7 @@ BLANK = r"\x20\x09-\x0D"
 WORD = f"[^{BLANK}]+"
 # A side may be broadcast below this many rows of a few numbers each (about 64 MB as a hash table).
 BROADCAST_ROWS = 1_000_000
+BATCH_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,17 +49,29 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts are large rows: unless the session says otherwise, hand Python BATCH_ROWS of them at a time, not ten thousand.
+
+    Both sides of the pipe hold a batch in memory beside the heap, for each core of an executor.
+    """
+    key, usual = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if spark.conf.get(key, usual) == usual:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def per_row(df: DataFrame, fn: Callable, schema: str, columns: list[str]) -> DataFrame:
     """Apply ``fn(*values) -> iterable of tuples`` to each row of ``columns`` in Arrow batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # small slices, so that texts of one batch are not all Python objects at once
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
                 rows = [r for values in zip(*(part.column(c).to_pylist() for c in columns)) for r in fn(*values)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        pa.default_memory_pool().release_unused()
 
+    small_batches(df.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import per_row
+from tilewright.llm.common import per_row, small_batches
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "signed_token", "web_token", "private_key")
@@ -155,6 +155,7 @@ def redact_secrets(documents: DataFrame, mark: str = "[secret]") -> DataFrame:
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: redact(t, mark))
 
+    small_batches(documents.sparkSession)
     out = documents.withColumn("__clean", clean("text"))
     if "n_chars" in documents.columns:
         changed = ~F.col("text").eqNullSafe(F.col("__clean"))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import cut
+from tilewright.llm.common import cut, small_batches
 from tilewright.llm.components import components
 
 BLOCK = 512
@@ -42,6 +42,7 @@ def _units(vectors: DataFrame) -> DataFrame:
 
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), "embedding",
                           (F.col("vec_id").isNotNull() & F.col("label").isNotNull()).alias("usable"))
+    small_batches(vectors.sparkSession)
     return rows.mapInArrow(run, "vec_id long, label string, unit binary")
 
 
