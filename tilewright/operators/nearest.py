@@ -4,7 +4,7 @@ Work is cut into calendar slices. Inside a slice the nearest item is found by on
 distinct dates of items and probes. The edge item of a slice is also entered into the slices up to
 the next one that has items, so no slice depends on another. A slice of one product holds at most as
 many rows as it has distinct dates: neither a product with most of the probes nor a date that
-repeats in them makes one task large. Probes are read and shuffled once.
+repeats in them makes one task large. Rows of probes meet their answer by a join on the distinct dates.
 """
 
 from __future__ import annotations
