@@ -318,6 +318,14 @@ def _(fx):
     return explode_pixels(masked).select(*_PIXEL)
 
 
+@query("mask_by_other_date_blocks", f"""SELECT a.hcol, a.z, a.y, a.x, a.band, a.pos, CASE WHEN b.dn <> {FILL} AND b.dn BETWEEN 0 AND 800 THEN a.dn ELSE {FILL} END AS dn
+FROM fx_px a JOIN fx_px b ON a.z = b.z AND a.y = b.y AND a.x = b.x AND a.band = b.band AND a.pos = b.pos
+WHERE a.status = 0 AND b.status = 0 AND b.hcol = {D0 + 100000000}""")
+def _(fx):
+    blocks = as_blocks(fx)
+    return _pixels(B.mask_blocks(blocks, blocks.where(F.col("hcol") == D0 + 100000000), 0, 800, FILL))
+
+
 @query("physical_values", f"""SELECT p.hcol, p.z, p.y, p.x, p.band, p.pos, 0.5::double * p.dn + (-10)::double AS value
 FROM fx_px p JOIN fx_band b ON b.bindex = p.band AND b.pid = 1 WHERE p.status = 0 AND {VALID}""")
 def _(fx):
@@ -505,6 +513,11 @@ def _(fx):
     return P.lookup_points(fx.point, tiles, 4, W, H).select("id", "hcol", "band", "value")
 
 
+@query("pixel_values_at_points_blocks", f"""SELECT id, hcol, band, t.dn[q.row * 8 + q.col + 1]::double AS value FROM ({_POINT_PIXEL}) q JOIN fx_tile t ON t.z = 4 AND t.y = q.y AND t.x = q.x WHERE t.status = 0""")
+def _(fx):
+    return B.lookup_points_blocks(fx.point, as_blocks(fx), 4, W, H)
+
+
 @query("window_export", f"""SELECT hcol, z, y, x, band, pos, CASE WHEN {_in('sys:12')} THEN dn ELSE {FILL} END AS dn FROM fx_px p
 WHERE status = 0 AND y BETWEEN 2 AND 5 AND x BETWEEN 4 AND 11""")
 def _(fx):

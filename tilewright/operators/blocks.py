@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tilewright.functions.grid import pixel_of_point
 from tilewright.functions.pixels import BYTE_WIDTHS, PIXEL_TYPES, byte_width
 from tilewright.operators.composite import check_method
 from tilewright.operators.regions import Regions, cut_to_tiles
@@ -260,6 +261,58 @@ def clip_blocks(blocks: DataFrame, run_segments: DataFrame, fill: float, width:
     return work.mapInArrow(cut, _schema(blocks.schema.fields))
 
 
+def mask_blocks(blocks: DataFrame, mask: DataFrame, low: float, high: float, fill: float, keys: Sequence[str] = TILE) -> DataFrame:
+    """Keep pixels where the mask block's pixel is valid, else fill; band by band, or the mask's one band for all.
+
+    ``mask`` has one block a tile. Tiles without a mask block, and failed ones on either side, are dropped. Blocks stay binary.
+    """
+    keys, names = list(keys), blocks.columns
+    other = mask.where("data IS NOT NULL").select(*keys, *[F.col(c).alias(f"_m_{c}") for c in (*SHAPE, "data")])
+    work = blocks.where("data IS NOT NULL").join(other, keys).select(*names, *[f"_m_{c}" for c in (*SHAPE, "data")])
+
+    def run(batches):
+        for batch in batches:
+            data = []
+            masks = batch.select([f"_m_{c}" for c in (*SHAPE, "data")]).rename_columns([*SHAPE, "data"])
+            for block, m in zip(_block_arrays(batch), _block_arrays(masks)):
+                if m.shape[1:] != block.shape[1:] or m.shape[0] not in (1, block.shape[0]):
+                    raise ValueError(f"a mask of {m.shape} does not fit a block of {block.shape}")
+                v = m.astype("f8")
+                ok = (v >= low) & (v <= high) & ~(np.isnan(v) if np.isnan(fill) else v == fill)
+                data.append(np.where(ok, block, fill_value(fill, block.dtype)).astype(block.dtype).tobytes())
+            columns = [pa.array(data, pa.binary()) if n == "data" else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return work.mapInArrow(run, _schema(blocks.schema.fields))
+
+
+def lookup_points_blocks(points: DataFrame, blocks: DataFrame, z: int, width: int, height: int, per_row: int = 4096) -> DataFrame:
+    """(id, hcol, band, value) at lon/lat points (id, lon, lat), read from the blocks; points without a tile have no rows.
+
+    Points are gathered per tile, about ``per_row`` to a row, so a crowded tile is several rows; a block is decoded once a row.
+    """
+    at = points.withColumn("_p", pixel_of_point(F.col("lon"), F.col("lat"), z, width, height)).where("_p.y IS NOT NULL").select(
+        F.col("id").cast("long").alias("id"), F.col("_p.y").alias("y"), F.col("_p.x").alias("x"), (F.col("_p.row") * width + F.col("_p.col")).alias("at"))
+    counts = at.groupBy("y", "x").agg(F.ceil(F.count(F.lit(1)) / per_row).cast("long").alias("parts"))
+    part = F.pmod(F.xxhash64("id"), F.col("parts"))
+    gathered = at.join(counts, ["y", "x"]).groupBy("y", "x", part.alias("part")).agg(F.collect_list(F.struct("id", "at")).alias("_points"))
+    work = blocks.where((F.col("z") == z) & F.col("data").isNotNull()).join(gathered, ["y", "x"]).select("hcol", *SHAPE, "data", "_points")
+
+    def run(batches):
+        for batch in batches:
+            dates, lists = batch.column("hcol").to_pylist(), batch.column("_points")
+            for i, block in enumerate(_block_arrays(batch)):
+                found = lists[i].values
+                ids, place = found.field("id"), np.asarray(found.field("at"))
+                for band in range(block.shape[0]):
+                    n = len(place)
+                    yield pa.RecordBatch.from_arrays(
+                        [ids, pa.array(np.full(n, dates[i], "i8")), pa.array(np.full(n, band, "i4")), pa.array(block[band].reshape(-1)[place].astype("f8"))],
+                        ["id", "hcol", "band", "value"])
+
+    return work.mapInArrow(run, "id long, hcol long, band int, value double")
+
+
 # ---- composite -----------------------------------------------------------------------------------
 
 class _Partial:

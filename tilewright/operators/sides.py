@@ -18,9 +18,11 @@ def _field_bytes(kind) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Count the rows, stopping just past the limit. Only for flat rows of numbers and short names."""
+    """Count the rows, stopping just past the limit, with the longest text of each string column. Only for flat rows."""
     most = limit // row_bytes(df)
-    return df.limit(most + 1).count() <= most
+    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    rows, *longest = df.limit(most + 1).agg(F.count(F.lit(1)), *(F.max(F.octet_length(F.col(f"`{c}`"))) for c in texts)).first()
+    return rows * (row_bytes(df) + sum(n or 0 for n in longest)) <= limit
 
 
 def hinted(df: DataFrame, small: bool) -> DataFrame:
