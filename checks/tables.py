@@ -20,11 +20,11 @@ query = Registry()
 _INFO = """SELECT pid, name, userid, source, info->>'proj' AS proj, (info->>'maxZoom')::int AS max_zoom, (info->>'dataType')::int AS data_type,
  (info->>'timeType')::int AS time_type, info->>'hTableName' AS tab, (info->>'styleid')::int AS styleid FROM fx_product"""
 _BANDS = """SELECT pid, count(*) AS bands, string_agg(info->>'bName', ',' ORDER BY bindex) AS names FROM fx_band GROUP BY pid"""
-_LATEST = """SELECT pid, max(hcol) AS latest_hcol, min(fid) AS latest_fid FROM fx_item i WHERE hcol = (SELECT max(hcol) FROM fx_item j WHERE j.pid = i.pid) GROUP BY pid"""
+_LATEST = """SELECT pid, max(hcol) AS latest_hcol, min(fid) AS latest_fid, min(dt0) AS latest_dt0 FROM fx_item i WHERE hcol = (SELECT max(hcol) FROM fx_item j WHERE j.pid = i.pid) GROUP BY pid"""
 
 
 def _full_sql(where="true"):
-    return f"""SELECT p.pid, p.name, p.proj, p.max_zoom, p.data_type, coalesce(b.bands, 0) AS bands, b.names, s.hfamily, s.hpidbytenum, d.dpid, d.productname,
+    return f"""SELECT p.pid, p.name, p.proj, p.max_zoom, p.data_type, coalesce(b.bands, 0) AS bands, b.names, s.hfamily, s.hpidbytenum, d.dpid, d.productname, d.visible, d.cat, d.iorder,
  l.latest_hcol, l.latest_fid FROM ({_INFO}) p LEFT JOIN ({_BANDS}) b ON b.pid = p.pid LEFT JOIN fx_store s ON s.htablename = p.tab
  LEFT JOIN fx_display d ON d.pid = p.pid LEFT JOIN ({_LATEST}) l ON l.pid = p.pid WHERE {where}"""
 
@@ -33,7 +33,7 @@ def _full(fx, products):
     full = K.products_full(products, fx.band, fx.store, fx.display, fx.item)
     return full.select("pid", "name", "proj", F.col("maxZoom").alias("max_zoom"), F.col("dataType").alias("data_type"),
                        F.size("bands").alias("bands"), F.array_join(F.transform("bands", lambda b: b["bName"]), ",").alias("names"),
-                       "hfamily", "hpidbytenum", "dpid", "productname", "latest_hcol", "latest_fid")
+                       "hfamily", "hpidbytenum", "dpid", "productname", "visible", "cat", "iorder", "latest_hcol", "latest_fid")
 
 
 @query("product_full", _full_sql("p.userid = 0"))
@@ -195,7 +195,7 @@ def _(fx):
 
 @query("task_by_id", "SELECT ofid, mode, uid, status, tag FROM fx_task WHERE ofid = 77")
 def _(fx):
-    return fx.task.where("ofid = 77")
+    return K.task_by_id(fx.task, 77)
 
 
 _SCRIPTS = "SELECT o_orderkey AS sid, o_orderpriority AS title, o_orderdate::date::varchar AS utime, o_custkey % 7 AS uid FROM orders"

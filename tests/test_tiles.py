@@ -198,7 +198,7 @@ def test_composite_block_form_equals_pixel_form(spark, method, monkeypatch):
     rows = composite(P.explode_pixels(B.decode_blocks(blocks)), method, LOW, HIGH, FILL)
     want = sorted((r.z, r.y, r.x, r.band, r.pos, float(r.dn)) for r in rows.collect())
     for spread in (1, 3):
-        done = B.composite_blocks(blocks, method, LOW, HIGH, FILL, spread=spread)
+        done = B.composite_blocks(blocks, method, LOW, HIGH, FILL, spread=spread, heavy=0)
         got = P.explode_pixels(B.decode_blocks(done, kind))
         assert sorted((r.z, r.y, r.x, r.band, r.pos, float(r.dn)) for r in got.collect()) == want
     monkeypatch.setattr(B, "HELD_BYTES", 1)  # every block is sent on at once
@@ -588,3 +588,13 @@ def test_other_shapes_of_one_tile_and_null_blocks(spark):
     other = blocks.limit(1).withColumn("width", F.lit(8)).withColumn("height", F.lit(2))
     with pytest.raises(Exception, match="differ in size"):
         B.composite_blocks(blocks.unionByName(other), "max", 0, 9, -9).collect()
+
+
+def test_composites_exchange_once_unless_a_tile_is_heavy(spark):
+    cells = {(d, 2, 0, 0): d for d in range(1, 60)} | {(d, 2, 0, 1): d for d in range(1, 4)}
+    blocks = blocks_of(spark, cells).repartition(5)
+    plain = B.composite_blocks(blocks, "max", 0, 50, -9)
+    spread = B.composite_blocks(blocks, "max", 0, 50, -9, heavy=40)
+    assert {k: v.tolist() for k, v in arrays(plain).items()} == {k: v.tolist() for k, v in arrays(spread).items()}
+    steps = [frame._jdf.queryExecution().executedPlan().toString().count("MapInArrow") for frame in (plain, spread)]
+    assert steps == [2, 3]

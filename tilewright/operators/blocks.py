@@ -27,6 +27,8 @@ RESULT = "width int, height int, nbands int, data_type int, status int, log stri
 # Pixels handed on in one Arrow batch, and bytes of partial composites a task holds before it sends them.
 BATCH_PIXELS = 4_000_000
 HELD_BYTES = 128 * 1024 * 1024
+# Blocks of one tile beyond which a composite spreads them over several reducers first.
+HEAVY_TILE = 4096
 
 
 def _schema(fields: Sequence[T.StructField], added: str = "") -> T.StructType:
@@ -366,13 +368,13 @@ class _Partial:
 
 
 def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fill: float,
-                     keys: Sequence[str] = TILE, spread: int = 16) -> DataFrame:
+                     keys: Sequence[str] = TILE, spread: int = 16, heavy: int = HEAVY_TILE) -> DataFrame:
     """Composite of blocks over dates per ``keys`` (which include the tile address).
 
-    Tasks first combine the dates of a tile they hold. Partials are then combined in two steps, the
-    first spread over ``spread`` reducers per tile. Reducers read their partition sorted by tile and
-    hold one tile at a time, so a tile with a large part of all dates is neither sent to nor held by
-    one task.
+    Tasks first combine the dates of a tile they hold; one exchange by tile brings the partials together. If a count of addresses,
+    which reads no data, finds a tile with more than ``heavy`` blocks, partials are combined in two steps, the first spread over
+    ``spread`` reducers per tile, so that such a tile is not sent to one task. Reducers read their partition sorted by tile and
+    hold one tile at a time. The result is the same either way.
     """
     check_method(method)
     ident = [*keys, *SHAPE]
@@ -447,7 +449,7 @@ def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fi
 
     gather = in_batches(part_schema, lambda key, part: (*key, 0, part.dates, *part.pack()))
     parts = work.mapInArrow(combine, part_schema)
-    if spread > 1:
+    if spread > 1 and work.groupBy(*keys).count().where(F.col("count") > heavy).first() is not None:
         parts = parts.repartition(*ident, "salt").sortWithinPartitions(*ident).mapInArrow(gather, part_schema)
     # by tile, not shape, so that blocks of another shape meet and are seen
     return parts.repartition(*keys).sortWithinPartitions(*ident).mapInArrow(in_batches(out_schema, finished), out_schema)

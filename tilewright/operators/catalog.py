@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tilewright.functions.dates import date_label
 from tilewright.functions.text import contains_any, fill_template, lineage_pairs, non_empty_parts
+from tilewright.operators.sides import fits_broadcast, hinted
 from tilewright.sources.catalog import with_band_info, with_product_info
 
 # Limits of the lists (fixed values).
@@ -28,8 +29,9 @@ def bands_of(bands: DataFrame) -> DataFrame:
 
 def latest_items(items: DataFrame) -> DataFrame:
     """Newest item of every product; of several on that date the smallest fid."""
-    per_date = items.groupBy("pid", "hcol").agg(F.min("fid").alias("fid"))
-    return per_date.groupBy("pid").agg(F.max("hcol").alias("latest_hcol"), F.max_by("fid", "hcol").alias("latest_fid"))
+    per_date = items.groupBy("pid", "hcol").agg(F.min("fid").alias("fid"), F.min_by("dt0", "fid").alias("dt0"))
+    return per_date.groupBy("pid").agg(F.max("hcol").alias("latest_hcol"), F.max_by("fid", "hcol").alias("latest_fid"),
+                                       F.max_by("dt0", "hcol").alias("latest_dt0"))
 
 
 def products_with_store(products: DataFrame, bands: DataFrame, stores: DataFrame) -> DataFrame:
@@ -40,12 +42,12 @@ def products_with_store(products: DataFrame, bands: DataFrame, stores: DataFrame
 
 def products_full(products: DataFrame, bands: DataFrame, stores: DataFrame, displays: DataFrame,
                   items: DataFrame, language: str = "zh") -> DataFrame:
-    """Products joined to everything known of them, with the label of their latest date."""
+    """Products joined to everything known of them, with the label of their latest item's real start."""
     one_display = displays.groupBy("pid").agg(F.min("dpid").alias("dpid"))
     shown = displays.join(one_display, ["pid", "dpid"]).select("pid", "dpid", "productname", "visible", "cat", "iorder")
     latest = F.col("latest_hcol")
     return (products_with_store(products, bands, stores).join(shown, "pid", "left").join(latest_items(items), "pid", "left")
-            .withColumn("latest_label", date_label(latest, latest, F.col("timeType"), language)))
+            .withColumn("latest_label", date_label(F.col("latest_dt0"), latest, F.col("timeType"), language)))
 
 
 def system_products(products: DataFrame) -> DataFrame:
@@ -213,6 +215,11 @@ def lineage_rows(table: DataFrame, ident: str, text: str) -> DataFrame:
     return table.select(ident, F.explode(lineage_pairs(F.col(text))).alias("p")).select(ident, "p.dsname", "p.dt")
 
 
+def task_by_id(tasks: DataFrame, ident: int) -> DataFrame:
+    """One task; no row for an unknown one."""
+    return tasks.where(F.col("ofid") == ident)
+
+
 def region_names(table: DataFrame, ident: str, text: str) -> DataFrame:
     return table.select(ident, F.explode(non_empty_parts(F.col(text))).alias("roi_id"))
 
@@ -224,6 +231,7 @@ def common_inputs(inputs: DataFrame, products: DataFrame, ident: str) -> DataFra
     a distinct count, so the aggregate combines before its shuffle.
     """
     known = with_product_info(products).select(F.col("name").alias("dsname"), "proj", "maxZoom", "styleid")
+    known = hinted(known, fits_broadcast(known))  # a popular dataset is one key of many inputs
     used = F.col("styleid") > 0
     return inputs.join(known, "dsname", "left").groupBy(ident).agg(
         F.count_if(F.col("proj").isNull()).alias("unknown"),

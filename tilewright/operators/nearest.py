@@ -94,5 +94,6 @@ def with_default_date(requests: DataFrame, items: DataFrame, by: Sequence[str] =
     """Replace date 0 by the product's first item date."""
     by = list(by)
     first = items.groupBy(*by).agg(F.min("hcol").alias("_first"))
-    return (requests.join(first, by, "left")
+    # a product with most of the requests is one reducer only where its items are too many to broadcast
+    return (requests.join(hinted(first, fits_broadcast(first)), by, "left")
             .withColumn(dt, F.coalesce(F.nullif(F.col(dt), F.lit(0)), F.col("_first"))).drop("_first"))
