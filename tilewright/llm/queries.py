@@ -147,14 +147,14 @@ t AS (SELECT source, source_size, CAST(least(cap, coalesce(f.level, 1e300) * wei
 r AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, round(target, 3) AS target,
+SELECT doc_id, size, source_size, round(target, 6) AS target,
   CAST(whole * size + greatest(0, least(size, CAST(round(target) AS BIGINT) - whole * source_size - before)) AS BIGINT) AS taken FROM r
 """
 
 
 @_query("op8_capped_source_mix", _OP8_SQL)
 def _op8(spark, sf_dir):
-    return mix(table(spark, sf_dir, "documents")).drop("source").withColumn("target", F.round("target", 3))
+    return mix(table(spark, sf_dir, "documents")).drop("source").withColumn("target", F.round("target", 6))
 
 
 @_query("op7_voted_quality_rules")
