@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from checks.registry import Registry
 from tilewright.functions.dates import CollectionSpec, Period
@@ -20,7 +20,7 @@ from tilewright.sinks.reports import bands_side_by_side, result_json
 from tilewright.sinks.tiles import upsert_tiles, write_tiles
 from tilewright.sources.catalog import with_band_info
 from tilewright.sources.orders import SERIES_FIELDS, STATISTIC_FIELDS, read_order
-from tilewright.sources.tiles import read_tiles, tile_cell, tiles_on_dates
+from tilewright.sources.tiles import cell_by_row_key, read_tiles, tile_cell, tiles_on_dates
 
 FILL, LOW, HIGH, W, H = -19999, -2000, 3000, 8, 8
 D0 = 20190100000000
@@ -375,6 +375,13 @@ def _(fx):
     return explode_pixels(tile_cell(fx.tile, 1, D0, 4, 3, 9)).select("band", "pos", "dn")
 
 
+@query("cell_by_row_key", f"SELECT band, pos, dn FROM fx_px WHERE hcol = {D0} AND z = 4 AND y = 3 AND x = 9")
+def _(fx):
+    one_date = as_blocks(fx).where(F.col("hcol") == D0)
+    keyed = one_date.withColumn("row_key", encode_key(*[F.col(c) for c in ("hpid", *KEYS)], 4, 4))
+    return explode_pixels(B.decode_blocks(cell_by_row_key(keyed, 1, 4, 3, 9, 4, 4))).select("band", "pos", "dn")
+
+
 @query("capped_dates_per_tile", """SELECT pid, dt, dn, event_id FROM (SELECT *, dense_rank() OVER (PARTITION BY pid ORDER BY dt) AS k FROM fx_obs
 WHERE dt BETWEEN 20240101000000 AND 20241231235959 AND (dt // 10000) % 100 = 6) t WHERE k <= 30""")
 def _(fx):
@@ -679,6 +686,17 @@ def _(fx):
     return rounded(O.run_series(_order(fx, SERIES_FIELDS), blocks, fx.seg, products, fx.tile_item, bands))
 
 
+@query("series_rows_in_order", f"""SELECT key, band, row_number() OVER (ORDER BY key, band) AS place FROM (
+SELECT DISTINCT (hcol // 100000000)::varchar AS key, band FROM ({_TWO_PX}) q JOIN fx_seg s ON q.z = s.z AND q.gy = s.gy AND q.gx BETWEEN s.x0 AND s.x1
+WHERE s.roi_id = 'sys:12' AND hcol BETWEEN {_WHOLE.start} AND {_WHOLE.stop}) k""")
+def _(fx):
+    """The order of the job's rows, as numbers."""
+    blocks, products, bands = _two_blocks(fx)
+    out = O.run_series(_order(fx, SERIES_FIELDS), blocks, fx.seg, products, fx.tile_item, bands)
+    placed = out.withColumn("_at", F.monotonically_increasing_id())
+    return placed.select("key", "band", F.row_number().over(Window.orderBy("_at")).alias("place"))
+
+
 @query("dataset_to_stats", zonal_sql(f"SELECT * FROM ({_TWO_PX}) q WHERE hcol = {D0}"))
 def _(fx):
     blocks, products, bands = _two_blocks(fx)
