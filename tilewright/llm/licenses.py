@@ -84,7 +84,8 @@ def names() -> dict[str, str]:
 def scan_licenses(documents: DataFrame) -> DataFrame:
     """doc_id, sentences, licenses, terms for each row of (doc_id, text).
 
-    ``sentences`` lists the names of all known sentences in order, by lines or as wrapped text, whichever knows more; ``licenses`` the licences that rules recognise in them, each
+    ``sentences`` lists the names of all known sentences by their place in the text, whether they are known by lines or as
+    wrapped text; one that lies within another counts as part of it. ``licenses`` are those that rules recognise in them, each
     once in the order of RULES, ``terms`` the strictest they ask for, or null. Rules match names that follow each other,
     whatever other sentences stand between; a name that a rule has used serves no later rule.
 
@@ -97,9 +98,31 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
         likely = F.filter(F.split("text", ends), lambda s: s.rlike(HINT))
         return F.filter(F.transform(likely, lambda s: F.try_element_at(known, normal(s))), lambda n: n.isNotNull())
 
+    def placed(ends: str) -> Column:
+        """(start, back, name) of the known sentences; places count letters and digits, which no cut removes, and back is minus the end."""
+        pieces = F.transform(F.split("text", ends), lambda s: F.struct(
+            F.length(F.regexp_replace(F.lower(s), NOISE, "")).alias("n"), F.when(s.rlike(HINT), F.try_element_at(known, normal(s))).alias("name")))
+
+        def step(state: Column, piece: Column) -> Column:
+            end = state["end"] + piece["n"]
+            one = F.struct(state["end"].alias("start"), (-end).alias("back"), piece["name"].alias("name"))
+            return F.struct(end.alias("end"), F.when(piece["name"].isNotNull(), F.array_append(state["found"], one)).otherwise(state["found"]).alias("found"))
+
+        return F.aggregate(pieces, F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,back:int,name:string>>").alias("found")),
+                           step, lambda state: state["found"])
+
+    def further(state: Column, one: Column) -> Column:
+        # by start and then from the longest: what ends no later than one before it lies within that
+        new = -one["back"] > state["end"]
+        return F.struct(F.greatest(state["end"], -one["back"]).alias("end"),
+                        F.when(new, F.array_append(state["found"], one["name"])).otherwise(state["found"]).alias("found"))
+
     both = F.when(F.col("text").rlike(HINT), F.struct(named(LINES).alias("lines"), named(WRAPPED).alias("wrapped")))
-    found = F.when(F.size("b.wrapped") > F.size("b.lines"), F.col("b.wrapped")).otherwise(F.coalesce("b.lines", F.array().cast("array<string>")))
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), both.alias("b")).select("doc_id", found.alias("found"))
+    none = F.array().cast("array<string>")
+    merged = F.aggregate(F.array_sort(F.concat(placed(LINES), placed(WRAPPED))), F.struct(F.lit(0).alias("end"), none.alias("found")), further, lambda s: s["found"])
+    # places matter only where both cuts know something
+    found = F.when(F.size("b.lines") == 0, F.col("b.wrapped")).when(F.size("b.wrapped") == 0, F.col("b.lines")).when(F.col("b").isNotNull(), merged).otherwise(none)
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", both.alias("b")).select("doc_id", found.alias("found"))
     state = F.struct(F.array_join(F.transform("found", lambda n: F.concat(F.lit("|"), n, F.lit("|"))), "").alias("left"),
                      F.array().cast("array<string>").alias("licenses"), F.array().cast("array<string>").alias("terms"))
     rules = F.array(*(F.struct(F.lit("".join(f"|{n}|" for n in rule)).alias("mark"), F.lit(name).alias("license"), F.lit(terms).alias("terms"))
