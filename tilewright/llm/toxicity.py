@@ -129,8 +129,8 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = 12_000, trees: int = 20,
-                   threshold: float = 0.7) -> DataFrame:
-    """doc_id, score, predicted for each row of (doc_id, text), from (doc_id, label) rows that are not held out.
+                   threshold: float = 0.7, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """doc_id (or the columns ``keep``), score, predicted for each row of (doc_id, text), from (doc_id, label) rows that are not held out.
 
     Lexicon and trees are fitted on at most ``sample_rows`` labelled documents; everything is scored by whole text.
 
@@ -141,10 +141,10 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic"
     sample = training_sample(documents, labels, label, sample_rows)
     fit, rest = sample.where("not calibrates"), sample.where("calibrates")
     kinds = {(y, c) for y, c in sample.groupBy("y", "calibrates").count().select("y", "calibrates").collect()}
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = documents.withColumn("doc_id", F.col("doc_id").cast("long")).select("text", *keep)
     if len({y for y, c in kinds if not c}) < 2:
         score = F.lit(float(max((y for y, _ in kinds), default=0)))
-        return docs.select("doc_id", score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
+        return docs.select(*keep, score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
     if len({y for y, c in kinds if c}) < 2:
         rest = sample
     lexicon = learn_lexicon(fit)
@@ -156,6 +156,6 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic"
     margin = lambda df: model.transform(df).withColumn("margin", vector_to_array("rawPrediction")[1])
     held = as_rows(known.where("calibrates") if rest is not sample else known)
     curve = IsotonicRegression(featuresCol="margin", labelCol="y", predictionCol="score").fit(margin(held).select("margin", "y"))
-    scored = curve.transform(margin(_described(docs, lexicon, ["doc_id"]).select("doc_id", vector.alias("x"))))
+    scored = curve.transform(margin(_described(docs, lexicon, list(keep)).select(*keep, vector.alias("x"))))
     score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score"))
-    return scored.select("doc_id", score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
+    return scored.select(*keep, score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
