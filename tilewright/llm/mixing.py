@@ -45,9 +45,15 @@ def _order(seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
 
 
+def _tie(documents: DataFrame) -> Column:
+    """A hash of the whole row, the order of rows of one doc_id and size; rows that share it are alike."""
+    return F.xxhash64("text", F.to_json(F.struct(*(c for c in documents.columns if c != "text"))))
+
+
 def _amounts(documents: DataFrame, share: float, epochs: int, seed: str) -> DataFrame:
-    """doc_id, source, size, source_size, target, order, whole (repetitions) and some (words of the fractional one)."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), _order(seed).alias("order"))
+    """doc_id, source, size, source_size, target, order, tie, whole (repetitions) and some (words of the fractional one)."""
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), _order(seed).alias("order"),
+                            _tie(documents).alias("tie"))
     rows = cut(rows.withColumn("part", F.substring("order", 1, DIGITS)))
     targets = source_targets(rows.select("source", "size"), share, epochs)
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
@@ -55,7 +61,7 @@ def _amounts(documents: DataFrame, share: float, epochs: int, seed: str) -> Data
     parts = parts.withColumn("first", F.coalesce(F.sum("part_size").over(before), F.lit(0)))
     offsets = parts.alias("p").join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))) \
         .select(F.col("p.source").alias("s"), F.col("part").alias("p"), "first", "source_size", "target")
-    within = Window.partitionBy("source", "part").orderBy("order", F.col("doc_id").asc_nulls_first(), "size") \
+    within = Window.partitionBy("source", "part").orderBy("order", F.col("doc_id").asc_nulls_first(), "size", "tie") \
         .rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     # at most 4096 rows a source; with many sources the join shuffles instead
@@ -63,7 +69,8 @@ def _amounts(documents: DataFrame, share: float, epochs: int, seed: str) -> Data
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.round(F.col("target")).cast("long") - whole * F.col("source_size")
     some = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("first") - F.col("inside")))
-    return joined.select("doc_id", "source", "size", "source_size", "target", "order", whole.alias("whole"), some.alias("some"))
+    return joined.select("doc_id", "source", "size", "source_size", "target", "order", "tie", whole.alias("whole"), some.alias("some"))
+
 
 def mix(documents: DataFrame, share: float = 1.5, epochs: int = 2, seed: str = SEED) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for each row of (doc_id, text, source).
@@ -74,7 +81,7 @@ def mix(documents: DataFrame, share: float = 1.5, epochs: int = 2, seed: str = S
     task's work. The same input gives the same rows.
 
     A null text has size 0, a null source is a source of its own, last in order. Null doc_ids come first in the order; rows that
-    repeat a doc_id are taken one after the other, smaller sizes first. Sources without words have target 0.
+    repeat a doc_id are taken one after the other, smaller sizes first and then by a hash of the row. Sources without words have target 0.
     """
     amounts = _amounts(documents, share, epochs, seed)
     return amounts.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("some")).cast("long").alias("taken"))
@@ -85,21 +92,36 @@ def take(documents: DataFrame, share: float = 1.5, epochs: int = 2, seed: str =
 
     All a row needs is its source's number of whole repetitions and the place in the order where the fractional one ends, one
     row a source; so texts are not shuffled. ``n_chars``, where there is one, counts a cut text anew. Documents not taken go;
-    those without words stay once, as nothing of them can be taken. Rows that repeat the doc_id at which a source ends are cut alike.
+    those without words stay once, as nothing of them can be taken. Rows alike in all columns share a place: where a source
+    ends among some, one of them is repeated as often as their words reach, and cut once for the rest.
     """
     amounts = cut(_amounts(documents, share, epochs, seed))
-    short = F.col("some") < F.col("size")
-    ends = amounts.groupBy("source").agg(F.first("whole").cast("int").alias("__whole"), F.min(F.when(short, F.col("order"))).alias("__end"),
-                                         F.min_by("some", F.when(short, F.struct("order", "some"))).cast("int").alias("__some"))
-    ends = small(cut(ends.withColumnRenamed("source", "__source")))
-    rows = documents.join(ends, F.col("source").eqNullSafe(F.col("__source")))
+    place = F.struct("order", "size", "tie")
+    ends = amounts.groupBy("source").agg(F.first("whole").cast("int").alias("__whole"), F.min(F.when(F.col("some") < F.col("size"), place)).alias("__end"))
+    ends = ends.withColumnRenamed("source", "__source")
+    here = amounts.join(small(cut(ends.select("__source", "__end"))), F.col("source").eqNullSafe(F.col("__source")) & (place == F.col("__end")))
+    here = here.groupBy("__source").agg(F.sum("some").alias("__some"), F.count("*").alias("__alike")).withColumnRenamed("__source", "__at")
+    ends = cut(ends.join(here, F.col("__source").eqNullSafe(F.col("__at")), "left").drop("__at"))
+    shared = not ends.where("__alike > 1").isEmpty()
+    rows = documents.join(small(ends), F.col("source").eqNullSafe(F.col("__source")))
     words = F.filter(F.split("text", f"[{BLANK}]+"), lambda w: w != "")
-    at = _order(seed)
-    full = F.col("__end").isNull() | (at < F.col("__end"))
-    part = F.when(at == F.col("__end"), F.least("__some", F.size(words))).otherwise(0)
-    copies = F.when(F.coalesce(word_count(F.col("text")), F.lit(0)) == 0, F.array(F.lit(0))).otherwise(F.concat(
-        F.array_repeat(F.lit(0), F.col("__whole") + full.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>"))))
-    rows = rows.withColumn("__cut", F.explode(copies))
+    at, size, tie = _order(seed), word_count(F.col("text")), _tie(documents)
+    # only rows of the doc_id at which the source ends need more than its hash
+    same = (at == F.col("__end.order")) & (size == F.col("__end.size"))
+    full = F.col("__end").isNull() | (at < F.col("__end.order")) | ((at == F.col("__end.order")) & (
+        (size < F.col("__end.size")) | ((size == F.col("__end.size")) & (tie < F.col("__end.tie")))))
+    ending = same & (tie == F.col("__end.tie"))
+    part = F.when(ending & (F.col("__alike") == 1), F.col("__some").cast("int")).otherwise(0)
+    copies = F.when(size == 0, F.array(F.lit(0))).otherwise(F.concat(
+        F.array_repeat(F.lit(0), F.col("__whole") + F.coalesce(full, F.lit(False)).cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>"))))
+    if shared:
+        one = rows.where(ending & (F.col("__alike") > 1)).groupBy("__source").agg(
+            F.first(F.struct(*documents.columns)).alias("d"), F.first("__some").alias("__some"), F.first("__end.size").alias("__size"))
+        one = one.select("d.*", F.concat(F.array_repeat(F.lit(0), F.floor(F.col("__some") / F.col("__size")).cast("int")), F.when(
+            F.col("__some") % F.col("__size") > 0, F.array((F.col("__some") % F.col("__size")).cast("int"))).otherwise(F.array().cast("array<int>"))).alias("__copies"))
+    rows = rows.select(*documents.columns, copies.alias("__copies"))
+    rows = rows.unionByName(one) if shared else rows
+    rows = rows.withColumn("__cut", F.explode("__copies"))
     some = F.col("__cut") > 0
     out = rows.withColumn("text", F.when(some, F.array_join(F.slice(words, 1, F.col("__cut")), " ")).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
