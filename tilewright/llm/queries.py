@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.llm.common import held_out, table
+from tilewright.llm.lexical import rank_documents
 from tilewright.llm.licenses import HINT, RULES, TERMS, names, scan_licenses
 from tilewright.llm.mixing import SEED, mix
 from tilewright.llm.neardup import near_duplicates
@@ -193,3 +194,27 @@ SELECT doc_id, coalesce(sentences, '') AS sentences, coalesce(array_to_string(li
 @_query("op10_license_scans", _op10_sql())
 def _op10(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+# Terms of all documents as rows, counted by document.
+_OP11_SQL = r"""
+WITH low AS (SELECT row_number() OVER () AS d, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+i AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY 1, 2),
+w AS (SELECT d, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM low),
+n AS (SELECT d, count(*) AS n FROM w GROUP BY 1),
+c AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS l FROM n),
+f AS (SELECT d, doc_id, term, count(*) AS tf FROM w SEMI JOIN i USING (term) GROUP BY 1, 2, 3),
+g AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM f, c GROUP BY term, nn),
+m AS (SELECT d, 25 + (75 * n * nn) // l AS m FROM n, c),
+s AS (SELECT item_id, d, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM f JOIN g USING (term) JOIN m USING (d) JOIN i USING (term) GROUP BY 1, 2, 3),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@_query("op11_ranked_lexical_search", _OP11_SQL)
+def _op11(spark, sf_dir):
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
