@@ -15,6 +15,7 @@ from tilewright.llm.neardup import near_duplicates
 from tilewright.llm.packing import pack
 from tilewright.llm.quality import score_quality
 from tilewright.llm.rules import judge_quality
+from tilewright.llm.runs import periodic_runs, repeat_tail
 from tilewright.llm.secrets import scan_secrets
 from tilewright.llm.toxicity import score_toxicity
 from tilewright.llm.urls import PATTERNS, SITE_RULES, filter_urls, parse
@@ -218,3 +219,12 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <
 @_query("op11_ranked_lexical_search", _OP11_SQL)
 def _op11(spark, sf_dir):
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op13_periodic_runs")
+def _op13(spark, sf_dir):
+    found = periodic_runs(table(spark, sf_dir, "documents"), change=repeat_tail)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
