@@ -17,9 +17,11 @@ from tilewright.llm.quality import score_quality
 from tilewright.llm.rules import judge_quality
 from tilewright.llm.runs import periodic_runs, repeat_tail
 from tilewright.llm.secrets import scan_secrets
+from tilewright.llm.tokenfiles import read_token_files, with_crc32, write_token_files
 from tilewright.llm.toxicity import score_toxicity
 from tilewright.llm.urls import PATTERNS, SITE_RULES, filter_urls, parse
 from tilewright.llm.vectors import near_vectors
+from tilewright.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -228,3 +230,10 @@ def _op13(spark, sf_dir):
     return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
                         F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
                         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@_query("op12_huffman_token_files")
+def _op12(spark, sf_dir):
+    path = shared_folder(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path)
+    return with_crc32(read_token_files(spark, path))
