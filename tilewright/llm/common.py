@@ -33,6 +33,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``cut`` made and that nothing reads any more. A failed job skips this, so its files stay."""
+    for df in frames:
+        spark = df.sparkSession
+        kept = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if kept.isDefined():
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(kept.get())
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for rows whose labels must not be learned; a null id is not held out, and has no label either."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

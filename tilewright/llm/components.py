@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import cut
+from tilewright.llm.common import cut, release
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,10 +34,13 @@ def components(edges: DataFrame) -> DataFrame:
                 .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = None
     while True:
-        edges = cut(_star(_star(edges, True), False))
+        before, edges = edges, cut(_star(_star(edges, True), False))
+        release(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == mark:
             break
         mark = tuple(now)
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    found = cut(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots))
+    release(edges)
+    return found

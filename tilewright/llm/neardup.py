@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import cut, per_row, small
+from tilewright.llm.common import cut, per_row, release, small
 from tilewright.llm.components import components
 from tilewright.llm.shingles import mix, shingle_set
 
@@ -50,99 +50,121 @@ def _describe(doc_id, text):
     return [(doc_id, len(s), _fingerprint(s), (low >> _U(48)).astype(np.uint16).view(np.int16).tolist(), band_keys(low).view(np.int64).tolist())]
 
 
-def _same_set(rep, fp, text):
+def _same_set(id_, fp, text):
     s = shingle_set(text)
-    return [(rep, s.view(np.int64).tolist())] if _fingerprint(s) == bytes(fp) else []
+    return [(id_, s.view(np.int64).tolist())] if _fingerprint(s) == bytes(fp) else []
 
 
-def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame) -> DataFrame:
-    """(id, shingles) of these representatives; only their texts are read into Python."""
-    wanted = small(cut(ids.distinct().join(reps.select(F.col("rep").alias("id"), "fp"), "id")))
-    return per_row(docs.join(wanted, docs["doc_id"] == wanted["id"]), _same_set, "id long, shingles array<long>", ["id", "fp", "text"])
+def _sets(docs: DataFrame, ids: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, shingles) of these classes; only texts of the document that stands for a class are read into Python."""
+    wanted = cut(ids.distinct().join(classes.select("id", "first", "fp"), "id"))
+    found = per_row(docs.join(small(wanted), docs["doc_id"] == wanted["first"]), _same_set, "id long, shingles array<long>", ["id", "fp", "text"])
+    sets = cut(found.groupBy("id").agg(F.first("shingles").alias("shingles")))  # a document may be there twice
+    release(wanted)
+    return sets
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(u, v, same, linked) of the pairs whose signatures may reach the threshold: shingles in common, by the full sets.
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the pairs (u, v) that are linked: their signatures may reach the threshold, and their full sets do.
 
     Each side joins by its own id; a hub's pairs are rows of a few kilobytes that adaptive execution splits.
     """
-    sig = reps.select("rep", "sig")
+    sig = classes.select("id", "sig")
     agree = F.aggregate(F.zip_with("s", "t", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda a, b: a + b)
-    likely = cut(pairs.join(sig.select(F.col("rep").alias("v"), F.col("sig").alias("t")), "v")
-                 .join(sig.select(F.col("rep").alias("u"), F.col("sig").alias("s")), "u").where(agree >= AGREE).select("u", "v"))
-    sets = cut(_sets(docs, likely.select(F.explode(F.array("u", "v")).alias("id")), reps))
+    likely = cut(pairs.join(sig.select(F.col("id").alias("v"), F.col("sig").alias("t")), "v")
+                 .join(sig.select(F.col("id").alias("u"), F.col("sig").alias("s")), "u").where(agree >= AGREE).select("u", "v"))
+    sets = _sets(docs, likely.select(F.explode(F.array("u", "v")).alias("id")), classes)
     met = (likely.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
-           .join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u")
-           .select("u", "v", F.size(F.array_intersect("a", "b")).alias("same"), (F.size("a") + F.size("b")).alias("total")))
-    return met.select("u", "v", "same", (100 * F.col("same") >= 75 * (F.col("total") - F.col("same"))).alias("linked"))
+           .join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u"))
+    same, total = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
+    links = cut(met.where(100 * same >= 75 * (total - same)).select("u", "v"))
+    release(likely, sets)
+    return links
 
 
-def _open_pairs(members: DataFrame, comps: DataFrame, compared: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of one bucket that are not yet connected and that no bound on shared shingles rules out.
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """(id, n, at, s): the n // 4 + 1 rarest shingles of each set, at 1, 2, ... in order; those no other set has are left out."""
+    each = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    often = each.groupBy("s").agg(F.count("*").alias("df"))
+    order = F.array_sort(F.collect_list(F.struct("df", "s")))
+    rarest = each.join(often, "s").groupBy("id", "n").agg(order.alias("o"))  # a set, as long as its text
+    return (rarest.select("id", "n", F.posexplode(F.slice("o", 1, F.floor(F.col("n") / 4).cast("int") + 1)).alias("at", "o"))
+            .where("o.df > 1").select("id", "n", (F.col("at") + 1).alias("at"), F.col("o.s").alias("s")))
 
-    Only buckets matter whose members, beside the leader that was compared with all of them, lie in several components. A
-    link of sets of n and m shingles needs 3 (n + m) / 7 in common. A shingle that no other such document has can't be
-    shared; c are left. Of those, ``same`` lie in the leader's set too: two documents share at most the smaller number inside
-    it and the smaller number outside. This rules out edited copies of one text before pairs are made. Of the rest,
-    documents outside a bucket's largest component meet those of other components, in the first bucket they share.
+
+def _open_pairs(members: DataFrame, comps: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs that may be linked, of members of buckets whose members are not all connected yet.
+
+    Only pairs that share a rare shingle meet. A link of sets of n <= m shingles needs 3 (n + m) / 7 in common, so at least 6 n / 7 and
+    3 m / 4. In one order of all shingles, rarest first, two such sets share one of the n // 7 + 1 first of the smaller and the
+    m // 4 + 1 first of the larger; and from the first shared one on there must be enough left of both.
     """
-    placed = (members.join(comps.withColumnRenamed("node", "id"), "id", "left")
-              .select("key", "band", "leader", "id", F.coalesce("root", "id").alias("root")))
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-    placed = cut(placed.join(open_keys, "key"))
-    shingles = _sets(docs, placed.select(F.explode(F.array("id", "leader")).alias("id")), reps).select("id", F.explode("shingles").alias("s"))
-    alone = (shingles.groupBy("s").agg(F.count("*").alias("df"), F.min("id").alias("id")).where("df = 1")
-             .groupBy("id").agg(F.count("*").alias("alone")))
-    bound = (placed.select("id").distinct().join(reps.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), "bands"), "id")
-             .join(alone, "id", "left").select("id", "n", "bands", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c")))
-    with_leader = compared.select(F.col("u").alias("leader"), F.col("v").alias("id"), "same")
-    placed = (placed.join(bound, "id").join(with_leader, ["leader", "id"], "left")
-              .withColumn("inside", F.coalesce("same", "c")).withColumn("outside", F.col("c") - F.coalesce("same", F.lit(0))))
-    least = placed.groupBy("key").agg(F.min("n").alias("m"))
-    placed = cut(placed.join(least, "key").where("7 * c >= 3 * (n + m)").drop("m", "same", "leader"))
-    top = placed.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("top"))
-    placed = placed.join(top, "key")
-    y = placed.where("root != top").select("key", *(F.col(c).alias(f"{c}_y") for c in ("id", "root", "n", "c", "inside", "outside", "bands")))
-    met = placed.join(y, "key").where(
-        "root != root_y and (root = top or id_y < id) and 7 * least(c, c_y, least(inside, inside_y) + least(outside, outside_y)) >= 3 * (n + n_y)"
-        " and not arrays_overlap(slice(bands, 1, band), slice(bands_y, 1, band))")
-    return met.select(F.least("id", "id_y").alias("u"), F.greatest("id", "id_y").alias("v")).distinct()
-
-
-def _links(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Confirmed pairs (u, v) that connect the representatives as all links do."""
-    bands = reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "key"))
-    shared = cut(bands.join(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
+    placed = cut(members.join(comps.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root")))
+    keys = cut(placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key"))
+    ids = cut(placed.join(keys, "key", "left_semi").select("id", "root").distinct())
+    release(placed, keys)
+    if ids.isEmpty():
+        return cut(ids.select(F.col("id").alias("u"), F.col("id").alias("v")))
+    sets = _sets(docs, ids.select("id"), classes)
+    first = cut(_prefixes(sets).join(ids, "id"))
+    release(sets, ids)
+    other = first.select("s", *(F.col(c).alias(f"{c}_y") for c in ("id", "n", "at", "root")))
+    met = first.where("at <= floor(n / 7) + 1").join(other, "s").where(
+        "(n < n_y or n = n_y and id < id_y) and 4 * n >= 3 * n_y and root != root_y and 7 * (1 + least(n - at, n_y - at_y)) >= 3 * (n + n_y)")
+    pairs = cut(met.select(F.least("id", "id_y").alias("u"), F.greatest("id", "id_y").alias("v")).distinct())
+    release(first)
+    return pairs
+
+
+def _connected(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, root) of all classes that a link reaches."""
+    bands = classes.select("id", F.explode("bands").alias("key"))
+    # tables of one row a key are cut before they meet the members, so that adaptive execution may split a hot key's members
+    keys = cut(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = cut(bands.join(keys, "key"))
     # the member that meets most others leads: in a group of edited copies this is the text closest to all
     meets = shared.groupBy("id").agg(F.sum("n").alias("meets"))
-    leaders = shared.join(meets, "id").groupBy("key").agg(F.min_by("id", F.struct(-F.col("meets"), F.col("id"))).alias("leader"))
-    members = cut(shared.join(leaders, "key").where("id != leader").select("key", "band", "leader", "id"))
-    compared = cut(_compared(members.select(F.col("leader").alias("u"), F.col("id").alias("v")).distinct(), docs, reps))
-    first = compared.where("linked").select("u", "v")
-    rest = _open_pairs(members, components(first), compared, docs, reps)
-    return first.unionByName(_compared(rest, docs, reps).where("linked").select("u", "v"))
+    leaders = cut(shared.join(meets, "id").groupBy("key").agg(F.min_by("id", F.struct(-F.col("meets"), F.col("id"))).alias("leader")))
+    members = cut(shared.join(leaders, "key").where("id != leader").select("key", "leader", "id"))
+    release(keys, shared, leaders)
+    links = _linked(members.select(F.col("leader").alias("u"), F.col("id").alias("v")).distinct(), docs, classes)
+    comps = components(links)
+    release(links)
+    pairs = _open_pairs(members, comps, docs, classes)
+    release(members)
+    more = _linked(pairs, docs, classes)
+    release(pairs)
+    if more.isEmpty():
+        return comps
+    whole = components(more.unionByName(comps.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+    release(comps, more)
+    return whole
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of (doc_id, text).
 
-    Equal sets form a class that its smallest doc_id stands for. In each bucket all members are compared with the smallest
-    one; what that leaves open is compared by ``_open_pairs``. So a group of thousands of copies costs rows in proportion
-    to its size. Pairs are confirmed on full sets of 64-bit shingle hashes.
+    Equal shingle sets form a class, and classes are the nodes that are linked. In each bucket all members are compared with one
+    leader; members of buckets that are not connected by that are compared where they share a rare shingle (``_open_pairs``). So a group
+    of thousands of copies costs rows in proportion to its size. Pairs are confirmed on full sets of 64-bit shingle hashes.
 
     Null and blank texts: no shingles, not linked, kept. Rows with a null doc_id: not linked, null component, kept. A
-    doc_id on several rows: each row follows its own text, and its component has the smallest id of that class.
+    doc_id on several rows: each row follows its own text, and a component has the smallest id on any of its rows. Other columns
+    are ignored. An empty table gives no rows.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = cut(per_row(docs, _describe, "doc_id long, n_shingles long, fp binary, sig array<short>, bands array<long>", ["doc_id", "text"]))
-    usable = rows.where("doc_id is not null and n_shingles > 0")
-    classes = cut(usable.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
-    reps = usable.withColumnRenamed("doc_id", "rep").join(classes, ["fp", "rep"]).dropDuplicates(["fp", "rep"])
-    # where one id stands for several classes, the first of them gives its signature; their rows are of one component anyway
-    reps = cut(reps.groupBy("rep").agg(F.min_by(F.struct("fp", "n_shingles", "sig", "bands"), "fp").alias("r")).select("rep", "r.*"))
-    links = _links(docs, reps)
-    comps = components(links)
-    place = classes.select("fp", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    out = rows.select("doc_id", "n_shingles", "fp").join(place, "fp", "left")
+    described = cut(per_row(docs, _describe, "doc_id long, n_shingles long, fp binary, sig array<short>, bands array<long>", ["doc_id", "text"]))
+    rows = cut(described.select("doc_id", "n_shingles", "fp"))
+    usable = described.where("doc_id is not null and n_shingles > 0")
+    # equal sets have equal signatures; the number is a class's from here on, because it is stored
+    classes = cut(usable.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+                  .withColumn("id", F.monotonically_increasing_id()))
+    names = cut(classes.select("id", "fp", "first"))
+    release(described)
+    comps = _connected(docs, classes)
+    release(classes)
+    place = names.join(comps.withColumnRenamed("node", "id"), "id", "left").select("fp", "first", F.coalesce("root", "id").alias("root"))
+    least = place.groupBy("root").agg(F.min("first").alias("component_id"))
+    out = rows.join(place.join(least, "root").select("fp", "component_id"), "fp", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")) \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
