@@ -76,29 +76,47 @@ class Codec:
             self._table = symbol, size
         return self._table
 
-    def encode(self, symbols: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """The bits of all symbols, highest first, and the bit at which every STRIDE-th symbol starts."""
+    def encode(self, symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes of several texts, the byte behind each, and the bit, counted in its text, at which every STRIDE-th symbol starts.
+
+        ``ends`` has the number of symbols up to the end of each text, of one symbol at least. Texts start on whole bytes.
+        """
         size = self.lengths[symbols]
-        end = np.cumsum(size)
-        start = end - size
-        total = int(end[-1]) if len(end) else 0
-        out = np.zeros(total // 8 + 5, np.float64)
+        bit = np.cumsum(size)
+        first = np.concatenate(([0], ends[:-1]))
+        before = bit[first] - size[first]
+        stop = np.cumsum((bit[ends - 1] - before + 7) >> 3)
+        text = np.repeat(np.arange(len(ends)), ends - first)
+        own = bit - size - before[text]
+        start = own + 8 * np.concatenate(([0], stop[:-1]))[text]
+        out = np.zeros(int(stop[-1]) + 4, np.float64)
         # a code lies in four bytes from its first; bits of different codes differ, so bytes may be added
         word = self.codes[symbols].astype(np.uint64) << (32 - size - (start & 7)).astype(np.uint64)
         for k in range(4):
             out += np.bincount((start >> 3) + k, ((word >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.float64), len(out))
-        return out[:-(-total // 8)].astype(np.uint8).tobytes(), start[::STRIDE]
+        return out[:-4].astype(np.uint8), stop, own[(np.arange(len(symbols)) - first[text]) % STRIDE == 0]
 
-    def decode(self, data: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
-        """The ``n`` symbols of a block; stretches between checkpoints are read side by side, one symbol of each at a time."""
+    def decode(self, data: bytes, checkpoints: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The symbols behind each checkpoint (a bit of ``data``), ``counts`` of them; all are read side by side, one at a time."""
         symbol, size = self.table()
         raw = np.frombuffer(data + b"\0" * 8, np.uint8).astype(np.uint32)
         window = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
-        at, lanes = np.asarray(checkpoints, np.int64).copy(), len(checkpoints)
-        out, shift, mask = np.zeros((STRIDE, lanes), np.uint32), 32 - self.width, np.uint32((1 << self.width) - 1)
-        last = len(window) - 1
-        for k in range(min(STRIDE, n)):
-            here = (window[np.minimum(at >> 3, last)] >> (shift - (at & 7)).astype(np.uint32)) & mask
-            out[k] = symbol[here]
-            at += size[here]
-        return out.T.reshape(-1)[:n]
+        order = np.argsort(-counts, kind="stable")
+        at, place, left = checkpoints[order], (np.cumsum(counts) - counts)[order], counts[order]
+        out, shift, mask = np.zeros(int(counts.sum()), np.uint32), 32 - self.width, np.uint32((1 << self.width) - 1)
+        for k in range(int(left[0]) if len(left) else 0):
+            if left[-1] <= k:  # the shorter ones are done
+                lanes = int(np.searchsorted(-left, -k, "left"))
+                at, place, left = at[:lanes], place[:lanes], left[:lanes]
+            here = (window[at >> 3] >> (shift - (at & 7)).astype(np.uint32)) & mask
+            out[place + k] = symbol[here]
+            at = at + size[here]
+        return out
+
+
+def lanes(counts: np.ndarray) -> np.ndarray:
+    """Symbols behind each checkpoint of texts of so many symbols."""
+    n = -(-counts // STRIDE)
+    sizes = np.full(int(n.sum()), STRIDE, np.int64)
+    sizes[np.cumsum(n) - 1] = counts - (n - 1) * STRIDE
+    return sizes

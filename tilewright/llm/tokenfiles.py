@@ -2,22 +2,21 @@
 
 A folder holds three tables. ``codes`` has the code length of every id that occurs; lengths alone give the canonical codes. ``blocks``
 has one row a block: the part it lies in, the number of its first id there, the doc_ids and token counts of its documents, its
-bits, and as checkpoints the bit at which every 256th id starts. A block needs no other block: it starts and ends with a document.
-``parts`` has the number of ids in all parts before each one, parts being ranges of doc_id.
+bits, and as checkpoints the bit at which every 256th id of a document starts, its first included. A block needs no other block, and
+any checkpoint is a place to start. ``parts`` has the number of ids in all parts before each one, parts being ranges of doc_id.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import per_row, small_batches
-from tilewright.llm.huffman import LIMIT, Codec, code_lengths
+from tilewright.llm.common import small_batches
+from tilewright.llm.huffman import LIMIT, STRIDE, Codec, code_lengths, lanes
 from tilewright.llm.packing import token_ids, vocabulary_path
 
 BLOCK_IDS = 1 << 16
@@ -43,68 +42,95 @@ def _codec(lengths: bytes) -> Codec:
     return _codecs[lengths]
 
 
-def tokens(documents: DataFrame, end_id: int, json_path: str, ranks_path: str | None) -> DataFrame:
-    """doc_id, n and ids (little-endian 32 bits) of each document, its end id included."""
-    def encode(doc_id, text):
-        ids = token_ids(text, json_path, ranks_path)
-        ids[-1] = end_id
-        return [(doc_id, len(ids), ids.tobytes())]
+def _tokens(documents: DataFrame, end_id: int, json_path: str, ranks_path: str | None) -> DataFrame:
+    """doc_id, n and ids (little-endian 32 bits) of each document, its end id included; a task's last row, with a null n, has the
+    ids it has ``seen`` and how many ``times``."""
+    arrow = _arrow(schema := "doc_id long, n long, ids binary, seen array<long>, times array<long>")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                found = [token_ids(text, json_path, ranks_path) for text in part.column("text").to_pylist()]
+                for ids in found:
+                    ids[-1] = end_id
+                counts = np.bincount(np.concatenate(found))
+                if len(counts) > len(total):
+                    total = np.concatenate((total, np.zeros(len(counts) - len(total), np.int64)))
+                total[:len(counts)] += counts
+                none = [None] * len(found)
+                rows = [part.column("doc_id"), [len(ids) for ids in found], [ids.tobytes() for ids in found], none, none]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, arrow.types)], names=arrow.names)
+        known = np.flatnonzero(total)
+        rows = [[None], [None], [None], [known], [total[known]]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, arrow.types)], names=arrow.names)
+
+    small_batches(documents.sparkSession)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(run, schema)
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return per_row(rows, encode, "doc_id long, n long, ids binary", ["doc_id", "text"])
 
+def _encoded(rows: DataFrame, lengths: bytes) -> DataFrame:
+    """doc_id, n, bits and checkpoints of each document."""
+    arrow = _arrow(schema := "doc_id long, n long, bits binary, checkpoints array<long>")
 
-def _histogram(rows: DataFrame) -> DataFrame:
-    """(id, n) over all ids; a task hands on one row for each id it met."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        codec = _codec(lengths)
         for batch in batches:
-            for ids in batch.column(0):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-                if len(found) > len(total):
-                    total = np.concatenate((total, np.zeros(len(found) - len(total), np.int64)))
-                total[:len(found)] += found
-        known = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(known, pa.int64()), pa.array(total[known], pa.int64())], names=["id", "n"])
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                counts = part.column("n").to_numpy()
+                ids = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in part.column("ids")])
+                data, stops, checkpoints = codec.encode(ids, np.cumsum(counts))
+                own = np.split(checkpoints, np.cumsum(-(-counts // STRIDE))[:-1])
+                bits = [data[a:b].tobytes() for a, b in zip([0, *stops[:-1]], stops)]
+                rows = [part.column("doc_id"), counts, bits, own]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, arrow.types)], names=arrow.names)
 
-    return rows.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return rows.select("doc_id", "n", "ids").mapInArrow(run, schema)
 
 
-def _blocks(part: DataFrame, lengths: bytes, block_ids: int) -> DataFrame:
-    """Blocks of rows that are already dealt to parts and sorted."""
-    arrow, columns = _arrow(_BLOCK), ["part", "doc_id", "n", "ids"]
+def _blocks(parts: DataFrame, block_ids: int) -> DataFrame:
+    """Blocks of encoded documents that are already dealt to parts and sorted."""
+    arrow, columns = _arrow(_BLOCK), ["part", "doc_id", "n", "bits", "checkpoints"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, first, docs, held = _codec(lengths), 0, [], 0
+        first, docs, held = 0, [], 0
         number = None
 
         def give() -> pa.RecordBatch:
-            ids = np.concatenate([np.frombuffer(x, "<u4") for _, _, x in docs])
-            bits, checkpoints = codec.encode(ids)
-            row = (number, first, len(ids), [d for d, _, _ in docs], [n for _, n, _ in docs], checkpoints.tolist(), bits)
+            base = 8 * np.cumsum([0, *(len(d[2]) for d in docs[:-1])])
+            checkpoints = np.concatenate([b + np.array(d[3], np.int64) for b, d in zip(base, docs)])
+            row = (number, first, held, [d[0] for d in docs], [d[1] for d in docs], checkpoints, b"".join(d[2] for d in docs))
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, arrow.types)], names=arrow.names)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 16):  # few documents are Python objects at once
-                for number, doc_id, n, ids in zip(*(batch.slice(at, 16).column(c).to_pylist() for c in columns)):
-                    docs.append((doc_id, n, ids))
-                    held += n
+                for number, *doc in zip(*(batch.slice(at, 16).column(c).to_pylist() for c in columns)):
+                    docs.append(doc)
+                    held += doc[1]
                     if held >= block_ids:
                         yield give()
                         first, docs, held = first + held, [], 0
         if docs:
             yield give()
 
-    return part.select(*columns).mapInArrow(run, _BLOCK)
+    return parts.select(*columns).mapInArrow(run, _BLOCK)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def write_token_files(documents: DataFrame, path: str, end_id: int = 2, json_path: str | None = None, ranks_path: str | None = None,
                       limit: int = LIMIT, block_ids: int = BLOCK_IDS, part_ids: int = PART_IDS) -> None:
     """Encode every text of (doc_id, text), ``end_id`` behind it, and write the ids to ``path`` in ascending order of doc_id, nulls last.
 
-    Texts are tokenised once, into a table beside the blocks that goes again at the end. Counts of ids over all documents give the
-    code; the driver sees no more than one count an id of the vocabulary and one a part. Ranges of (doc_id, row) make the parts, so
-    rows of one id may be divided. Rows that repeat an id are documents of their own, in any order if they differ.
+    Texts are tokenised once, into a table beside the blocks that goes again when its documents are encoded; only encoded documents
+    are shuffled. Counts of ids over all documents give the code; the driver sees no more than one count an id of the vocabulary. Ranges
+    of (doc_id, row) make the parts, so rows of one id may be divided. Rows that repeat an id are documents of their own, in any
+    order if they differ.
 
     Null and empty texts are the end id alone. A document is not divided between blocks, so the longest one bounds a block. An empty table
     gives empty tables. Other columns are ignored.
@@ -112,26 +138,26 @@ def write_token_files(documents: DataFrame, path: str, end_id: int = 2, json_pat
     spark, path = documents.sparkSession, path.rstrip("/")
     json_path = json_path or vocabulary_path("byte_bpe_50k.json")
     ranks_path = ranks_path or vocabulary_path("byte_bpe_50k.tiktoken")
-    tokens(documents, end_id, json_path, ranks_path).withColumn("row", F.monotonically_increasing_id()) \
-        .write.option("compression", "zstd").parquet(f"{path}/tokens")
+    _tokens(documents, end_id, json_path, ranks_path).write.option("compression", "zstd").parquet(f"{path}/tokens")
     rows = spark.read.parquet(f"{path}/tokens")
-    counts = np.zeros(1 << 16, np.int64)
-    for i, n in _histogram(rows).collect():
-        if i >= len(counts):
-            counts = np.concatenate((counts, np.zeros(max(i + 1 - len(counts), len(counts)), np.int64)))
+    seen = rows.where("n IS NULL").select(F.explode(F.arrays_zip("seen", "times")).alias("s")).groupBy("s.seen").agg(F.sum("s.times").alias("n")).collect()
+    counts = np.zeros(max((r.seen for r in seen), default=0) + 1, np.int64)
+    for i, n in seen:
         counts[i] = n
     lengths = code_lengths(counts, limit)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id long, length int").coalesce(1) \
         .write.parquet(f"{path}/codes")
+    _encoded(rows.where("n IS NOT NULL"), lengths.astype(np.uint8).tobytes()).withColumn("row", F.monotonically_increasing_id()) \
+        .write.option("compression", "uncompressed").parquet(f"{path}/encoded")
+    _delete(spark, f"{path}/tokens")
     n_parts = max(1, -(-int(counts.sum()) // part_ids), int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("row")]
-    parts = rows.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    _blocks(parts, lengths.astype(np.uint8).tobytes(), block_ids).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    parts = spark.read.parquet(f"{path}/encoded").repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    _blocks(parts.withColumn("part", F.spark_partition_id()), block_ids).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    _delete(spark, f"{path}/encoded")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n"))  # as many rows as parts
     sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")).coalesce(1).write.parquet(f"{path}/parts")
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/tokens")
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -151,8 +177,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 block = batch.slice(at, 1).to_pylist()[0]
-                ids = codec.decode(block["bits"], block["checkpoints"], block["n_ids"]).astype("<u4")
                 sizes = np.array(block["doc_tokens"], np.int64)
+                ids = codec.decode(block["bits"], np.array(block["checkpoints"], np.int64), lanes(sizes)).astype("<u4")
                 ends = np.cumsum(sizes)
                 columns = [[block["part"]] * len(sizes), (block["first_id"] + ends - sizes), block["doc_ids"], sizes,
                            [ids[e - n:e].tobytes() for e, n in zip(ends, sizes)]]
