@@ -35,6 +35,8 @@ VIEWS: dict[str, str | tuple[str, str]] = {
  greatest(0, 5 + n_nationkey * 5 - (6 - abs(o.off))) AS x0, least(127, 5 + n_nationkey * 5 + (6 - abs(o.off))) AS x1
 FROM nation CROSS JOIN (VALUES (-6),(-5),(-4),(-3),(-2),(-1),(0),(1),(2),(3),(4),(5),(6)) AS o(off)
 UNION ALL SELECT * FROM (VALUES ('sys:900', 4, 1, 105, 110), ('sys:901', 4, 2, 105, 108), ('sys:901', 4, 9, 81, 86)) AS e(roi_id, z, gy, x0, x1)""",
+    "fx_wide": """SELECT concat('sys:', cast(800 + r_regionkey AS varchar(10))) AS roi_id, 4 AS z, 3 + r_regionkey * 7 + n_nationkey AS gy,
+ 10 + r_regionkey * 9 AS x0, 60 + r_regionkey * 9 + n_nationkey % 3 AS x1 FROM region CROSS JOIN nation""",
     "fx_tile_item": "SELECT DISTINCT 1 AS pid, hcol AS fid, hcol, hcol AS dt0, hcol + 1 AS dt1 FROM fx_tile",
     "fx_item": """SELECT pid, fid, hcol, hcol AS dt0, (year(d1) * 10000 + month(d1) * 100 + day(d1)) * cast(1000000 AS bigint) AS dt1
 FROM (SELECT o_custkey % 50 AS pid, o_orderkey AS fid,

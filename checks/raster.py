@@ -14,13 +14,17 @@ from tilewright.operators import blocks as B, collections as C, pixels as P, reg
 from tilewright.operators.composite import composite
 from tilewright.operators.pixels import explode_pixels, good_tiles
 from tilewright.operators.regions import Regions
+from tilewright.operators.summaries import tile_summaries, zonal_stats_summed
 from tilewright.plans import datasets as DS, orders as O, statistics as S, tiles as T
 from tilewright.session import shared_folder
+from tilewright.sinks.directory import write_tile_files
 from tilewright.sinks.reports import bands_side_by_side, result_json
 from tilewright.sinks.tiles import upsert_tiles, write_tiles
 from tilewright.sources.catalog import with_band_info
+from tilewright.sources.directory import read_tile_files, read_tile_files_between, read_tile_files_on, with_shape
 from tilewright.sources.orders import SERIES_FIELDS, STATISTIC_FIELDS, read_order
 from tilewright.sources.tiles import cell_by_row_key, read_tiles, tile_cell, tiles_on_dates
+from tilewright.streaming.growing import GrowingSeries
 
 FILL, LOW, HIGH, W, H = -19999, -2000, 3000, 8, 8
 D0 = 20190100000000
@@ -243,6 +247,57 @@ def _(fx):
     return rounded(S.script_series_blocks(as_blocks(fx), tile_dates(fx, YEARLY), regions(fx), spread_of_stack, *ARGS, strips=4))
 
 
+@query("script_series_range_folded", zonal_sql(_RANGE_PX, ("key",)))
+def _(fx):
+    """The same function in four parts, so that no dates of a tile need come together."""
+    return rounded(S.script_series_blocks(as_blocks(fx), tile_dates(fx, YEARLY), regions(fx), spread_fold(), *ARGS))
+
+
+def spread_fold():
+    import numpy as np
+
+    def start(address):
+        return None
+
+    def add(state, date, px):
+        v = px.astype("i4")
+        ok = (v != FILL) & (v >= LOW) & (v <= HIGH)
+        return merge(state, (np.where(ok, v, 1 << 30), np.where(ok, v, -(1 << 30))))
+
+    def merge(a, b):
+        return b if a is None else a if b is None else (np.minimum(a[0], b[0]), np.maximum(a[1], b[1]))
+
+    def finish(state):
+        least, most = state
+        return np.where(most >= least, most - least, FILL).astype("<i4")
+
+    return B.Fold(start, add, merge, finish)
+
+
+@query("series_grown_in_batches", series_sql(_MONTH_PX, "max"))
+def _(fx):
+    """Dates come in four batches, one of them twice, with a compaction in between."""
+    month = lambda hcol: F.when(hcol.between(_WHOLE.start, _WHOLE.stop), F.call_function("div", hcol, F.lit(100000000)))
+    grown = GrowingSeries(fx.spark, shared_folder(fx.spark, "grown"), "max", *ARGS, month)
+    blocks = as_blocks(fx)
+    for batch in (0, 1, 1, 2, 3):
+        grown.fold(blocks.where((F.col("y") + F.col("x")) % 4 == batch), batch)
+        if batch == 2:
+            grown.compact()
+    return rounded(grown.statistics(regions(fx)))
+
+
+# Regions of several tiles, so that some tiles lie wholly inside.
+@query("zonal_with_tile_summaries", zonal_sql(f"{GOOD} AND hcol = {D0}").replace("fx_seg", "fx_wide"))
+def _(fx):
+    blocks, path = as_blocks(fx), shared_folder(fx.spark, "summed")
+    write_tiles(blocks, f"{path}/tiles")
+    stored = read_tiles(fx.spark, f"{path}/tiles")
+    write_tiles(tile_summaries(stored, *ARGS), f"{path}/summaries")
+    summaries = fx.spark.read.parquet(f"{path}/summaries")
+    return rounded(zonal_stats_summed(stored.where(F.col("hcol") == D0), summaries, Regions(fx.wide, W, H), *ARGS))
+
+
 # ---- results, clips, masks -----------------------------------------------------------------------
 
 def _wide_sql():
@@ -606,6 +661,37 @@ def _(fx):
     return explode_pixels(B.decode_blocks(done, "double")).select(*_PIXEL)
 
 
+# ---- tiles as files ------------------------------------------------------------------------------
+
+def _directory(fx):
+    """The fixture's tiles as files, under store block 1."""
+    root = shared_folder(fx.spark, "tree")
+    write_tile_files(as_blocks(fx), root, "t")
+    return root
+
+
+def _file_pixels(files):
+    return _pixels(with_shape(files, W, H, 2, 3))
+
+
+@query("directory_cell", f"SELECT hcol, z, y, x, band, pos, dn FROM fx_px WHERE status = 0 AND hcol = {D0 + 100000000} AND y = 1 AND x = 3")
+def _(fx):
+    return _file_pixels(read_tile_files(fx.spark, _directory(fx), "t", 1, D0 + 100000000, 4, 1, 3))
+
+
+@query("directory_dates", f"SELECT hcol, z, y, x, band, pos, dn FROM fx_px WHERE status = 0 AND y = 2 AND hcol BETWEEN {D0} AND 20191231000000 AND hcol // 100000000 % 100 < 4")
+def _(fx):
+    """Files of candidate dates in one row of tiles; some of the candidates have no folder."""
+    dates = fx.spark.range(1, 4).select((F.lit(D0 - 100000000) + F.col("id") * 100000000).alias("dt"))
+    none = fx.spark.range(1).select(F.lit(20190215000000).alias("dt"))
+    return _file_pixels(read_tile_files_on(fx.spark, _directory(fx), "t", dates.unionByName(none), 1, y=2))
+
+
+@query("directory_range", "SELECT hcol, z, y, x, band, pos, dn FROM fx_px WHERE status = 0 AND x < 10 AND hcol BETWEEN 20190200000000 AND 20201200000000 AND hcol // 100000000 % 100 = 2")
+def _(fx):
+    return _file_pixels(read_tile_files_between(fx.spark, _directory(fx), "t", 20190200000000, 20201200000000, parts={"month": 2}).where("x < 10"))
+
+
 # ---- datasets by name ----------------------------------------------------------------------------
 
 def _named(fx):

@@ -3,6 +3,7 @@
 import json
 import os
 import tempfile
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -14,13 +15,14 @@ from tilewright.operators.composite import check_method, composite
 from tilewright.operators.regions import Regions
 from tilewright.plans import orders as O, statistics as S, tiles as T
 from tilewright.sinks.reports import write_csv, write_json
-from tilewright.sinks.tiles import upsert_tiles, write_bucketed, write_tiles
+from tilewright.sinks.tiles import merge_cells, tile_counts, upsert_tiles, write_bucketed, write_tiles
 from tilewright.sources.catalog import read_catalog_table
 from tilewright.sources.directory import read_tile_files, read_tile_files_on, with_shape
 from tilewright.sources.orders import SERIES_FIELDS, STATISTIC_FIELDS, TILE_FIELDS, read_order
 from tilewright.sources.tiles import cell_by_row_key, newest, read_tiles, tile_cell, tiles_on_dates
 
 FILL, LOW, HIGH = -9, 0, 100
+REPO = Path(__file__).resolve().parents[1]
 
 
 def scratch(name):
@@ -198,7 +200,7 @@ def test_composite_block_form_equals_pixel_form(spark, method, monkeypatch):
     rows = composite(P.explode_pixels(B.decode_blocks(blocks)), method, LOW, HIGH, FILL)
     want = sorted((r.z, r.y, r.x, r.band, r.pos, float(r.dn)) for r in rows.collect())
     for spread in (1, 3):
-        done = B.composite_blocks(blocks, method, LOW, HIGH, FILL, spread=spread, heavy=0)
+        done = B.composite_blocks(blocks, method, LOW, HIGH, FILL, spread=spread)
         got = P.explode_pixels(B.decode_blocks(done, kind))
         assert sorted((r.z, r.y, r.x, r.band, r.pos, float(r.dn)) for r in got.collect()) == want
     monkeypatch.setattr(B, "HELD_BYTES", 1)  # every block is sent on at once
@@ -361,7 +363,11 @@ def world(spark):
         blocks=blocks_of(spark, cells, dsname="mod/x"),
         segments=segments_of(spark, [("sys:1", 2, g, 0, 7) for g in range(8)]),
         products=spark.createDataFrame([(1, "mod/x", 0, "hbase", info)], "pid int, name string, userid int, source string, info string"),
-        items=spark.createDataFrame([(1, m, 20200100000000 + m * 100000000) for m in range(4)], "pid int, fid long, hcol long"))
+        items=spark.createDataFrame([(1, m, 20200100000000 + m * 100000000) for m in range(4)], "pid int, fid long, hcol long"),
+        bands=spark.createDataFrame([(1, 0, BAND_INFO % (1, 0))], "pid int, bindex int, info string"))
+
+
+BAND_INFO = '{"hPid":%d,"bsqIndex":%d,"bName":"b","scale":1,"offset":0,"validMin":0,"validMax":1,"noData":0}'
 
 
 BASE = {"dsname": "mod/x", "jsfile": "", "roi": "sys:1", "roi_comment": "ignored", "filldata": -9, "validMinInc": 0, "validMaxInc": 100,
@@ -372,12 +378,12 @@ BASE = {"dsname": "mod/x", "jsfile": "", "roi": "sys:1", "roi_comment": "ignored
 
 def test_statistics_order(spark, world):
     order = read_order(spark, order_file(BASE), STATISTIC_FIELDS)
-    (r,) = O.run_statistics(order, world["blocks"], world["segments"], world["products"]).collect()
+    (r,) = O.run_statistics(order, world["blocks"], world["segments"], world["products"], world["bands"]).collect()
     assert (r.valid_cnt, r.valid_min, r.valid_max, r.mean) == (64, 1, 2, 1.5)
 
 
 def test_series_orders(spark, world):
-    args = (world["blocks"], world["segments"], world["products"], world["items"])
+    args = (world["blocks"], world["segments"], world["products"], world["items"], world["bands"])
     daily = O.run_series(read_order(spark, order_file(BASE), SERIES_FIELDS), *args).collect()
     assert [(r.key, r.valid_max) for r in daily] == [("20200100", 1), ("20200200", 2), ("20200300", 3), ("20200400", 4)]
     yearly = read_order(spark, order_file({**BASE, "repeat_type": "y"}), SERIES_FIELDS)
@@ -398,7 +404,7 @@ def test_script_series_order(spark, world):
         seen = [px for _, px in dates]
         return np.max(seen, axis=0) - np.min(seen, axis=0)
 
-    args = (world["blocks"], world["segments"], world["products"], world["items"], {"spread": spread})
+    args = (world["blocks"], world["segments"], world["products"], world["items"], {"spread": spread}, world["bands"])
     values = {**BASE, "baseddsname": "mod/x", "caller": "spread", "repeat_type": "y"}
     (r,) = O.run_script_series(read_order(spark, order_file(values), SERIES_FIELDS), *args, strips=2).collect()
     assert (r.key, r.valid_min, r.valid_max) == ("2020", 3, 3)
@@ -410,11 +416,11 @@ def test_script_series_order(spark, world):
 def test_bad_orders_are_rejected(spark, world, change):
     order = read_order(spark, order_file({**BASE, **change}), SERIES_FIELDS)
     with pytest.raises(ValueError):
-        O.run_series(order, world["blocks"], world["segments"], world["products"], world["items"])
+        O.run_series(order, world["blocks"], world["segments"], world["products"], world["items"], world["bands"])
 
 
 def test_bad_script_orders_are_rejected(spark, world):
-    args = (world["blocks"], world["segments"], world["products"], world["items"], {})
+    args = (world["blocks"], world["segments"], world["products"], world["items"], {}, world["bands"])
     for change in ({"caller": ""}, {"caller": "x", "baseddsname": ""}, {"caller": "x", "baseddsname": "mod/x", "roi": ""},
                    {"caller": "unknown", "baseddsname": "mod/x"}):
         with pytest.raises(ValueError):
@@ -567,7 +573,7 @@ def test_unknown_regions_are_errors_and_paths_are_read(spark, world):
     assert {r.roi_id for r in found.select("roi_id").distinct().collect()} == {path, "sys:1"}
     order = read_order(spark, order_file({**BASE, "roi": "sys:77"}), STATISTIC_FIELDS)
     with pytest.raises(ValueError):
-        O.run_statistics(order, world["blocks"], world["segments"], world["products"])
+        O.run_statistics(order, world["blocks"], world["segments"], world["products"], world["bands"])
 
 
 def test_fill_values_must_fit_and_nan_counts_as_fill(spark):
@@ -590,11 +596,133 @@ def test_other_shapes_of_one_tile_and_null_blocks(spark):
         B.composite_blocks(blocks.unionByName(other), "max", 0, 9, -9).collect()
 
 
-def test_composites_exchange_once_unless_a_tile_is_heavy(spark):
+def test_composites_exchange_once_where_counts_allow(spark):
     cells = {(d, 2, 0, 0): d for d in range(1, 60)} | {(d, 2, 0, 1): d for d in range(1, 4)}
     blocks = blocks_of(spark, cells).repartition(5)
-    plain = B.composite_blocks(blocks, "max", 0, 50, -9)
-    spread = B.composite_blocks(blocks, "max", 0, 50, -9, heavy=40)
+    plain = B.composite_blocks(blocks, "max", 0, 50, -9, two_steps=False)
+    spread = B.composite_blocks(blocks, "max", 0, 50, -9)
     assert {k: v.tolist() for k, v in arrays(plain).items()} == {k: v.tolist() for k, v in arrays(spread).items()}
     steps = [frame._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") for frame in (plain, spread)]
     assert steps == [2, 3]
+    path = scratch("counted") + "/t"
+    write_tiles(blocks, path)
+    counts = tile_counts(spark, path)
+    assert {(r.y, r.x): r.n for r in counts.collect()} == {(0, 0): 59, (0, 1): 3}
+    assert B.any_heavy(counts, heavy=58) and not B.any_heavy(counts, heavy=59)
+    write_tiles(blocks.where("hcol <= 10"), path)  # the whole partition is replaced, and so are its counts
+    assert {(r.y, r.x): r.n for r in tile_counts(spark, path).collect()} == {(0, 0): 10, (0, 1): 3}
+    assert tile_counts(spark, path + "-none") is None
+
+
+def counted(spark, tile_fn, name):
+    """``tile_fn`` that leaves a file for each call."""
+    folder = scratch(name)
+
+    def fn(address, tiles):
+        import uuid
+
+        open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+        return tile_fn(address, tiles)
+
+    return fn, lambda: len(os.listdir(folder))
+
+
+def test_composite_computes_its_input_once(spark):
+    blocks = blocks_of(spark, {(d, 2, y, 0): d for d in range(1, 20) for y in range(2)})
+    fn, calls = counted(spark, lambda a, t: next(iter(t.values())), "calls")
+    done = B.map_tiles(blocks, fn, [("a", 5)], ("hcol", "z", "y", "x"))
+    B.composite_blocks(done, "max", 0, 50, -9).collect()
+    assert calls() == 2
+
+
+def two_stores(spark, other_value=50):
+    one = blocks_of(spark, {(1, 2, 0, 0): 5, (2, 2, 0, 0): 6})
+    two = blocks_of(spark, {(1, 2, 0, 0): other_value}).withColumn("hpid", F.lit(2))
+    return one.unionByName(two)
+
+
+def test_several_store_blocks_are_refused(spark):
+    mixed = two_stores(spark).coalesce(1)
+    segments = segments_of(spark, [("r", 2, 0, 0, 3)])
+    with pytest.raises(Exception, match="several store blocks"):
+        B.composite_blocks(mixed, "max", 0, 90, -9).collect()
+    with pytest.raises(Exception, match="several store blocks"):
+        B.composite_blocks(mixed.repartition(3, "hpid"), "max", 0, 90, -9).collect()
+    with pytest.raises(Exception, match="several store blocks"):
+        S.zonal_stats_blocks(mixed.where("hcol = 1"), R.Regions(segments, 4, 4), 0, 90, -9).collect()
+    pixels = B.decode_blocks(mixed)
+    with pytest.raises(Exception, match="several store blocks"):
+        S.zonal_stats(pixels.where("hcol = 1"), R.Regions(segments, 4, 4), 0, 90, -9).collect()
+    with pytest.raises(Exception, match="several store blocks"):
+        composite(P.explode_pixels(pixels), "max", 0, 90, -9).collect()
+    with pytest.raises(Exception, match="several store blocks"):
+        B.map_tiles(mixed, lambda a, t: next(iter(t.values())), [("a", 1)]).collect()
+
+
+def test_a_cell_is_written_once(spark):
+    tiles = blocks_of(spark, {(1, 2, 0, 0): 5})
+    path = scratch("twice") + "/t"
+    with pytest.raises(ValueError, match="several rows for the cell"):
+        merge_cells(tiles.unionByName(tiles), path)
+    assert not os.path.exists(path)
+    # a task each, so that only the write can see both
+    done = T.compute_tiles(two_stores(spark).repartition(4, "hpid"), lambda a, t: next(iter(t.values())), [("a", 1)], "o", 9, 7, 4)
+    empty = lambda text: spark.createDataFrame([], text)
+    catalog = T.Catalog(empty("pid int, name string, userid int, source string, info string"), empty("pid int, bindex int, info string"), empty("pid int, hcol long, dt0 long, dt1 long"))
+    with pytest.raises(Exception, match="several (rows for the cell|store blocks)"):
+        T.run_tile_job(done, path, catalog, "o", 7, "EPSG:4326", 4, "t", 0, 0, -9, (-180.0, 180.0, 90.0, -90.0))
+
+
+def test_job_counts_survive_a_retried_task(spark):
+    """The function fails its first call outright, so Spark tries the task again; local mode needs a session that allows it."""
+    import subprocess
+    import sys
+
+    code = """
+import os, sys
+from pyspark.sql import SparkSession, Observation, functions as F
+spark = SparkSession.builder.master("local[2, 3]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1").getOrCreate()
+sys.path.insert(0, sys.argv[1])
+from tilewright.sinks.tiles import staged
+mark = sys.argv[2] + "/mark"
+def once(batches):
+    for batch in batches:
+        yield batch
+    if not os.path.exists(mark):
+        open(mark, "w").close()
+        raise RuntimeError("first try")
+seen = Observation()
+rows = spark.range(0, 100, 1, 4).mapInArrow(once, "id long")
+with staged(rows, sys.argv[2] + "/t", seen, F.count(F.lit(1)).alias("n")) as done:
+    print("COUNTS", seen.get["n"], done.count(), os.path.exists(mark))
+"""
+    out = subprocess.run([sys.executable, "-c", code, str(REPO), scratch("retry")], capture_output=True, text=True, timeout=300)
+    assert "COUNTS 100 100 True" in out.stdout, out.stderr[-2000:]
+
+
+def exchanges(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_bands_of_one_block_need_no_exchange(spark):
+    cells = {(1, 2, 0, x): np.arange(48).reshape(3, 4, 4) + x for x in range(3)}
+    blocks = blocks_of(spark, cells, shape=(3, 4, 4)).withColumn("pid", F.lit(1))
+    table = lambda rows: spark.createDataFrame(rows, "pid int, bindex int, hpid int, bsq_index int")
+    keys = ("pid", "hcol", "z", "y", "x")
+    one = B.select_block_bands(blocks, table([(1, 0, 1, 2), (1, 1, 1, 0)]), keys, [1, 0, 1])
+    assert exchanges(one) == 0
+    got = {r.x: np.frombuffer(r.data, "<i2").reshape(r.nbands, 16).tolist() for r in one.collect()}
+    assert got == {x: [cells[1, 2, 0, x][b].reshape(-1).tolist() for b in (0, 2, 0)] for x in range(3)}
+    second = blocks.withColumn("hpid", F.lit(2)).where("x < 2")
+    spread = B.select_block_bands(blocks.unionByName(second), table([(1, 0, 2, 1), (1, 1, 1, 2), (1, 2, 2, 0)]), keys)
+    assert {r.x: np.frombuffer(r.data, "<i2").reshape(3, 16).tolist() for r in spread.collect()} == {
+        x: [cells[1, 2, 0, x][b].reshape(-1).tolist() for b in (1, 2, 0)] for x in range(2)}
+    # bucketed tiles are put together where they lie
+    path = scratch("bucketed") + "/b"
+    write_bucketed(blocks.unionByName(second), "banded", 4, path)
+    try:
+        stored = spark.table("banded")
+        again = B.select_block_bands(stored, table([(1, 0, 2, 1), (1, 1, 1, 2), (1, 2, 2, 0)]), keys)
+        assert exchanges(again) == 0 and sorted(map(tuple, again.collect())) == sorted(map(tuple, spread.collect()))
+    finally:
+        spark.sql("DROP TABLE banded")

@@ -6,7 +6,9 @@ Blocks travel whole, so a composite sends one row per tile instead of one per pi
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,7 @@ from tilewright.functions.grid import pixel_of_point
 from tilewright.functions.pixels import BYTE_WIDTHS, PIXEL_TYPES, byte_width
 from tilewright.operators.composite import check_method
 from tilewright.operators.regions import Regions, cut_to_tiles
+from tilewright.operators.sides import BROADCAST_BYTES, hinted
 
 SHAPE = ("width", "height", "nbands", "data_type")
 TILE = ("z", "y", "x")
@@ -122,24 +125,36 @@ def select_block_bands(blocks: DataFrame, bands: DataFrame, keys: Sequence[str],
     ``bands`` has (pid, bindex, hpid, bsq_index): which store block and which slice of it holds a band.
     ``keys`` names the block columns to keep; they include pid and the tile address, not hpid.
     Tiles where any wanted band is missing are left out. Slices are cut on the JVM side.
+
+    The band table says which blocks hold all wanted bands of their product; those are cut where they lie. Only products whose
+    bands are spread over several blocks have their slices brought together by ``keys``, without an exchange where the tiles are
+    bucketed by (z, y, x). One small job over the band table finds out whether there are any.
     """
     if wanted:
         places = F.posexplode(F.array(*[F.lit(b) for b in wanted])).alias("place", "_b")
         use = bands.select("*", places).where(F.col("bindex") == F.col("_b"))
     else:
         use = bands.withColumn("place", F.col("bindex"))
-    use = use.select("pid", "hpid", "bsq_index", "place")
     need = use.groupBy("pid").agg(F.count(F.lit(1)).alias("need"))
     if wanted:
         need = need.where(F.col("need") == len(wanted))
+    cuts = use.groupBy("pid", "hpid").agg(F.array_sort(F.collect_list(F.struct("place", "bsq_index"))).alias("cuts")).join(need, "pid")
+    # a row a store block of the band table, which the catalog keeps; one job tells its size and what it asks for
+    rows = cuts.collect()
+    spread = any(len(r.cuts) < r.need for r in rows)
+    cuts = blocks.sparkSession.createDataFrame(rows, cuts.schema)
+    work = blocks.join(hinted(cuts, len(rows) * 64 + sum(len(r.cuts) for r in rows) * 16 <= BROADCAST_BYTES), ["pid", "hpid"])
     size = F.col("width") * F.col("height") * byte_width(F.col("data_type"))
-    slices = blocks.join(use.join(need, "pid"), ["pid", "hpid"]).withColumn(
-        "slice", F.substring(F.col("data"), F.col("bsq_index") * size + 1, size))
-    tiles = slices.groupBy(*keys, "width", "height", "data_type").agg(
-        F.array_sort(F.collect_list(F.struct("place", "slice"))).alias("s"), F.max("need").alias("need"))
-    joined = F.aggregate(F.transform("s", lambda s: s["slice"]), F.unhex(F.lit("")), lambda a, s: F.concat(a, s))
-    return tiles.where(F.size("s") == F.col("need")).select(
-        *keys, "width", "height", F.size("s").alias("nbands"), "data_type", joined.alias("data"))
+    slices = F.transform("cuts", lambda c: F.struct(c["place"].alias("place"), F.substring(F.col("data"), c["bsq_index"] * size + 1, size).alias("slice")))
+    joined = lambda s: F.aggregate(s, F.unhex(F.lit("")), lambda a, x: F.concat(a, x["slice"]))
+    shape = lambda n, data: [*keys, "width", "height", n.cast("int").alias("nbands"), "data_type", data.alias("data")]
+    alone = work.where(F.size("cuts") == F.col("need")).select(*shape(F.col("need"), joined(slices)))
+    if not spread:
+        return alone
+    some = work.where(F.size("cuts") < F.col("need")).select(*keys, "width", "height", "data_type", "need", slices.alias("slices"))
+    tiles = some.groupBy(*keys, "width", "height", "data_type").agg(F.array_sort(F.flatten(F.collect_list("slices"))).alias("s"), F.max("need").alias("need"))
+    met = tiles.where(F.size("s") == F.col("need")).select(*shape(F.col("need"), joined(F.col("s"))))
+    return met if all(len(r.cuts) < r.need for r in rows) else alone.unionByName(met)
 
 
 # ---- regions -------------------------------------------------------------------------------------
@@ -147,19 +162,19 @@ def select_block_bands(blocks: DataFrame, bands: DataFrame, keys: Sequence[str],
 REGIONS_PER_ROW = 64
 
 
-def cuts_per_tile(regions: Regions, per_row: int = REGIONS_PER_ROW) -> DataFrame:
-    """Runs gathered per region and the regions per tile: ``cuts array<(roi_id, runs)>``.
+def cuts_per_tile(cuts: DataFrame, small: bool, per_row: int = REGIONS_PER_ROW) -> DataFrame:
+    """Runs gathered per region and the regions per tile: ``cuts array<(roi_id, runs)>``, broadcast if ``small``.
 
     A small set gives one array per tile. Otherwise the number of regions in a tile has no bound, and
     they are spread over as many rows as needed, about ``per_row`` regions to a row; one region
     has at most a tile's pixels in a tile.
     """
     runs = F.collect_list(F.struct("row", "c0", "c1", "pixel_km2")).alias("runs")
-    per_region = regions.cuts.groupBy(*TILE, "roi_id").agg(runs)
+    per_region = cuts.groupBy(*TILE, "roi_id").agg(runs)
     gathered = F.collect_list(F.struct("roi_id", "runs")).alias("cuts")
-    if regions.small:
+    if small:
         return F.broadcast(per_region.groupBy(*TILE).agg(gathered))
-    counts = regions.cuts.groupBy(*TILE, "roi_id").agg(F.count(F.lit(1)).alias("_c")).groupBy(*TILE).agg(
+    counts = cuts.groupBy(*TILE, "roi_id").agg(F.count(F.lit(1)).alias("_c")).groupBy(*TILE).agg(
         F.count(F.lit(1)).alias("_n"))
     part = F.pmod(F.xxhash64("roi_id"), F.ceil(F.col("_n") / per_row).cast("long"))
     return per_region.join(counts, list(TILE)).withColumn("part", part).groupBy(*TILE, "part").agg(gathered).drop("part")
@@ -192,11 +207,17 @@ def block_stats(blocks: DataFrame, regions: Regions, low: float, high: float, fi
     it carries eight numbers per tile, region and band.
     """
     keys = list(keys)
-    work = blocks.join(cuts_per_tile(regions), list(TILE)).select(*keys, *TILE, *SHAPE, "data", "cuts")
-    schema = _schema([work.schema[k] for k in (*keys, *TILE)],
+    return stats_of_cuts(blocks, cuts_per_tile(regions.cuts, regions.small), low, high, fill, keys)
+
+
+def stats_of_cuts(blocks: DataFrame, cuts: DataFrame, low: float, high: float, fill: float, keys: Sequence[str] = ()) -> DataFrame:
+    """Statistics of each tile, band and region of ``cuts`` (see ``cuts_per_tile``)."""
+    store = ["hpid"] if "hpid" in blocks.columns and "hpid" not in keys else []
+    work = blocks.join(cuts, list(TILE)).select(*keys, *TILE, *store, *SHAPE, "data", "cuts")
+    schema = _schema([work.schema[k] for k in (*keys, *TILE, *store)],
                      "roi_id string, band int, sum double, sq_sum double, valid_cnt long, valid_min double, "
                      "valid_max double, area_km2 double, all_cnt long, fill_cnt long")
-    names = [*keys, *TILE]
+    names = [*keys, *TILE, *store]
 
     def stats(batches):
         for batch in batches:
@@ -317,30 +338,38 @@ def lookup_points_blocks(points: DataFrame, blocks: DataFrame, z: int, width: in
 
 # ---- composite -----------------------------------------------------------------------------------
 
-class _Partial:
+MIXED = "tiles of several store blocks (hpid) of one dataset: choose bands first"
+
+
+class _Composite:
     """Running composite of one tile: value and number of valid dates of each pixel.
 
     ``pack`` writes it no wider than needed: the pixel type and one bit a pixel where that says all
     (min, max, or a single date), else sums and counts wide enough for the number of dates.
     """
 
-    __slots__ = ("method", "data_type", "value", "count", "dates")
     START = {"min": np.inf, "max": -np.inf, "ave": 0.0, "sum": 0.0}
     JOIN = {"min": np.minimum, "max": np.maximum, "ave": np.add, "sum": np.add}
 
-    def __init__(self, method: str, data_type: int, size: int):
-        self.method, self.data_type, self.dates = method, data_type, 0
-        self.value = np.full(size, self.START[method])
-        self.count = np.zeros(size, "i4")
+    def __init__(self, method: str, low: float, high: float, fill: float, key: tuple):
+        width, height, nbands, self.data_type = key[-4:]
+        self.method, self.low, self.high, self.fill, self.dates = method, low, high, fill, 0
+        self.value = np.full(width * height * nbands, self.START[method])
+        self.count = np.zeros(self.value.size, "i4")
+
+    @property
+    def nbytes(self) -> int:
+        return self.value.nbytes + self.count.nbytes
 
-    def add(self, value, count, dates):
+    def _add(self, value, count, dates):
         self.JOIN[self.method](self.value, value, out=self.value, where=count > 0)
         self.count += count
         self.dates += dates
 
-    def add_block(self, block, low, high, fill):
+    def add_block(self, block, date):
         v = block.reshape(-1).astype("f8")
-        self.add(v, (v != fill) & (v >= low) & (v <= high), 1)
+        is_fill = np.isnan(v) if np.isnan(self.fill) else v == self.fill
+        self._add(v, ~is_fill & (v >= self.low) & (v <= self.high), 1)
 
     def _layout(self, dates):
         """Types of packed values and counts; None for one bit a pixel."""
@@ -349,110 +378,150 @@ class _Partial:
         exact_in_32_bits = self.data_type in (1, 2, 3) and dates < 32768
         return "<i4" if exact_in_32_bits else "<f8", "<u1" if dates < 256 else "<u2" if dates < 65536 else "<u4"
 
-    def pack(self) -> tuple[bytes, bytes]:
+    def pack(self) -> tuple[int, bytes, bytes]:
         kind, count_kind = self._layout(self.dates)
         some = self.count > 0
         value = np.where(some, self.value, 0).astype(kind).tobytes()
-        return value, (np.packbits(some) if count_kind is None else self.count.astype(count_kind)).tobytes()
+        return self.dates, value, (np.packbits(some) if count_kind is None else self.count.astype(count_kind)).tobytes()
 
-    def add_packed(self, value, count, dates):
+    def add_packed(self, dates, value, count):
         kind, count_kind = self._layout(dates)
         v = np.frombuffer(value, kind).astype("f8")
         c = np.frombuffer(count, "u1" if count_kind is None else count_kind)
-        self.add(v, np.unpackbits(c, count=v.size) if count_kind is None else c.astype("i4"), dates)
+        self._add(v, np.unpackbits(c, count=v.size) if count_kind is None else c.astype("i4"), dates)
 
-    def finish(self, fill) -> bytes:
+    def finish(self, key: tuple) -> tuple:
         v = self.value / np.maximum(self.count, 1) if self.method == "ave" else self.value
         kind = self.data_type if self.method in ("min", "max") else FLOAT_TYPE
-        return np.where(self.count > 0, v, fill_value(fill, PIXEL_TYPES[kind][0])).astype(PIXEL_TYPES[kind][0]).tobytes()
+        data = np.where(self.count > 0, v, fill_value(self.fill, PIXEL_TYPES[kind][0])).astype(PIXEL_TYPES[kind][0]).tobytes()
+        return (*key[:-1], kind, data)
 
 
-def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fill: float,
-                     keys: Sequence[str] = TILE, spread: int = 16, heavy: int = HEAVY_TILE) -> DataFrame:
-    """Composite of blocks over dates per ``keys`` (which include the tile address).
-
-    Tasks first combine the dates of a tile they hold; one exchange by tile brings the partials together. If a count of addresses,
-    which reads no data, finds a tile with more than ``heavy`` blocks, partials are combined in two steps, the first spread over
-    ``spread`` reducers per tile, so that such a tile is not sent to one task. Reducers read their partition sorted by tile and
-    hold one tile at a time. The result is the same either way.
-    """
-    check_method(method)
-    ident = [*keys, *SHAPE]
-    work = blocks.select(*ident, "data")
-    fields = [work.schema[n] for n in ident]
-    part_schema = _schema(fields, "salt int, dates int, value binary, count binary")
-    out_schema = _schema(fields, "data binary")
+PARTS = "salt int, store int, dates int, value binary, count binary"
 
-    def batch_of(schema, rows):
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], schema.fieldNames()).cast(_arrow(schema))
 
-    def packed(held, salt):
-        return batch_of(part_schema, [(*key, salt, part.dates, *part.pack()) for key, part in held.items()])
+def tile_parts(blocks: DataFrame, start: Callable, keys: Sequence[str], spread: int = 16, date: str | None = None) -> DataFrame:
+    """Partial results of each tile, one for every task that holds some of its dates.
 
-    def start(key, size):
-        return _Partial(method, key[-1], size)
+    ``start(key)`` makes a partial of a key (``keys`` and shape); it has ``add_block(pixels, date)``, ``pack()``, ``add_packed(...)``,
+    ``finish(key)`` and ``nbytes``. A task hands its partials on when they hold more than HELD_BYTES. Failed tiles are left out.
+    """
+    ident = [*keys, *SHAPE]
+    by_store = "hpid" in blocks.columns and "hpid" not in keys
+    stamp = F.col(date).cast("long") if date else F.lit(None).cast("long")
+    work = blocks.where("data IS NOT NULL").select(*ident, (F.col("hpid") if by_store else F.lit(None)).cast("int").alias("_store"), stamp.alias("_dt"), "data")
+    schema = _schema([work.schema[n] for n in ident], PARTS)
 
     def combine(batches):
         context = TaskContext.get()
         salt = context.partitionId() % spread if context else 0
-        held, used = {}, 0
+        held, stores, used = {}, {}, 0
+
+        def packed():
+            return _batch_of(schema, [(*key, salt, stores[key], *part.pack()) for key, part in held.items()])
+
         for batch in batches:
             ids = zip(*(batch.column(n).to_pylist() for n in ident))
-            for key, block in zip(ids, _block_arrays(batch)):
-                if block is None:
-                    continue
+            for key, store, dt, block in zip(ids, batch.column("_store").to_pylist(), batch.column("_dt").to_pylist(), _block_arrays(batch)):
+                if stores.setdefault(key, store) != store:
+                    raise ValueError(MIXED)
                 if key not in held:
-                    held[key] = start(key, block.size)
-                    used += 12 * block.size
-                held[key].add_block(block, low, high, fill)
+                    held[key] = start(key)
+                    used -= held[key].nbytes
+                used += held[key].nbytes
+                held[key].add_block(block, dt)
                 if used >= HELD_BYTES:
-                    yield packed(held, salt)
-                    held, used = {}, 0
+                    yield packed()
+                    held, stores, used = {}, {}, 0
         if held:
-            yield packed(held, salt)
+            yield packed()
+
+    return work.mapInArrow(combine, schema)
+
+
+def merged_parts(parts: DataFrame, start: Callable, keys: Sequence[str], out: T.StructType | None, two_steps: bool = True) -> DataFrame:
+    """Results of the partials of ``tile_parts``: brought together by tile, in two steps by salt first unless no tile has many.
+
+    Without a schema of results there is one partial a tile, to be kept and merged with others later. Reducers read their partition
+    sorted by tile and hold one tile at a time. The result is the same either way.
+    """
+    ident = [*keys, *SHAPE]
 
     def each_tile(batches):
-        """(key, partial) of every tile of a partition sorted by tile."""
-        current, part = None, None
+        """(key, store block, partial) of every tile of a partition sorted by tile."""
+        current, held, part = None, None, None
         for batch in batches:
             ids = zip(*(batch.column(n).to_pylist() for n in ident))
-            dates, values, counts = batch.column("dates").to_pylist(), batch.column("value"), batch.column("count")
+            stores, dates, values, counts = batch.column("store").to_pylist(), batch.column("dates").to_pylist(), batch.column("value"), batch.column("count")
             for i, key in enumerate(ids):
                 if key != current:
                     if current is not None and key[:-4] == current[:-4] and key[-4:] != current[-4:]:
                         raise ValueError(f"blocks of one tile differ in size, bands or type: {current} and {key}")
                     if part is not None:
-                        yield current, part
-                    w, h, nb, _ = key[-4:]
-                    current, part = key, start(key, w * h * nb)
-                part.add_packed(values[i].as_buffer(), counts[i].as_buffer(), dates[i])
+                        yield current, held, part
+                    current, held, part = key, stores[i], start(key)
+                if stores[i] != held:
+                    raise ValueError(MIXED)
+                part.add_packed(dates[i], values[i].as_buffer(), counts[i].as_buffer())
         if part is not None:
-            yield current, part
+            yield current, held, part
 
     def in_batches(schema, row_of):
         def run(batches):
-            rows, pixels = [], 0
-            for key, part in each_tile(batches):
-                rows.append(row_of(key, part))
-                pixels += part.value.size
-                if pixels >= BATCH_PIXELS:
-                    yield batch_of(schema, rows)
-                    rows, pixels = [], 0
+            rows, used = [], 0
+            for key, held, part in each_tile(batches):
+                rows.append(row_of(key, held, part))
+                used += part.nbytes
+                if used >= 8 * BATCH_PIXELS:
+                    yield _batch_of(schema, rows)
+                    rows, used = [], 0
             if rows:
-                yield batch_of(schema, rows)
+                yield _batch_of(schema, rows)
 
         return run
 
-    def finished(key, part):
-        kind = key[-1] if method in ("min", "max") else FLOAT_TYPE
-        return (*key[:-1], kind, part.finish(fill))
-
-    gather = in_batches(part_schema, lambda key, part: (*key, 0, part.dates, *part.pack()))
-    parts = work.mapInArrow(combine, part_schema)
-    if spread > 1 and work.groupBy(*keys).count().where(F.col("count") > heavy).first() is not None:
-        parts = parts.repartition(*ident, "salt").sortWithinPartitions(*ident).mapInArrow(gather, part_schema)
+    gather = in_batches(parts.schema, lambda key, held, part: (*key, 0, held, *part.pack()))
+    if two_steps:
+        parts = parts.repartition(*ident, "salt").sortWithinPartitions(*ident).mapInArrow(gather, parts.schema)
     # by tile, not shape, so that blocks of another shape meet and are seen
-    return parts.repartition(*keys).sortWithinPartitions(*ident).mapInArrow(in_batches(out_schema, finished), out_schema)
+    met = parts.repartition(*keys).sortWithinPartitions(*ident)
+    if out is None:
+        return met.mapInArrow(gather, parts.schema)
+    return met.mapInArrow(in_batches(out, lambda key, held, part: part.finish(key)), out)
+
+
+def any_heavy(counts: DataFrame, keys: Sequence[str] = TILE, heavy: int = HEAVY_TILE) -> bool:
+    """Whether some tile has more than ``heavy`` blocks, by the counts ``n`` that are kept beside a tile table (``tile_counts``)."""
+    return counts.groupBy(*keys).agg(F.sum("n").alias("n")).where(F.col("n") > heavy).first() is not None
+
+
+def composite_blocks(blocks: DataFrame, method: str, low: float, high: float, fill: float, keys: Sequence[str] = TILE, spread: int = 16,
+                     two_steps: bool = True) -> DataFrame:
+    """Composite of blocks over dates per ``keys`` (which include the tile address).
+
+    Tasks first combine the dates of a tile they hold. Partials then come together in two steps, the first spread over ``spread``
+    reducers a tile, so that a tile with a third of all dates is not sent to one task. ``two_steps=False`` saves the first
+    exchange where no tile has many dates; ``any_heavy`` tells that from the counts kept beside a table, without reading tiles. The
+    input is read once. Blocks of several store blocks (``hpid``) under one key are an error.
+    """
+    start = composite_start(method, low, high, fill)
+    parts = tile_parts(blocks, start, keys, spread)
+    return merged_parts(parts, start, keys, composite_schema(parts, keys), two_steps and spread > 1)
+
+
+def composite_start(method: str, low: float, high: float, fill: float) -> Callable:
+    """What ``tile_parts`` and ``merged_parts`` need for a composite by one of the named methods."""
+    check_method(method)
+    return lambda key: _Composite(method, low, high, fill, key)
+
+
+def composite_schema(parts: DataFrame, keys: Sequence[str]) -> T.StructType:
+    return _schema([parts.schema[n] for n in (*keys, *SHAPE)], "data binary")
+
+
+def _batch_of(schema: T.StructType, rows: list[tuple]) -> pa.RecordBatch:
+    arrow = _arrow(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), arrow.types)], names=arrow.names)
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
@@ -485,8 +554,9 @@ def map_tiles(blocks: DataFrame, fn: TileFunction, inputs: Sequence[tuple[str, i
     """One result tile per address from the named inputs: ``fn(address, {(dsname, date): pixels}) -> pixels``.
 
     ``inputs`` lists the (dataset, date) pairs the function reads; pixels are [band, row, col]. A tile
-    that lacks some of them is given those it has; one with several blocks for an input is an error. One input needs no shuffle; several bring the blocks
-    of a tile together, at most one per input. A failing tile becomes a row with status 1 and the
+    that lacks some of them is given those it has; one with several blocks for an input is an error. One input needs no shuffle, so there
+    it is an error if a task meets two store blocks, and ``merge_cells`` refuses a cell given twice by different tasks. Several inputs
+    bring the blocks of a tile together, at most one per input. A failing tile becomes a row with status 1 and the
     error text in ``log``; it does not stop the job.
     """
     keys = list(keys)
@@ -495,8 +565,10 @@ def map_tiles(blocks: DataFrame, fn: TileFunction, inputs: Sequence[tuple[str, i
     for dsname, date in inputs:
         named = named | ((F.col("dsname") == dsname) & (F.col("hcol") == date))
     chosen = blocks.where(named)
-    if len(set(inputs)) == 1:
-        work = chosen.select(*keys, F.array(one).alias("inputs"))
+    store = F.col("hpid") if "hpid" in blocks.columns else F.lit(None)
+    single = len(set(inputs)) == 1
+    if single:
+        work = chosen.select(*keys, F.array(one).alias("inputs"), store.cast("int").alias("_store"))
     else:
         work = chosen.groupBy(*keys).agg(F.collect_list(one).alias("inputs"))
         names = F.transform("inputs", lambda i: F.struct(i["dsname"], i["hcol"]))
@@ -516,7 +588,10 @@ def map_tiles(blocks: DataFrame, fn: TileFunction, inputs: Sequence[tuple[str, i
             return 0, 0, 0, 0, 1, f"{type(error).__name__}: {error}", None
 
     def run(batches):
+        stores = set()
         for batch in batches:
+            if single and len(stores := stores | set(batch.column("_store").to_pylist())) > 1:
+                raise ValueError(MIXED)
             heads = [dict(zip(keys, r)) for r in zip(*(batch.column(k).to_pylist() for k in keys))]
             rows = [computed(head, given.values) for head, given in zip(heads, batch.column("inputs"))]
             if rows:
@@ -526,6 +601,72 @@ def map_tiles(blocks: DataFrame, fn: TileFunction, inputs: Sequence[tuple[str, i
     return work.mapInArrow(run, schema)
 
 
+@dataclass(frozen=True)
+class Fold:
+    """A user function over dates in four parts, so that dates may be taken in any order and number.
+
+    ``start(address)`` gives a state (any picklable value, arrays best), ``add(state, date, pixels)`` and ``merge(state, state)`` a
+    state, ``finish(state)`` pixels [band, row, col]. Adding must not depend on the order of dates.
+    """
+
+    start: Callable[[dict], object]
+    add: Callable[[object, int, np.ndarray], object]
+    merge: Callable[[object, object], object]
+    finish: Callable[[object], np.ndarray]
+
+
+class _Folded:
+    """Running state of a user's fold; an error takes its place and fails the tile."""
+
+    def __init__(self, fold: Fold, names: Sequence[str], key: tuple):
+        self.fold, self.dates, self.error, self.state = fold, 0, None, None
+        self.begin = lambda: fold.start(dict(zip(names, key)))
+        self.empty, self.nbytes = True, 8 * key[-4] * key[-3] * key[-2]
+
+    def _try(self, step, *given):
+        if self.error is None:
+            try:
+                return step(*given)
+            except Exception as error:  # noqa: BLE001 - a bad tile is data, not a failed job
+                self.error = f"{type(error).__name__}: {error}"
+        return None
+
+    def add_block(self, block, date):
+        if self.empty:
+            self.state, self.empty = self._try(self.begin), False
+        self.state = self._try(self.fold.add, self.state, date, block)
+        self.dates += 1
+
+    def pack(self):
+        value = pickle.dumps((self.error, None if self.error else self.state), protocol=5)
+        self.nbytes = max(self.nbytes, len(value))
+        return self.dates, value, b""
+
+    def add_packed(self, dates, value, count):
+        error, state = pickle.loads(value)
+        self.error, self.dates = self.error or error, self.dates + dates
+        self.state, self.empty = state if self.empty else self._try(self.fold.merge, self.state, state), False
+        self.nbytes = max(self.nbytes, len(value))
+
+    def finish(self, key):
+        out = self._try(lambda: _as_block(self.fold.finish(self.state)))
+        row = self._try(lambda: (out.shape[2], out.shape[1], out.shape[0], _type_of(out), 0, None, out.tobytes()))
+        return (*key[:-4], *(row or (0, 0, 0, 0, 1, self.error, None)))
+
+
+def fold_blocks(blocks: DataFrame, fold: Fold, keys: Sequence[str], date: str = "hcol", spread: int = 16, two_steps: bool = True) -> DataFrame:
+    """A user's ``Fold`` over all dates of each key: one result tile a key, failed ones with status 1 and the error text.
+
+    Dates are added in the task that reads them and states merged in two steps (see ``composite_blocks``), so neither a hot tile nor a
+    long list of dates is one task's work, whatever the function does with neighbouring pixels. ``apply_to_stack`` serves functions that
+    need the dates in order.
+    """
+    keys = list(keys)
+    start = lambda key: _Folded(fold, keys, key)
+    out = _schema([blocks.schema[k] for k in keys], RESULT)
+    return merged_parts(tile_parts(blocks, start, keys, spread, date), start, keys, out, two_steps and spread > 1)
+
+
 def apply_to_stack(blocks: DataFrame, fn: StackFunction, keys: Sequence[str], strips: int = 1,
                    date: str = "hcol") -> DataFrame:
     """Apply a user function to all dates of a key: ``fn(address, dates) -> pixels[band, row, col]``.

@@ -23,10 +23,15 @@ def composite(pixels: DataFrame, method: str, low: float, high: float, fill: flo
               keys: Sequence[str] = PIXEL_KEYS) -> DataFrame:
     """Combine the valid values of each pixel over its dates; pixels without one get the fill value.
 
-    All four methods aggregate partially before the shuffle, so one row per pixel and task is sent.
+    All four methods aggregate partially before the shuffle, so one row per pixel and task is sent. Pixels of several store
+    blocks (``hpid``) under one key are an error.
     """
     check_method(method)
     dn = F.when(is_valid(F.col("dn"), low, high, fill), F.col("dn"))
     value = {"min": F.min(dn), "max": F.max(dn), "ave": F.avg(dn.cast("double")), "sum": F.sum(dn.cast("double"))}[method]
     kind = pixels.schema["dn"].dataType if METHODS[method] == "long" else METHODS[method]
-    return pixels.groupBy(*keys).agg(F.coalesce(value.cast(kind), F.lit(fill).cast(kind)).alias("dn"))
+    done = F.coalesce(value.cast(kind), F.lit(fill).cast(kind))
+    if "hpid" in pixels.columns and "hpid" not in keys:
+        mixed = F.raise_error(F.lit("tiles of several store blocks (hpid) of one dataset: choose bands first")).cast(kind)
+        done = F.when(F.min("hpid") < F.max("hpid"), mixed).otherwise(done)
+    return pixels.groupBy(*keys).agg(done.alias("dn"))

@@ -27,6 +27,7 @@ def tile_stats(pixels: DataFrame, cuts: DataFrame, low: float, high: float, fill
         return F.when(valid, c)
 
     inside = pixels_in_regions(pixels, cuts)
+    store = [F.min("hpid").alias("hpid"), F.max("hpid").alias("hpid_to")] if "hpid" in pixels.columns and "hpid" not in keys else []
     return inside.groupBy(*keys, "roi_id", "band", "z", "y", "x").agg(
         F.coalesce(F.sum(of_valid(dn)), F.lit(0.0)).alias("sum"),
         F.coalesce(F.sum(of_valid(dn * dn)), F.lit(0.0)).alias("sq_sum"),
@@ -35,7 +36,7 @@ def tile_stats(pixels: DataFrame, cuts: DataFrame, low: float, high: float, fill
         F.coalesce(F.max(of_valid(dn)), F.lit(0.0)).alias("valid_max"),
         F.coalesce(F.sum(of_valid(F.col("pixel_km2"))), F.lit(0.0)).alias("area_km2"),
         F.count(F.lit(1)).alias("all_cnt"),
-        F.count(F.when(F.col("dn") == F.lit(fill), F.lit(1))).alias("fill_cnt"),
+        F.count(F.when(F.col("dn") == F.lit(fill), F.lit(1))).alias("fill_cnt"), *store,
     )
 
 
@@ -43,6 +44,8 @@ def merge_stats(stats: DataFrame, keys: Sequence[str] = (), merge: str = "refere
                 then_by: str | None = None) -> DataFrame:
     """Merge tile statistics per (``keys``, region, band) and add mean and stddev.
 
+    Where tiles name their store block (``hpid``), two of them under one key are an error: band 0 of the one is not band 0 of the other.
+
     ``then_by`` orders rows of one tile (several dates under one key) where the first empty one is needed.
     """
     if merge not in ("reference", "all"):
@@ -59,11 +62,16 @@ def merge_stats(stats: DataFrame, keys: Sequence[str] = (), merge: str = "refere
         empty = F.when(~some, order)
         return F.coalesce(F.sum(F.when(some, F.col(name))), F.min_by(F.col(name), empty))
 
+    last = "hpid_to" if "hpid_to" in stats.columns else "hpid"
+    store = [F.min("hpid").alias("_lo"), F.max(last).alias("_hi")] if "hpid" in stats.columns and "hpid" not in keys else []
     grouped = stats.groupBy(*keys, "roi_id", "band").agg(
-        *[total(n).alias(n) for n in ("sum", "sq_sum", "valid_cnt", "area_km2", "all_cnt", "fill_cnt")],
+        *store, *[total(n).alias(n) for n in ("sum", "sq_sum", "valid_cnt", "area_km2", "all_cnt", "fill_cnt")],
         F.coalesce(F.min(F.when(some, F.col("valid_min"))), F.lit(0.0)).alias("valid_min"),
         F.coalesce(F.max(F.when(some, F.col("valid_max"))), F.lit(0.0)).alias("valid_max"),
     )
+    if store:
+        mixed = F.raise_error(F.lit("tiles of several store blocks (hpid) of one dataset: choose bands first")).cast("bigint")
+        grouped = grouped.withColumn("valid_cnt", F.when(F.col("_lo") < F.col("_hi"), mixed).otherwise(F.col("valid_cnt")))
     return with_moments(grouped.select(*keys, "roi_id", "band", *STATS))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tilewright.functions.grid import grow_extent
 from tilewright.functions.text import EMPTY_PARAMS
-from tilewright.operators.blocks import SHAPE
+from tilewright.operators.blocks import SHAPE, any_heavy
 from tilewright.operators.catalog import common_inputs, product_by_name
 from tilewright.operators.collections import build_collections, daily_series
 from tilewright.operators.pixels import dated
@@ -29,19 +29,13 @@ def _product(products: DataFrame, name: str):
     return row
 
 
-def _tiles(blocks: DataFrame, p, products: DataFrame, bands: DataFrame | None) -> DataFrame:
-    """Tiles of a product at its highest zoom, band-resolved where the bands are known."""
-    mine = blocks.where((F.col("dsname") == p.name) & (F.col("z") == p.maxZoom))
-    return mine if bands is None else resolved(mine, products, bands, p.name)
+def _tiles(blocks: DataFrame, p, products: DataFrame, bands: DataFrame) -> DataFrame:
+    """Tiles of a product at its highest zoom, assembled from the store blocks its bands lie in."""
+    return resolved(blocks.where((F.col("dsname") == p.name) & (F.col("z") == p.maxZoom)), products, bands, p.name)
 
 
-def run_statistics(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame,
-                   bands: DataFrame | None = None) -> DataFrame:
-    """Region statistics of one dataset date at its highest zoom.
-
-    With the table of ``bands`` a tile is assembled from all store blocks its bands lie in; without it, each product must
-    have one block.
-    """
+def run_statistics(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame, bands: DataFrame) -> DataFrame:
+    """Region statistics of one dataset date at its highest zoom. ``bands`` is the band table of the products."""
     check_statistics(order)
     p = _product(products, order.dsname)
     tiles = _tiles(dated(blocks, order.dt, order.dt), p, products, bands)
@@ -124,18 +118,22 @@ def _series_inputs(order: Order, name: str, blocks, segments, products, items, b
     return tiles, dates, Regions(wanted, p.tileWid, p.tileHei), not spec.repeat_type
 
 
-def run_series(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame, items: DataFrame,
-               bands: DataFrame | None = None) -> DataFrame:
-    """Series of one dataset: repeated periods by key, or every date under its day."""
+def run_series(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame, items: DataFrame, bands: DataFrame,
+               counts: DataFrame | None = None) -> DataFrame:
+    """Series of one dataset: repeated periods by key, or every date under its day.
+
+    ``counts`` are those kept beside the tile table (``tile_counts``); if they show no tile with many dates, one exchange is saved.
+    """
     check_series(order)
     tiles, dates, regions, per_date = _series_inputs(order, order.dsname, blocks, segments, products, items, bands)
+    heavy = counts is None or any_heavy(counts.where(F.col("dsname") == order.dsname))
     return statistics.series_stats_blocks(tiles, dates, regions, order.method, order.validMinInc, order.validMaxInc,
-                                          order.filldata, per_date).orderBy("key", "roi_id", "band")
+                                          order.filldata, per_date, two_steps=heavy).orderBy("key", "roi_id", "band")
 
 
 def run_script_series(order: Order, blocks: DataFrame, segments: DataFrame, products: DataFrame, items: DataFrame,
-                      functions: dict, strips: int = 1, bands: DataFrame | None = None) -> DataFrame:
-    """Series with one of the user's date-stack functions, named by the order's ``caller``."""
+                      functions: dict, bands: DataFrame, strips: int = 1) -> DataFrame:
+    """Series with one of the user's functions, named by the order's ``caller``: a ``Fold``, or a function over dates in order."""
     check_script_series(order)
     if order.caller not in functions:
         raise ValueError(f"unknown function {order.caller!r}")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tilewright.operators.blocks import apply_to_stack, block_stats, composite_blocks, join_strips
+from tilewright.operators.blocks import Fold, apply_to_stack, block_stats, composite_blocks, fold_blocks, join_strips
 from tilewright.operators.composite import composite
 from tilewright.operators.pixels import explode_pixels, good_tiles
 from tilewright.operators.regions import Regions
@@ -65,11 +65,14 @@ def series_stats(tiles: DataFrame, collections: DataFrame, regions: Regions, met
 
 def series_stats_blocks(blocks: DataFrame, collections: DataFrame, regions: Regions, method: str, low: float,
                         high: float, fill: float, per_date: bool = False,
-                        merge: str = "reference", stats_range: tuple[float, float] | None = None) -> DataFrame:
-    """``series_stats`` on binary blocks: whole tiles are composited, one row per tile and date is sent."""
+                        merge: str = "reference", stats_range: tuple[float, float] | None = None, two_steps: bool = True) -> DataFrame:
+    """``series_stats`` on binary blocks: whole tiles are composited, one row per tile and date is sent.
+
+    For ``two_steps`` see ``composite_blocks``; a tile has one date under a key where ``per_date`` is set.
+    """
     keys = ("key", "hcol") if per_date else ("key",)
     dated = regions.touching(_by_date(good_tiles(blocks), collections))
-    combined = composite_blocks(dated, method, low, high, fill, (*keys, "z", "y", "x"))
+    combined = composite_blocks(dated, method, low, high, fill, (*keys, "z", "y", "x"), two_steps=two_steps and not per_date)
     s_low, s_high = stats_range or (low, high)
     stats = block_stats(combined, regions, s_low, s_high, fill, keys)
     return merge_stats(stats, ("key",), merge, then_by="hcol" if per_date else None)
@@ -92,9 +95,12 @@ def script_series(tiles: DataFrame, collections: DataFrame, regions: Regions, st
 
 def script_series_blocks(blocks: DataFrame, collections: DataFrame, regions: Regions, fn, low: float, high: float,
                          fill: float, strips: int = 1, per_date: bool = False) -> DataFrame:
-    """Series with a Python function over the date stack of each tile (see ``apply_to_stack``)."""
+    """Series with a Python function over the date stack of each tile: a ``Fold``, or one that needs dates in order (``apply_to_stack``)."""
     keys = ("key", "hcol") if per_date else ("key",)
     dated = regions.touching(_by_date(good_tiles(blocks), collections))
     address = (*keys, "z", "y", "x")
-    out = good_tiles(join_strips(apply_to_stack(dated, fn, address, strips), address))
+    if isinstance(fn, Fold):
+        out = good_tiles(fold_blocks(dated, fn, address, two_steps=not per_date))
+    else:
+        out = good_tiles(join_strips(apply_to_stack(dated, fn, address, strips), address))
     return merge_stats(block_stats(out, regions, low, high, fill, keys), ("key",), then_by="hcol" if per_date else None)

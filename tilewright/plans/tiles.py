@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from tilewright.functions.grid import TILE_SIZE, tile_range
 from tilewright.operators.blocks import TileFunction, clip_blocks, composite_blocks, map_tiles
-from tilewright.operators.pixels import dated, good_tiles, status_counts
+from tilewright.operators.pixels import dated, good_tiles
 from tilewright.operators.regions import clip, intersection_of, merged
 from tilewright.sinks.registry import output_bands, output_item, output_product, replace_rows
 from tilewright.sinks.tiles import FAILED, merge_cells, staged
@@ -91,17 +91,20 @@ def run_tile_job(tiles: DataFrame, path: str, catalog: Catalog, dsname: str, hco
     """Write computed tiles, then add band, item and product rows when no tile failed.
 
     Tiles go in cell by cell: other dates, regions and products of the table stay. Failed tiles replace nothing; they are
-    kept with their error text in a table beside it, under ``path`` + FAILED. Tiles are staged and counted there, so the
-    user function runs once and retries cannot count twice.
+    kept with their error text in a table beside it, under ``path`` + FAILED. Tiles are staged, so the user function runs once, and
+    counted while they are staged.
     """
     spark = tiles.sparkSession
-    with staged(tiles, path) as done:
-        counts = status_counts(done).first()
-        first = good_tiles(done).select("hpid", "nbands", "data_type").first()
+    is_good, seen = F.col("status") == 0, Observation()
+    # struct order makes the sample row the same whichever task comes first
+    sample = F.min(F.when(is_good, F.struct("hpid", "nbands", "data_type"))).alias("first")
+    with staged(tiles, path, seen, F.count_if(is_good).alias("good"), F.count_if(~is_good).alias("bad"), sample) as done:
+        counts = Row(**seen.get)
         if counts.good:
             merge_cells(good_tiles(done), path)
         if counts.bad:
             merge_cells(done.where("status <> 0"), path.rstrip("/") + FAILED)
+    first = counts.first
     if counts.bad or first is None:
         return TileJobResult(counts.good, counts.bad, catalog)
     left, right, top, bottom = (float(v) for v in extent)

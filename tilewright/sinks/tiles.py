@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tilewright.functions.dates import MONTH, int_div
 from tilewright.operators.sides import fits_broadcast, hinted
@@ -15,6 +15,8 @@ from tilewright.sources.tiles import CELL, newest
 PARTITIONS = ("dsname", "z", "ym")
 # Failed tiles of a job lie beside the table, under its path with this ending.
 FAILED = "_failed"
+# Numbers of blocks a tile and month, likewise.
+COUNTS = "_counts"
 
 
 # Tiles this many rows and columns apart are written together.
@@ -37,10 +39,30 @@ def _laid_out(tiles: DataFrame) -> DataFrame:
 def write_tiles(tiles: DataFrame, path: str) -> None:
     """Replace the (dsname, z, month) partitions present in ``tiles``, leave all others.
 
-    Whole partitions are staged and swapped at job commit, so a lost executor leaves the old data.
+    Whole partitions are staged and swapped at job commit, so a lost executor leaves the old data. Afterwards the number of blocks of each
+    tile is counted anew for these partitions, from the written files' address columns, and kept under ``path`` + COUNTS. The write
+    itself reports which partitions it touched, so ``tiles`` is computed once. Counts serve plans, never results.
     """
-    (_laid_out(tiles).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITIONS).parquet(path))
+    seen = Observation()
+    laid_out = _laid_out(tiles).observe(seen, F.collect_set(F.struct(*PARTITIONS)).alias("touched"))
+    laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
+    touched = seen.get["touched"]  # as many as partition folders
+    if not touched:
+        return
+    months: dict[tuple, list] = {}
+    for dsname, z, ym in touched:
+        months.setdefault((dsname, z), []).append(ym)
+    chosen = F.lit(False)
+    for (dsname, z), ym in months.items():
+        chosen = chosen | (F.col("dsname").eqNullSafe(dsname) & F.col("z").eqNullSafe(z) & F.col("ym").isin(ym))
+    counts = tiles.sparkSession.read.parquet(path).where(chosen).groupBy(*PARTITIONS, "y", "x").agg(F.count(F.lit(1)).alias("n"))
+    counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path.rstrip("/") + COUNTS)
+
+
+def tile_counts(spark: SparkSession, path: str) -> DataFrame | None:
+    """(dsname, z, ym, y, x, n) of a tile table as kept by ``write_tiles``; None where a table has none."""
+    kept = path.rstrip("/") + COUNTS
+    return spark.read.parquet(kept) if exists(spark, kept) else None
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -55,12 +77,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 @contextmanager
-def staged(tiles: DataFrame, path: str) -> Iterator[DataFrame]:
-    """``tiles`` computed once, in a folder beside the table that goes again at the end."""
+def staged(tiles: DataFrame, path: str, seen: Observation | None = None, *metrics: Column) -> Iterator[DataFrame]:
+    """``tiles`` computed once, in a folder beside the table that goes again at the end.
+
+    ``metrics`` are aggregates over the rows as they are written, given by ``seen``: no pass of their own. They are taken in the
+    tasks that write, whose results count once however often a task is tried.
+    """
     spark = tiles.sparkSession
     folder = f"{path.rstrip('/')}_staged-{uuid.uuid4().hex}"
     try:
-        tiles.write.parquet(folder)
+        (tiles.observe(seen, *metrics) if seen is not None else tiles).write.parquet(folder)
         yield spark.read.schema(tiles.schema).parquet(folder)
     finally:
         system, at = _file_system(spark, folder)
@@ -75,16 +101,14 @@ def upsert_tiles(tiles: DataFrame, path: str, keys: Sequence[str] = CELL, versio
     """
     # the new cells are needed several times and may come from a costly function
     with staged(tiles.drop("ym"), path) as new:
-        if version is not None:
-            new = newest(new, keys, version)
-        elif (twice := new.groupBy(*keys).count().where("count > 1").first()) is not None:
-            raise ValueError(f"several rows for the cell {twice.asDict()}")
-        merge_cells(new, path, keys)
+        merge_cells(newest(new, keys, version) if version is not None else new, path, keys, checked=version is not None)
 
 
-def merge_cells(new: DataFrame, path: str, keys: Sequence[str] = CELL) -> None:
-    """The work of ``upsert_tiles`` for cells that are stored elsewhere and occur once each."""
+def merge_cells(new: DataFrame, path: str, keys: Sequence[str] = CELL, checked: bool = False) -> None:
+    """The work of ``upsert_tiles`` for cells that are stored elsewhere; one that occurs twice is an error and changes nothing."""
     spark = new.sparkSession
+    if not checked and (twice := new.groupBy(*keys).count().where("count > 1").first()) is not None:
+        raise ValueError(f"several rows for the cell {twice.asDict()}")
     if not exists(spark, path):
         write_tiles(new, path)
         return
