@@ -10,12 +10,13 @@ from tilewright.llm.common import BLANK, cut
 WINDOW = 8
 ROUNDS = 20
 PRIOR = 0.85
-# Beta priors, as right and wrong votes, of a rule's accuracy on good and on bad documents: a rule that looks for one fault
-# is seldom wrong on good ones, and says good of bad ones with another fault.
-GOOD, BAD = (99.0, 1.0), (4.0, 6.0)
-# Bounds of both, and of the prior. Faults are of several kinds that seldom meet in one document: without bounds the most common
-# kind becomes all that bad means, and the others pass as noise of good documents.
-GOOD_BOUNDS, BAD_BOUNDS, PRIOR_BOUNDS = (0.99, 0.999), (0.1, 0.5), (0.5, 0.9)
+# Prior accuracy of a rule on good documents, for those that look for a plain fault and for those that only give a hint (WEAK), and on
+# bad ones: a rule that looks for one fault says good of bad documents with another.
+GOOD, GOOD_WEAK, BAD = 0.995, 0.9, 0.5
+WEAK = ("variety", "length", "long_lines", "few_kinds")
+# What the priors weigh, as a share of all documents, so that tables of any size are judged alike. Faults are of several kinds that seldom
+# meet in one document; without priors the commonest kind becomes all that "bad" means and the others pass as noise.
+STRENGTH = 0.1
 
 
 def _words(text: Column) -> Column:
@@ -61,7 +62,7 @@ def votes() -> dict[str, Column]:
     def rule(bad: Column, good: Column) -> Column:
         return F.when(bad, -1).when(good, 1).otherwise(0)
 
-    words, chars = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
+    words, chars, lines = (F.greatest(c, F.lit(1)) for c in ("n_words", "word_chars", "n_lines"))
     mean = F.col("word_chars") / words
     return {
         "symbols": rule(F.col("n_symbols") > 0.1 * words, F.col("n_symbols") < 0.02 * words),
@@ -72,41 +73,44 @@ def votes() -> dict[str, Column]:
         "repeated_words": rule(F.col("n_repeat_words") > 0.3 * words, F.col("n_repeat_words") == 0),
         "repeated_lines": rule((F.col("n_lines") >= 5) & (F.col("n_dup_lines") > 0.6 * F.col("n_lines")), F.col("n_dup_lines") == 0),
         "variety": rule((F.col("n_words") >= 50) & (F.col("n_kinds") < 0.2 * words), (F.col("n_kinds") > 0.3 * words)),
+        "length": rule(F.col("n_words") < 60, F.col("n_words") >= 120),
+        "long_lines": rule(words > 100 * lines, words <= 60 * lines),
+        "few_kinds": rule((F.col("n_words") >= 50) & (F.col("n_kinds") < 0.55 * words), F.col("n_kinds") > 0.7 * words),
     }
 
 
-def _within(x: Column, bounds: tuple[float, float]) -> Column:
-    return F.least(F.lit(bounds[1]), F.greatest(F.lit(bounds[0]), x))
+def priors(names: list[str]) -> list[tuple[float, float]]:
+    """Prior accuracy of each rule on good and on bad documents."""
+    return [(GOOD_WEAK if name in WEAK else GOOD, BAD) for name in names]
 
 
-def _accuracy(right: Column, wrong: Column, prior: tuple[float, float], bounds: tuple[float, float]) -> Column:
-    return _within((right + prior[0]) / (right + wrong + sum(prior)), bounds)
-
-
-def _learn(rules: int) -> Column:
-    """Expectation-maximisation in one row: prior and accuracies from the array ``patterns`` of (v, n).
+def _learn(prior: list[tuple[float, float]]) -> Column:
+    """Expectation-maximisation in one row: share of good documents and accuracies from the array ``patterns`` of (v, n).
 
     A vote pattern occurs n times; there are at most 3 ** rules of them, whatever the number of documents. A rule has one accuracy
-    on good and one on bad documents, within bounds that keep a vote from speaking against what it says.
+    on good and one on bad documents. Each estimate is that of the votes, weighed by the posterior, with the prior as further votes.
     """
+    rules = len(prior)
+
     def step(state: Column) -> Column:
         judged = F.transform("patterns", lambda p: F.struct(p["v"].alias("v"), p["n"].alias("n"), posterior(p["v"], state).alias("q")))
         total = F.aggregate(judged, F.lit(0.0), lambda a, p: a + p["n"])
         good = F.aggregate(judged, F.lit(0.0), lambda a, p: a + p["n"] * p["q"])
 
         def rule(j: Column) -> Column:
+            more_good, more_bad = STRENGTH * PRIOR * total, STRENGTH * (1 - PRIOR) * total
             zero = F.struct(*(F.lit(0.0).alias(k) for k in ("gr", "gw", "br", "bw")))
             add = lambda a, p, k, vote, q: (a[k] + F.when(p["v"][j] == vote, p["n"] * q).otherwise(0.0)).alias(k)
-            sums = F.aggregate(judged, zero, lambda a, p: F.struct(add(a, p, "gr", 1, p["q"]), add(a, p, "gw", -1, p["q"]),
+            fit = lambda right, wrong, more, k: (right + more * F.element_at(before, j + 1)[k]) / (right + wrong + more)
+            return F.aggregate(judged, zero, lambda a, p: F.struct(add(a, p, "gr", 1, p["q"]), add(a, p, "gw", -1, p["q"]),
                                                                   add(a, p, "br", -1, 1 - p["q"]), add(a, p, "bw", 1, 1 - p["q"])),
-                               lambda a: F.struct(_accuracy(a["gr"], a["gw"], GOOD, GOOD_BOUNDS).alias("g"), _accuracy(a["br"], a["bw"], BAD, BAD_BOUNDS).alias("b")))
-            return sums
+                               lambda a: F.struct(fit(a["gr"], a["gw"], more_good, "g").alias("g"), fit(a["br"], a["bw"], more_bad, "b").alias("b")))
 
         fitted = F.transform(F.sequence(F.lit(0), F.lit(rules - 1)), rule)
-        return F.struct(_within(F.when(total > 0, good / total).otherwise(PRIOR), PRIOR_BOUNDS).alias("prior"), fitted.alias("rules"))
+        return F.struct(((good + STRENGTH * PRIOR * total) / ((1 + STRENGTH) * total)).alias("prior"), fitted.alias("rules"))
 
-    first = F.struct(F.lit(GOOD[0] / sum(GOOD)).alias("g"), F.lit(BAD[0] / sum(BAD)).alias("b"))
-    start = F.struct(F.lit(PRIOR).alias("prior"), F.array_repeat(first, rules).alias("rules"))
+    before = F.array(*(F.struct(F.lit(g).alias("g"), F.lit(b).alias("b")) for g, b in prior))
+    start = F.struct(F.lit(PRIOR).alias("prior"), before.alias("rules"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda state, _: step(state))
 
 
@@ -129,9 +133,9 @@ def judge_quality(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
     rows = cut(measures(documents).withColumn("v", F.array(*rules.values())))
     counts = rows.groupBy("v").agg(F.count("*").cast("double").alias("n")).agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("patterns"))
     # the driver sees one row: a prior and two accuracies a rule
-    prior, learned = counts.select(_learn(len(rules)).alias("state")).select("state.*").first()
-    if learned is None:  # no documents
-        prior, learned = PRIOR, [(GOOD[0] / sum(GOOD), BAD[0] / sum(BAD))] * len(rules)
+    prior, learned = counts.select(_learn(priors(list(rules))).alias("state")).select("state.*").first()
+    if prior is None:  # no documents
+        prior, learned = PRIOR, priors(list(rules))
     state = F.struct(F.lit(prior).alias("prior"), F.array(*(F.struct(F.lit(g).alias("g"), F.lit(b).alias("b")) for g, b in learned)).alias("rules"))
     judged = rows.withColumn("quality", posterior(F.col("v"), state))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
