@@ -133,7 +133,7 @@ def judge_quality(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
     rows = cut(measures(documents).withColumn("v", F.array(*rules.values())))
     counts = rows.groupBy("v").agg(F.count("*").cast("double").alias("n")).agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("patterns"))
     # the driver sees one row: a prior and two accuracies a rule
-    prior, learned = counts.select(_learn(priors(list(rules))).alias("state")).select("state.*").first()
+    prior, learned = counts.select(F.when(F.size("patterns") > 0, _learn(priors(list(rules)))).alias("state")).select("state.*").first()
     if prior is None:  # no documents
         prior, learned = PRIOR, priors(list(rules))
     state = F.struct(F.lit(prior).alias("prior"), F.array(*(F.struct(F.lit(g).alias("g"), F.lit(b).alias("b")) for g, b in learned)).alias("rules"))
