@@ -7,6 +7,7 @@ import re
 import zlib
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,10 @@ _ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _SIGNED = re.compile(r"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 _WEB = re.compile(r"(eyJ[A-Za-z0-9_-]{8,})\.(eyJ[A-Za-z0-9_-]{2,})\.[A-Za-z0-9_-]{16,}")
-_KEY = re.compile(r"-----BEGIN ((?:[A-Z]+ )*PRIVATE KEY)-----\s+([A-Za-z0-9+/=\s]+?)-----END \1-----")
+_KEY = re.compile(r"-----BEGIN ((?:[A-Z]+ )*PRIVATE KEY)-----\s+((?:[A-Za-z0-9-]+: [^\n]*\n)*)([A-Za-z0-9+/=\s]+?)-----END \1-----")
+# What a web token's first part may consist of: no later start in one such run can match where an earlier one did not.
+_WEB_RUN = re.compile(r"[A-Za-z0-9_-]+")
+_SSH_MAGIC = b"openssh-key-v1\0"
 _KEYWORDS = {"password": _ASSIGN, "passwd": _ASSIGN, "secret": _ASSIGN, "token": _ASSIGN, "apikey": _ASSIGN, "api_key": _ASSIGN,
              "akia": _ACCESS, "ghp_": _SIGNED, "gho_": _SIGNED, "ghu_": _SIGNED, "ghs_": _SIGNED, "ghr_": _SIGNED, "npm_": _SIGNED,
              "eyj": _WEB, "-----begin ": _KEY}
@@ -57,12 +61,8 @@ def _object(part: str) -> bool:
         return False
 
 
-def _whole_der(body: str) -> bool:
-    """True if the text decodes to one DER sequence whose stated length is the length that is there."""
-    try:
-        data = base64.b64decode("".join(body.split()), validate=True)
-    except (binascii.Error, ValueError):
-        return False
+def _whole_der(data: bytes) -> bool:
+    """True for one DER sequence whose stated length is the length that is there."""
     if len(data) < 4 or data[0] != 0x30:
         return False
     size, at = data[1], 2
@@ -72,6 +72,32 @@ def _whole_der(body: str) -> bool:
     return len(data) == at + size
 
 
+def _whole_ssh(data: bytes) -> bool:
+    """True if the fields behind the magic (cipher, key derivation, its options, the public keys, the private part) fill the data."""
+    def after(at: int) -> int:
+        return at + 4 + int.from_bytes(data[at:at + 4], "big")
+
+    at = after(after(after(len(_SSH_MAGIC))))
+    keys = int.from_bytes(data[at:at + 4], "big")
+    at += 4
+    for _ in range(min(keys, len(data))):
+        if at >= len(data):
+            return False
+        at = after(at)
+    return keys > 0 and after(at) == len(data)
+
+
+def _whole_key(kind: str, headers: str, body: str) -> bool:
+    """True if the body of a key is all there: by the lengths it states, or as whole cipher blocks where headers say it is encrypted."""
+    try:
+        data = base64.b64decode("".join(body.split()), validate=True)
+    except (binascii.Error, ValueError):
+        return False
+    if kind.startswith("OPENSSH "):
+        return data.startswith(_SSH_MAGIC) and _whole_ssh(data)
+    return len(data) > 0 and len(data) % 8 == 0 if "ENCRYPTED" in headers else _whole_der(data)
+
+
 def _valid(kind: str, m: re.Match) -> bool:
     """What makes a match of a kind count: lengths, or the checksum, header or length it carries."""
     if kind == "assign":
@@ -82,13 +108,14 @@ def _valid(kind: str, m: re.Match) -> bool:
         return _base62(zlib.crc32(m[1].encode()), 6) == m[2]
     if kind == "web_token":
         return _object(m[1]) and _object(m[2])
-    return _whole_der(m[2])
+    return _whole_key(m[1], m[2], m[3])
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then order of KINDS; leftmost and without overlap within a kind.
 
-    Works on the bytes of the text, where every pattern is ASCII. A match that fails its check still uses up its text.
+    Works on the bytes of the text, where every pattern is ASCII, in time proportional to its length. A match that fails its check
+    still uses up its text.
     """
     data = (text or "").encode("utf-8", "surrogatepass")
     found, past = [], dict.fromkeys(KINDS, 0)
@@ -105,6 +132,8 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
             past[kind] = m.end()
             if _valid(kind, m):
                 found.append((kind, m.start(), m.end()))
+        elif pattern is _WEB:
+            past[kind] = _WEB_RUN.match(raw, start).end() if raw.startswith("eyJ", start) else start
     classes = data.translate(_HEX)
     start = classes.find(_RUN)
     while start >= 0:
@@ -114,8 +143,9 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
         start = classes.find(_RUN, end)
     found.sort(key=lambda s: (s[1], KINDS.index(s[0])))
     if found and not data.isascii():
-        point = lambda at: len(data[:at].decode("utf-8", "surrogatepass"))
-        return [(kind, point(a), point(b)) for kind, a, b in found]
+        # code points end before each place: all bytes but those that continue one
+        point = np.concatenate(([0], np.cumsum(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)))
+        return [(kind, int(point[a]), int(point[b])) for kind, a, b in found]
     return found
 
 
