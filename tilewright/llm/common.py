@@ -8,13 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilewright.operators.sides import fits_broadcast
 from tilewright.session import shared_folder
 
 # White space that separates words, as the inside of a character class.
 BLANK = r"\x20\x09-\x0D"
 WORD = f"[^{BLANK}]+"
-# A side may be broadcast below this many rows of a few numbers each (about 64 MB as a hash table).
-BROADCAST_ROWS = 1_000_000
 BATCH_ROWS = 512
 
 
@@ -54,9 +53,9 @@ def labelled(labels: DataFrame, label: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y"))
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame with a broadcast hint if a count shows that it has few rows; other joins split its keys by shuffling."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame) -> DataFrame:
+    """The frame with a broadcast hint if its measured size is under 64 MB (``fits_broadcast``); else the join shuffles both sides."""
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -9,14 +9,23 @@ from tilewright.llm.common import BLANK, WORD, cut, small
 
 SEED = "mix-1"
 WEIGHTS = (3, 1, 2)
-# Leading hexadecimal digits of the order that make a group within a source.
-DIGITS = 3
+# Rows a group within a source should have; it decides how many leading hexadecimal digits of the order make a group.
+GROUP_ROWS = 500_000
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _placed(sources: DataFrame) -> DataFrame:
+    """``sources`` with their place by code point, nulls last, from 0: counted within ranges, which start from the counts before."""
+    dealt = cut(sources.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("range", F.spark_partition_id()))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as ranges
+    first = dealt.groupBy("range").count().select("range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
+    within = Window.partitionBy("range").orderBy(F.col("source").asc_nulls_last())
+    return dealt.withColumn("n", F.row_number().over(within) - 1).join(F.broadcast(first), "range").withColumn("place", F.col("first") + F.col("n")).drop("range", "first", "n")
+
+
 def source_targets(sizes: DataFrame, share: float, epochs: int, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """source, source_size, target for each source of (source, size) rows.
 
@@ -25,10 +34,8 @@ def source_targets(sizes: DataFrame, share: float, epochs: int, weights: tuple[i
     no further source is clamped. The driver sees two sums a round, and rounds are at most as many as sources, in practice few.
     """
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # one row a source; the order by code point needs them in one place
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights)).cast("int") + 1).cast("double")
-    sources = cut(sources.withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(float(epochs))))
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights)).cast("int") + 1).cast("double")
+    sources = cut(_placed(sources).withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(float(epochs))))
     total = share * (sources.agg(F.sum("source_size")).first()[0] or 0)
     level, clamped = 0.0, -1
     while True:
@@ -54,7 +61,11 @@ def _amounts(documents: DataFrame, share: float, epochs: int, seed: str) -> Data
     """doc_id, source, size, source_size, target, order, tie, whole (repetitions) and some (words of the fractional one)."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), _order(seed).alias("order"),
                             _tie(documents).alias("tie"))
-    rows = cut(rows.withColumn("part", F.substring("order", 1, DIGITS)))
+    rows = cut(rows)
+    total, digits = rows.count(), 1
+    while total > GROUP_ROWS * 16 ** digits:  # a source may have most of them
+        digits += 1
+    rows = rows.withColumn("part", F.substring("order", 1, digits))
     targets = source_targets(rows.select("source", "size"), share, epochs)
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,7 +75,7 @@ def _amounts(documents: DataFrame, share: float, epochs: int, seed: str) -> Data
     within = Window.partitionBy("source", "part").orderBy("order", F.col("doc_id").asc_nulls_first(), "size", "tie") \
         .rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    # at most 4096 rows a source; with many sources the join shuffles instead
+    # a row a group; with many sources the join shuffles instead
     joined = rows.join(small(cut(offsets)), F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.round(F.col("target")).cast("long") - whole * F.col("source_size")
