@@ -21,12 +21,36 @@ SENTENCES = {
     "apache-short": "Licensed under the Apache License, Version 2.0.",
     "apache-grant": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
     "apache-copy": "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "apache-at": "You may obtain a copy of the License at",
+    "apache-basis": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+                    "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "apache-see": "See the License for the specific language governing permissions and limitations under the License.",
+    "apache-body": "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, "
+                   "royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and "
+                   "distribute the Work and such Derivative Works in Source or Object form.",
     "gpl3-short": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+                 "the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "lgpl21-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                   "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                  "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published "
+                 "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
                 "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
                 "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+                  "documentation and/or other materials provided with the distribution.",
+    "bsd-name": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+                "software without specific prior written permission.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+                 "copyright notice and this permission notice appear in all copies.",
+    "mpl-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
     "cc-by-nc-4": "Licensed under CC BY-NC 4.0.",
     "cc-by-4": "Licensed under CC BY 4.0.",
     "cc-by-sa-4": "Licensed under CC BY-SA 4.0.",
@@ -36,9 +60,16 @@ SENTENCES = {
 }
 # Ordered rules, the licence each recognises and what it permits. Longer rules come first and use up their sentences.
 RULES = (
+    (("apache-grant", "apache-copy", "apache-basis", "apache-see"), "Apache-2.0", "permissive"),
+    (("apache-grant", "apache-at", "apache-basis", "apache-see"), "Apache-2.0", "permissive"),
+    (("bsd-grant", "bsd-source", "bsd-binary", "bsd-name"), "BSD-3-Clause", "permissive"),
     (("mit-title", "mit-grant", "mit-notice", "as-is"), "MIT", "permissive"),
     (("mit-title-short", "mit-grant", "mit-notice", "as-is"), "MIT", "permissive"),
     (("mit-grant", "mit-notice", "as-is"), "MIT", "permissive"),
+    (("bsd-grant", "bsd-source", "bsd-binary"), "BSD-2-Clause", "permissive"),
+    (("agpl-free", "gpl-hope"), "AGPL-3.0-or-later", "copyleft"),
+    (("lgpl3-free", "gpl-hope"), "LGPL-3.0-or-later", "copyleft"),
+    (("gpl2-free", "gpl-hope"), "GPL-2.0-or-later", "copyleft"),
     (("gpl-free", "gpl-hope"), "GPL-3.0-or-later", "copyleft"),
     (("apache-grant", "apache-copy"), "Apache-2.0", "permissive"),
     (("reserved", "mit-released"), "MIT", "permissive"),
@@ -50,6 +81,14 @@ RULES = (
     (("apache-grant",), "Apache-2.0", "permissive"),
     (("gpl3-short",), "GPL-3.0-only", "copyleft"),
     (("gpl-free",), "GPL-3.0-or-later", "copyleft"),
+    (("gpl2-free",), "GPL-2.0-or-later", "copyleft"),
+    (("agpl-free",), "AGPL-3.0-or-later", "copyleft"),
+    (("lgpl3-free",), "LGPL-3.0-or-later", "copyleft"),
+    (("lgpl21-free",), "LGPL-2.1-or-later", "copyleft"),
+    (("mpl-form",), "MPL-2.0", "copyleft"),
+    (("isc-grant",), "ISC", "permissive"),
+    (("apache-body",), "Apache-2.0", "permissive"),
+    (("unlicense",), "Unlicense", "permissive"),
     (("cc-by-nc-4",), "CC-BY-NC-4.0", "restricted"),
     (("cc-by-4",), "CC-BY-4.0", "permissive"),
     (("cc-by-sa-4",), "CC-BY-SA-4.0", "copyleft"),
@@ -64,7 +103,7 @@ TERMS = ("restricted", "copyleft", "permissive")
 LINES = r"\n+|(?<=[.!?:])[ \t\r]+(?=[A-Z\"(])"
 WRAPPED = r"\n[ \t\r]*\n|(?<=[.!?:])[ \t\r\n]+(?=[A-Z\"(#*/])"
 NOISE = r"[^a-z0-9]+"
-HINT = "(?i)licen|reserved|domain|permi|warrant|merchantab|software|cc0"
+HINT = "(?i)licen|reserved|domain|permi|warrant|merchantab|software|cc0|redistribut"
 
 
 def normal(sentence: Column) -> Column:
@@ -86,10 +125,11 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
 
     ``sentences`` lists the names of all known sentences by their place in the text, whether they are known by lines or as
     wrapped text; one that lies within another counts as part of it. ``licenses`` are those that rules recognise in them, each
-    once in the order of RULES, ``terms`` the strictest they ask for, or null. Rules match names that follow each other,
+    once where its first matching rule stands in RULES, ``terms`` the strictest they ask for, or null. Rules match names that follow each other,
     whatever other sentences stand between; a name that a rule has used serves no later rule.
 
-    Null and empty texts: no sentences, no licences. Rows are independent; null and repeated ids are scanned like any other.
+    Null and empty texts: no sentences, no licences. Rows are independent; null and repeated ids are scanned like any other. An empty
+    table gives no rows, and other columns are ignored.
     """
     known = F.create_map(*(F.lit(x) for pair in names().items() for x in pair))
 

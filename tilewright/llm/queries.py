@@ -167,29 +167,35 @@ def _op7(spark, sf_dir):
 
 
 def _op10_sql() -> str:
-    """Sentences cut and named as in Spark; rules applied one after the other to the joined names."""
+    """Sentences of both cuts as rows with their places; those within earlier ones go, and rules are applied one after the other."""
     known = "MAP {" + ", ".join(f"{_text(k)}: {_text(v)}" for k, v in names().items()) + "}"
     mark = "chr(2)"  # RE2 has no look-around: a mark is set behind sentence ends first
     steps, last = [], "f"
     for k, (rule, name, terms) in enumerate(RULES):
         sign = _text("".join(f"|{n}|" for n in rule))
-        steps.append(f"r{k} AS (SELECT doc_id, sentences, replace(seq, {sign}, '#') AS seq, CASE WHEN contains(seq, {sign}) THEN list_append(l, {_text(name)}) ELSE l END AS l,"
+        steps.append(f"r{k} AS (SELECT doc_id, sentences, replace(seq, {sign}, '#') AS seq, CASE WHEN contains(seq, {sign}) AND NOT list_contains(l, {_text(name)}) THEN list_append(l, {_text(name)}) ELSE l END AS l,"
                      f" CASE WHEN contains(seq, {sign}) THEN list_append(t, {_text(terms)}) ELSE t END AS t FROM {last})")
         last = f"r{k}"
     order = " ".join(f"WHEN list_contains(t, {_text(t)}) THEN {_text(t)}" for t in TERMS)
-    first = "['" + "', '".join(dict.fromkeys(name for _, name, _ in RULES)) + "']"
-    def named(blank: str, gap: str, opens: str) -> str:
-        pieces = (f"string_split(regexp_replace(regexp_replace(coalesce(text, ''), '{blank}', {mark}, 'g'), '([.!?:])[{gap}]+({opens})', '\\1' || {mark} || '\\2', 'g'), {mark})")
-        return (f"list_filter(list_transform(list_filter({pieces}, lambda x: regexp_matches(x, {_text(HINT)})), "
-                f"lambda x: {known}[trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))]), lambda n: n IS NOT NULL)")
+
+    def pieces(blank: str, gap: str, opens: str) -> str:
+        return (f"string_split(regexp_replace(regexp_replace(coalesce(text, ''), '{blank}', {mark}, 'g'), '([.!?:])[{gap}]+({opens})', '\\1' || {mark} || '\\2', 'g'), {mark})")
 
     return rf"""
-WITH p AS (SELECT doc_id, {named('\\n+', ' \\t\\r', '[A-Z"(]')} AS a, {named('\\n[ \\t\\r]*\\n', ' \\t\\r\\n', '[A-Z"(#*/]')} AS b FROM documents),
-s AS (SELECT doc_id, CASE WHEN len(b) > len(a) THEN b ELSE a END AS found FROM p),
-f AS (SELECT doc_id, array_to_string(found, ',') AS sentences, array_to_string(list_transform(found, lambda n: '|' || n || '|'), '') AS seq,
-    CAST([] AS VARCHAR[]) AS l, CAST([] AS VARCHAR[]) AS t FROM s),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+c AS (SELECT r, 1 AS cut, {pieces('\\n+', ' \\t\\r', '[A-Z"(]')} AS ps FROM d
+  UNION ALL SELECT r, 2, {pieces('\\n[ \\t\\r]*\\n', ' \\t\\r\\n', '[A-Z"(#*/]')} FROM d),
+p AS (SELECT r, cut, unnest(range(1, len(ps) + 1)) AS i, unnest(ps) AS s FROM c),
+n AS (SELECT *, length(regexp_replace(lower(s), '[^a-z0-9]+', '', 'g')) AS n, CASE WHEN regexp_matches(s, {_text(HINT)})
+    THEN {known}[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))] END AS name FROM p),
+e AS (SELECT *, sum(n) OVER (PARTITION BY r, cut ORDER BY i) AS stop FROM n),
+k AS (SELECT r, stop - n AS start, stop, name FROM e WHERE name IS NOT NULL),
+m AS (SELECT *, coalesce(max(stop) OVER (PARTITION BY r ORDER BY start, -stop, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reached FROM k),
+g AS (SELECT r, list(name ORDER BY start, -stop, name) AS found FROM m WHERE stop > reached GROUP BY r),
+f AS (SELECT doc_id, array_to_string(found, ',') AS sentences, coalesce(array_to_string(list_transform(found, lambda n: '|' || n || '|'), ''), '') AS seq,
+    CAST([] AS VARCHAR[]) AS l, CAST([] AS VARCHAR[]) AS t FROM d LEFT JOIN g USING (r)),
 {", ".join(steps)}
-SELECT doc_id, coalesce(sentences, '') AS sentences, coalesce(array_to_string(list_filter({first}, lambda n: list_contains(l, n)), ','), '') AS licenses,
+SELECT doc_id, coalesce(sentences, '') AS sentences, coalesce(array_to_string(l, ','), '') AS licenses,
   CASE {order} END AS terms FROM {last}
 """
 
