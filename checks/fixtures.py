@@ -66,7 +66,7 @@ FROM fx_product p CROSS JOIN (VALUES (0), (1), (2)) AS b(bindex) WHERE b.bindex
     "fx_store": """SELECT * FROM (VALUES ('tab0', 'tiles', 1, 2), ('tab1', 'tiles', 4, 2), ('tab2', 'tiles', 4, 4)) AS t(htablename, hfamily, hpidbytenum, hyxbytenum)""",
     "fx_display": """SELECT p_partkey + 500 AS dpid, p_partkey AS pid, p_partkey % 5 AS cat, p_size AS iorder, CASE WHEN p_size % 10 = 0 THEN 0 ELSE 1 END AS visible,
  CASE WHEN p_partkey % 4 = 0 THEN 'xyz' ELSE 'pe' END AS type, p_name AS productname, p_type AS subtitle, p_brand AS satellite,
- concat('S', cast(p_size AS varchar(10))) AS sensor, '{"u":"t/{{{DATE-1}}}/{{{DATE}}}"}' AS params FROM part""",
+ concat('S', cast(p_size AS varchar(10))) AS sensor, '{"u":"t/{{{DATE}}}/{{{DATE-0}}}/{{{DATE-1}}}/{{{DATE-2}}}/{{{DATE-3}}}/{{{DATE-4}}}/{{{DATE-5}}}/{{{DATE-6}}}/{{{DATE-7}}}"}' AS params FROM part""",
     "fx_category": """SELECT r_regionkey AS catid, r_name AS catname, CASE WHEN r_regionkey = 4 THEN 0 ELSE 1 END AS visible, 9 - r_regionkey AS iorder, 1 + r_regionkey % 2 AS itype FROM region""",
     "fx_meta": """SELECT s_suppkey AS pk, 500 + s_suppkey % 70 AS theid, CASE WHEN s_suppkey % 2 = 0 THEN 'PD_GOTS' ELSE 'CATLVL1' END AS metakey, 100000 - s_suppkey AS metavali, s_name AS metavalstr FROM supplier""",
     "fx_area": """SELECT r_regionkey + 1000000000 AS id, concat('R', cast(r_regionkey AS varchar(10))) AS code, r_name AS name, '0' AS parent_code FROM region

@@ -22,7 +22,7 @@ from tilewright.sinks.reports import bands_side_by_side, result_json
 from tilewright.sinks.tiles import upsert_tiles, write_tiles
 from tilewright.sources.catalog import with_band_info
 from tilewright.sources.directory import read_tile_files, read_tile_files_between, read_tile_files_on, with_shape
-from tilewright.sources.orders import SERIES_FIELDS, STATISTIC_FIELDS, read_order
+from tilewright.sources.orders import SERIES_FIELDS, STATISTIC_FIELDS, TILE_FIELDS, read_order
 from tilewright.sources.tiles import cell_by_row_key, read_tiles, tile_cell, tiles_on_dates
 from tilewright.streaming.growing import GrowingSeries
 
@@ -217,6 +217,31 @@ def _(fx):
     return rounded(S.series_stats(fx.tile, days, regions(fx), "min", *ARGS, per_date=True))
 
 
+_DAYS = "20190101000000 + ((hcol // 10000000000 - 2019) * 12 + hcol // 100000000 % 100 - 1) // 2 * 1000000 + (hcol // 100000000 % 100 - 1) % 2 * 10000"
+
+
+@query("series_two_dates_a_day", series_sql(f"SELECT *, (hcol // 1000000)::varchar AS key FROM (SELECT * EXCLUDE (hcol), {_DAYS} AS hcol FROM fx_px WHERE status = 0) h", "min", extra=("hcol",)))
+def _(fx):
+    """Two dates lie under each day's key: each is its own composite, and their statistics are merged."""
+    tiles = fx.tile.withColumn("hcol", F.expr(_DAYS.replace("//", "DIV")))
+    items = tiles.select(F.lit(1).alias("pid"), F.col("hcol").alias("fid"), "hcol", F.col("hcol").alias("dt0"), (F.col("hcol") + 1).alias("dt1")).distinct()
+    days = C.daily_series(items, Period(20190000000000, 20300000000000))
+    return rounded(S.series_stats(tiles, days, regions(fx), "min", *ARGS, per_date=True))
+
+
+@query("stack_dates_in_order", "SELECT z, y, x, row_number() OVER (PARTITION BY z, y, x ORDER BY hcol) - 1 AS pos, hcol // 100000000 AS dn FROM (SELECT DISTINCT z, y, x, hcol FROM fx_px WHERE status = 0) t")
+def _(fx):
+    """What a function over a date stack is given, in the order it is given."""
+    out = B.apply_to_stack(as_blocks(fx).repartition(5), months_as_pixels, KEYS)
+    return explode_pixels(B.decode_blocks(good_tiles(out))).select(*KEYS, "pos", "dn")
+
+
+def months_as_pixels(address, dates):
+    import numpy as np
+
+    return np.array([[[hcol // 100000000 for hcol, _ in dates]]], "<i4")
+
+
 _RANGE_PX = f"""SELECT key, z, y, x, band, pos, gx, gy, coalesce(max(CASE WHEN {VALID} THEN dn END) - min(CASE WHEN {VALID} THEN dn END), {FILL}) AS dn
 FROM ({_YEAR_PX}) p GROUP BY key, z, y, x, band, pos, gx, gy"""
 
@@ -438,7 +463,7 @@ def _(fx):
 
 
 @query("capped_dates_per_tile", """SELECT pid, dt, dn, event_id FROM (SELECT *, dense_rank() OVER (PARTITION BY pid ORDER BY dt) AS k FROM fx_obs
-WHERE dt BETWEEN 20240101000000 AND 20241231235959 AND (dt // 10000) % 100 = 6) t WHERE k <= 30""")
+WHERE dt BETWEEN 20240101000000 AND 20241231235959 AND (dt // 10000) % 100 = 6) t WHERE k <= 2""")
 def _(fx):
     cells = P.capped_dates(fx.obs, ["pid"], 20240101000000, 20241231235959, 30, date="dt", hour=6)
     return cells.select("pid", "dt", "dn", "event_id")
@@ -554,6 +579,13 @@ def _(fx):
         F.count(F.lit(1)).alias("n"))
 
 
+@query("classify_histogram_blocks", f"""SELECT hcol, band, class, count(*) AS n FROM (SELECT hcol, band,
+ CASE WHEN dn BETWEEN -1000 AND -1 THEN 0 WHEN dn BETWEEN 0 AND 500 THEN 1 WHEN dn BETWEEN 400 AND 900 THEN 2 WHEN dn BETWEEN 901 AND 3000 THEN 3 END AS class
+ FROM fx_px WHERE status = 0 AND {VALID}) t GROUP BY hcol, band, class""")
+def _(fx):
+    return B.class_counts(as_blocks(fx), RANGES, *ARGS, keys=["hcol"])
+
+
 @query("classify_linear", f"""SELECT hcol, z, y, x, band, pos, round(CASE WHEN dn >= 2500 THEN 4 WHEN dn >= 1000 THEN 3 + (dn - 1000) / 1500::double WHEN dn >= 250 THEN 2 + (dn - 250) / 750::double
  WHEN dn >= 0 THEN 1 + dn / 250::double WHEN dn >= -1000 THEN (dn + 1000) / 1000::double ELSE 0 END, 6) AS place,
  CASE WHEN dn >= 2500 THEN 4 WHEN dn >= 1000 THEN 3 WHEN dn >= 250 THEN 2 WHEN dn >= 0 THEN 1 WHEN dn >= -1000 THEN 0 END AS step,
@@ -711,9 +743,9 @@ def _(fx):
 
 
 @query("dataset_between_capped", """SELECT hcol, z, y, x, 0 AS band, pos, dn FROM (SELECT *, dense_rank() OVER (PARTITION BY z, y, x ORDER BY hcol) AS k FROM fx_px
-WHERE status = 0 AND band = 1 AND hcol BETWEEN 20190200000000 AND 20201200000000 AND hcol // 1000000 % 100 = 0) t WHERE k <= 30""")
+WHERE status = 0 AND band = 1 AND hcol BETWEEN 20190200000000 AND 20201200000000 AND hcol // 1000000 % 100 = 0) t WHERE k <= 2""")
 def _(fx):
-    return _pixels(DS.between(*_named(fx), "ds/1", 20190200000000, 20201200000000, [1], cap=30, day=0))
+    return _pixels(DS.between(*_named(fx), "ds/1", 20190200000000, 20201200000000, [1], cap=2, day=0))
 
 
 @query("dataset_between_uncapped", """SELECT hcol, z, y, x, 0 AS band, pos, dn FROM fx_px
@@ -752,10 +784,10 @@ _ORDER = {"dsname": "mod/vi", "jsfile": "", "roi": "sys:12", "filldata": FILL, "
           "repeat_start_inc": 1, "repeat_stop": 31235959, "repeat_stop_inc": 1, "repeat_stopnextyear": 0}
 
 
-def _order(fx, fields):
+def _order(fx, fields, **more):
     """The order as a document in a folder, read back."""
     path = shared_folder(fx.spark, "order")
-    fx.spark.createDataFrame([(json.dumps(_ORDER),)], "value string").coalesce(1).write.text(path)
+    fx.spark.createDataFrame([(json.dumps(_ORDER | more),)], "value string").coalesce(1).write.text(path)
     return read_order(fx.spark, path, fields)
 
 
@@ -772,6 +804,30 @@ def _(fx):
     return rounded(O.run_series(_order(fx, SERIES_FIELDS), blocks, fx.seg, products, fx.tile_item, bands))
 
 
+@query("script_series_order", "SELECT * FROM (" + zonal_sql(f"""SELECT key, z, y, x, band, pos, gx, gy, coalesce(max(CASE WHEN {VALID} THEN dn END) - min(CASE WHEN {VALID} THEN dn END), {FILL}) AS dn
+FROM (SELECT *, (hcol // 100000000)::varchar AS key FROM ({_TWO_PX}) q WHERE hcol BETWEEN {_WHOLE.start} AND {_WHOLE.stop}) p GROUP BY key, z, y, x, band, pos, gx, gy""", ("key",)) + ") r WHERE roi_id = 'sys:12'")
+def _(fx):
+    """A script order read from a document; the function it calls is a fold over the dates of a month."""
+    blocks, products, bands = _two_blocks(fx)
+    order = _order(fx, SERIES_FIELDS, baseddsname="mod/vi", caller="spread")
+    return rounded(O.run_script_series(order, blocks, fx.seg, products, fx.tile_item, {"spread": spread_fold()}, bands))
+
+
+@query("tile_order_region", f"""SELECT z, y, x, band, pos, CASE WHEN dn <> {FILL} AND EXISTS (SELECT 1 FROM fx_seg s WHERE s.roi_id = 'sys:12' AND s.z = q.z AND s.gy = q.gy AND q.gx BETWEEN s.x0 AND s.x1)
+ THEN dn + 1 ELSE {FILL} END AS dn FROM ({_TWO_PX}) q WHERE hcol = {D0} AND y BETWEEN (SELECT (min(gy) - 1) // 8 FROM fx_seg WHERE roi_id = 'sys:12') AND (SELECT (max(gy) + 1) // 8 FROM fx_seg WHERE roi_id = 'sys:12')
+ AND x BETWEEN (SELECT (min(x0) - 1) // 8 FROM fx_seg WHERE roi_id = 'sys:12') AND (SELECT (max(x1) + 1) // 8 FROM fx_seg WHERE roi_id = 'sys:12')""")
+def _(fx):
+    """A tile order read from a document: tiles of a region of a product with two store blocks are computed, written and read back."""
+    blocks, products, bands = _two_blocks(fx)
+    out = fx.spark.createDataFrame([(9, "out", 4, "hbase", "{}")], products.schema)
+    catalog = T.Catalog(products.unionByName(out), bands, fx.tile_item)
+    path = shared_folder(fx.spark, "ordered") + "/tiles"
+    order = _order(fx, TILE_FIELDS, jsfile="plus", mpid_hpid=9, out_htable="t", out_hcol=20200500000000)
+    done = O.run_tiles(order, blocks, fx.seg, catalog, {"plus": plus_one}, [("mod/vi", 0)], path)
+    assert (done.bad, done.catalog.items.where("pid = 9").count()) == (0, 1)
+    return explode_pixels(B.decode_blocks(read_tiles(fx.spark, path, "out", 4))).select(*KEYS, "band", "pos", "dn")
+
+
 @query("series_rows_in_order", f"""SELECT key, band, row_number() OVER (ORDER BY key, band) AS place FROM (
 SELECT DISTINCT (hcol // 100000000)::varchar AS key, band FROM ({_TWO_PX}) q JOIN fx_seg s ON q.z = s.z AND q.gy = s.gy AND q.gx BETWEEN s.x0 AND s.x1
 WHERE s.roi_id = 'sys:12' AND hcol BETWEEN {_WHOLE.start} AND {_WHOLE.stop}) k""")

@@ -10,6 +10,7 @@ from checks.registry import Registry
 from tilewright.functions import text as X
 from tilewright.operators import catalog as K
 from tilewright.plans.orders import run_query
+from tilewright.session import shared_folder
 from tilewright.sinks import registry as G
 from tilewright.sources.catalog import with_band_info, with_product_info
 
@@ -66,6 +67,27 @@ def _(fx):
     return K.item_page(fx.item, 7, 2, 15, ascending=False).select("fid", "hcol")
 
 
+@query("item_pages_by_seek", "SELECT fid, hcol FROM fx_item WHERE pid = 7 ORDER BY hcol DESC, fid LIMIT 15 OFFSET 30")
+def _(fx):
+    """The third page, each page starting behind the last row of the one before."""
+    last = None
+    for _ in range(2):
+        last = tuple(K.item_page_after(fx.item, 7, 15, last, ascending=False).select("hcol", "fid").collect()[-1])
+    return K.item_page_after(fx.item, 7, 15, last, ascending=False).select("fid", "hcol")
+
+
+def _shown(pid, text):
+    d = "lpad(dt0::varchar, 14, '0')"
+    return f"(SELECT {pid} AS pid, fid, hcol, {text.format(y=f'substr({d}, 1, 4)', m=f'substr({d}, 5, 2)', d=f'substr({d}, 7, 2)')} AS label FROM fx_item WHERE pid = {pid} ORDER BY hcol, fid LIMIT 12)"
+
+
+@query("item_labels", _shown(3, "concat({y}, '年', {m}, '月', {d}, '日')") + " UNION ALL " + _shown(4, "concat({y}, '年', {m}, '月')") + " UNION ALL " + _shown(6, "concat({y}, '年')"))
+def _(fx):
+    """First items of products whose scale is the day, the month and the year."""
+    lists = [K.item_list(fx.item, fx.product, 12, pid=pid).select(F.lit(pid).alias("pid"), "fid", "hcol", "label") for pid in (3, 4, 6)]
+    return lists[0].unionByName(lists[1]).unionByName(lists[2])
+
+
 @query("band_info", """SELECT pid, bindex, (info->>'scale')::double AS scale, (info->>'offset')::double AS "offset", (info->>'noData')::double AS no_data FROM fx_band""")
 def _(fx):
     return with_band_info(fx.band).select("pid", "bindex", "scale", "offset", F.col("noData").alias("no_data"))
@@ -109,6 +131,21 @@ def _(fx):
     return K.search_displays(fx.display, "brand#1")
 
 
+_WORDS = ("brand#1", "Steel", "re", "s1", "e", "olish tin", "no such thing")
+
+
+@query("search_products_indexed", " UNION ALL ".join(f"""SELECT '{w}' AS word, dpid FROM fx_display WHERE contains(lower(productname), lower('{w}')) OR contains(lower(subtitle), lower('{w}'))
+ OR contains(lower(satellite), lower('{w}')) OR contains(lower(sensor), lower('{w}'))""" for w in _WORDS))
+def _(fx):
+    """Several words, by way of an index that is written and read back."""
+    columns, path, out = ("productname", "subtitle", "satellite", "sensor"), shared_folder(fx.spark, "grams"), None
+    K.write_text_index(K.text_index(fx.display, "dpid", columns), path)
+    for word in _WORDS:
+        found = K.search_indexed(fx.display, fx.spark.read.parquet(path), "dpid", columns, word).select(F.lit(word).alias("word"), "dpid")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query("categories_all", "SELECT catid, catname, visible, iorder, itype FROM fx_category")
 def _(fx):
     return K.categories(fx.category).select("catid", "catname", "visible", "iorder", "itype")
@@ -123,7 +160,13 @@ def _(fx):
 _DAY = datetime.date(2024, 3, 3)
 
 
-@query("template_fill", """SELECT dpid, CASE WHEN type = 'xyz' THEN replace(replace(params, '{{{DATE}}}', '20240303'), '{{{DATE-1}}}', '20240302') ELSE params END AS params FROM fx_display""")
+def _filled(text, day):
+    for back in range(8):
+        text = f"replace({text}, '{{{{{{DATE-{back}}}}}}}', '{(day - datetime.timedelta(back)):%Y%m%d}')"
+    return f"replace({text}, '{{{{{{DATE}}}}}}', '{day:%Y%m%d}')"
+
+
+@query("template_fill", f"SELECT dpid, CASE WHEN type = 'xyz' THEN {_filled('params', _DAY)} ELSE params END AS params FROM fx_display")
 def _(fx):
     return K.filled_displays(fx.display, F.lit(_DAY)).select("dpid", "params")
 
@@ -246,10 +289,10 @@ def _(fx):
 
 
 @query("common_zoom_and_proj", f"""SELECT l.id, count(CASE WHEN p.proj IS NULL THEN 1 END) AS unknown, count(DISTINCT p.proj) = 1 AS same_proj, min(p.max_zoom) AS max_zoom,
- coalesce(arg_min(p.styleid, l.dt) FILTER (WHERE p.styleid > 0), 0) AS styleid FROM ({_PAIRS}) l LEFT JOIN ({_INFO}) p ON p.name = l.dsname GROUP BY l.id HAVING count(p.proj) > 0""")
+ coalesce(arg_min(p.styleid, l.dt) FILTER (WHERE p.styleid > 0), 0) AS styleid FROM ({_PAIRS}) l LEFT JOIN ({_INFO}) p ON p.name = l.dsname GROUP BY l.id""")
 def _(fx):
     inputs = K.lineage_rows(fx.lineage, "id", "pairs").withColumnRenamed("dt", "ord")
-    return K.common_inputs(inputs, fx.product, "id").where("same_proj is not null")
+    return K.common_inputs(inputs, fx.product, "id")
 
 
 @query("md5_key", "SELECT pid, md5(info) AS key FROM fx_product")

@@ -530,6 +530,48 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+# ---- classes -------------------------------------------------------------------------------------
+
+def class_counts(blocks: DataFrame, ranges: Sequence[tuple[float, float]], low: float, high: float, fill: float, keys: Sequence[str] = ()) -> DataFrame:
+    """(``keys``, band, class, n): how many valid pixels fall in each class, the first closed range that holds them; null in none.
+
+    A task counts into one array of classes for each key and band it meets, so what is sent is a few numbers a key, never pixels.
+    Classes without pixels have no row.
+    """
+    keys = list(keys)
+    work = blocks.where("data IS NOT NULL").select(*keys, *SHAPE, "data")
+    schema = _schema([work.schema[k] for k in keys], "band int, counts array<long>")
+
+    def count(batches):
+        held: dict[tuple, np.ndarray] = {}
+
+        def rows():
+            return _batch_of(schema, [(*key, c.tolist()) for key, c in held.items()])
+
+        for batch in batches:
+            heads = list(zip(*(batch.column(k).to_pylist() for k in keys))) if keys else [()] * batch.num_rows
+            for head, block in zip(heads, _block_arrays(batch)):
+                for band in range(block.shape[0]):
+                    values, n = np.unique(block[band], return_counts=True)
+                    v = values.astype("f8")
+                    ok = ~(np.isnan(v) if np.isnan(fill) else v == fill) & (v >= low) & (v <= high)
+                    of = np.full(v.size, len(ranges))
+                    for i in reversed(range(len(ranges))):
+                        of[(v >= ranges[i][0]) & (v <= ranges[i][1])] = i
+                    counts = np.bincount(of[ok], n[ok], len(ranges) + 1).astype("i8")
+                    key = (*head, band)
+                    held[key] = held[key] + counts if key in held else counts
+            if len(held) > 100_000:
+                yield rows()
+                held = {}
+        if held:
+            yield rows()
+
+    each = work.mapInArrow(count, schema).select(*keys, "band", F.posexplode("counts").alias("class", "n"))
+    total = each.groupBy(*keys, "band", "class").agg(F.sum("n").alias("n")).where("n > 0")
+    return total.withColumn("class", F.when(F.col("class") < len(ranges), F.col("class")))
+
+
 # ---- user functions ------------------------------------------------------------------------------
 
 Inputs = dict[tuple[str, int], np.ndarray]

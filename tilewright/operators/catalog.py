@@ -6,6 +6,8 @@ come back every time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tilewright.functions.dates import date_label
@@ -69,6 +71,38 @@ def item_page(items: DataFrame, pid: int, page: int, size: int, ascending: bool
     return items.where(F.col("pid") == pid).orderBy(order, "fid").offset(page * size).limit(size)
 
 
+def seek(table: DataFrame, order: Sequence[tuple[str, bool]], size: int, after: Sequence | None = None) -> DataFrame:
+    """The next ``size`` rows behind the row whose order columns are ``after``; the first ones without it.
+
+    ``order`` lists columns and whether they ascend; together they must name a row, and none may be null. What lies before is cut off by a
+    filter that reaches the scan, so a late page costs no more than the first; ``offset`` sorts all rows before it too. Rows
+    added meanwhile do not shift the pages.
+    """
+    if after is not None:
+        ahead, same = F.lit(False), F.lit(True)
+        for (name, ascending), value in zip(order, after, strict=True):
+            ahead = ahead | (same & (F.col(name) > value if ascending else F.col(name) < value))
+            same = same & (F.col(name) == value)
+        (name, ascending), value = order[0], after[0]
+        # the first column's bound alone is what sorted files are skipped by
+        table = table.where(F.col(name) >= value if ascending else F.col(name) <= value).where(ahead)
+    return table.orderBy(*(F.col(name).asc() if ascending else F.col(name).desc() for name, ascending in order)).limit(size)
+
+
+def item_page_after(items: DataFrame, pid: int, size: int, after: tuple[int, int] | None = None, ascending: bool = True) -> DataFrame:
+    """Page of a product's items by date, behind the item of (hcol, fid)."""
+    return seek(items.where(F.col("pid") == pid), [("hcol", ascending), ("fid", True)], size, after)
+
+
+def item_list(items: DataFrame, products: DataFrame, size: int, after: tuple[int, int] | None = None, ascending: bool = True,
+              language: str = "zh", **product) -> DataFrame:
+    """A page of one product's items (``pid=`` or ``name=``) with the text shown for each date: (fid, hcol, label)."""
+    (column, value), = product.items()
+    mine = with_product_info(products.where(F.col(column) == value)).select("pid", "timeType")
+    page = seek(items.join(F.broadcast(mine), "pid"), [("hcol", ascending), ("fid", True)], size, after)  # a product is one row
+    return page.select("fid", "hcol", date_label(F.col("dt0"), F.col("hcol"), F.col("timeType"), language).alias("label"))
+
+
 # ---- displays and categories ---------------------------------------------------------------------
 
 def filled_displays(displays: DataFrame, today: Column) -> DataFrame:
@@ -93,6 +127,41 @@ def search_displays(displays: DataFrame, word: str, limit: int | None = None) ->
     return found if limit is None else found.limit(limit)
 
 
+GRAM = 3
+
+
+def _grams(text: Column) -> Column:
+    low = F.lower(text)
+    return F.when(F.length(low) >= GRAM, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - GRAM + 1), lambda i: F.substring(low, i, F.lit(GRAM)))))
+
+
+def text_index(table: DataFrame, ident: str, columns: Sequence[str]) -> DataFrame:
+    """(gram, ident): the rows that hold each piece of three characters in one of the columns, in lower case.
+
+    To be written sorted by gram (``write_text_index``), so that a search reads few of its row groups.
+    """
+    return table.select(ident, F.explode(F.array(*(_grams(F.col(c)) for c in columns))).alias("g")).select(F.explode("g").alias("gram"), ident).distinct()
+
+
+def write_text_index(index: DataFrame, path: str) -> None:
+    index.repartitionByRange("gram").sortWithinPartitions("gram").write.mode("overwrite").parquet(path)
+
+
+def search_indexed(table: DataFrame, index: DataFrame, ident: str, columns: Sequence[str], word: str) -> DataFrame:
+    """Rows of ``table`` that hold the word in one of the columns, as ``contains_any`` finds them, by way of the index.
+
+    Candidates are the rows of the word's rarest piece (the driver sees one count a piece of the word); they are then tested as a whole.
+    A word of fewer than three characters has no piece: it is looked for in all rows.
+    """
+    texts, low = [F.col(c) for c in columns], word.lower()
+    pieces = {low[i:i + GRAM] for i in range(len(low) - GRAM + 1)}
+    if not pieces:
+        return table.where(contains_any(texts, word))
+    counts = {g: n for g, n in index.where(F.col("gram").isin(*pieces)).groupBy("gram").count().collect()}
+    rarest = min(pieces, key=lambda g: (counts.get(g, 0), g))
+    return table.join(index.where(F.col("gram") == rarest).select(ident), ident, "left_semi").where(contains_any(texts, word))
+
+
 def categories(table: DataFrame, itype: int | None = None, visible: bool | None = None,
                limit: int | None = None) -> DataFrame:
     """Categories in their order; all of them unless a limit is asked for."""
@@ -225,7 +294,7 @@ def region_names(table: DataFrame, ident: str, text: str) -> DataFrame:
 
 
 def common_inputs(inputs: DataFrame, products: DataFrame, ident: str) -> DataFrame:
-    """Per job: whether its datasets are known and share a projection, their lowest max zoom, first style.
+    """Per job: how many of its datasets are unknown, whether the known ones share a projection, their lowest max zoom, first style.
 
     ``inputs`` has ident, dsname and ord (the order in which the datasets are named). Extremes replace
     a distinct count, so the aggregate combines before its shuffle.
@@ -235,6 +304,6 @@ def common_inputs(inputs: DataFrame, products: DataFrame, ident: str) -> DataFra
     used = F.col("styleid") > 0
     return inputs.join(known, "dsname", "left").groupBy(ident).agg(
         F.count_if(F.col("proj").isNull()).alias("unknown"),
-        (F.min("proj") == F.max("proj")).alias("same_proj"),
+        F.coalesce(F.min("proj") == F.max("proj"), F.lit(False)).alias("same_proj"),
         F.min("maxZoom").alias("max_zoom"),
         F.coalesce(F.min_by(F.when(used, F.col("styleid")), F.when(used, F.col("ord"))), F.lit(0)).alias("styleid"))
