@@ -1,19 +1,24 @@
 """The training-data pipeline: STAGES in order, each on all rows its predecessor kept.
 
-All stages but the last return the columns they got. Decisions are made and applied by row, so null and repeated doc_ids hide nothing.
+All stages but the last return the columns they got. Decisions are made and applied by row, so null and repeated doc_ids hide nothing. An
+empty table gives no rows in any stage.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tilewright
 from tilewright.llm.common import cut, small, table
 from tilewright.llm.mixing import take
 from tilewright.llm.neardup import near_duplicates
 from tilewright.llm.packing import pack
 from tilewright.llm.secrets import redact_secrets
 from tilewright.llm.toxicity import score_toxicity
+from tilewright.session import ship
 
 
 def _digest(text: Column) -> Column:
@@ -65,28 +70,38 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; what is found in a text is replaced by a mark."""
+    """All documents stay, null texts and repeated rows too; what is found in a text is replaced by a mark."""
     return redact_secrets(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated, cut or left out so that each source's words come to its target."""
+    """Documents repeated, cut or left out so that each source's words come to its target. Rows without words stay once; rows that are
+    alike, or lack an id, are taken one after the other."""
     return take(docs)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token ids with their place in sequences of 1024."""
+    """Pieces of token ids with their place in sequences of 1024. A null or empty text is one piece; repeated rows are packed each."""
     return pack(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("near-duplicates", drop_near_duplicates), ("secrets", mask_secrets), ("mixing", mix_sources),
-          ("packing", pack_tokens)]
-# Trees and token ids have no SQL form; tests/llm holds each stage against a plain version.
+def _shipped(stage):
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark, str(Path(tilewright.__file__).resolve().parent))
+        return stage(spark, docs, sf_dir)
+
+    run_stage.__doc__ = stage.__doc__
+    return run_stage
+
+
+STAGES = [(name, _shipped(stage)) for name, stage in (("toxicity", drop_toxic), ("near-duplicates", drop_near_duplicates), ("secrets", mask_secrets),
+                                                      ("mixing", mix_sources), ("packing", pack_tokens))]
+# Trees and token ids have no SQL form; tests/llm holds run() against plain stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``, each on the checkpointed rows of the one before."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stage(spark, docs if name == STAGES[0][0] else cut(docs), sf_dir)
