@@ -57,6 +57,6 @@ def test_intermediate_files_are_deleted(spark, tmp_path):
     try:
         out = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
         left = {p.parent.name for p in tmp_path.rglob("part-*")}
-        assert out.count() == len(rows) and len(left) <= 4, left  # rows, names and components are read later
+        assert out.count() == len(rows) and len(left) <= 4, left  # rows, places and least ids are read later
     finally:
         spark.sparkContext.setCheckpointDir(str(tmp_path / "after"))

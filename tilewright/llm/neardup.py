@@ -163,8 +163,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     release(described)
     comps = _connected(docs, classes)
     release(classes)
-    place = names.join(comps.withColumnRenamed("node", "id"), "id", "left").select("fp", "first", F.coalesce("root", "id").alias("root"))
-    least = place.groupBy("root").agg(F.min("first").alias("component_id"))
+    place = cut(names.join(comps.withColumnRenamed("node", "id"), "id", "left").select("fp", "first", F.coalesce("root", "id").alias("root")))
+    release(names, comps)
+    # cut for the same reason as the leaders: a large component's members may be split
+    least = cut(place.groupBy("root").agg(F.min("first").alias("component_id")))
     out = rows.join(place.join(least, "root").select("fp", "component_id"), "fp", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")) \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
