@@ -96,6 +96,17 @@ def test_files_give_back_what_the_tokenizer_gave(spark, tmp_path, block_ids):
     assert blocks.count() > (8 if block_ids < 1000 else 3) and {p.name for p in (tmp_path / "t").iterdir()} == {"codes", "blocks", "parts"}
 
 
+def test_any_range_of_ids_can_be_read(spark, tmp_path):
+    T.write_token_files(awkward.documents(spark), f"{tmp_path}/t", block_ids=3000, part_ids=100_000)
+    rows = sorted(T.read_token_files(spark, f"{tmp_path}/t").collect(), key=lambda r: r.start)
+    ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in rows])
+    for start, stop in ((0, 1), (250, 2700), (2999, 3002), (5000, 70_000), (len(ids) - 3, len(ids) + 50), (40, 40), (len(ids), len(ids) + 9), (0, len(ids))):
+        got = sorted(map(tuple, T.read_id_range(spark, f"{tmp_path}/t", start, stop).collect()))
+        assert [p for p, _ in got[:1]] == ([start] if start < min(stop, len(ids)) else [])
+        assert np.array_equal(np.frombuffer(b"".join(bytes(x) for _, x in got), "<u4"), ids[start:stop])
+    assert T.read_id_range(spark, f"{tmp_path}/t", 250, 2700).count() < 4
+
+
 def test_empty_table_and_one_id(spark, tmp_path):
     T.write_token_files(awkward.empty(spark), f"{tmp_path}/e")
     assert T.read_token_files(spark, f"{tmp_path}/e").count() == 0

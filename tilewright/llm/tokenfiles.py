@@ -160,17 +160,20 @@ def write_token_files(documents: DataFrame, path: str, end_id: int = 2, json_pat
     sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")).coalesce(1).write.parquet(f"{path}/parts")
 
 
+def _lengths(spark: SparkSession, path: str) -> bytes:
+    codes = spark.read.parquet(f"{path.rstrip('/')}/codes").collect()  # no longer than the vocabulary
+    table = np.zeros(max((i for i, _ in codes), default=0) + 1, np.uint8)
+    for i, n in codes:
+        table[i] = n
+    return table.tobytes()
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids (little-endian 32 bits) of each document in the files, every block decoded on its own.
 
     ``start`` is the number of ids of all documents before it.
     """
-    path, arrow = path.rstrip("/"), _arrow(_READ)
-    codes = spark.read.parquet(f"{path}/codes").collect()  # no longer than the vocabulary
-    table = np.zeros(max((i for i, _ in codes), default=0) + 1, np.uint8)
-    for i, n in codes:
-        table[i] = n
-    lengths = table.tobytes()
+    path, arrow, lengths = path.rstrip("/"), _arrow(_READ), _lengths(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(lengths)
@@ -190,6 +193,30 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         .select("doc_id", (F.col("before") + F.col("first_id")).alias("start"), "n_tokens", "ids")
 
 
+def read_id_range(spark: SparkSession, path: str, start: int, stop: int) -> DataFrame:
+    """(position, ids) of the ids from place ``start`` up to ``stop`` among all ids of the files, a row a block, in any order.
+
+    Only blocks that hold some of them are read, and of each only stretches behind checkpoints that do.
+    """
+    path, arrow, lengths = path.rstrip("/"), _arrow(schema := "position long, ids binary"), _lengths(spark, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(lengths)
+        for batch in batches:
+            for block in (batch.slice(at, 1).to_pylist()[0] for at in range(batch.num_rows)):
+                sizes = lanes(np.array(block["doc_tokens"], np.int64))
+                ends = block["first_id"] + np.cumsum(sizes)
+                wanted = np.flatnonzero((ends > start) & (ends - sizes < stop))
+                first = int(ends[wanted[0]] - sizes[wanted[0]])
+                ids = codec.decode(block["bits"], np.array(block["checkpoints"], np.int64)[wanted], sizes[wanted]).astype("<u4")
+                part = slice(max(0, start - first), stop - first)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([first + part.start], [ids[part].tobytes()]), arrow.types)], names=arrow.names)
+
+    placed = spark.read.parquet(f"{path}/blocks").join(F.broadcast(spark.read.parquet(f"{path}/parts")), "part").withColumn("first_id", F.col("before") + F.col("first_id"))
+    held = placed.where((F.col("first_id") < stop) & (F.col("first_id") + F.col("n_ids") > start) & (F.lit(start) < stop))
+    return held.select("first_id", "doc_tokens", "checkpoints", "bits").mapInArrow(run, schema)
+
+
 def with_crc32(read: DataFrame, column: str = "ids") -> DataFrame:
     """``read`` with ``ids_crc32`` in place of the ids."""
     return read.withColumn("ids_crc32", F.crc32(column)).drop(column)
