@@ -93,6 +93,7 @@ def mix(documents: DataFrame, share: float = 1.5, epochs: int = 2, seed: str = S
 
     A null text has size 0, a null source is a source of its own, last in order. Null doc_ids come first in the order; rows that
     repeat a doc_id are taken one after the other, smaller sizes first and then by a hash of the row. Sources without words have target 0.
+    An empty table gives no rows; other columns only tell rows of one id apart.
     """
     amounts = _amounts(documents, share, epochs, seed)
     return amounts.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("some")).cast("long").alias("taken"))

@@ -116,7 +116,7 @@ def score_quality(documents: DataFrame, labels: DataFrame, label: str = "quality
 
     Null and empty texts have the statistics of an empty text. Null labels and ids are not learned from; an id with both
     labels counts as 1; repeated rows are scored each. With no labels every score is ``threshold``, with labels of one kind
-    that kind's share.
+    that kind's share. An empty table gives no rows; other columns are ignored.
     """
     rows = cut(per_row(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), lambda i, t: [(i, statistics(t))],
                        "doc_id long, stats array<double>", ["doc_id", "text"]))

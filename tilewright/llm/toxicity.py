@@ -136,7 +136,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic"
 
     Null and empty texts have the features of an empty text and are scored like any other. Null labels and ids are not
     learned from; an id with both labels counts as 1; repeated rows are scored each. With no labels every score is 0, with
-    labels of one kind that kind's share.
+    labels of one kind that kind's share. An empty table gives no rows; other columns than ``keep`` are ignored.
     """
     sample = training_sample(documents, labels, label, sample_rows)
     fit, rest = sample.where("not calibrates"), sample.where("calibrates")

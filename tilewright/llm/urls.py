@@ -94,7 +94,7 @@ def filter_urls(pages: DataFrame, patterns: Sequence[str] = PATTERNS) -> DataFra
     exceptions first, else allow. ``pattern`` names it. The list of patterns is an argument of the job and goes to each task.
 
     A null url, or one without ://: empty host and path, no site rule; patterns still see its text. Rows are independent; one
-    whose page_id is null or repeated is judged like any other.
+    whose page_id is null or repeated is judged like any other. An empty table gives no rows; other columns are ignored.
     """
     parsed = sorted(map(parse, patterns), key=lambda p: not p.allows)
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url")
