@@ -106,6 +106,22 @@ def test_a_hot_tile_is_shared_by_reducers(spark):
     assert done[0, 0] == 49 and len(done) == 8
 
 
+def test_a_task_hands_on_what_it_holds_when_that_is_much(spark, monkeypatch):
+    """Room for two tiles: the first one's later date finds it gone, so it comes out in two parts."""
+    blocks = blocks_of(spark, {(d, 2, 0, x): 1 for d, x in ((1, 0), (1, 1), (2, 0))}).coalesce(1).sortWithinPartitions("hcol", "x")
+    start, keys = B.composite_start("max", *ARGS), ("z", "y", "x")
+    room = 2 * start((2, 0, 0, 4, 4, 1, 3)).nbytes
+    count = lambda: sorted((r.x, r.dates) for r in B.tile_parts(blocks, start, keys).collect())
+    assert count() == [(0, 2), (1, 1)]
+    monkeypatch.setattr(B, "HELD_BYTES", room)
+    assert count() == [(0, 1), (0, 1), (1, 1)]
+    fold = range_fold()
+    folded = lambda key: B._Folded(fold, keys, key)
+    two = blocks_of(spark, {(d, 2, 0, x): np.ones((2, 4, 4)) for d, x in ((1, 0), (1, 1), (2, 0))}, shape=(2, 4, 4)).coalesce(1).sortWithinPartitions("hcol", "x")
+    monkeypatch.setattr(B, "HELD_BYTES", 2 * fold.start({}).nbytes)
+    assert sorted((r.x, r.dates) for r in B.tile_parts(two, folded, keys, date="hcol").collect()) == [(0, 1), (0, 1), (1, 1)]
+
+
 def test_failing_folds_are_rows(spark):
     def add(state, date, px):
         if date == 3:

@@ -7,6 +7,7 @@ Blocks travel whole, so a composite sends one row per tile instead of one per pi
 from __future__ import annotations
 
 import pickle
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -427,9 +428,10 @@ def tile_parts(blocks: DataFrame, start: Callable, keys: Sequence[str], spread:
                     raise ValueError(MIXED)
                 if key not in held:
                     held[key] = start(key)
-                    used -= held[key].nbytes
-                used += held[key].nbytes
+                    used += held[key].nbytes
+                before = held[key].nbytes
                 held[key].add_block(block, dt)
+                used += held[key].nbytes - before  # a user's state may grow
                 if used >= HELD_BYTES:
                     yield packed()
                     held, stores, used = {}, {}, 0
@@ -657,13 +659,25 @@ class Fold:
     finish: Callable[[object], np.ndarray]
 
 
+def _size(state) -> int:
+    """About how many bytes a user's state holds."""
+    if isinstance(state, np.ndarray):
+        return state.nbytes
+    if isinstance(state, dict):
+        return sum(map(_size, state.values()))
+    return sum(map(_size, state)) if isinstance(state, (tuple, list)) else sys.getsizeof(state)
+
+
 class _Folded:
     """Running state of a user's fold; an error takes its place and fails the tile."""
 
     def __init__(self, fold: Fold, names: Sequence[str], key: tuple):
-        self.fold, self.dates, self.error, self.state = fold, 0, None, None
+        self.fold, self.dates, self.error, self.state, self.empty = fold, 0, None, None, True
         self.begin = lambda: fold.start(dict(zip(names, key)))
-        self.empty, self.nbytes = True, 8 * key[-4] * key[-3] * key[-2]
+
+    @property
+    def nbytes(self) -> int:
+        return _size(self.state)
 
     def _try(self, step, *given):
         if self.error is None:
@@ -680,15 +694,12 @@ class _Folded:
         self.dates += 1
 
     def pack(self):
-        value = pickle.dumps((self.error, None if self.error else self.state), protocol=5)
-        self.nbytes = max(self.nbytes, len(value))
-        return self.dates, value, b""
+        return self.dates, pickle.dumps((self.error, None if self.error else self.state), protocol=5), b""
 
     def add_packed(self, dates, value, count):
         error, state = pickle.loads(value)
         self.error, self.dates = self.error or error, self.dates + dates
         self.state, self.empty = state if self.empty else self._try(self.fold.merge, self.state, state), False
-        self.nbytes = max(self.nbytes, len(value))
 
     def finish(self, key):
         out = self._try(lambda: _as_block(self.fold.finish(self.state)))
