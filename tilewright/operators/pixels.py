@@ -71,12 +71,41 @@ def capped_dates(cells: DataFrame, by: Sequence[str], start: int, stop: int, cap
     return bounded.where(F.col("_last").isNull() | (F.col(date) <= F.col("_last"))).drop("_last")
 
 
-def lookup_points(points: DataFrame, tiles: DataFrame, z: int, width: int, height: int) -> DataFrame:
-    """Values of every band and date at lon/lat points; points without a tile have no rows."""
+def lookup_points(points: DataFrame, tiles: DataFrame, z: int, width: int, height: int, per_row: int = 4096) -> DataFrame:
+    """Values of every band and date at lon/lat points; points without a tile have no rows.
+
+    Only pixels with a point leave the tiles, each value once; the points of a pixel meet them there (``at_pixels``).
+    """
     at = points.withColumn("_p", pixel_of_point(F.col("lon"), F.col("lat"), z, width, height)).select(
-        *points.columns, F.lit(z).alias("z"), *[F.col(f"_p.{c}").alias(c) for c in ("y", "x", "col", "row")])
-    hits = at.join(tiles, ["z", "y", "x"])
-    return hits.withColumn("value", F.get("dn", F.col("row") * width + F.col("col"))).drop("dn")
+        *points.columns, *[F.col(f"_p.{c}").alias(c) for c in PIXEL])
+    wanted = at.select(F.col("y").alias("_y"), F.col("x").alias("_x"), "row", "col").distinct()
+    # as many rows as pixels asked for, however many points
+    cut = tiles.where(F.col("z") == z).join(
+        hinted(wanted, fits_broadcast(wanted)), (F.col("y") == F.col("_y")) & (F.col("x") == F.col("_x")))
+    rest = [c for c in tiles.columns if c not in ("z", "y", "x", "dn")]
+    values = cut.select(F.col("_y").alias("y"), F.col("_x").alias("x"), "row", "col", *rest,
+                        F.get("dn", F.col("row") * width + F.col("col")).alias("value"))
+    hits = at_pixels(at, values, PIXEL, points.columns, per_row)
+    return hits.select(F.lit(z).alias("z"), "y", "x", *points.columns, "col", "row", *rest, "value")
+
+
+PIXEL = ("y", "x", "row", "col")
+
+
+def at_pixels(points: DataFrame, values: DataFrame, pixel: Sequence[str], columns: Sequence[str], per_row: int) -> DataFrame:
+    """Every point with every value of its pixel. ``pixel`` names the columns of both that address it, ``columns`` those of the points.
+
+    The points of a pixel are gathered, at most ``per_row`` to a row, and only these lists are joined. They are
+    spread last, value by value, so the rows of a date, band and value stand together: a written result has points times dates
+    of rows, but its columns are runs and repeated lists. Either side moves once.
+    """
+    place = F.row_number().over(Window.partitionBy(*pixel).orderBy(*pixel))
+    part = F.call_function("div", place - 1, F.lit(per_row))
+    lists = points.select(*pixel, F.struct(*columns).alias("_point"), part.alias("_part")).groupBy(*pixel, "_part").agg(
+        F.collect_list("_point").alias("_points")).drop("_part")
+    rest = [c for c in values.columns if c not in pixel]
+    met = lists.hint("merge").join(values, list(pixel)).select(*pixel, *rest, F.explode("_points").alias("_point"))
+    return met.select(*pixel, *[F.col(f"_point.{c}").alias(c) for c in columns], *rest)
 
 
 def in_range(tiles: DataFrame, z: int, tile_range: Column | dict) -> DataFrame:
