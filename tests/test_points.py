@@ -24,7 +24,7 @@ def crowded(spark):
 
 
 @pytest.mark.parametrize("per_row", [4096, 7])
-@pytest.mark.parametrize("form", ["pixels"])
+@pytest.mark.parametrize("form", ["pixels", "blocks"])
 def test_values_of_a_pixel_stand_together(spark, form, per_row):
     rows, points, blocks = crowded(spark)
     tiles = B.decode_blocks(blocks).select("hcol", "z", "y", "x", "band", "dn")

@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tilewright.functions.grid import pixel_of_point
 from tilewright.functions.pixels import BYTE_WIDTHS, PIXEL_TYPES, byte_width
 from tilewright.operators.composite import check_method
+from tilewright.operators.pixels import at_pixels
 from tilewright.operators.regions import Regions, cut_to_tiles
-from tilewright.operators.sides import BROADCAST_BYTES, hinted
+from tilewright.operators.sides import BROADCAST_BYTES, fits_broadcast, hinted
 
 SHAPE = ("width", "height", "nbands", "data_type")
 TILE = ("z", "y", "x")
@@ -313,28 +314,31 @@ def mask_blocks(blocks: DataFrame, mask: DataFrame, low: float, high: float, fil
 def lookup_points_blocks(points: DataFrame, blocks: DataFrame, z: int, width: int, height: int, per_row: int = 4096) -> DataFrame:
     """(id, hcol, band, value) at lon/lat points (id, lon, lat), read from the blocks; points without a tile have no rows.
 
-    Points are gathered per tile, about ``per_row`` to a row, so a crowded tile is several rows; a block is decoded once a row.
+    A block is decoded once and gives the pixels that have a point, however many; the points of a pixel are gathered, at most
+    ``per_row`` to a row, and meet its values there (``at_pixels``).
     """
     at = points.withColumn("_p", pixel_of_point(F.col("lon"), F.col("lat"), z, width, height)).where("_p.y IS NOT NULL").select(
         F.col("id").cast("long").alias("id"), F.col("_p.y").alias("y"), F.col("_p.x").alias("x"), (F.col("_p.row") * width + F.col("_p.col")).alias("at"))
-    counts = at.groupBy("y", "x").agg(F.ceil(F.count(F.lit(1)) / per_row).cast("long").alias("parts"))
-    part = F.pmod(F.xxhash64("id"), F.col("parts"))
-    gathered = at.join(counts, ["y", "x"]).groupBy("y", "x", part.alias("part")).agg(F.collect_list(F.struct("id", "at")).alias("_points"))
-    work = blocks.where((F.col("z") == z) & F.col("data").isNotNull()).join(gathered, ["y", "x"]).select("hcol", *SHAPE, "data", "_points")
+    pixels = at.select(F.col("y").alias("_y"), F.col("x").alias("_x"), "at").distinct()
+    # a list is no longer than a tile has pixels
+    wanted = hinted(pixels.groupBy("_y", "_x").agg(F.collect_list("at").alias("_at")), fits_broadcast(pixels))
+    work = blocks.where((F.col("z") == z) & F.col("data").isNotNull()).join(
+        wanted, (F.col("y") == F.col("_y")) & (F.col("x") == F.col("_x"))).select("_y", "_x", "hcol", *SHAPE, "data", "_at")
 
     def run(batches):
         for batch in batches:
-            dates, lists = batch.column("hcol").to_pylist(), batch.column("_points")
-            for i, block in enumerate(_block_arrays(batch)):
-                found = lists[i].values
-                ids, place = found.field("id"), np.asarray(found.field("at"))
-                for band in range(block.shape[0]):
-                    n = len(place)
-                    yield pa.RecordBatch.from_arrays(
-                        [ids, pa.array(np.full(n, dates[i], "i8")), pa.array(np.full(n, band, "i4")), pa.array(block[band].reshape(-1)[place].astype("f8"))],
-                        ["id", "hcol", "band", "value"])
+            addresses, lists = zip(*(batch.column(c).to_pylist() for c in ("_y", "_x", "hcol"))), batch.column("_at")
+            for i, (block, address) in enumerate(zip(_block_arrays(batch), addresses)):
+                place = np.asarray(lists[i].values)
+                nbands, n = len(block), len(place)
+                y, x, date = (np.full(nbands * n, v, k) for v, k in zip(address, ("i4", "i4", "i8")))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (y, x, np.tile(place, nbands), date, np.repeat(np.arange(nbands, dtype="i4"), n),
+                                           block.reshape(nbands, -1)[:, place].reshape(-1).astype("f8"))],
+                    ["y", "x", "at", "hcol", "band", "value"])
 
-    return work.mapInArrow(run, "id long, hcol long, band int, value double")
+    values = work.mapInArrow(run, "y int, x int, at int, hcol long, band int, value double")
+    return at_pixels(at, values, ("y", "x", "at"), ["id"], per_row).select("id", "hcol", "band", "value")
 
 
 # ---- composite -----------------------------------------------------------------------------------
