@@ -58,3 +58,23 @@ def test_class_counts_equal_classified_pixels(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     assert B.class_counts(blocks, ranges, -2, 39, -9).agg(F.sum("n")).first()[0] == pixels.count()
     assert B.class_counts(blocks.limit(0), ranges, -2, 39, -9).count() == 0
+
+
+def test_a_piece_of_every_row_is_several_tasks_work(spark, monkeypatch):
+    monkeypatch.setattr(K, "INDEX_BYTES", 2000)
+    names = ["Brand#%03d" % (k % 200) for k in range(2000)]
+    rows = [(k, n, None) for k, n in enumerate(names)] + [(5, names[5], "Other"), (None, names[0], "xy"), (None, names[0], None)]
+    index = K.text_index(spark.createDataFrame(rows, "id long, name string, other string"), "id", ["name", "other"])
+    want = {(t.lower()[i:i + 3], k) for k, *texts in rows for t in texts if t for i in range(len(t) - 2)}
+    got = list(map(tuple, index.collect()))
+    assert set(got) == want and len(got) == len(want)
+    # texts are dealt out before their pieces arise, and no piece moves to be told apart
+    assert "Exchange" not in index._jdf.queryExecution().executedPlan().toString().partition("Generate")[0]
+    assert index.rdd.getNumPartitions() > 5
+    path = scratch("grams")
+    K.write_text_index(index, f"{path}/a")
+    K.write_text_index(spark.createDataFrame([("bra", k) for k in range(3000)], "gram string, id long"), f"{path}/b")
+    stored = list(map(tuple, spark.read.parquet(f"{path}/a").collect()))
+    assert set(stored) == want and len(stored) == len(want)
+    # a piece with more rows than one range holds is in several files
+    assert spark.read.parquet(f"{path}/b").select(F.input_file_name()).distinct().count() > 1

@@ -135,16 +135,26 @@ def _grams(text: Column) -> Column:
     return F.when(F.length(low) >= GRAM, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - GRAM + 1), lambda i: F.substring(low, i, F.lit(GRAM)))))
 
 
+# Bytes of text whose pieces one task holds at once.
+INDEX_BYTES = 1024 * 1024
+
+
 def text_index(table: DataFrame, ident: str, columns: Sequence[str]) -> DataFrame:
     """(gram, ident): the rows that hold each piece of three characters in one of the columns, in lower case.
 
-    To be written sorted by gram (``write_text_index``), so that a search reads few of its row groups.
+    To be written sorted by gram (``write_text_index``), so that a search reads few of its row groups. The texts move, about
+    ``INDEX_BYTES`` to a task, and their pieces do not: they are told apart where they arise, all of one ident in one task.
     """
-    return table.select(ident, F.explode(F.array(*(_grams(F.col(c)) for c in columns))).alias("g")).select(F.explode("g").alias("gram"), ident).distinct()
+    held = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in columns), F.lit(0).cast("long"))
+    size = table.agg(F.sum(held)).first()[0] or 0
+    texts = table.select(*dict.fromkeys((ident, *columns))).repartition(size // INDEX_BYTES + 1, ident)
+    return texts.select(ident, F.explode(F.array(*(_grams(F.col(c)) for c in columns))).alias("g")).select(F.explode("g").alias("gram"), ident).distinct()
 
 
 def write_text_index(index: DataFrame, path: str) -> None:
-    index.repartitionByRange("gram").sortWithinPartitions("gram").write.mode("overwrite").parquet(path)
+    """The index in ranges of gram and ident, so that a gram of very many rows is several tasks' work; as many ranges as it has partitions."""
+    parts = max(index.rdd.getNumPartitions(), index.sparkSession.sparkContext.defaultParallelism)
+    index.repartitionByRange(parts, *index.columns).sortWithinPartitions(*index.columns).write.mode("overwrite").parquet(path)
 
 
 def search_indexed(table: DataFrame, index: DataFrame, ident: str, columns: Sequence[str], word: str) -> DataFrame:
