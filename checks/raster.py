@@ -409,9 +409,10 @@ def _(fx):
 @query("physical_values", f"""SELECT p.hcol, p.z, p.y, p.x, p.band, p.pos, 0.5::double * p.dn + (-10)::double AS value
 FROM fx_px p JOIN fx_band b ON b.bindex = p.band AND b.pid = 1 WHERE p.status = 0 AND {VALID}""")
 def _(fx):
-    bands = with_band_info(fx.band).where("pid = 1").withColumnRenamed("bindex", "band")
-    pixels = explode_pixels(good_tiles(fx.tile)).where(is_valid(F.col("dn"), LOW, HIGH, FILL))
-    return pixels.join(bands, "band").select(
+    bands = with_band_info(fx.band).where("pid = 1").withColumnRenamed("bindex", "band").select("band", "scale", "offset")
+    tiles = P.with_bands(good_tiles(fx.tile), bands)
+    pixels = explode_pixels(tiles).where(is_valid(F.col("dn"), LOW, HIGH, FILL))
+    return pixels.select(
         "hcol", *KEYS, "band", "pos", physical(F.col("dn").cast("double"), F.col("scale"), F.col("offset")).alias("value"))
 
 

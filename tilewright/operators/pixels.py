@@ -38,6 +38,15 @@ def status_counts(tiles: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count_if(F.col("status") == 0).alias("good"), F.count_if(F.col("status") != 0).alias("bad"))
 
 
+def with_bands(tiles: DataFrame, bands: DataFrame) -> DataFrame:
+    """Tiles with the columns ``bands`` has for their band, before their pixels are taken apart; a band it lacks has no rows.
+
+    A product has few bands, so a join by band would bring all tiles to a few tasks: the bands are copied to the tiles. If they
+    are too many for that, tiles move as whole rows.
+    """
+    return tiles.join(hinted(bands, fits_broadcast(bands)), "band")
+
+
 def select_bands(tiles: DataFrame, bands: Sequence[int], n_bands: int) -> DataFrame:
     """Chosen bands in the asked order as ``out_band``; an empty list means all."""
     wanted = list(bands) or list(range(n_bands))
