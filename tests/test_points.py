@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from test_tiles import blocks_of
 from tilewright.operators import blocks as B, pixels as P
@@ -45,6 +46,23 @@ def test_values_of_a_pixel_stand_together(spark, form, per_row):
     assert runs <= 3 * 2 * lists and len(got) == 364 * 6
 
 
+@pytest.mark.parametrize("form", ["blocks"])
+def test_a_value_finds_one_list_and_lists_of_a_pixel_are_dealt_out(spark, form):
+    _, _, blocks = crowded(spark)
+    points = spark.createDataFrame([(k, SIDE - 180, 90.0) for k in range(60)], "id long, lon double, lat double")
+    if form == "pixels":
+        tiles = B.decode_blocks(blocks).select("hcol", "z", "y", "x", "band", "dn")
+        found = P.lookup_points(points, tiles, 2, 4, 4, per_row=4).select("id", "hcol", "band", "value")
+    else:
+        found = B.lookup_points_blocks(points, blocks, 2, 4, 4, per_row=4)
+    rows = found.select("*", F.spark_partition_id().alias("task")).collect()
+    assert sorted((r.id, r.hcol, r.band) for r in rows) == [*itertools.product(range(60), (1, 2, 3), (0, 1))]
+    assert len({r.task for r in rows}) > 1  # all 360 rows are of one pixel
+    # what a row of the left side finds is held at once, so values stand there and have the list's number in their key
+    join = found._jdf.queryExecution().executedPlan().toString().partition("SortMergeJoin")[2]
+    assert "_part" in join.split("\n")[0] and join.index("hcol") < join.index("collect_list")
+
+
 def test_no_points_or_tiles_give_no_values(spark):
     _, points, blocks = crowded(spark)
     tiles = B.decode_blocks(blocks)

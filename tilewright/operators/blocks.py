@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tilewright.functions.grid import pixel_of_point
 from tilewright.functions.pixels import BYTE_WIDTHS, PIXEL_TYPES, byte_width
 from tilewright.operators.composite import check_method
-from tilewright.operators.pixels import at_pixels
+from tilewright.operators.pixels import at_pixels, pixel_lists
 from tilewright.operators.regions import Regions, cut_to_tiles
 from tilewright.operators.sides import BROADCAST_BYTES, fits_broadcast, hinted
 
@@ -319,9 +319,10 @@ def lookup_points_blocks(points: DataFrame, blocks: DataFrame, z: int, width: in
     """
     at = points.withColumn("_p", pixel_of_point(F.col("lon"), F.col("lat"), z, width, height)).where("_p.y IS NOT NULL").select(
         F.col("id").cast("long").alias("id"), F.col("_p.y").alias("y"), F.col("_p.x").alias("x"), (F.col("_p.row") * width + F.col("_p.col")).alias("at"))
-    pixels = at.select(F.col("y").alias("_y"), F.col("x").alias("_x"), "at").distinct()
-    # a list is no longer than a tile has pixels
-    wanted = hinted(pixels.groupBy("_y", "_x").agg(F.collect_list("at").alias("_at")), fits_broadcast(pixels))
+    pixels = pixel_lists(at, ("y", "x", "at"), per_row)
+    # a list is no longer than a tile has pixels, but for pixels with more than per_row points
+    asked = F.collect_list(F.struct("at", F.col("_part").alias("part"))).alias("_at")
+    wanted = hinted(pixels.groupBy(F.col("y").alias("_y"), F.col("x").alias("_x")).agg(asked), fits_broadcast(pixels))
     work = blocks.where((F.col("z") == z) & F.col("data").isNotNull()).join(
         wanted, (F.col("y") == F.col("_y")) & (F.col("x") == F.col("_x"))).select("_y", "_x", "hcol", *SHAPE, "data", "_at")
 
@@ -329,15 +330,15 @@ def lookup_points_blocks(points: DataFrame, blocks: DataFrame, z: int, width: in
         for batch in batches:
             addresses, lists = zip(*(batch.column(c).to_pylist() for c in ("_y", "_x", "hcol"))), batch.column("_at")
             for i, (block, address) in enumerate(zip(_block_arrays(batch), addresses)):
-                place = np.asarray(lists[i].values)
+                place, part = (np.asarray(lists[i].values.field(c)) for c in ("at", "part"))
                 nbands, n = len(block), len(place)
                 y, x, date = (np.full(nbands * n, v, k) for v, k in zip(address, ("i4", "i4", "i8")))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (y, x, np.tile(place, nbands), date, np.repeat(np.arange(nbands, dtype="i4"), n),
+                    [pa.array(c) for c in (y, x, np.tile(place, nbands), np.tile(part, nbands), date, np.repeat(np.arange(nbands, dtype="i4"), n),
                                            block.reshape(nbands, -1)[:, place].reshape(-1).astype("f8"))],
-                    ["y", "x", "at", "hcol", "band", "value"])
+                    ["y", "x", "at", "_part", "hcol", "band", "value"])
 
-    values = work.mapInArrow(run, "y int, x int, at int, hcol long, band int, value double")
+    values = work.mapInArrow(run, "y int, x int, at int, _part long, hcol long, band int, value double")
     return at_pixels(at, values, ("y", "x", "at"), ["id"], per_row).select("id", "hcol", "band", "value")
 
 

@@ -83,16 +83,16 @@ def capped_dates(cells: DataFrame, by: Sequence[str], start: int, stop: int, cap
 def lookup_points(points: DataFrame, tiles: DataFrame, z: int, width: int, height: int, per_row: int = 4096) -> DataFrame:
     """Values of every band and date at lon/lat points; points without a tile have no rows.
 
-    Only pixels with a point leave the tiles, each value once; the points of a pixel meet them there (``at_pixels``).
+    Only pixels with a point leave the tiles, each value once a list of points; the points of a pixel meet them there (``at_pixels``).
     """
     at = points.withColumn("_p", pixel_of_point(F.col("lon"), F.col("lat"), z, width, height)).select(
         *points.columns, *[F.col(f"_p.{c}").alias(c) for c in PIXEL])
-    wanted = at.select(F.col("y").alias("_y"), F.col("x").alias("_x"), "row", "col").distinct()
-    # as many rows as pixels asked for, however many points
+    # as many rows as pixels asked for, and more only for pixels with more than per_row points
+    wanted = pixel_lists(at, PIXEL, per_row).withColumnsRenamed({"y": "_y", "x": "_x"})
     cut = tiles.where(F.col("z") == z).join(
         hinted(wanted, fits_broadcast(wanted)), (F.col("y") == F.col("_y")) & (F.col("x") == F.col("_x")))
     rest = [c for c in tiles.columns if c not in ("z", "y", "x", "dn")]
-    values = cut.select(F.col("_y").alias("y"), F.col("_x").alias("x"), "row", "col", *rest,
+    values = cut.select(F.col("_y").alias("y"), F.col("_x").alias("x"), "row", "col", "_part", *rest,
                         F.get("dn", F.col("row") * width + F.col("col")).alias("value"))
     hits = at_pixels(at, values, PIXEL, points.columns, per_row)
     return hits.select(F.lit(z).alias("z"), "y", "x", *points.columns, "col", "row", *rest, "value")
@@ -101,20 +101,34 @@ def lookup_points(points: DataFrame, tiles: DataFrame, z: int, width: int, heigh
 PIXEL = ("y", "x", "row", "col")
 
 
+def pixel_lists(points: DataFrame, pixel: Sequence[str], per_row: int) -> DataFrame:
+    """The pixels that have a point, once for each list ``_part`` of at most ``per_row`` points that ``at_pixels`` makes of them."""
+    counts = points.groupBy(*pixel).agg(F.count(F.lit(1)).alias("_n"))
+    last = F.call_function("div", F.col("_n") - 1, F.lit(per_row))
+    return counts.select(*pixel, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_part"))
+
+
 def at_pixels(points: DataFrame, values: DataFrame, pixel: Sequence[str], columns: Sequence[str], per_row: int) -> DataFrame:
     """Every point with every value of its pixel. ``pixel`` names the columns of both that address it, ``columns`` those of the points.
 
-    The points of a pixel are gathered, at most ``per_row`` to a row, and only these lists are joined. They are
-    spread last, value by value, so the rows of a date, band and value stand together: a written result has points times dates
-    of rows, but its columns are runs and repeated lists. Either side moves once.
+    The points of a pixel are gathered, at most ``per_row`` to a row, and only these lists are joined. ``values`` has a row
+    for each of them (``pixel_lists``), and the lists are spread last, value by value, so the rows of a date, band and value
+    stand together: a written result has points times dates of rows, but its columns are runs and repeated lists.
+
+    A join hands on all that it finds for a row of its left side at once. Values stand there, and each finds one list, so
+    a task holds ``per_row`` rows and not points times values of a pixel. The lists of a crowded pixel are several tasks' work. The
+    number of tasks is given, as the bytes they read, by which Spark would bring them together, don't tell how many rows they make.
     """
-    place = F.row_number().over(Window.partitionBy(*pixel).orderBy(*pixel))
-    part = F.call_function("div", place - 1, F.lit(per_row))
-    lists = points.select(*pixel, F.struct(*columns).alias("_point"), part.alias("_part")).groupBy(*pixel, "_part").agg(
-        F.collect_list("_point").alias("_points")).drop("_part")
-    rest = [c for c in values.columns if c not in pixel]
-    met = lists.hint("merge").join(values, list(pixel)).select(*pixel, *rest, F.explode("_points").alias("_point"))
-    return met.select(*pixel, *[F.col(f"_point.{c}").alias(c) for c in columns], *rest)
+    # ordered by the points themselves: a list that is made again holds the same
+    place = F.row_number().over(Window.partitionBy(*pixel).orderBy(*columns))
+    numbered = points.select(*dict.fromkeys([*pixel, *columns])).withColumn("_part", F.call_function("div", place - 1, F.lit(per_row)))
+    key = [*pixel, "_part"]
+    lists = numbered.groupBy(*key).agg(F.collect_list(F.struct(*columns)).alias("_points"))
+    rest = [c for c in values.columns if c not in key]
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = values.repartition(tasks, *key).join(lists.repartition(tasks, *key).hint("merge"), key)
+    spread = met.select(*pixel, *rest, F.explode("_points").alias("_point"))
+    return spread.select(*pixel, *[F.col(f"_point.{c}").alias(c) for c in columns], *rest)
 
 
 def in_range(tiles: DataFrame, z: int, tile_range: Column | dict) -> DataFrame:
